@@ -6,19 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricspark.llm.near_dup import near_duplicates
+from metricspark.llm import mixing, near_dup, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix_sources(_table(spark, sf_dir, "documents")))
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=24)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.apply_policy(quality.ledger(_table(spark, sf_dir, "documents")), version=2)
+    measures = [m for m in quality.MEASURES if m != "n_lines"]
+    base_failed = (rows.fail_bits.bitwiseAND(quality.BASE) != 0).alias("base_failed")
+    return rows.select("doc_id", *measures, base_failed, "kept", "fail_bits")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_near_dup": op5_near_dup}
+    return {
+        "op1_mix_sources": op1_mix_sources,
+        "op5_near_dup": op5_near_dup,
+        "op7_sharding": op7_sharding,
+        "op8_quality_rules": op8_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
