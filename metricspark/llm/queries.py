@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricspark.llm import mixing, near_dup, quality, sharding
+from metricspark.llm import mixing, near_dup, quality, sharding, token_files
+from metricspark.llm.tokens import public_tokenizer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix_sources(_table(spark, sf_dir, "documents")))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = token_files.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
+    return token_files.read_digests(written)
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +41,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op3_token_files": op3_token_files,
         "op5_near_dup": op5_near_dup,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
