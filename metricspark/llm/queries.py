@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricspark.llm import mixing, near_dup, quality, sharding, token_files
+from metricspark.llm import license_scan, mixing, near_dup, quality, sharding, token_files
 from metricspark.llm.tokens import public_tokenizer
 
 
@@ -27,6 +27,10 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op3_token_files": op3_token_files,
         "op5_near_dup": op5_near_dup,
+        "op6_license_scan": op6_license_scan,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
     }
