@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricspark.llm import license_scan, mixing, near_dup, quality, sharding, token_files
+from metricspark.llm import html_text, license_scan, mixing, near_dup, quality, sharding, token_files
 from metricspark.llm.tokens import public_tokenizer
 
 
@@ -18,6 +18,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix_sources(_table(spark, sf_dir, "documents")))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = token_files.write_token_files(_table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
     return token_files.read_digests(written)
@@ -45,6 +49,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_html_text": op2_html_text,
         "op3_token_files": op3_token_files,
         "op5_near_dup": op5_near_dup,
         "op6_license_scan": op6_license_scan,
