@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricspark.llm import html_text, license_scan, mixing, near_dup, quality, sharding, token_files
+from metricspark.llm import decontam, html_text, license_scan, mixing, near_dup, quality, sharding, token_files
 from metricspark.llm.tokens import public_tokenizer
 
 
@@ -27,6 +27,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(written)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated_documents(hits)
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_html_text": op2_html_text,
         "op3_token_files": op3_token_files,
+        "op4_decontamination": op4_decontamination,
         "op5_near_dup": op5_near_dup,
         "op6_license_scan": op6_license_scan,
         "op7_sharding": op7_sharding,

@@ -57,6 +57,24 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans ``starts:ends`` (ascending, not overlapping) of a byte array of any length."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    done = 0
+    while done < len(starts):
+        base = int(starts[done])
+        upto = max(done + 1, int(np.searchsorted(ends, base + PIECE, side="right")))
+        piece = buf[base : ends[upto - 1]].astype(np.uint64) + np.uint64(1)
+        power, inverse = _power_tables(len(piece))
+        total = np.empty(len(piece) + 1, dtype=np.uint64)
+        total[0] = 0
+        np.cumsum(piece * power[: len(piece)], out=total[1:])
+        a, b = starts[done:upto] - base, ends[done:upto] - base
+        out[done:upto] = mix64((total[b] - total[a]) * inverse[a])
+        done = upto
+    return out
+
+
 def _hash_piece(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = word_spans(buf)
     if not len(starts):
