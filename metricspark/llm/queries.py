@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricspark.llm import decontam, html_text, license_scan, mixing, near_dup, quality, sharding, token_files
+from metricspark.llm import (
+    decontam,
+    html_text,
+    langid,
+    license_scan,
+    mixing,
+    near_dup,
+    quality,
+    sharding,
+    token_counts,
+    token_files,
+)
 from metricspark.llm.tokens import public_tokenizer
 
 
@@ -51,6 +62,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *measures, base_failed, "kept", "fail_bits")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(_table(spark, sf_dir, "documents"))
+
+
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return langid.identify_pages(pages, html_text.main_text(pages))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    histogram = token_counts.length_histogram(_table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
+    return token_counts.with_suffix_sums(histogram)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -61,6 +86,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_license_scan": op6_license_scan,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
+        "op9_language_id": op9_language_id,
+        "op10_token_counts": op10_token_counts,
+        "language_of_pages": language_of_pages,
     }
 
 
