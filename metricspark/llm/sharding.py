@@ -5,7 +5,8 @@ hash and laid into ``2**CELL_BITS`` hash cells, so that a cell is an atomic
 group of bounded number whatever the input; its size is a plain aggregate.  The
 smallest capacity for which greedy filling needs no more than the wanted shards
 is found by binary search over that ordered list (one row of at most 65,536
-numbers), and the cells are cut there.
+numbers).  The cells are cut at that capacity, each part ending at its even
+share of the rest where the parts after it still fit.
 """
 
 from __future__ import annotations
@@ -47,17 +48,32 @@ def partition_cells(cells: DataFrame, shards: int) -> DataFrame:
     mean = f"((total + {shards - 1}L) div {shards}L)"
     one = one.select(
         "cells",
+        "total",
         F.expr("transform(cells, c -> c.bytes)").alias("sizes"),
         F.expr(f"greatest(largest, {mean})").alias("lo"),
         F.expr(f"{mean} + largest").alias("hi"),
     ).withColumn("capacity", _capacity("sizes", shards))
+    # starts[m - 1]: first cell of the last m parts when they are filled from the end
+    starts = (
+        "aggregate(reverse(sizes), named_struct('load', 0L, 'at', size(sizes), 'starts', cast(array() as array<int>)), (a, x) -> "
+        "if(a.load + x <= capacity, named_struct('load', a.load + x, 'at', a.at - 1, 'starts', a.starts), "
+        "named_struct('load', x, 'at', a.at - 1, 'starts', array_append(a.starts, a.at))), a -> a.starts)"
+    )
+    # A part ends where it must, or where it has its even share of the rest and what follows still fits.
+    share = f"(a.rest div ({shards} - size(a.cuts)))"
+    fits = f"a.at >= coalesce(get(starts, {shards} - 2 - size(a.cuts)), 0)"
+    ends = (
+        f"size(a.cuts) < {shards} - 1 and a.load > 0 and "
+        f"(a.load + c.bytes > capacity or (a.load + c.bytes div 2 >= {share} and {fits}))"
+    )
     cuts = (
-        "aggregate(cells, named_struct('load', 0L, 'cuts', cast(array() as array<bigint>)), (a, c) -> "
-        "if(a.load + c.bytes <= capacity, named_struct('load', a.load + c.bytes, 'cuts', a.cuts), "
-        "named_struct('load', c.bytes, 'cuts', array_append(a.cuts, c.cell))), a -> a.cuts)"
+        "aggregate(cells, named_struct('at', 0, 'load', 0L, 'rest', total, 'cuts', cast(array() as array<bigint>)), (a, c) -> "
+        f"if({ends}, named_struct('at', a.at + 1, 'load', c.bytes, 'rest', a.rest - a.load, 'cuts', array_append(a.cuts, c.cell)), "
+        "named_struct('at', a.at + 1, 'load', a.load + c.bytes, 'rest', a.rest, 'cuts', a.cuts)), a -> a.cuts)"
     )
     return (
-        one.withColumn("cuts", F.expr(cuts))
+        one.withColumn("starts", F.expr(starts))
+        .withColumn("cuts", F.expr(cuts))
         .select(F.explode("cells").alias("c"), "cuts")
         .select("c.cell", F.expr("cast(size(filter(cuts, x -> x <= c.cell)) as int)").alias("shard"))
     )
