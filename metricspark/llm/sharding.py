@@ -52,7 +52,10 @@ def partition_cells(cells: DataFrame, shards: int) -> DataFrame:
         F.expr("transform(cells, c -> c.bytes)").alias("sizes"),
         F.expr(f"greatest(largest, {mean})").alias("lo"),
         F.expr(f"{mean} + largest").alias("hi"),
-    ).withColumn("capacity", _capacity("sizes", shards))
+    )
+    # Each step is staged (one row): inlined into the next one's lambda it would run again for every cell.
+    one = stage(one, "cell-sizes")
+    one = stage(one.withColumn("capacity", _capacity("sizes", shards)), "cell-capacity")
     # starts[m - 1]: first cell of the last m parts when they are filled from the end
     starts = (
         "aggregate(reverse(sizes), named_struct('load', 0L, 'at', size(sizes), 'starts', cast(array() as array<int>)), (a, x) -> "
@@ -71,9 +74,9 @@ def partition_cells(cells: DataFrame, shards: int) -> DataFrame:
         f"if({ends}, named_struct('at', a.at + 1, 'load', c.bytes, 'rest', a.rest - a.load, 'cuts', array_append(a.cuts, c.cell)), "
         "named_struct('at', a.at + 1, 'load', a.load + c.bytes, 'rest', a.rest, 'cuts', a.cuts)), a -> a.cuts)"
     )
+    one = stage(one.withColumn("starts", F.expr(starts)), "cell-starts")
     return (
-        one.withColumn("starts", F.expr(starts))
-        .withColumn("cuts", F.expr(cuts))
+        one.withColumn("cuts", F.expr(cuts))
         .select(F.explode("cells").alias("c"), "cuts")
         .select("c.cell", F.expr("cast(size(filter(cuts, x -> x <= c.cell)) as int)").alias("shard"))
     )
