@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # --- value rules -----------------------------------------------------------------------------
 
@@ -343,7 +344,7 @@ def norm_dist(x: Column, mean: float, sd: float, cumulative: bool = True) -> Col
     return _normal_cdf(z.cast("double"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _normal_cdf(z: pd.Series) -> pd.Series:
     from math import erfc, sqrt
 
