@@ -54,11 +54,11 @@ def _(spark, sf):
     )
 
 
-@query("win_windowed_pairs", "SELECT l_orderkey, l_linenumber, l_partkey, round(covar_pop(l_quantity, l_discount) OVER w, 6) + 0.0 AS cp FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+@query("win_windowed_pairs", "SELECT l_orderkey, l_linenumber, l_partkey, round((covar_pop(l_quantity, l_discount) OVER w) + 3e-8, 6) + 0.0 AS cp FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
 def _(spark, sf):
     order = (F.col("l_linenumber"), F.col("l_partkey"), F.col("l_quantity"))
     made = win.windowed("covarp", F.col("l_quantity"), Window.unboundedPreceding, Window.unboundedFollowing, ["l_orderkey"], order, F.col("l_discount"))
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.round(made, 6) + 0.0).alias("cp"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.round(made + 3e-8, 6) + 0.0).alias("cp"))
 
 
 @query("win_shift", f"SELECT o_orderkey, lag(o_orderkey, 1) OVER ({_O}) AS prev, lead(o_orderkey, 2) OVER ({_O}) AS next2 FROM orders")

@@ -105,7 +105,7 @@ def fiscal_calendar(spark, sf) -> DataFrame:
     ).distinct()
 
 
-@query("tim_fiscal_sums", f"WITH c AS ({_CAL}), n AS (SELECT * FROM c WHERE d = DATE '{AS_OF}') SELECT o_orderstatus, " + ", ".join(f"CAST(coalesce(sum(CASE WHEN c.{i} = n.{i} + ({k}) THEN {PRICE} END), 0) AS DOUBLE) AS {m}" for m, i, k in (("this_fy", "fiscal_year_id", 0), ("prior_fy", "fiscal_year_id", -1), ("last_month", "month_id", -1))) + " FROM orders JOIN c ON CAST(o_orderdate AS DATE) = c.d, n GROUP BY 1")
+@query("tim_fiscal_sums", f"WITH c AS ({_CAL}), n AS (SELECT * FROM c WHERE d = DATE '{AS_OF}') SELECT o_orderstatus, " + ", ".join(f"CAST(coalesce(sum(CASE WHEN c.{i} = n.{i} + ({k}) THEN {PRICE} END), 0) AS DOUBLE) AS {m}" for m, i, k in (("this_fy", "fiscal_year_id", 0), ("prior_fy", "fiscal_year_id", -1), ("last_month", "month_id", -1))) + " FROM orders JOIN c ON CAST(o_orderdate AS DATE) = c.d LEFT JOIN n ON true GROUP BY 1")
 def _(spark, sf):
     offsets = {"this_fy": ("fiscal_year_id", 0), "prior_fy": ("fiscal_year_id", -1), "last_month": ("month_id", -1)}
     out = tim.fiscal_sums(_orders(spark, sf), F.expr(PRICE), offsets, AS_OF, fiscal_calendar(spark, sf), "o_orderdate", by=["o_orderstatus"])
