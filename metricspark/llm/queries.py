@@ -13,6 +13,7 @@ from metricspark.llm import (
     license_scan,
     mixing,
     near_dup,
+    oracles,
     quality,
     sharding,
     token_counts,
@@ -93,4 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_near_dup": oracles.NEAR_DUP,
+        "op6_license_scan": oracles.license_sql(),
+        "op8_quality_rules": oracles.quality_sql(version=2),
+    }
