@@ -15,6 +15,7 @@ with the documents.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -213,43 +214,49 @@ def mix_sources(
     )
     shards = -(-sum(c.slots for c in mixture) // shard_slots)
     ids = spark.range(0, shards, 1, max(1, min(shards // 16, spark.sparkContext.defaultParallelism * 8)))
-    slots = ids.mapInPandas(_slots(mixture, seed, shard_slots), "shard long, slot long, sid int, block long")
+    # Staged, so that the join sees the table's size: a plan over the shard numbers alone looks small enough to broadcast.
+    slots = stage(ids.mapInPandas(_slots(mixture, seed, shard_slots), "shard long, slot long, sid int, block long"), "mix-slots")
     return Mix(mixture, placed, slots, slots.join(pieces, ["sid", "block"]))
 
 
-def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace each text by the words ``first_word .. first_word + n_words`` of it, verbatim between."""
-    import re
-
-    words = re.compile(WORD)
-    for batch in batches:
-        text, first, n, size = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "first_word", "n_words", "size"))
-        cut = []
-        for t, f, k, whole in zip(text, first, n, size, strict=True):
-            if k < whole:
-                begin = end = 0
-                for at, m in enumerate(words.finditer(t)):
-                    if at == f:
-                        begin = m.start()
-                    if at == f + k - 1:
-                        end = m.end()
-                        break
-                t = t[begin:end]
-            cut.append(t)
-        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(cut, pa.string()))
-
-
-def mixed_documents(docs: DataFrame, block_words: int = 2048, **options) -> DataFrame:
+def _cut_batches(text_at: int):
+    """Replace each text by its words ``first .. first + n``, verbatim between; columns are first, n, size, document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = re.compile(WORD)
+        for batch in batches:
+            cut = []
+            for first, n, size, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, text_at + 3)), strict=True):
+                if n < size:
+                    begin = end = 0
+                    for at, m in enumerate(words.finditer(text)):
+                        if at == first:
+                            begin = m.start()
+                        if at == first + n - 1:
+                            end = m.end()
+                            break
+                    text = text[begin:end]
+                cut.append(text)
+            columns = [batch.column(i) for i in range(3, batch.num_columns)]
+            columns[text_at] = pa.array(cut, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[3:])
+
+    return run
+
+
+def mixed_documents(docs: DataFrame, block_words: int = 2048, text_col: str = "text", **options) -> DataFrame:
     """The mix as documents: one row per span, with ``docs``' columns and the span's text.
 
     Blocks as long as a training sequence leave most documents whole; a text that
-    a block boundary cuts appears as its parts.  ``n_chars`` follows the text.
+    a block boundary cuts appears as its parts.  A column ``n_chars`` follows the
+    text.
     """
-    drawn = mix_sources(docs, block_words=block_words, carry=docs.columns, **options)
-    rows = drawn.spans.select("first_word", "n_words", "size", "document.*")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    out = rows.mapInArrow(_cut_batches, schema).select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    drawn = mix_sources(docs, block_words=block_words, carry=docs.columns, text_col=text_col, **options)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # plain names, whatever the columns are called
+    rows = drawn.spans.select("first_word", "n_words", "size", *[F.col(f"document.`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
+    out = rows.mapInArrow(_cut_batches(docs.columns.index(text_col)), schema).toDF(*docs.columns)
+    return out.withColumn("n_chars", F.length(text_col).cast("long")) if "n_chars" in docs.columns else out
 
 
 def taken_words(mix: Mix) -> DataFrame:
