@@ -4,8 +4,9 @@ A small scanner turns each page into its text blocks with their root-to-leaf tag
 paths.  Text length, punctuation and link text are then aggregated per path of a
 page; a path's ratios per block are smoothed with those of its siblings (paths
 with the same parent), fused into one score and compared with the page's best.
-Paths that pass are content; elements that are boilerplate by their own
-declaration (navigation, adverts, forms, comments ...) never compete.
+Paths that pass are content, and with them what else stands in a section of the
+page that content fills, unless it is mostly links; elements that are boilerplate
+by their own declaration (navigation, adverts, forms, comments ...) never compete.
 """
 
 from __future__ import annotations
@@ -224,7 +225,14 @@ def main_text(
     alone = F.col("parent").isin("", "/html", "/html/body")  # the page itself is no group of siblings
     blocks = blocks.withColumn("own", ratio(own)).withColumn("near", F.when(alone, F.col("own")).otherwise(ratio(siblings)))
     blocks = blocks.withColumn("score", (F.col("own") + F.col("near")) / 2)
-    content = F.col("competes") & (F.col("score") >= threshold * F.max(F.when(F.col("competes"), F.col("score"))).over(page))
+    passes = F.col("competes") & (F.col("score") >= threshold * F.max(F.when(F.col("competes"), F.col("score"))).over(page))
+    # lists, captions and the like stand inside a section that content fills; link lists do not come with them
+    blocks = blocks.withColumn("passes", passes).withColumn("section", F.regexp_extract("path", "^(?:/html)?(?:/body)?(?:/[^/]+)?", 0))
+    section = Window.partitionBy("row", "section")
+    size = F.length("text")
+    filled = F.sum(F.when(F.col("passes"), size).otherwise(0)).over(section) * 2 >= F.sum(F.when(F.col("competes"), size).otherwise(0)).over(section)
+    linked = F.sum("n_link").over(own) * 2 >= F.sum(size).over(own)
+    content = F.col("passes") | (F.col("competes") & filled & ~linked)
     kept = blocks.withColumn("content", content & (F.col("text") != ""))
     texts = F.array_sort(F.collect_list(F.when(F.col("content"), F.struct("seq", "text"))))
     joined = kept.groupBy("row").agg(
