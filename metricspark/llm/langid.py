@@ -28,6 +28,8 @@ SAMPLE_PER_LANGUAGE = 1000
 #: Languages with fewer labelled texts than this are not modelled.
 LEAST_LABELLED = 5
 BUCKETS = 1 << 16
+#: Groups of tasks that the sample is drawn in before it is drawn as a whole.
+TASK_GROUPS = 16
 #: Trigrams overlap, so a text counts as a third of them, and as no more than this many.
 WEIGHT, MOST_TRIGRAMS = 1 / 3, 600
 #: Pseudo-counts of the smoothed tables.
@@ -77,7 +79,10 @@ def fit_text_model(docs: DataFrame, label_col: str, text_col: str, id_col: str,
     keyed = docs.select(F.col(label_col).alias("label"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text")).where(
         "label is not null and text is not null"
     )
-    ranked = keyed.select("label", "h").withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h")))
+    # Each task, then each of a few groups of tasks, passes on its smallest hashes only.
+    first = keyed.select("label", "h", F.pmod(F.spark_partition_id(), F.lit(TASK_GROUPS)).alias("part"))
+    first = first.withColumn("rank", F.row_number().over(Window.partitionBy("label", "part").orderBy("h"))).where(f"rank <= {sample}")
+    ranked = first.select("label", "h").withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h")))
     cuts = ranked.where(f"rank <= {sample}").groupBy("label").agg(F.max("h").alias("cut"), F.count("*").alias("labelled"))
     cuts = {r.label: r.cut for r in cuts.where(f"labelled >= {LEAST_LABELLED}").orderBy("label").collect()}
     languages = tuple(sorted(cuts))
