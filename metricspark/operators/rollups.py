@@ -119,11 +119,10 @@ _ROLLUPS = {
 }
 
 
-def semi_additive(df: DataFrame, measure: str, regular: str, rollup: str, dims: Sequence[str], keys: Sequence[str], time: str) -> DataFrame:
-    """Regular aggregate across keys at each moment, rollup across time."""
+def semi_additive(df: DataFrame, measure: str, regular: str, rollup: str, dims: Sequence[str], time: str) -> DataFrame:
+    """Regular aggregate across all keys at each moment, rollup across time."""
     across = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}[regular]
     moments = df.groupBy(*dims, time).agg(across(measure).alias("m"))
-    del keys
     return moments.groupBy(*dims).agg(_ROLLUPS[rollup]("m", time).alias(measure))
 
 

@@ -429,7 +429,7 @@ def _(spark, sf):
 
 @query("rol_semi_additive", f"WITH m AS (SELECT event_type, d, sum(balance) AS m FROM ({_BAL}) GROUP BY ALL) SELECT event_type, CAST(arg_max(m, d) AS DOUBLE) AS balance FROM m GROUP BY 1")
 def _(spark, sf):
-    return money(rol.semi_additive(balances(spark, sf), "balance", "sum", "last", ["event_type"], ["user_id"], "d"), "balance")
+    return money(rol.semi_additive(balances(spark, sf), "balance", "sum", "last", ["event_type"], "d"), "balance")
 
 
 @query("rol_mark_semi_additive", "SELECT DISTINCT CASE WHEN p_size % 2 = 0 THEN 'Sum' ELSE 'last' END AS regular, CASE p_size % 4 WHEN 0 THEN 'Last' WHEN 1 THEN 'last' WHEN 2 THEN 'sum' ELSE 'AVG' END AS rollup, p_size % 4 IN (0, 3) AS is_semi_additive FROM part")
