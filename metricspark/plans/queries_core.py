@@ -275,9 +275,9 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.round(F.corr(a, b), 8).alias("r"), F.round(F.covar_pop(a, b), 3).alias("cp"), F.round(F.covar_samp(a, b), 3).alias("cs"))
 
 
-@query("agg_list_values", "SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS \"values\" FROM nation GROUP BY 1")
+@query("agg_list_values", "SELECT s_nationkey, string_agg(s_name, ', ' ORDER BY s_name) AS \"values\" FROM supplier GROUP BY 1")
 def _(spark, sf):
-    return agg.list_values(table(spark, sf, "nation"), ["n_regionkey"], "n_name", ", ")
+    return agg.list_values(table(spark, sf, "supplier"), ["s_nationkey"], "s_name", ", ")
 
 
 @query(
@@ -446,3 +446,44 @@ def _(spark, sf):
     g = money(table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("label")).agg(F.sum(F.expr(PRICE)).alias("total"), F.round(F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)), 6).alias("share")), "total")
     out = rol.with_total(g, "label", {"total": "measure", "share": "percent"})
     return out.withColumns({"total": F.round("total", 2), "share": F.round("share", 6)})
+
+
+@query("model_one_to_one_join", "SELECT c_mktsegment AS segment, count(*) AS n, CAST(sum(o.spent) AS DOUBLE) AS spent FROM customer LEFT JOIN (SELECT o_custkey, sum(cast(o_totalprice as decimal(14,2))) AS spent FROM orders GROUP BY 1) o ON c_custkey = o_custkey GROUP BY 1")
+def _(spark, sf):
+    spent = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.sum(F.expr(PRICE)).alias("spent"))
+    m = Model(
+        [
+            Dataset("customer", table(spark, sf, "customer"), [Field("custkey", "c_custkey"), Field("segment", "c_mktsegment")], key=["custkey"], metrics=[Metric("n", "count", "custkey")]),
+            Dataset("spending", spent, [Field("spender", "k"), Field("spent")], key=["spender"]),
+        ],
+        [Relationship("spends", "customer", "spending", [("custkey", "spender")], "one_to_one")],
+    )
+    out = m.joined("customer", ["spending.spent"]).groupBy(F.col("customer__segment").alias("segment")).agg(F.count("*").alias("n"), F.sum("spending__spent").alias("spent"))
+    return money(out, "spent")
+
+
+@query("agg_xirr")
+def _(spark, sf):
+    return agg.xirr(cash_flows(spark, sf), "grp", "amount", "d")
+
+
+@query("rol_opening_boundary", f"WITH e AS (SELECT date_trunc('month', d) AS p, user_id, event_type, arg_max(balance, d) AS b FROM ({_BAL}) GROUP BY ALL) SELECT CAST(CAST(p + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS period, CAST(sum(b) AS DOUBLE) AS opening FROM e GROUP BY 1")
+def _(spark, sf):
+    out = rol.opening_boundary(balances(spark, sf), "balance", "d", ["user_id", "event_type"])
+    return money(out, "opening").withColumn("period", F.col("period").cast("string"))
+
+
+@query("flt_field_expressions", "SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'O') AND NOT o_totalprice BETWEEN 1000 AND 50000 THEN 'a' WHEN o_orderstatus IS NULL THEN 'b' ELSE coalesce(nullif(o_orderpriority, '5-LOW'), 'low') END AS label, CAST(o_custkey AS VARCHAR) AS k, CAST(o_totalprice * 2 + 1 AS DOUBLE) AS x FROM orders")
+def _(spark, sf):
+    ds = Dataset(
+        "orders",
+        table(spark, sf, "orders"),
+        [
+            Field("o_orderkey"),
+            Field("label", "CASE WHEN o_orderstatus IN ('F', 'O') AND NOT o_totalprice BETWEEN 1000 AND 50000 THEN 'a' WHEN o_orderstatus IS NULL THEN 'b' ELSE coalesce(nullif(o_orderpriority, '5-LOW'), 'low') END"),
+            Field("k", "CAST(o_custkey AS STRING)"),
+            Field("x", "CAST(o_totalprice * 2 + 1 AS DOUBLE)"),
+        ],
+        key=["o_orderkey"],
+    )
+    return ds.frame()

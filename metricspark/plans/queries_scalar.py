@@ -14,10 +14,10 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", col.safe_ratio(a, b).alias("safe"), col.divide(a, b).alias("divided"))
 
 
-@query("val_field_kind", "SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'label' WHEN 1 THEN 'percent' WHEN 2 THEN 'count' WHEN 3 THEN 'currency' ELSE 'number' END AS kind FROM nation")
+@query("val_field_kind", "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'label' WHEN 1 THEN 'percent' WHEN 2 THEN 'count' WHEN 3 THEN 'currency' ELSE 'number' END AS kind FROM customer")
 def _(spark, sf):
-    name = F.element_at(F.array(*[F.lit(x) for x in ("customer_name", "win_rate", "order_count", "total_revenue", "latitude")]), (F.col("n_nationkey") % 5 + 1).cast("int"))
-    return table(spark, sf, "nation").select("n_nationkey", col.field_kind(name).alias("kind"))
+    name = F.element_at(F.array(*[F.lit(x) for x in ("customer_name", "win_rate", "order_count", "total_revenue", "latitude")]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    return table(spark, sf, "customer").select("c_custkey", col.field_kind(name).alias("kind"))
 
 
 @query("val_formats", "SELECT c_custkey, CASE WHEN abs(c_acctbal) >= 1000 THEN (CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END) || '$' || format('{:.1f}K', abs(c_acctbal) / 1000) END AS money, format('{:,}', CAST(c_custkey * 1000 AS BIGINT)) AS cnt, (CASE WHEN c_nationkey >= 12 THEN '+' ELSE '-' END) || format('{:.1f}%', abs(c_nationkey - 12) * 25.0 / 1.0) AS pct FROM customer WHERE abs(c_nationkey - 12) * 0.25 <= 5 AND abs(abs(c_acctbal) / 100 - floor(abs(c_acctbal) / 100) - 0.5) > 0.001")
@@ -187,11 +187,28 @@ def _(spark, sf):
     return out.select("id", "path", "depth", F.coalesce(col.path_item(F.col("path"), 2), F.lit("")).alias("second"), col.path_item_reverse(F.col("path"), 1).alias("own"))
 
 
-@query("scl_series", "SELECT r_regionkey, value FROM region, generate_series(1, 9, 2) g(value)")
+@query("scl_series", "SELECT c_custkey, value FROM customer, LATERAL (SELECT unnest(generate_series(1, c_nationkey, 3)) AS value)")
 def _(spark, sf):
-    return table(spark, sf, "region").select("r_regionkey", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(9).cast("long"), F.lit(2).cast("long"))).alias("value"))
+    stop = F.col("c_nationkey").cast("long")
+    values = F.explode(F.when(stop >= 1, F.sequence(F.lit(1).cast("long"), stop, F.lit(3).cast("long"))))
+    return table(spark, sf, "customer").select("c_custkey", values.alias("value"))
 
 
 @query("scl_row_number_limit", "SELECT o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25")
 def _(spark, sf):
     return col.row_number_limit(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 25, F.col("o_totalprice"), F.col("o_orderkey")).select("o_orderkey")
+
+
+@query("scl_misc", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END IS NULL AS is_blank, coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, 'none') AS nvl, CASE WHEN c_custkey % 3 <> 0 THEN 'set' ELSE 'unset' END AS nvl2, true AS today_is_date, true AS has_hash, chr(65 + CAST(c_nationkey AS INT)) AS letter, repeat(' ', 3) || 'x' AS spaced FROM customer")
+def _(spark, sf):
+    seg = F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment"))
+    return table(spark, sf, "customer").select(
+        "c_custkey",
+        seg.isNull().alias("is_blank"),
+        F.nvl(seg, F.lit("none")).alias("nvl"),
+        F.nvl2(seg, F.lit("set"), F.lit("unset")).alias("nvl2"),
+        (F.current_date() <= F.current_timestamp()).alias("today_is_date"),
+        F.hash("c_name").isNotNull().alias("has_hash"),
+        F.char(F.col("c_nationkey") + 65).alias("letter"),
+        F.concat(F.repeat(F.lit(" "), 3), F.lit("x")).alias("spaced"),
+    )

@@ -216,9 +216,9 @@ def _(spark, sf):
     return shapes.compare(line_facts(spark, sf), {"total": F.sum("rev"), "lines": F.count("*")})
 
 
-@query("piv_unpivot", "SELECT n_nationkey, 'n_regionkey' AS field, n_regionkey AS value FROM nation UNION ALL SELECT n_nationkey, 'len', CAST(length(n_name) AS INT) FROM nation")
+@query("piv_unpivot", "SELECT s_suppkey, 's_nationkey' AS field, s_nationkey AS value FROM supplier UNION ALL SELECT s_suppkey, 'len', CAST(length(s_name) AS INT) FROM supplier")
 def _(spark, sf):
-    return table(spark, sf, "nation").withColumn("len", F.length("n_name")).unpivot(["n_nationkey"], ["n_regionkey", "len"], "field", "value")
+    return table(spark, sf, "supplier").withColumn("len", F.length("s_name")).unpivot(["s_suppkey"], ["s_nationkey", "len"], "field", "value")
 
 
 # --- sets ---------------------------------------------------------------------------------------------------------------------
@@ -253,3 +253,18 @@ def _(spark, sf):
 def _(spark, sf):
     g = table(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("s"))
     return g.select("o_custkey", sets.contains_all(F.col("s"), ["F", "O"]).alias("has_all"), sets.contains_any(F.col("s"), ["P"]).alias("has_any"), sets.is_contained(F.lit("O"), F.col("s")).alias("has_o"))
+
+
+@query("top_order_abs", f"{_WITH}, g AS (SELECT p_type, sum(CASE WHEN y = 2000 THEN rev ELSE 0 END) - sum(CASE WHEN y = 1999 THEN rev ELSE 0 END) AS d FROM f GROUP BY 1) SELECT p_type, CAST(d AS DOUBLE) AS change, row_number() OVER (ORDER BY abs(d) DESC, p_type) AS place FROM g")
+def _(spark, sf):
+    side = lambda y: F.sum(F.when(F.col("y") == y, F.col("rev")).otherwise(0))
+    g = line_facts(spark, sf).groupBy("p_type").agg((side(2000) - side(1999)).alias("change"))
+    ordered = topk.order_abs(g, "change", "p_type")
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(F.abs("change")), "p_type"))
+    return money(ordered.withColumn("place", place.cast("long")), "change")
+
+
+@query("piv_pivot", "SELECT o_orderpriority, " + ", ".join(f"count(*) FILTER (o_orderstatus = '{s}') AS \"{s}\"" for s in "FOP") + " FROM orders GROUP BY 1")
+def _(spark, sf):
+    out = table(spark, sf, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("o_orderkey"))
+    return out.na.fill(0)

@@ -193,3 +193,11 @@ def _(spark, sf):
     joined = table(spark, sf, "lineitem").join(_orders(spark, sf), F.col("l_orderkey") == F.col("o_orderkey"))
     out = duration(joined, "o_orderdate", "l_shipdate")
     return out.select("o_orderkey", "l_linenumber", "l_shipdate", *[F.col(c).cast("long").alias(c) for c in out.columns if c.endswith("s_between")])
+
+
+@query("tim_calendar", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS d, CAST(isodow(d) AS INT) AS iso_weekday, count(o_orderkey) AS n FROM (SELECT unnest(generate_series(TIMESTAMP '1998-01-01', TIMESTAMP '1998-12-31', INTERVAL 1 DAY)) AS d) LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d AS DATE) GROUP BY 1, 2")
+def _(spark, sf):
+    day = lambda x: F.lit(x).cast("date")
+    days = tim.calendar(spark, day("1998-01-01"), day("1998-12-31"))
+    counts = _orders(spark, sf).groupBy(F.to_date("o_orderdate").alias("d")).agg(F.count("*").alias("n"))
+    return days.join(counts, "d", "left").select(F.col("d").cast("string").alias("d"), "iso_weekday", F.coalesce("n", F.lit(0)).alias("n"))

@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 
 #: Lists of an inventory document that hold definitions, and the kind each becomes.
 KINDS = {"dimensions": "dimension", "facts": "fact", "metrics": "metric", "filters": "filter"}
-_ITEM = (
+ITEM = (
     "array<struct<name:string,expr:string,data_type:string,table:string,description:string,synonyms:array<string>,"
     "complexity:string,source_view:string,page_name:string,dashboard_name:string>>"
 )
 _TABLE = "array<struct<name:string,source:string,description:string>>"
 
 
-def read_inventories(spark: SparkSession, path: str) -> DataFrame:
-    """One definitions table from many inventory JSON files, with kind, file and position."""
-    schema = ", ".join(f"`{k}` {_ITEM}" for k in KINDS)
-    docs = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source_file", F.input_file_name())
+def definition_rows(docs: DataFrame) -> DataFrame:
+    """One row per definition of inventory documents, with its kind and position; other columns come along."""
+    others = [c for c in docs.columns if c not in KINDS]
     parts = [
-        docs.select("source_file", F.lit(kind).alias("kind"), F.posexplode(name).alias("position", "item")).select("source_file", "kind", "position", "item.*")
+        docs.select(*others, F.lit(kind).alias("kind"), F.posexplode(name).alias("position", "item")).select(*others, "kind", "position", "item.*")
         for name, kind in KINDS.items()
     ]
     out = parts[0]
@@ -30,6 +29,13 @@ def read_inventories(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumn("name", normal_name(F.col("name")))
 
 
+def read_inventories(spark: SparkSession, path: str) -> DataFrame:
+    """One definitions table from many inventory JSON files, with kind, file and position."""
+    schema = ", ".join(f"`{k}` {ITEM}" for k in KINDS)
+    docs = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source_file", F.input_file_name())
+    return definition_rows(docs)
+
+
 def read_inventory_tables(spark: SparkSession, path: str) -> DataFrame:
     """The logical tables of inventory JSON files."""
     docs = spark.read.schema(f"tables {_TABLE}").option("multiLine", True).json(path).withColumn("source_file", F.input_file_name())
