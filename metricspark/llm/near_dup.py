@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.llm.graph import connected_components
-from metricspark.llm.staging import stage
+from metricspark.llm.staging import Scratch, stage
 from metricspark.llm.textops import mix64, to_bytes, window_hashes, words_by_text
 
 SHINGLE_WORDS = 5
@@ -179,16 +179,17 @@ def near_duplicates(
     linked = digest.where("doc_id is not null and n_shingles > 0")
     classes = stage(linked.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    heads = stage(
+    scratch = Scratch()
+    heads = scratch.stage(
         linked.join(reps, "doc_id", "left_semi").select("doc_id", "n_shingles", "bands", "sketch"), "heads"
     )
 
     keyed = heads.select("doc_id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    shared = stage(keyed.join(buckets.where("pivot < last"), "key").select("key", "doc_id", "pivot", "n"), "buckets")
-    members = stage(shared.select("doc_id").distinct(), "members")
-    slim = stage(heads.join(members, "doc_id", "left_semi"), "slim")
-    sets = stage(
+    shared = scratch.stage(keyed.join(buckets.where("pivot < last"), "key").select("key", "doc_id", "pivot", "n"), "buckets")
+    members = scratch.stage(shared.select("doc_id").distinct(), "members")
+    slim = scratch.stage(heads.join(members, "doc_id", "left_semi"), "slim")
+    sets = scratch.stage(
         shingle_sets(
             docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(
                 members, "doc_id", "left_semi"
@@ -205,14 +206,14 @@ def near_duplicates(
         .join(slim.alias("b"), (F.col("v") == F.col("b.doc_id")) & F.expr(sizes) & F.expr(near))
         .select("u", "v")
     )
-    links = stage(_confirmed(star, sets, percent), "links")
+    links = scratch.stage(_confirmed(star, sets, percent), "links")
     labels = connected_components(links)
 
     # second sweep: members of one bucket that are still in different components
     named = shared.where("n > 2").join(labels.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
     named = named.select("key", "doc_id", "pivot", F.coalesce("component", "doc_id").alias("component"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ = stage(
+    open_ = scratch.stage(
         named.join(mixed, "key", "left_semi").join(slim, "doc_id").select(named["*"], "n_shingles", "bands", "sketch"),
         "open",
     )
@@ -231,9 +232,10 @@ def near_duplicates(
         )
         .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
     )
-    more = stage(_confirmed(cross, sets, percent), "links")
+    more = scratch.stage(_confirmed(cross, sets, percent), "links")
     if more.limit(1).count():
         labels = connected_components(links.union(more))
+    scratch.drop()
 
     found = classes.join(labels.withColumnRenamed("vertex", "rep"), "rep", "left").select(
         "set_high", "set_low", F.coalesce("component", "rep").alias("component_id")

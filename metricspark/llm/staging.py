@@ -59,3 +59,22 @@ def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
+
+
+class Scratch:
+    """Staged tables of one operator that its lazy result does not read; dropped together."""
+
+    def __init__(self) -> None:
+        self._held: list[tuple[SparkSession, str]] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """As :func:`stage`, remembered for :meth:`drop`."""
+        staged, path = stage_at(df, name)
+        self._held.append((df.sparkSession, path))
+        return staged
+
+    def drop(self) -> None:
+        """Remove the tables; nothing may read them afterwards."""
+        for spark, path in self._held:
+            drop_folder(spark, path)
+        self._held.clear()
