@@ -69,22 +69,43 @@ def template_table(spark: SparkSession, words: DataFrame, templates: dict[str, s
     )
 
 
+def _prefixes(templates: DataFrame) -> DataFrame:
+    """One row per template word of a prefix: ``label, need, len, tokens, at, token``."""
+    sides = templates.select(
+        "label", "need", F.size("ordered").alias("len"), F.transform("ordered", lambda x: x.token).alias("tokens")
+    )
+    return sides.select("label", "need", "len", "tokens", F.posexplode("tokens").alias("at", "token")).where("at <= len - need")
+
+
+def _vocabulary(templates: DataFrame) -> Column:
+    """All template words as one array, rarest first."""
+    ordered = templates.select(F.explode("ordered").alias("t")).distinct()
+    return ordered.agg(F.transform(F.sort_array(F.collect_list("t")), lambda x: x.token).alias("v")).scalar()
+
+
+def can_match(templates: DataFrame) -> Column:
+    """Whether ``words`` hold a prefix word, and template words enough for the least demanding template."""
+    prefix_words = _prefixes(templates).agg(F.collect_set("token")).scalar()
+    least = templates.agg(F.min("need")).scalar()
+    return F.arrays_overlap("words", prefix_words) & (F.size(F.array_intersect(_vocabulary(templates), F.col("words"))) >= least)
+
+
+def phrase_pattern(phrases: dict[str, str]) -> str:
+    """Matches a text in which some phrase's words stand consecutively, in any case of A-Z."""
+    gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return r"(?i)(?<![0-9A-Za-z\x80-\x{10FFFF}])(?:" + "|".join(gap.join(p.split()) for p in phrases) + r")(?![0-9A-Za-z\x80-\x{10FFFF}])"
+
+
 def matching_blocks(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """``key_1, key_2, block, label, containment`` of every block that meets a template.
 
     ``docs``: ``key_1, key_2, words``.  Only texts that hold a word of some
     template's prefix are cut into blocks.
     """
-    ordered = templates.select(F.explode("ordered").alias("t")).distinct()
-    vocabulary = ordered.agg(F.transform(F.sort_array(F.collect_list("t")), lambda x: x.token).alias("v")).scalar()
-    sides = templates.select(
-        "label", "need", F.size("ordered").alias("len"), F.transform("ordered", lambda x: x.token).alias("tokens")
-    )
-    prefixes = sides.select("label", "need", "len", "tokens", F.posexplode("tokens").alias("at", "token")).where("at <= len - need")
-    prefix_words = prefixes.agg(F.collect_set("token")).scalar()
+    vocabulary, prefixes = _vocabulary(templates), _prefixes(templates)
     windows = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("words") - 1) / STRIDE).cast("int")))
     blocks = (
-        docs.where(F.arrays_overlap("words", prefix_words))
+        docs.where(can_match(templates))
         .select("key_1", "key_2", "words", F.explode(windows).alias("block"))
         .select("key_1", "key_2", "block", F.array_intersect(vocabulary, F.expr(f"slice(words, block * {STRIDE} + 1, {WINDOW})")).alias("held"))
     )
@@ -124,35 +145,32 @@ def scan_licenses(
     templates_df = stage(
         template_table(spark, rows.select(F.explode(_words(F.col("text"))).alias("word")), templates, percent), "license-templates"
     )
-    worded = rows.select(
-        "doc_id",
-        "text",
-        F.xxhash64("doc_id", "text").alias("key_1"),
-        F.xxhash64("text", "doc_id", F.lit(1)).alias("key_2"),
-        _words(F.col("text")).alias("words"),
+    # One more pass over the texts: word counts, and the words themselves only of texts that can hold a match.
+    worded = rows.select("doc_id", "text", _words(F.col("text")).alias("words"))
+    candidate = can_match(templates_df) | F.coalesce(F.col("text").rlike(phrase_pattern(phrases)), F.lit(False))
+    digest = stage(
+        worded.select(
+            "doc_id",
+            F.xxhash64("doc_id", "text").alias("key_1"),
+            F.xxhash64("text", "doc_id", F.lit(1)).alias("key_2"),
+            F.size("words").cast("long").alias("n_words"),
+            F.when(candidate & (F.size("words") > 0), F.col("words")).alias("words"),
+        ),
+        "license-digest",
     )
     found = stage(
-        matching_blocks(worded.select("key_1", "key_2", "words"), templates_df)
+        matching_blocks(digest.where("words is not null").select("key_1", "key_2", "words"), templates_df)
         .groupBy("key_1", "key_2")
         .agg(F.collect_set("label").alias("met"), F.max("containment").alias("best")),
         "license-blocks",
     )
 
-    may_hold = "(?i)(?<![0-9a-z])(" + "|".join(sorted({p.split()[-1] for p in phrases} | {p.split()[0] for p in phrases})) + ")"
-    every = F.sequence(F.lit(0), F.size("words") - 1)
-
     def places(phrase: str) -> Column:
         tests = " and ".join(f"get(words, i + {k}) = '{w}'" for k, w in enumerate(phrase.split()))
         return F.expr(f"filter(positions, i -> {tests})")
 
-    placed = worded.select(
-        "doc_id",
-        "key_1",
-        "key_2",
-        F.size("words").cast("long").alias("n_words"),
-        F.when(F.col("text").rlike(may_hold) & (F.size("words") > 0), F.col("words")).alias("words"),
-    ).withColumn("positions", F.when(F.col("words").isNotNull(), every))
-    placed = placed.select(
+    positions = F.when(F.col("words").isNotNull(), F.sequence(F.lit(0), F.size("words") - 1))
+    placed = digest.withColumn("positions", positions).select(
         "doc_id", "key_1", "key_2", "n_words", *[F.coalesce(places(p), F.array().cast("array<int>")).alias(f"p{k}") for k, p in enumerate(phrases)]
     )
     spots = [F.col(f"p{k}") for k in range(len(phrases))]
