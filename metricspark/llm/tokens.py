@@ -2,24 +2,38 @@
 
 The tokenizer's splitter never joins characters across ASCII white space, so a
 text's ids are the ids of its white-space separated chunks in order.  Chunks are
-encoded once and kept in a bounded two-generation cache; a new chunk of plain
-ASCII is cut into the splitter's letter runs, digits and symbol runs, whose ids
-come from the library's model, and any other chunk goes through the library's
-full pipeline.
+encoded once and kept in a bounded two-generation cache.  A new chunk of ASCII
+and precomposed Latin letters, which normalisation leaves as they are but for
+case, is cut into the splitter's letter runs, digits and symbol runs, whose ids
+come from the library's model; any other chunk goes through the library's full
+pipeline.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
 
-#: Entries per cache generation; two generations are kept.
-CACHE_ENTRIES = 300_000
+#: Entries per cache generation; two generations are kept of chunks and of runs.
+CACHE_ENTRIES = 500_000
 
-_PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII but the apostrophe, which starts contractions
-_PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+# Printable ASCII but the apostrophe, which starts contractions, and Latin letters to U+017F but the dotted capital I.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-įı-ſ]+")
+_PIECES = re.compile(r"[a-zß-öø-įı-ſ]+|[0-9]|[^a-z0-9ß-öø-įı-ſ]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next from U+0100."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in printable else next(spare)) for b in range(256)]
+
+
+_LETTERS = dict(enumerate(_byte_letters()))
 
 
 class _Generations:
@@ -28,7 +42,7 @@ class _Generations:
     def __init__(self, entries: int):
         self.entries, self.new, self.old = entries, {}, {}
 
-    def get(self, key: bytes):
+    def get(self, key):
         found = self.new.get(key)
         if found is None:
             found = self.old.get(key)
@@ -36,7 +50,7 @@ class _Generations:
                 self.put(key, found)
         return found
 
-    def put(self, key: bytes, value: bytes) -> None:
+    def put(self, key, value: bytes) -> None:
         if len(self.new) >= self.entries:
             self.old, self.new = self.new, {}
         self.new[key] = value
@@ -51,22 +65,24 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._chunks, self._runs = _Generations(entries), _Generations(entries)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return array(self._code, ids).tobytes() if sys.byteorder == "little" else np.array(ids, dtype=self.dtype).tobytes()
+
+    def _run(self, piece: str) -> bytes:
+        ids = self._runs.get(piece)
+        if ids is None:
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_LETTERS)
+            ids = self._pack([t.id for t in self._model.tokenize(letters)])
+            self._runs.put(piece, ids)
+        return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
-        if _PLAIN.fullmatch(chunk) and b"<|" not in chunk:
-            parts = []
-            for piece in _PIECES.findall(chunk.lower()):
-                ids = self._runs.get(piece)
-                if ids is None:
-                    ids = self._pack([t.id for t in self._model.tokenize(piece.decode("ascii"))])
-                    self._runs.put(piece, ids)
-                parts.append(ids)
-            return b"".join(parts)
         text = chunk.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self._run, _PIECES.findall(text.lower())))
         return self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, data: bytes) -> bytes:
