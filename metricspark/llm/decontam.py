@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.llm.staging import stage
-from metricspark.llm.textops import PIECE, hash_spans, mix64, to_bytes, window_hashes
+from metricspark.llm.textops import PIECE, hash_spans, mix64, slices, to_bytes, window_hashes
 
 WINDOW = 8
 #: A window needs this many tokens that are no placeholder.
@@ -181,7 +181,7 @@ def _window_batches(window: int, wanted: np.ndarray | None = None):
         return np.flatnonzero(wanted[at] == keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [to_bytes(t) for t in batch.column(1).to_pylist()]
             for begin, end in _groups(texts):
                 found = windows_of(texts[begin:end], window)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.llm.staging import stage
-from metricspark.llm.textops import PIECE, to_bytes
+from metricspark.llm.textops import PIECE, slices, to_bytes
 
 #: Labelled texts of each language that the trigram model is fitted on, at most; those of smallest id hash.
 SAMPLE_PER_LANGUAGE = 1000
@@ -99,7 +99,7 @@ def fit_text_model(docs: DataFrame, label_col: str, text_col: str, id_col: str,
 def _score_batches(model: TextModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = len(model.languages)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [b" " + to_bytes(t) + b" " for t in batch.column(batch.num_columns - 1).to_pylist()]
             sums, counts = np.zeros((len(texts), kinds)), np.zeros(len(texts), dtype=np.int64)
             begin = 0

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.llm.staging import stage
-from metricspark.llm.textops import mix64
+from metricspark.llm.textops import mix64, slices
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
@@ -224,7 +224,7 @@ def _cut_batches(text_at: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = re.compile(WORD)
-        for batch in batches:
+        for batch in slices(batches):
             cut = []
             for first, n, size, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, text_at + 3)), strict=True):
                 if n < size:

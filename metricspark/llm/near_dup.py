@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from metricspark.llm.graph import connected_components
 from metricspark.llm.staging import Scratch, stage
-from metricspark.llm.textops import mix64, to_bytes, window_hashes, words_by_text
+from metricspark.llm.textops import mix64, slices, to_bytes, window_hashes, words_by_text
 
 SHINGLE_WORDS = 5
 SAMPLES = 768
@@ -91,7 +91,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     empty = np.empty(0, dtype=np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         texts = [to_bytes(t).lower() for t in batch.column(1).to_pylist()]
         n, high, low, bands, sketches = [], [], [], [], []
         for words in words_by_text(texts):
@@ -121,14 +121,12 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):  # sets are as large as texts
-            part = batch.slice(at, 500)
-            texts = [to_bytes(t).lower() for t in part.column(1).to_pylist()]
-            rows = [shingle_set(w) for w in words_by_text(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).cast(pa.int64()), _lists(rows, pa.int64())], ["doc_id", "shingles"]
-            )
+    for batch in slices(batches):
+        texts = [to_bytes(t).lower() for t in batch.column(1).to_pylist()]
+        rows = [shingle_set(w) for w in words_by_text(texts)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).cast(pa.int64()), _lists(rows, pa.int64())], ["doc_id", "shingles"]
+        )
 
 
 def document_sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricspark.llm.textops import to_bytes, window_hashes, words_by_text
+from metricspark.llm.textops import slices, to_bytes, window_hashes, words_by_text
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -48,7 +48,7 @@ _SPACES, _SYMBOLS = b" \t\n\r\x0b\x0c", b"#*$%&|<>"
 
 
 def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [to_bytes(t) for t in batch.column(1).to_pylist()]
         rows = []
         for data, words in zip(texts, words_by_text(texts), strict=True):

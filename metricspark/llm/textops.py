@@ -10,9 +10,10 @@ of a text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -134,3 +135,10 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
 def to_bytes(value: str | None) -> bytes:
     """UTF-8 bytes of a text; none for null."""
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Record batches in slices, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
