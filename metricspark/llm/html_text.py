@@ -1,51 +1,83 @@
 """Main text of web pages by tag-path ratios.
 
-A small scanner turns each page into its text blocks with their root-to-leaf tag
-paths.  Text length, punctuation and link text are then aggregated per path of a
-page; a path's ratios per block are smoothed with those of its siblings (paths
-with the same parent), fused into one score and compared with the page's best.
-Paths that pass are content, and with them what else stands in a section of the
-page that content fills, unless it is mostly links; elements that are boilerplate
-by their own declaration (navigation, adverts, forms, comments ...) never compete.
+A scanner turns each page into its text blocks with their root-to-leaf tag paths.
+Text length outside links and punctuation are aggregated per path of the page and
+fused into one ratio per path.  A path's ratio is smoothed along the tree: with
+the best one of the box (``div``, ``section``, ``article`` ...) that holds the
+block, and with that of the box around it, so that headings, lists, tables and
+short lines share the fate of the prose they stand in.  What a page declares only
+weighs in the score: names of boilerplate lower it, ``article`` and ``main``
+raise it.  Blocks that reach a share of the page's best score are content.
+
+Only elements that HTML itself defines as no part of the text are left out
+unscored: navigation, footers, asides, dialogs, scripts, styles, hidden elements
+and form controls.
+
+A page is one row and is scored where it is scanned, so the job has no shuffle.
+Time and memory are linear in the page: path ids replace path strings, end tags
+of elements that are not open cost one look-up, and elements nested deeper than
+browsers nest them join the deepest level.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import lru_cache
+from math import sqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Share of the page's best path score that content paths reach.
+from metricspark.llm.textops import slices
+
+#: Share of the page's best score that content reaches.
 THRESHOLD = 0.25
+#: A block in declared boilerplate is no content below this score, even where it is the page's best.
+FLOOR = 10.0
+#: Weights of blocks in declared boilerplate, in forms, in paths that are mostly links, in ``main`` and in ``article``.
+DECLARED, IN_FORM, LINKED, IN_MAIN, IN_ARTICLE = 0.02, 0.2, 0.3, 4.0, 8.0
+#: What a box further out lends to a block, for each box between.
+FADES = 0.9
+#: Share of a box's characters that a path holds to speak for the box.
+SPEAKS = 0.1
+#: Deepest nesting of elements, as in browsers.
+DEPTH = 512
 
 # Element names by role.
 BLOCKS = frozenset(
-    "html body head article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
-    "blockquote pre figure figcaption address hr header footer nav aside form fieldset details summary dialog menu center".split()
+    "html body head article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
+    "blockquote pre figure figcaption address hr header footer nav aside form fieldset legend details summary dialog menu center".split()
 )
+BOXES = frozenset("html body article section main div header form fieldset center details td".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
-DROPPED = frozenset("head nav header footer aside form button select dialog menu fieldset label object canvas audio video".split()) | RAW
-# Words of class, id and role names that declare boilerplate.
-DROPPED_NAMES = frozenset(
-    "ad ads adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
-    "breadcrumb breadcrumbs pagination pager sidebar aside rail complementary footer contentinfo masthead toolbar cookie cookies "
-    "consent gdpr notice notices popup modal overlay alert share sharing social related recommended newsletter subscribe signup "
-    "widget comment comments commentlist disqus respond reply replies search login".split()
+DROPPED = frozenset("head nav footer aside dialog menu button select label object canvas audio video".split())
+# Words of class, id and role names that declare boilerplate, and words that may stand beside them.
+BOILERPLATE = frozenset(
+    "ad ads adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
+    "breadcrumb breadcrumbs pagination pager sidebar aside rail complementary footer contentinfo header masthead topbar toolbar cookie "
+    "cookies consent gdpr notice notices popup modal overlay alert share sharing social related recommended newsletter subscribe signup "
+    "comment comments commentlist disqus respond reply replies search login".split()
+)
+BESIDE = frozenset(
+    "area bar block body bottom box column container content form group icons inner item items layer left link links list main outer page "
+    "panel policy posts primary region right secondary section site slot text thread title top widget widgets wrap wrapper".split()
 )
-DROPPED_WHOLE = frozenset("header site-header page-header top-header".split())
 CLOSES = {
-    "li": ("li", "ul ol menu".split()),
-    "dt": ("dt dd", ["dl"]),
-    "dd": ("dt dd", ["dl"]),
-    "tr": ("tr td th", "table thead tbody tfoot".split()),
-    "td": ("td th", ["tr", "table"]),
-    "th": ("td th", ["tr", "table"]),
+    "li": ("li", "ul ol menu"),
+    "dt": ("dt dd", "dl"),
+    "dd": ("dt dd", "dl"),
+    "tr": ("tr", "table thead tbody tfoot"),
+    "td": ("td th", "tr table"),
+    "th": ("td th", "tr table"),
 }
+CLOSES = {name: (frozenset(a.split()), frozenset(b.split())) for name, (a, b) in CLOSES.items()}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -53,151 +85,268 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、！？；：]")
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
+_CLOSES_P = (frozenset("p"), None)
+
+
+@lru_cache(maxsize=65536)
+def declares_boilerplate(name: str) -> bool:
+    """Whether one class, id or role name says boilerplate: every word of it does, or may stand beside such a word."""
+    words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    return not BOILERPLATE.isdisjoint(words) and all(w in BOILERPLATE or w in BESIDE for w in words)
+
+
+class _Element:
+    """An open block element: its node, what holds inside it, and the inline elements open in it."""
+
+    __slots__ = ("name", "node", "dropped", "weight", "inline", "muted")
+
+    def __init__(self, name: str, node: int, dropped: bool, weight: float):
+        self.name, self.node, self.dropped, self.weight = name, node, dropped, weight
+        self.inline: dict[str, int] = {}  # open ones by name
+        self.muted: dict[str, int] = {}  # open ones that are not shown
+
+
+@dataclass
+class Blocks:
+    """Text blocks of a page in order, and the tree of block elements they stand in."""
+
+    text: list[str] = field(default_factory=list)
+    links: list[int] = field(default_factory=list)
+    node: list[int] = field(default_factory=list)
+    weight: list[float] = field(default_factory=list)
+    # of each node; node 0 is the page
+    parent: list[int] = field(default_factory=lambda: [0])
+    name: list[str] = field(default_factory=lambda: ["body"])
+    named: list[str] = field(default_factory=lambda: [""])
+    children: list[int] = field(default_factory=lambda: [0])
+
+
+def _hidden(name: str, attrs: str) -> bool:
+    return ("hidden" in attrs or "none" in attrs) and name not in ("html", "body") and _HIDDEN.search(attrs) is not None
+
+
+class _Scanner:
+    """One pass over a page's markup."""
+
+    def __init__(self, page: str):
+        self.page, self.out = page, Blocks()
+        self.stack = [_Element("", 0, False, 1.0)]
+        self.open: dict[str, int] = {}  # open block elements by name
+        self.parts: list[str] = []
+        self.links = self.in_link = 0
+
+    def flush(self) -> None:
+        """End the block that is being read."""
+        text = " ".join(html.unescape("".join(self.parts)).split()) if self.parts else ""
+        if text:
+            top, out = self.stack[-1], self.out
+            out.text.append(text)
+            out.links.append(min(self.links, len(text)))
+            out.node.append(top.node)
+            out.weight.append(top.weight)
+        self.parts.clear()
+        self.links = 0
 
+    def pop(self) -> str:
+        top = self.stack.pop()
+        self.in_link -= top.inline.get("a", 0)
+        self.open[top.name] -= 1
+        return top.name
 
-def _declared_boilerplate(name: str, attrs: str) -> bool:
-    if name in DROPPED:
-        return True
-    if "=" not in attrs and "hidden" not in attrs:
-        return False
-    if _HIDDEN.search(attrs):
-        return name not in ("html", "body")
-    if name in ("html", "body", "article", "main"):
-        names = [v for m in _NAMES.finditer(attrs) for v in m.group(1, 2, 3) if v] if name == "article" else []
-    else:
-        names = [v for m in _NAMES.finditer(attrs) for v in m.group(1, 2, 3) if v]
-    for value in names:
-        for one in value.lower().split():
-            if one in DROPPED_WHOLE or not DROPPED_NAMES.isdisjoint(re.split(r"[^a-z]+", one)):
-                return True
-    return False
-
-
-def blocks_of(page: str) -> Iterator[tuple[str, str, int, int]]:
-    """``(path, text, link characters, region)`` of a page's blocks outside declared boilerplate, in order.
-
-    Region 2 lies in an ``article``, 1 in ``main``, 0 elsewhere.
+    def open_inline(self, name: str, attrs: str) -> None:
+        top = self.stack[-1]
+        if name in top.muted:
+            top.muted[name] += 1
+        elif name in DROPPED or (attrs and _hidden(name, attrs)):
+            top.muted[name] = 1
+        else:
+            top.inline[name] = top.inline.get(name, 0) + 1
+            self.in_link += name == "a"
+
+    def close_inline(self, name: str) -> None:
+        top = self.stack[-1]
+        if name in top.muted:
+            top.muted[name] -= 1
+            if not top.muted[name]:
+                del top.muted[name]
+        elif top.inline.get(name):
+            top.inline[name] -= 1
+            self.in_link -= name == "a"
+
+    def close_block(self, name: str) -> None:
+        if self.open.get(name):
+            while self.pop() != name:
+                pass
+
+    def close_implied(self, name: str) -> None:
+        """Elements that the start of ``name`` ends."""
+        closing, within = CLOSES.get(name, _CLOSES_P)
+        if not any(self.open.get(c) for c in closing):
+            return
+        for depth in range(len(self.stack) - 1, 0, -1):
+            one = self.stack[depth].name
+            if one in closing:
+                while len(self.stack) > depth:
+                    self.pop()
+                return
+            if within is None or one in within:
+                return
+
+    def open_block(self, name: str, attrs: str) -> None:
+        top, out = self.stack[-1], self.out
+        dropped = top.dropped or bool(top.muted) or name in DROPPED or _hidden(name, attrs)
+        names = [(m[1].lower(), v) for m in _NAMES.finditer(attrs) for v in (m[2] or m[3] or m[4] or "").split()] if "=" in attrs else ()
+        weight = top.weight
+        if weight >= 1:
+            if name == "article":
+                weight = IN_ARTICLE
+            elif name == "main":
+                weight = max(weight, IN_MAIN)
+            if name in ("form", "fieldset"):
+                weight = IN_FORM
+        if weight > DECLARED and name not in ("html", "body", "main"):
+            outer = name == "header" and weight <= 1 and top.name != "section"  # a page's, not an article's
+            if outer or (names and any(declares_boilerplate(v) for _, v in names)):
+                weight = DECLARED
+        out.children[top.node] += 1
+        out.parent.append(top.node)
+        out.name.append(name)
+        out.named.append(" ".join(sorted({re.sub(r"[0-9]+", "0", v) for k, v in names if k == "class"})) if names else "")
+        out.children.append(0)
+        if len(self.stack) > DEPTH:
+            self.pop()
+        self.stack.append(_Element(name, len(out.parent) - 1, dropped, weight))
+        self.open[name] = self.open.get(name, 0) + 1
+
+    def run(self) -> Blocks:
+        page, at = self.page, 0
+        while at < len(page):
+            m = _TOKEN.search(page, at)
+            end = m.start() if m else len(page)
+            if end > at:
+                top = self.stack[-1]
+                if not top.dropped and not top.muted:
+                    self.parts.append(page[at:end])
+                    if self.in_link:
+                        self.links += end - at
+            if m is None:
+                break
+            at = m.end()
+            name = m["name"] or m["name2"]
+            if not name:
+                continue
+            if m["name2"] and not m.group().endswith(">"):
+                break  # the page ends inside a tag
+            name = name.lower()
+            if name == "br":
+                self.parts.append(" ")
+                continue
+            block = name in BLOCKS
+            if block:
+                self.flush()
+            if m["end"] or m["end2"]:
+                self.close_block(name) if block else self.close_inline(name)
+            elif name in RAW:
+                close = _RAW_END[name].search(page, at)
+                at = close.end() if close else len(page)
+            elif name in VOID:
+                pass
+            elif block:
+                self.close_implied(name)
+                self.open_block(name, m["attrs"] or m["attrs2"] or "")
+            else:
+                self.open_inline(name, m["attrs"] or m["attrs2"] or "")
+        self.flush()
+        return self.out
+
+
+def blocks_of(page: str) -> Blocks:
+    """The page's text blocks outside elements that HTML defines as no part of the text."""
+    return _Scanner(page).run()
+
+
+def _boxes_and_paths(b: Blocks) -> tuple[list[int], list[int]]:
+    """Box and path id of each node.
+
+    A ``div`` without block elements inside is a paragraph, not a box.  A box
+    without a class has its own paths; boxes of one class share theirs.
     """
-    # open elements: name, path, dropped, region
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
-    parts: list[str] = []
-    links = in_link = at = 0
-
-    def flush():
-        nonlocal links
-        text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
-        parts.clear()
-        done, links = links, 0
-        return text, done
-
-    def cut(depth: int) -> None:
-        nonlocal in_link
-        in_link -= sum(e[0] == "a" for e in stack[depth:])
-        del stack[depth:]
-
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        text_end = m.start() if m else len(page)
-        if text_end > at and not stack[-1][2]:
-            parts.append(page[at:text_end])
-            if in_link:
-                links += text_end - at
-        if m is None:
-            break
-        at = m.end()
-        name = m["name"] or m["name2"]
-        if not name:
-            continue
-        if m["name2"] and not m.group().endswith(">"):
-            break  # the page ends inside a tag
-        name = name.lower()
-        if name == "br":
-            parts.append(" ")
-            continue
-        block = name in BLOCKS
-        if block:
-            _, path, _, region = stack[-1]
-            text, done = flush()
-            if text:
-                yield path, text, done, region
-        if m["end"] or m["end2"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    cut(depth)
-                    break
-                if not block and stack[depth][0] in BLOCKS:
-                    break
-            continue
-        if name in RAW:
-            close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            at = close.end() if close else len(page)
-            continue
-        if name in VOID:
-            continue
-        if block:
-            closing, within = CLOSES.get(name, ("p", ()))
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in within:
-                    break
-                if stack[depth][0] in closing.split():
-                    cut(depth)
-                    if name not in ("tr",):
-                        break
-                elif name not in CLOSES and stack[depth][0] in BLOCKS:
-                    break
-        attrs = m["attrs"] or m["attrs2"] or ""
-        _, path, dropped, region = stack[-1]
-        region = 2 if name == "article" else max(region, 1) if name == "main" else region
-        stack.append((name, f"{path}/{name}" if block else path, dropped or _declared_boilerplate(name, attrs), region))
-        in_link += name == "a"
-    text, done = flush()
-    if text:
-        yield stack[-1][1], text, done, stack[-1][3]
-
-
-_BLOCK_FIELDS = "row long, page_id {id}, url string, seq int, path string, text string, n_link long, n_punct long, region int"
-
-
-def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
-            source, seq, path, text, link, punct, region = [], [], [], [], [], [], []
-            for row, page in enumerate(part.column(3).to_pylist()):
-                found = list(blocks_of(page or ""))
-                for k, (p, t, n, r) in enumerate(found or [("", "", 0, 0)]):
-                    source.append(row)
-                    seq.append(k)
-                    path.append(p)
-                    text.append(t)
-                    link.append(n)
-                    punct.append(len(_PUNCTUATION.findall(t)))
-                    region.append(r)
-            rows = part.select([0, 1, 2]).take(pa.array(source, pa.int64()))
+    box, path, ids = [0] * len(b.parent), [0] * len(b.parent), {}
+    for e in range(1, len(b.parent)):
+        up = b.parent[e]
+        is_box = b.name[e] in BOXES and b.children[e] > 0
+        box[e] = e if is_box else box[up]
+        step = (path[up], b.name[e], b.named[e], e if is_box and not b.named[e] else -1)
+        path[e] = ids.setdefault(step, len(ids) + 1)
+    return box, path
+
+
+def scores(b: Blocks) -> list[float]:
+    """Weighted, smoothed and fused ratio of each block."""
+    box_of, path_of = _boxes_and_paths(b)
+    size, links, marks, count = Counter(), Counter(), Counter(), Counter()
+    for i, text in enumerate(b.text):
+        p = path_of[b.node[i]]
+        size[p] += len(text)
+        links[p] += b.links[i]
+        marks[p] += len(_PUNCTUATION.findall(text))
+        count[p] += 1
+    own = {p: (size[p] - links[p]) / n * (1 + marks[p] / n) for p, n in count.items()}
+    # a box speaks by the best of its paths that hold a fair share of it
+    held: dict[tuple[int, int], int] = Counter()
+    whole: dict[int, int] = Counter()
+    for i, text in enumerate(b.text):
+        e = b.node[i]
+        held[box_of[e], path_of[e]] += len(text)
+        whole[box_of[e]] += len(text)
+    near: dict[int, float] = {}
+    for (x, p), n in held.items():
+        if n >= SPEAKS * whole[x]:
+            near[x] = max(near.get(x, 0.0), own[p])
+    # the less of the page's text a box holds, the less it says
+    most = max(whole.values(), default=1)
+    near = {x: ratio * sqrt(whole[x] / most) for x, ratio in near.items()}
+    # what the boxes around a box lend it; parents come before children
+    around = [0.0] * len(b.parent)
+    for e in range(1, len(b.parent)):
+        if box_of[e] == e:
+            up = box_of[b.parent[e]]
+            around[e] = max(near.get(up, 0.0), FADES * around[up])
+    out, heads = [0.0] * len(b.text), 0
+    for i in range(len(b.text) - 1, -1, -1):
+        e = b.node[i]
+        x = box_of[e]
+        heading = b.name[e] in HEADINGS
+        heads = heads if heading and i + 1 < len(b.text) else x  # a heading belongs to what it heads
+        p = path_of[e]
+        fused = own[p] / 2 + max(near.get(heads, 0.0), near.get(x, 0.0)) / 4 + around[heads] / 4
+        linked = not heading and 2 * links[p] >= size[p]
+        out[i] = fused * b.weight[i] * (LINKED if linked else 1)
+    return out
+
+
+def extract(page: str, threshold: float = THRESHOLD) -> str:
+    """Main text of one page: its content blocks in order, joined by a line feed."""
+    b = blocks_of(page)
+    score = scores(b)
+    least = threshold * max(score, default=0.0)
+    return "\n".join(text for text, s, w in zip(b.text, score, b.weight, strict=True) if s >= (least if w >= IN_FORM else max(least, FLOOR)))
+
+
+def _text_batches(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 200):
+            texts = [extract(page or "", threshold) for page in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *rows.columns,
-                    pa.array(seq, pa.int32()),
-                    pa.array(path, pa.string()),
-                    pa.array(text, pa.string()),
-                    pa.array(link, pa.int64()),
-                    pa.array(punct, pa.int64()),
-                    pa.array(region, pa.int32()),
-                ],
-                ["row", "page_id", "url", "seq", "path", "text", "n_link", "n_punct", "region"],
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                ["page_id", "url", "text", "n_chars"],
             )
 
-
-def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Every page's text blocks with path, link and punctuation counts; an empty block for a page without any."""
-    kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
-    )
-    return rows.mapInArrow(_block_batches, _BLOCK_FIELDS.format(id=kind))
+    return run
 
 
 def main_text(
@@ -205,37 +354,9 @@ def main_text(
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page, one row per input row.
 
-    Blocks of the content paths in page order, joined by a line feed.  Null,
-    empty and textless pages give an empty text; ids may repeat or be null; other
-    columns are not read.  Where a page declares an ``article`` (else ``main``),
-    only paths inside it compete.
+    Null, empty and textless pages give an empty text; ids and urls may repeat or
+    be null; an empty table gives an empty one; other columns are not read.
     """
-    blocks = page_blocks(pages, id_col, url_col, html_col).withColumn("parent", F.regexp_replace("path", "/[^/]*$", ""))
-    page = Window.partitionBy("row")
-    own, siblings = Window.partitionBy("row", "path"), Window.partitionBy("row", "parent")
-    competes = F.col("region") == F.max("region").over(page)
-    blocks = blocks.withColumn("competes", competes)
-
-    def ratio(over) -> F.Column:
-        size = F.sum(F.when(F.col("competes"), F.greatest(F.length("text") - F.col("n_link"), F.lit(0)))).over(over)
-        marks = F.sum(F.when(F.col("competes"), F.col("n_punct"))).over(over)
-        count = F.count(F.when(F.col("competes"), 1)).over(over)
-        return F.sqrt((size / count) * (1 + marks / count))
-
-    alone = F.col("parent").isin("", "/html", "/html/body")  # the page itself is no group of siblings
-    blocks = blocks.withColumn("own", ratio(own)).withColumn("near", F.when(alone, F.col("own")).otherwise(ratio(siblings)))
-    blocks = blocks.withColumn("score", (F.col("own") + F.col("near")) / 2)
-    passes = F.col("competes") & (F.col("score") >= threshold * F.max(F.when(F.col("competes"), F.col("score"))).over(page))
-    # lists, captions and the like stand inside a section that content fills; link lists do not come with them
-    blocks = blocks.withColumn("passes", passes).withColumn("section", F.regexp_extract("path", "^(?:/html)?(?:/body)?(?:/[^/]+)?", 0))
-    section = Window.partitionBy("row", "section")
-    size = F.length("text")
-    filled = F.sum(F.when(F.col("passes"), size).otherwise(0)).over(section) * 2 >= F.sum(F.when(F.col("competes"), size).otherwise(0)).over(section)
-    linked = F.sum("n_link").over(own) * 2 >= F.sum(size).over(own)
-    content = F.col("passes") | (F.col("competes") & filled & ~linked)
-    kept = blocks.withColumn("content", content & (F.col("text") != ""))
-    texts = F.array_sort(F.collect_list(F.when(F.col("content"), F.struct("seq", "text"))))
-    joined = kept.groupBy("row").agg(
-        F.first("page_id").alias("page_id"), F.first("url").alias("url"), F.array_join(F.transform(texts, lambda x: x.text), "\n").alias("text")
-    )
-    return joined.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    kind = pages.schema[id_col].dataType.simpleString()
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return rows.mapInArrow(_text_batches(threshold), f"page_id {kind}, url string, text string, n_chars long")
