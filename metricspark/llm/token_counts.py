@@ -46,20 +46,30 @@ def with_suffix_sums(histogram: DataFrame) -> DataFrame:
     """Add to each length the documents and tokens at or above it, and the corpus size truncated to it.
 
     ``truncated_total`` is the sum of ``min(length, limit)`` when the limit is
-    the row's length.  The windows run over distinct lengths only.
+    the row's length.  A suffix sum is the total less the prefix sum, so both
+    windows are linear; they run over distinct lengths only, no more rows than
+    the longest text has tokens.
     """
     order = Window.orderBy("n_tokens")
-    up = order.rowsBetween(0, Window.unboundedFollowing)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     below = order.rowsBetween(Window.unboundedPreceding, -1)
     tokens = F.col("n_tokens") * F.col("n_docs")
     out = histogram.select(
         "n_tokens",
         "n_docs",
-        F.sum("n_docs").over(up).alias("docs_from"),
-        F.sum(tokens).over(up).alias("tokens_from"),
+        F.sum("n_docs").over(whole).alias("all_docs"),
+        F.sum(tokens).over(whole).alias("all_tokens"),
         F.coalesce(F.sum("n_docs").over(below), F.lit(0)).alias("docs_below"),
         F.coalesce(F.sum(tokens).over(below), F.lit(0)).alias("tokens_below"),
     )
+    out = out.select(
+        "n_tokens",
+        "n_docs",
+        (F.col("all_docs") - F.col("docs_below")).alias("docs_from"),
+        (F.col("all_tokens") - F.col("tokens_below")).alias("tokens_from"),
+        "docs_below",
+        "tokens_below",
+    )
     return out.withColumn("truncated_total", F.col("tokens_below") + F.col("n_tokens") * F.col("docs_from"))
 
 

@@ -206,8 +206,9 @@ def write_token_files(
     Null ids come first and have no key; a repeated id is one key whose records
     follow each other in the order of their texts' hashes; a null or empty text
     is the end id alone; an empty table has no shard.  ``folder`` is one that
-    all executors share, by default a new one in the checkpoint folder; shards
-    default to the session's shuffle partitions.
+    all executors share, by default a new one in the checkpoint folder; there are
+    as many shards as the input has partitions, at least the session's shuffle
+    partitions.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-files")
@@ -215,7 +216,7 @@ def write_token_files(
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    count = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     ordered = rows.repartitionByRange(count, "key", "tie").sortWithinPartitions("key", "tie", "text")
     manifest = ordered.select("key", "text").mapInArrow(_writer(folder, tokenizer), MANIFEST)
     return TokenFiles(folder, stage(manifest, "token-manifest"))
@@ -227,17 +228,18 @@ def _digester(folder: str):
             for row in batch.itertuples():
                 shard = ShardReader(folder, row.payload, row.index_file)
                 keys = np.unique(shard.keys[shard.nulls :])
-                first, run_ = shard.records(keys)
-                found = [(None, r) for r in range(shard.nulls)]
-                found += [(int(k), int(f) + i) for k, f, n in zip(keys, first, run_, strict=True) for i in range(n)]
-                for at in range(0, len(found), 10_000):
-                    part = found[at : at + 10_000]
-                    digests = [shard.ids(r) for _, r in part]
+                first, count = shard.records(keys)
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                records = np.concatenate([np.arange(shard.nulls), np.repeat(first, count) + nth])
+                named = pd.concat([pd.Series([None] * shard.nulls, dtype="Int64"), pd.Series(np.repeat(keys, count), dtype="Int64")])
+                for at in range(0, len(records), 10_000):
+                    part = records[at : at + 10_000]
+                    digests = [shard.ids(int(r)) for r in part]
                     yield pd.DataFrame(
                         {
                             "shard": row.shard,
-                            "doc_id": pd.array([k for k, _ in part], dtype="Int64"),
-                            "local": [int(shard.offsets[r]) for _, r in part],
+                            "doc_id": named.iloc[at : at + 10_000].array,
+                            "local": shard.offsets[part],
                             "n_tokens": [len(d) for d in digests],
                             "ids_crc32": [zlib.crc32(d.astype("<u4").tobytes()) for d in digests],
                         }
@@ -265,22 +267,59 @@ def read_digests(written: TokenFiles) -> DataFrame:
     )
 
 
+def _shard_range(first: np.ndarray, last: np.ndarray):
+    """Column function: positions of the first and the last shard whose key range holds a key."""
+
+    @F.pandas_udf("lo int, hi int")
+    def run(keys: pd.Series) -> pd.DataFrame:
+        found = keys.to_numpy(dtype=np.int64)
+        return pd.DataFrame({"lo": np.searchsorted(last, found, "left"), "hi": np.searchsorted(first, found, "right") - 1}, dtype="int32")
+
+    return run
+
+
+def _fetcher(folder: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, reading = None, None
+        for batch in batches:
+            for (payload, index), part in batch.groupby(["payload", "index_file"], sort=False):
+                if reading != index:
+                    if shard is not None:
+                        shard.close()
+                    shard, reading = ShardReader(folder, payload, index), index
+                keys = part.key.to_numpy(dtype=np.int64)
+                first, count = shard.records(keys)
+                rows: list[tuple] = []
+                for k, f, n in zip(keys, first, count, strict=True):
+                    for i in range(n):
+                        rows.append((int(k), shard.ids(int(f) + i).tolist()))
+                        if len(rows) == 256:
+                            yield pd.DataFrame(rows, columns=["key", "ids"])
+                            rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=["key", "ids"])
+        if shard is not None:
+            shard.close()
+
+    return run
+
+
 def lookup(written: TokenFiles, keys: DataFrame, key_col: str = "doc_id") -> DataFrame:
     """``(key, ids)`` for each stored record of the wanted keys, read through the hash index.
 
-    Keys are matched to shards by the manifest's key ranges; a key not stored gives no row.
+    Null keys and keys not stored give no row; a key wanted twice is answered
+    once; a repeated stored key gives all its records, also from several shards.
+    The driver holds two numbers per shard.
     """
     manifest = written.manifest.where("first_key is not null")
     wanted = keys.select(F.col(key_col).cast("long").alias("key")).where("key is not null").distinct()
-    ranged = wanted.join(F.broadcast(manifest), F.col("key").between(F.col("first_key"), F.col("last_key")))
-    folder = written.folder
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        shard = ShardReader(folder, pdf.payload.iloc[0], pdf["index"].iloc[0])
-        found = pdf.key.to_numpy(dtype=np.int64)
-        first, count = shard.records(found)
-        rows = [(int(k), shard.ids(int(f) + i).tolist()) for k, f, n in zip(found, first, count, strict=True) for i in range(n)]
-        shard.close()
-        return pd.DataFrame(rows, columns=["key", "ids"])
-
-    return ranged.groupBy("shard").applyInPandas(run, "key long, ids array<long>")
+    edges = manifest.select("shard", "first_key", "last_key").orderBy("shard").toPandas()
+    first, last = (edges[c].to_numpy(dtype=np.int64) for c in ("first_key", "last_key"))
+    places = manifest.sparkSession.createDataFrame(
+        [(i, int(s)) for i, s in enumerate(edges["shard"])], "place int, shard int"
+    ).join(manifest.select("shard", "payload", F.col("index").alias("index_file")), "shard")
+    ranged = wanted.withColumn("r", _shard_range(first, last)("key")).where("r.lo <= r.hi")
+    placed = ranged.select("key", F.explode(F.sequence("r.lo", "r.hi")).alias("place")).join(F.broadcast(places), "place")
+    # a shard's keys go to a few tasks, each of which opens its index once
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(8))).repartition("shard", "part").sortWithinPartitions("shard", "key")
+    return dealt.select("key", "payload", "index_file").mapInPandas(_fetcher(written.folder), "key long, ids array<long>")

@@ -1,16 +1,19 @@
-"""Whole-text encoding with a public tokenizer, cached by word.
-
-The tokenizer's splitter never joins characters across ASCII white space, so a
-text's ids are the ids of its white-space separated chunks in order.  Chunks are
-encoded once and kept in a bounded two-generation cache.  A new chunk of ASCII
-and precomposed Latin letters, which normalisation leaves as they are but for
-case, is cut into the splitter's letter runs, digits and symbol runs, whose ids
-come from the library's model; any other chunk goes through the library's full
-pipeline.
+"""Whole-text encoding with a public tokenizer, cached by word where the tokenizer allows it.
+
+A tokenizer that drops white space and splits words, digits and symbol runs (its
+stored normaliser, splitter and model options are compared when it is loaded)
+never joins characters across ASCII white space, so a text's ids are the ids of
+its white-space separated chunks in order.  Chunks are encoded once and kept in a
+bounded two-generation cache.  A new chunk of ASCII and precomposed Latin
+letters, which normalisation leaves as they are but for case, is cut into the
+splitter's letter runs, digits and symbol runs, whose ids come from the library's
+model; any other chunk goes through the library's full pipeline.  With every
+other tokenizer each whole text goes through the library.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from array import array
@@ -25,6 +28,31 @@ CACHE_ENTRIES = 500_000
 _PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-įı-ſ]+")
 _PIECES = re.compile(r"[a-zß-öø-įı-ſ]+|[0-9]|[^a-z0-9ß-öø-įı-ſ]+")
 
+# What a tokenizer states when its texts may be encoded chunk by chunk.
+_CHUNKED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "truncation": None,
+    "padding": None,
+}
+_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "ignore_merges": False}
+
+
+def splits_at_white_space(stated: dict) -> bool:
+    """Whether a tokenizer's stored form allows encoding by chunk, with special tokens that only ``<|`` can start."""
+    added = stated["added_tokens"]
+    return (
+        all(stated[k] == v for k, v in _CHUNKED.items())
+        and all(stated["model"][k] == v for k, v in _MODEL.items())
+        and all(a["content"].startswith("<|") and not re.search(r"\s", a["content"]) and not a["lstrip"] and not a["rstrip"] and not a["single_word"] for a in added)
+    )
+
 
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next from U+0100."""
@@ -66,6 +94,7 @@ class Encoder:
         self._model = self._tokenizer.model
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
+        self._chunked = splits_at_white_space(json.loads(self._tokenizer.to_str()))
         self._chunks, self._runs = _Generations(entries), _Generations(entries)
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -87,6 +116,8 @@ class Encoder:
 
     def encode(self, data: bytes) -> bytes:
         """Packed ids of one UTF-8 text."""
+        if not self._chunked:
+            return self._pack(self._tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids)
         chunks = data.split()
         cache = self._chunks
         parts = list(map(cache.new.get, chunks))
