@@ -4,31 +4,41 @@ Numbers, names and units become typed placeholders, so a question asked again
 with other values has the same template.  Windows of the template tokens of all
 documents meet the windows of the benchmark in a hash join; the matches of one
 document and item on one alignment are then checked for slot consistency: each
-placeholder value of the item must stand for one value throughout, and the other
-way round.  A document is contaminated by an item when consistent matches cover
-enough of the item's windows, or a long enough passage of it.
+placeholder value of the item must stand for one value throughout.  A document
+is contaminated by an item when consistent matches cover enough of the item's
+windows, or a long enough passage of it.
+
+Items that are mostly placeholders, or shorter than a window, say too little as
+templates; they are looked for by their exact tokens, values included.
+
+Items that differ in their values only form one class and are compared once.
+Documents drop windows that no item has by a Bloom filter of bounded size before
+anything is shuffled; the join is exact whatever the filter lets through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.llm.staging import stage
 from metricspark.llm.textops import PIECE, hash_spans, mix64, slices, to_bytes, window_hashes
 
 WINDOW = 8
-#: A window needs this many tokens that are no placeholder.
+#: A template window needs this many tokens that are no placeholder.
 WORDS_IN_WINDOW = 4
 #: Percent of an item's windows that must match consistently, or else this many windows.
 COVERAGE, LONG_MATCH = 50, 6
-#: Benchmark windows up to which each task filters by their keys (8 bytes each) before the join.
-FILTER_KEYS = 4_000_000
+#: Items with fewer tokens than this are found only in documents that have no other token.
+LEAST_CONTAINED = 5
+#: Bits of the filter per benchmark window, and the most bits in all (powers of two).
+FILTER_BITS, MOST_FILTER_BITS = 16, 28
 
 # Unit words.
 UNITS = (
@@ -49,11 +59,18 @@ _NUMBER, _UNIT, _NAME = (np.uint64(k) for k in (1, 2, 3))
 
 @dataclass
 class Template:
-    """Template tokens of a byte string: hashes (placeholders below 4) and byte spans."""
+    """Template tokens of a byte string: hashes (placeholders below 4) and byte spans.
+
+    ``opens`` marks names that start at the start of a sentence; ``exact`` and
+    ``exact_starts`` are the tokens with their values, names not joined.
+    """
 
     tokens: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    opens: np.ndarray
+    exact: np.ndarray
+    exact_starts: np.ndarray
     folded: bytes
 
     def value(self, token: int) -> str:
@@ -75,9 +92,9 @@ def canonical(data: bytes) -> Template:
     """Template of a text: runs of letters and of digits, the latter with inner points and commas.
 
     A number is one placeholder, a unit word or currency or percent sign
-    another; a capitalised word that does not open a sentence is a name, and
-    names that follow each other after one space are one.  Any other word stands
-    for itself, lower case in ASCII and Latin-1.
+    another; a capitalised word is a name, and names that follow each other after
+    one space are one, but for a word that opens a sentence.  Any other word stands for itself, lower case in ASCII and
+    Latin-1.
     """
     raw = np.frombuffer(data, dtype=np.uint8)
     folded, upper = _fold(raw)
@@ -93,19 +110,22 @@ def canonical(data: bytes) -> Template:
     word = kind[starts] > 0 if len(starts) else np.empty(0, dtype=bool)
     starts, ends = starts[word], ends[word]
     if not len(starts):
-        return Template(np.empty(0, dtype=np.uint64), starts, ends, data)
+        none = np.empty(0, dtype=np.uint64)
+        return Template(none, starts, ends, np.empty(0, dtype=bool), none, starts, data)
     kinds = kind[starts]
     tokens = hash_spans(folded, starts, ends) | np.uint64(4)
+    exact = tokens.copy()
     stops = np.concatenate([[0], np.cumsum(_STOP[raw])])
     opening = np.ones(len(starts), dtype=bool)
     opening[1:] = stops[starts[1:]] > stops[ends[:-1]]
     unit = (kinds == 3) | ((kinds == 1) & np.isin(tokens, _UNIT_HASHES))
-    name = (kinds == 1) & upper[starts] & ~opening & ~unit
+    name = (kinds == 1) & upper[starts] & ~unit
     tokens[name], tokens[unit], tokens[kinds == 2] = _NAME, _UNIT, _NUMBER
     joined = np.zeros(len(starts), dtype=bool)
-    joined[1:] = name[1:] & name[:-1] & (starts[1:] == ends[:-1] + 1) & (raw[ends[:-1]] == 32)
+    joined[1:] = name[1:] & name[:-1] & ~opening[:-1] & (starts[1:] == ends[:-1] + 1) & (raw[ends[:-1]] == 32)
     keep = np.flatnonzero(~joined)
-    return Template(tokens[keep], starts[keep], ends[np.append(keep[1:] - 1, len(ends) - 1)], folded.tobytes())
+    lasts = ends[np.append(keep[1:] - 1, len(ends) - 1)]
+    return Template(tokens[keep], starts[keep], lasts, (name & opening)[keep], exact, starts, folded.tobytes())
 
 
 def _unit_hashes() -> np.ndarray:
@@ -132,84 +152,192 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 @dataclass
 class Windows:
-    """Windows with words enough of a group of texts: text, key, first token in the text and in the group."""
+    """Windows of a group of texts: text, key, first token in the text, first token in the group (-1 for exact ones)."""
 
     template: Template
     text: np.ndarray
     key: np.ndarray
     at: np.ndarray
     token: np.ndarray
-    size: np.ndarray
+    window: int
 
     def slots(self, row: int) -> list[str]:
+        """Values of the window's placeholders."""
         first = int(self.token[row])
-        kinds = self.template.tokens[first : first + int(self.size[row])]
-        return [self.template.value(first + int(k)) for k in np.flatnonzero(kinds < 4)]
+        if first < 0:
+            return []
+        return [self.template.value(first + int(k)) for k in np.flatnonzero(self.template.tokens[first : first + self.window] < 4)]
+
+    def take(self, rows: np.ndarray) -> Windows:
+        return Windows(self.template, self.text[rows], self.key[rows], self.at[rows], self.token[rows], self.window)
+
+
+def _owners(starts: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of tokens that start at ``starts``: the text of each, and first token and token count of each text."""
+    first = np.searchsorted(starts, edges)
+    counts = np.diff(first)
+    return np.repeat(np.arange(len(counts)), counts), first[:-1], counts
+
+
+def _exact_key(tokens: np.ndarray, size: int) -> np.ndarray:
+    return mix64(window_hashes(mix64(tokens), size) + np.uint64(size))
 
 
-def windows_of(texts: Sequence[bytes], window: int) -> Windows:
-    """Template windows of texts; a text of fewer tokens is one window."""
+def windows_of(texts: Sequence[bytes], window: int, sizes: Sequence[int] = ()) -> Windows:
+    """Template windows with words enough, and exact windows of the given sizes; 0 stands for texts of few tokens, whole."""
     template = canonical(b"\n".join(texts))
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
-    first = np.searchsorted(template.starts, edges)  # first token of each text
-    counts = np.diff(first)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    mixed = mix64(template.tokens)
+    owner, first, _ = _owners(template.starts, edges)
     words = np.concatenate([[0], np.cumsum(template.tokens >= 4)])
-    keys = window_hashes(mixed, window)
+    keys = window_hashes(mix64(template.tokens), window)
     at = np.flatnonzero(owner[: len(keys)] == owner[window - 1 :]) if len(keys) else np.empty(0, dtype=np.int64)
     at = at[words[at + window] - words[at] >= WORDS_IN_WINDOW]
-    text, key, size = owner[at], keys[at], np.full(len(at), window)
-    for k in np.flatnonzero((counts > 0) & (counts < window)):
-        begin, end = int(first[k]), int(first[k + 1])
-        if words[end] - words[begin] >= min(WORDS_IN_WINDOW, end - begin):
-            at, text, size = np.append(at, begin), np.append(text, k), np.append(size, end - begin)
-            key = np.append(key, window_hashes(mixed[begin:end], end - begin))
-    return Windows(template, text, key, at - first[text], at, size)
+    parts = [(owner[at], keys[at], at - first[owner[at]], at)]
+    if len(sizes):
+        owner, first, counts = _owners(template.exact_starts, edges)
+        for size in sizes:
+            if size:
+                keys = _exact_key(template.exact, size)
+                at = np.flatnonzero(owner[: len(keys)] == owner[size - 1 :]) if len(keys) else np.empty(0, dtype=np.int64)
+                parts.append((owner[at], keys[at], at - first[owner[at]], np.full(len(at), -1)))
+            else:
+                few = np.flatnonzero((counts > 0) & (counts < LEAST_CONTAINED))
+                whole = [_whole_key(template.exact[first[k] : first[k] + counts[k]]) for k in few]
+                parts.append((few, np.array(whole, dtype=np.uint64), np.zeros(len(few), dtype=np.int64), np.full(len(few), -1)))
+    return Windows(template, *(np.concatenate(c) for c in zip(*parts, strict=True)), window)
+
+
+def _whole_key(tokens: np.ndarray) -> np.uint64:
+    return mix64(_exact_key(tokens, len(tokens)) + np.uint64(0x5851F42D4C957F2D))[0]
+
+
+def _digest(values: Sequence) -> int:
+    """Order-dependent 63-bit digest of token hashes and small numbers."""
+    row = np.array([int(v) & 0xFFFFFFFFFFFFFFFF for v in values] or [0], dtype=np.uint64)
+    return int(window_hashes(mix64(row + np.uint64(len(values))), len(row))[0] >> np.uint64(1))
+
+
+_ITEM = "item_id long, class long, size int, key long, at int, n_windows int, slot_ids array<int>, slots array<string>"
+
+
+def _item_rows(item_id: int | None, text: bytes, window: int) -> list[tuple]:
+    """Windows of one item: of its template if most of them have words enough, else of its exact tokens.
+
+    Slots of one value have one number.  A value that only opens sentences may be
+    a plain word and is not checked for consistency: its number is 0.
+    """
+    found = windows_of([text], window)
+    t = found.template
+    whole = len(t.tokens) - window + 1
+    if len(found.key) and 2 * len(found.key) >= whole:
+        placed = np.flatnonzero(t.tokens < 4)
+        values = {int(k): t.value(int(k)) for k in placed}
+        checked = {values[int(k)] for k in placed if not t.opens[k]}
+        seen: dict[str, int] = {}
+        number = {k: seen.setdefault(v, len(seen) + 1) if v in checked else 0 for k, v in values.items()}
+        group = _digest([*t.tokens, 0, *number.values()])
+        out = []
+        for row in range(len(found.key)):
+            first = int(found.token[row])
+            inside = [first + int(k) for k in np.flatnonzero(t.tokens[first : first + window] < 4)]
+            slots = [number[k] for k in inside], [values[k] for k in inside]
+            out.append((item_id, group, -1, int(found.key[row].view(np.int64)), int(found.at[row]), len(found.key), *slots))
+        return out
+    n = len(t.exact)
+    if not n:
+        return []
+    group = _digest([1, *t.exact])
+    if n < LEAST_CONTAINED:
+        return [(item_id, group, 0, int(_whole_key(t.exact).view(np.int64)), 0, 1, [], [])]
+    size = min(n, window)
+    keys = _exact_key(t.exact, size).view(np.int64)
+    return [(item_id, group, size, int(k), i, len(keys), [], []) for i, k in enumerate(keys)]
+
+
+def _item_batches(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [r for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in _item_rows(i, to_bytes(t), window)]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "class", "size", "key", "at", "n_windows", "slot_ids", "slots"]
+            )
+
+    return run
+
+
+def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
+    """``item_id, class, size, key, at, n_windows, slot_ids, slots`` of all items; ``size`` is -1 for template windows."""
+    return benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(_item_batches(window), _ITEM)
+
+
+_CHUNK = 1 << 16
 
 
-_ROW = "id long, key long, at int, n_windows int, slots array<string>"
+def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chunks: dict[int, np.ndarray] = {}
+    for batch in batches:
+        at = batch.column(0).to_numpy(zero_copy_only=False)
+        for chunk in np.unique(at // _CHUNK):
+            bits = chunks.setdefault(int(chunk), np.zeros(_CHUNK, dtype=bool))
+            bits[at[at // _CHUNK == chunk] % _CHUNK] = True
+    for chunk, bits in chunks.items():
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["chunk", "bits"])
 
 
-def _window_batches(window: int, wanted: np.ndarray | None = None):
-    """Rows of the usable windows of each text, of those in the sorted ``wanted`` keys if given."""
+def key_filter(items: DataFrame) -> np.ndarray:
+    """Bloom filter of the items' window keys, two bits a key, as a bitmap of at most ``2 ** MOST_FILTER_BITS`` bits."""
+    n = max(1, items.count())
+    log = min(MOST_FILTER_BITS, max(16, ceil(log2(n * FILTER_BITS))))
+    mask = (1 << log) - 1
+    probes = F.array(F.expr(f"key & {mask}L"), F.expr(f"shiftrightunsigned(key, 32) & {mask}L"))
+    at = items.select(F.explode(probes).alias("at"))
+    chunks = at.repartition(F.col("at") % (1 << log) / _CHUNK).mapInArrow(_chunk_batches, "chunk long, bits binary")
+    out = np.zeros((1 << log) // 8, dtype=np.uint8)
+    for row in chunks.toLocalIterator():  # as many rows as the bitmap has pieces
+        begin = row.chunk * _CHUNK // 8
+        out[begin : begin + _CHUNK // 8] |= np.frombuffer(row.bits, dtype=np.uint8)
+    return out
 
-    def chosen(keys: np.ndarray) -> np.ndarray:
-        if wanted is None or not len(keys):
-            return np.arange(len(keys))
-        at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-        return np.flatnonzero(wanted[at] == keys)
+
+def _held(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Positions of the keys that the filter lets through."""
+    mask = np.uint64(len(bitmap) * 8 - 1)
+    found = np.ones(len(keys), dtype=bool)
+    for probe in (keys & mask, (keys >> np.uint64(32)) & mask):
+        found &= (bitmap[(probe >> np.uint64(3)).astype(np.int64)] >> (7 - (probe & np.uint64(7))).astype(np.uint8)) & 1 == 1
+    return np.flatnonzero(found)
+
+
+def _window_batches(window: int, sizes: Sequence[int], bitmap):
+    """Rows of the windows of each text that the filter lets through; all columns but the last go along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [to_bytes(t) for t in batch.column(1).to_pylist()]
+            texts = [to_bytes(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             for begin, end in _groups(texts):
-                found = windows_of(texts[begin:end], window)
-                hits = chosen(found.key)
-                if not len(hits):
+                found = windows_of(texts[begin:end], window, sizes)
+                found = found.take(_held(bitmap.value, found.key))
+                if not len(found.key):
                     continue
-                text = found.text[hits]
+                rows = batch.take(pa.array(found.text + begin))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(text + begin)),
-                        pa.array(found.key[hits].view(np.int64)),
-                        pa.array(found.at[hits].astype(np.int32)),
-                        pa.array(np.bincount(found.text, minlength=end - begin)[text].astype(np.int32)),
-                        pa.array([found.slots(int(h)) for h in hits], pa.list_(pa.string())),
+                        *rows.columns[:-1],
+                        pa.array(found.key.view(np.int64)),
+                        pa.array(found.at.astype(np.int32)),
+                        pa.array([found.slots(k) for k in range(len(found.key))], pa.list_(pa.string())),
                     ],
-                    ["id", "key", "at", "n_windows", "slots"],
+                    [*batch.schema.names[:-1], "key", "at", "slots"],
                 )
 
     return run
 
 
-def template_windows(
-    texts: DataFrame, id_col: str, text_col: str, window: int = WINDOW, wanted: Sequence[int] | None = None
-) -> DataFrame:
-    """``id, key, at, n_windows, slots`` of the template windows with words enough."""
-    rows = texts.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    keys = None if wanted is None else np.sort(np.array(wanted, dtype=np.int64).view(np.uint64))
-    return rows.mapInArrow(_window_batches(window, keys), _ROW)
+def _row_keys(id_col: str, text_col: str) -> list[Column]:
+    """Two hashes that name a row by its id and text."""
+    return [F.xxhash64(id_col, text_col).alias("row_1"), F.xxhash64(text_col, id_col, F.lit(1)).alias("row_2")]
 
 
 def contaminated(
@@ -223,59 +351,76 @@ def contaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """Documents that hold benchmark items, one row per document and item.
-
-    ``doc_id, item_id, n_matched, n_windows, changed``: the item's windows found
-    on one alignment with consistent slots, of how many, and whether some value
-    differs (a re-parameterised question).  Null and empty texts match nothing;
-    rows with a null id cannot be named and match nothing; rows that share an id
-    count as one document; other columns are not read.
+    """Documents that hold benchmark items, one row per document and class of items.
+
+    ``doc_id, item_id, n_matched, n_windows, changed, row_1, row_2``: the item's
+    windows found on one alignment with consistent slots, of how many, and whether
+    some value is not one of an item (a re-parameterised question).  ``item_id``
+    is the smallest of the items that differ in values only.  A document is a row:
+    ``row_1, row_2`` hash its id and text, so null and repeated ids are judged by
+    their own texts, and rows equal in both count once.  Null and empty texts hold
+    nothing; null, empty and wordless items are in nothing; items may repeat or
+    have a null id; either table may be empty; other columns are not read.
     """
-    items = template_windows(benchmark, item_col, item_text_col, window).select(
-        F.col("id").alias("item_id"), "key", F.col("at").alias("item_at"), "n_windows", F.col("slots").alias("item_slots")
+    spark = docs.sparkSession
+    items = stage(item_windows(benchmark, item_col, item_text_col, window), "items")
+    sizes = sorted(r["size"] for r in items.where("size >= 0").select("size").distinct().collect())  # 0 .. window at most
+    bitmap = spark.sparkContext.broadcast(key_filter(items))
+    rows = docs.select(F.col(id_col).alias("doc_id"), *_row_keys(id_col, text_col), F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = rows.mapInArrow(
+        _window_batches(window, sizes, bitmap), f"doc_id {kind}, row_1 long, row_2 long, key long, at int, slots array<string>"
     )
-    items = stage(items, "items")
-    # While the benchmark's keys are few, tasks drop other windows before the join; beyond, the join does it alone.
-    keys = [r.key for r in items.select("key").distinct().limit(FILTER_KEYS + 1).collect()]
-    rows = template_windows(docs, id_col, text_col, window, keys if 0 < len(keys) <= FILTER_KEYS else None)
-    pairs = rows.select(F.col("id").alias("doc_id"), "key", "at", "slots").join(items, "key")
-    pairs = pairs.withColumn("shift", F.col("at") - F.col("item_at"))
-    alignment = ["doc_id", "item_id", "shift"]
-    pairs = stage(pairs, "template-matches")
-    bound = pairs.select(*alignment, "item_at", "n_windows", F.explode(F.when(F.size("slots") > 0, F.arrays_zip("item_slots", "slots"))).alias("z"))
-    # an item's value stands for one value on an alignment, and the reverse
-    twice = (
-        bound.select(*alignment, F.col("z.item_slots").alias("mine"), F.col("z.slots").alias("theirs"))
-        .distinct()
+
+    classes = items.groupBy("class", "key", F.col("at").alias("item_at")).agg(
+        F.min("item_id").alias("item_id"), F.first("n_windows").alias("n_windows"), F.first("slot_ids").alias("slot_ids")
+    )
+    values = items.select("class", F.col("at").alias("item_at"), F.xxhash64("slots").alias("values"), F.lit(True).alias("known")).distinct()
+    pairs = stage(rows.join(classes, "key"), "template-matches")
+    pairs = (
+        pairs.withColumn("values", F.xxhash64("slots"))
+        .join(values, ["class", "item_at", "values"], "left")
+        .withColumn("bound", F.filter(F.arrays_zip("slot_ids", "slots"), lambda z: z["slot_ids"] != 0))
     )
-    clash = (
-        twice.groupBy(*alignment, "mine").agg(F.count("*").alias("n")).where("n > 1").select(*alignment)
-        .union(twice.groupBy(*alignment, "theirs").agg(F.count("*").alias("n")).where("n > 1").select(*alignment))
-        .distinct()
+    # one row per document, class and alignment; what it gathers is bounded by the item
+    runs = pairs.groupBy("doc_id", "row_1", "row_2", "class", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.size(F.collect_set("item_at")).cast("long").alias("n_matched"),
+        F.first("n_windows").cast("long").alias("n_windows"),
+        F.min("item_id").alias("item_id"),
+        F.array_distinct(F.flatten(F.collect_set("bound"))).alias("bound"),
+        F.max(F.col("known").isNull()).alias("changed"),
     )
-    changed = twice.groupBy(*alignment).agg(F.max(F.expr("mine <> theirs")).alias("changed"))
-    runs = pairs.groupBy(*alignment).agg(F.count_distinct("item_at").alias("n_matched"), F.first("n_windows").alias("n_windows"))
-    sound = runs.join(clash, alignment, "left_anti").join(changed, alignment, "left")
+    sound = runs.where(F.size("bound") == F.size(F.array_distinct(F.transform("bound", lambda z: z["slot_ids"]))))
     return (
-        sound.groupBy("doc_id", "item_id")
-        .agg(F.max(F.struct("n_matched", F.coalesce(~F.col("changed"), F.lit(True)).alias("same"), "n_windows")).alias("best"))
-        .where(f"100 * best.n_matched >= {coverage} * best.n_windows or best.n_matched >= {long_match}")
-        .select("doc_id", "item_id", "best.n_matched", F.col("best.n_windows").cast("long").alias("n_windows"), (~F.col("best.same")).alias("changed"))
+        sound.where(f"100 * n_matched >= {coverage} * n_windows or n_matched >= {long_match}")
+        .groupBy("doc_id", "row_1", "row_2", "class")
+        .agg(F.max(F.struct("n_matched", (~F.col("changed")).alias("same"), "n_windows", "item_id")).alias("best"))
+        .select("doc_id", "best.item_id", "best.n_matched", "best.n_windows", (~F.col("best.same")).alias("changed"), "row_1", "row_2")
     )
 
 
 def contaminated_documents(hits: DataFrame) -> DataFrame:
-    """One row per contaminated document: ``doc_id, item_ids, n_items, share, kept`` (never kept)."""
-    return hits.groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("item_id")).alias("item_ids"),
-        F.count("*").alias("n_items"),
-        F.max(F.col("n_matched") / F.col("n_windows")).alias("share"),
-        F.max("changed").alias("changed"),
-        F.lit(False).alias("kept"),
+    """One row per contaminated document: ``doc_id, item_ids, n_items, share, changed, kept`` (never kept)."""
+    return (
+        hits.groupBy("doc_id", "row_1", "row_2")
+        .agg(
+            F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+            F.count("*").alias("n_items"),
+            F.max(F.col("n_matched") / F.col("n_windows")).alias("share"),
+            F.max("changed").alias("changed"),
+            F.lit(False).alias("kept"),
+        )
+        .drop("row_1", "row_2")
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns."""
-    hits = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(hits, id_col, "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns; each row is judged by its own text."""
+    names = ["row_1", "row_2"]
+    while set(names) & set(docs.columns):
+        names = [n + "_" for n in names]
+    hits = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(
+        F.col("row_1").alias(names[0]), F.col("row_2").alias(names[1])
+    )
+    keyed = docs.withColumns(dict(zip(names, _row_keys(id_col, text_col), strict=True)))
+    return keyed.join(hits.distinct(), names, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
