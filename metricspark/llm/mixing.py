@@ -2,44 +2,44 @@
 
 Each source's documents are packed end to end, in hash order, into one stream of
 words cut into fixed-length blocks.  A source's target fixes how many block
-slots it gets; the slots are dealt to output shards by multinomial draws
-conditioned on those totals (a seeded binary tree of multivariate
-hypergeometric splits, so any shard's counts follow from its number alone).
-The n-th slot of a source takes the block that a pseudorandom permutation of the
-source's block indices gives for n, a new permutation for each pass over the
-source, and blocks join their documents by index.
-
-The driver holds the mixture itself (one row per source) and nothing that grows
-with the documents.
+slots it gets.  Every output shard draws its slots' sources from one multinomial
+distribution over the targets, seeded by the shard's number.  Prefix sums over
+the draws number each source's slots; as the draws miss the targets by about the
+square root of a source's slots, the few slots beyond a source's share pass, in
+order, to the sources that came out short.  The n-th slot of a source takes the
+block that a pseudorandom permutation of the source's block indices gives for n,
+a new permutation for each pass over the source, and blocks join their documents
+by index.
+
+The driver holds the mixture itself (one row per source, of checked number) and
+nothing that grows with the documents.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricspark.llm.staging import stage
-from metricspark.llm.textops import mix64, slices
+from metricspark.llm.textops import mix64
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
-#: Packing runs per source: prefix sums go over runs first, then inside each.
-RUNS = 1024
-#: Tree nodes with more slots than numpy's sampler takes are split in proportion.
-SAMPLER_LIMIT = 900_000_000
+#: Prefix sums go over runs of about so many documents or shards first, then inside each run.
+RUN_ROWS, RUN_SHARDS = 4096, 256
+#: A mixture of more sources than this is an error: the driver holds one row for each.
+MOST_SOURCES = 65_536
 
 
 @dataclass(frozen=True)
 class Component:
-    """One source of the mixture: its size and target in words, its blocks and slots."""
+    """One source of the mixture: its size and target in words, its blocks and slots, its packing runs."""
 
     sid: int
     source: str | None
@@ -47,6 +47,7 @@ class Component:
     target: float
     blocks: int
     slots: int
+    runs: int
 
 
 def fill_targets(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -79,81 +80,116 @@ def permute(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def shard_counts(slots: np.ndarray, capacity: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of each source in one shard, and in all shards before it.
-
-    Descends a binary tree over the shards; each node splits its slots by a draw
-    without replacement, seeded by the node, so all shards agree.
-    """
-    total = int(slots.sum())
-    low, high = 0, -(-total // capacity)
-    here, before = slots.copy(), np.zeros_like(slots)
-    while high - low > 1:
-        middle = (low + high) // 2
-        room, size = (middle - low) * capacity, int(here.sum())
-        if size > SAMPLER_LIMIT:
-            left = here * (room / size) // 1
-            left = left.astype(np.int64)
-            spare = np.argsort(-(here - left), kind="stable")[: room - int(left.sum())]
-            left[spare] += 1
-        else:
-            left = np.random.default_rng([seed, low, high]).multivariate_hypergeometric(here, room, method="marginals")
-        if shard < middle:
-            here, high = left, middle
-        else:
-            here, before, low = here - left, before + left, middle
-    return here, before
-
-
 def _mixture(sized: DataFrame, weights: Sequence[float], share: float, most: float, block_words: int) -> list[Component]:
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size")).orderBy(F.asc_nulls_last("source")).collect()
+    grouped = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("size"), F.count("*").alias("n"))
+    rows = grouped.orderBy(F.asc_nulls_last("source")).limit(MOST_SOURCES + 1).collect()
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"a mixture of more than {MOST_SOURCES} sources")
     sizes = [r["size"] for r in rows]
     targets = fill_targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], share * sum(sizes), most)
     out = []
     for i, (r, target) in enumerate(zip(rows, targets, strict=True)):
         blocks = -(-r["size"] // block_words)
-        out.append(Component(i, r["source"], r["size"], target, blocks, round(target * blocks / r["size"]) if blocks else 0))
+        slots = round(target * blocks / r["size"]) if blocks else 0
+        out.append(Component(i, r["source"], r["size"], target, blocks, slots, -(-r["n"] // RUN_ROWS)))
     return out
 
 
-def _slots(mixture: list[Component], seed: int, shard_slots: int):
+def draw_shard(quota: np.ndarray, capacity: int, shard: int, seed: int) -> np.ndarray:
+    """Slots of each source in one shard: a multinomial draw over the sources' shares of all slots."""
+    total = int(quota.sum())
+    room = min(capacity, total - shard * capacity)
+    return np.random.default_rng([seed, shard]).multinomial(room, quota / total)
+
+
+def _draws(quota: np.ndarray, capacity: int, seed: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"shard": batch["id"], "counts": [draw_shard(quota, capacity, int(k), seed).tolist() for k in batch["id"]]})
+
+    return run
+
+
+def settle(sid: int, nth: np.ndarray, quota: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Source and number of the drawn slots ``nth`` of a source, after slots beyond the quotas passed to sources in want."""
+    source, number = np.full(len(nth), sid), nth.copy()
+    beyond = np.flatnonzero(nth >= quota[sid])
+    if len(beyond):
+        spare, want = np.maximum(drawn - quota, 0), np.maximum(quota - drawn, 0)
+        rank = int(spare[:sid].sum()) + nth[beyond] - quota[sid]
+        ends = np.cumsum(want)
+        to = np.searchsorted(ends, rank, side="right")
+        source[beyond] = to
+        number[beyond] = drawn[to] + rank - (ends[to] - want[to])
+    return source, number
+
+
+def _slots(mixture: list[Component], drawn: np.ndarray, seed: int):
     quota = np.array([c.slots for c in mixture], dtype=np.int64)
-    blocks = [c.blocks for c in mixture]
+    blocks = np.array([c.blocks for c in mixture], dtype=np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard in batch["id"]:
-                counts, before = shard_counts(quota, shard_slots, int(shard), seed)
-                place = permute(np.arange(counts.sum()), int(counts.sum()), seed ^ int(shard) << 20)
-                at, parts = 0, []
-                for sid in np.flatnonzero(counts):
-                    nth = np.arange(before[sid], before[sid] + counts[sid])
-                    block = np.empty(len(nth), dtype=np.int64)
-                    for turn in np.unique(nth // blocks[sid]):
-                        mine = nth // blocks[sid] == turn
-                        block[mine] = permute(nth[mine] % blocks[sid], blocks[sid], (seed << 24) + (int(sid) << 8) + int(turn))
-                    parts.append(pd.DataFrame({"slot": place[at : at + len(nth)], "sid": sid, "block": block}))
-                    at += len(nth)
-                yield pd.concat(parts).assign(shard=shard)[["shard", "slot", "sid", "block"]]
+            for shard, parts in zip(batch["shard"], batch["parts"], strict=True):
+                settled = [settle(p["sid"], np.arange(p["before"], p["before"] + p["n"]), quota, drawn) for p in parts if p["n"]]
+                sid, nth = (np.concatenate(c) for c in zip(*settled, strict=True))
+                block = np.empty(len(nth), dtype=np.int64)
+                turn = nth // blocks[sid]
+                for source, pass_ in {(int(a), int(b)) for a, b in zip(sid, turn, strict=True)}:
+                    mine = (sid == source) & (turn == pass_)
+                    block[mine] = permute(nth[mine] % blocks[source], int(blocks[source]), (seed << 24) + (source << 8) + pass_)
+                place = permute(np.arange(len(nth)), len(nth), seed ^ int(shard) << 20)
+                yield pd.DataFrame({"shard": shard, "slot": place, "sid": sid, "block": block})
 
     return run
 
 
+def _dealt_slots(spark: SparkSession, mixture: list[Component], shard_slots: int, seed: int) -> DataFrame:
+    """``shard, slot, sid, block`` of every slot of the mixture."""
+    quota = np.array([c.slots for c in mixture], dtype=np.int64)
+    shards = -(-int(quota.sum()) // shard_slots)
+    ids = spark.range(0, shards, 1, max(1, min(shards // 64, 4096)))
+    draws = stage(ids.mapInPandas(_draws(quota, shard_slots, seed), "shard long, counts array<long>"), "mix-draws")
+    each = draws.select("shard", F.expr(f"shard div {RUN_SHARDS}").alias("run"), F.posexplode("counts").alias("sid", "n"))
+    runs = each.groupBy("sid", "run").agg(F.sum("n").alias("in_run"))
+    totals = {r["sid"]: r["n"] for r in runs.groupBy("sid").agg(F.sum("in_run").alias("n")).collect()}
+    drawn = np.array([totals.get(c.sid, 0) for c in mixture], dtype=np.int64)
+    earlier = Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("sid", "run", F.coalesce(F.sum("in_run").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("sid", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = each.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(runs, ["sid", "run"])
+    parts = F.sort_array(F.collect_list(F.struct("sid", "n", (F.col("base") + F.col("within")).alias("before"))))
+    dealt = numbered.groupBy("shard").agg(parts.alias("parts"))
+    # Staged, so that the join sees the table's size: a plan over the shard numbers alone looks small enough to broadcast.
+    return stage(dealt.mapInPandas(_slots(mixture, drawn, seed), "shard long, slot long, sid int, block long"), "mix-slots")
+
+
 @dataclass(frozen=True)
 class Mix:
     """A drawn mixture: placed documents, slots, and the spans that fill the slots.
 
-    ``documents``: the rows with ``sid``, ``start`` (first word in the source's
-    stream) and ``size``; ``(sid, start)`` names a row that has words.
-    ``slots``: ``shard, slot, sid, block``.
-    ``spans``: ``shard, slot, sid, block, start, first_word, n_words`` and the
-    document's columns: what each slot takes from each document, in words of it.
+    ``documents``: ``doc_id, source, size, key_1, key_2, sid, source_size, target,
+    start``, one row per input row; ``(sid, start)``, the first word in the
+    source's stream, names a row that has words; rows equal in the columns that
+    the keys hash are alike.  ``slots``: ``shard, slot, sid, block``.  ``pieces``:
+    ``sid, block, start, first_word, n_words``, the words of each document in each
+    block.  ``spans``: slots with the pieces that fill them.
     """
 
     mixture: list[Component]
     documents: DataFrame
     slots: DataFrame
-    spans: DataFrame
+    pieces: DataFrame
+    block_words: int
+
+    @property
+    def spans(self) -> DataFrame:
+        return self.slots.join(self.pieces, ["sid", "block"])
+
+    @property
+    def times(self) -> DataFrame:
+        """``sid, block, times``: how often each drawn block is taken."""
+        return self.slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
 
 
 def mix_sources(
@@ -167,102 +203,90 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    carry: Sequence[str] = (),
+    key_cols: Sequence[str] | None = None,
 ) -> Mix:
     """Draw a mixture of ``share`` times all words, sources weighted in code point order (null last).
 
     Weights repeat along the ordered sources.  No document is taken more than
     ``most`` times (a whole number), because no block is.  Null and wordless
     texts have size 0 and are never taken; a null source is a source; ids may
-    repeat or be null; an empty table gives empty tables.  ``carry`` names
-    further columns that spans bring along.  The same rows give the same draw
-    however they are partitioned.
+    repeat or be null; an empty table gives empty tables; columns not named are
+    not read.  ``key_cols`` (id, text and source by default) tell rows apart; rows
+    equal in all of them are counted first and placed side by side, so the same
+    rows give the same draw however they are partitioned.
     """
     spark = docs.sparkSession
+    named = [F.col(f"`{c}`") for c in key_cols or (id_col, text_col, source_col)]
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(RUNS)).cast("int").alias("run"),
-        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("document")] if carry else []),
+        F.xxhash64(*named).alias("key_1"),
+        F.xxhash64(F.lit(1), *reversed(named)).alias("key_2"),
     )
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
     rows = stage(rows, "mix-rows")
     mixture = _mixture(rows, weights, share, most, block_words)
     table = spark.createDataFrame(
-        [(c.sid, c.source, c.size, c.target) for c in mixture], "sid int, src string, source_size long, target double"
+        [(c.sid, c.source, c.size, c.target, c.runs) for c in mixture], "sid int, src string, source_size long, target double, runs long"
     )
-    rows = rows.join(F.broadcast(table), rows.source.eqNullSafe(table.src)).drop("src")
+    rows = rows.join(F.broadcast(table), rows.source.eqNullSafe(table.src)).withColumn("run", F.pmod("key_1", "runs")).drop("src", "runs")
 
-    runs = rows.groupBy("sid", "run").agg(F.sum("size").alias("words"))
+    words = F.col("size") * F.col("copies")
+    runs = rows.groupBy("sid", "run").agg(F.sum(words).alias("words"))
     before = Window.partitionBy("sid").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("sid", "run", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("sid", "run").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("sid", "run").orderBy("key_1", "key_2", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        rows.withColumn("through", F.sum("size").over(inside))
+        rows.withColumn("through", F.sum(words).over(inside))
         .join(runs, ["sid", "run"])
-        .withColumn("start", F.col("first") + F.col("through") - F.col("size"))
-        .drop("run", "first", "through")
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        .withColumn("start", F.col("first") + F.col("through") - words + F.col("copy") * F.col("size"))
+        .select("doc_id", "source", "size", "key_1", "key_2", "sid", "source_size", "target", "start")
     )
+    placed = stage(placed, "mix-placed")
     pieces = (
         placed.where("size > 0")
         .withColumn("block", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
         .withColumn("first_word", F.greatest(F.lit(0), F.col("block") * block_words - F.col("start")))
-        .withColumn(
-            "n_words",
-            F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("start")) - F.col("first_word"),
-        )
+        .withColumn("n_words", F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("start")) - F.col("first_word"))
+        .select("sid", "block", "start", "first_word", "n_words")
     )
-    shards = -(-sum(c.slots for c in mixture) // shard_slots)
-    ids = spark.range(0, shards, 1, max(1, min(shards // 16, spark.sparkContext.defaultParallelism * 8)))
-    # Staged, so that the join sees the table's size: a plan over the shard numbers alone looks small enough to broadcast.
-    slots = stage(ids.mapInPandas(_slots(mixture, seed, shard_slots), "shard long, slot long, sid int, block long"), "mix-slots")
-    return Mix(mixture, placed, slots, slots.join(pieces, ["sid", "block"]))
-
-
-def _cut_batches(text_at: int):
-    """Replace each text by its words ``first .. first + n``, verbatim between; columns are first, n, size, document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = re.compile(WORD)
-        for batch in slices(batches):
-            cut = []
-            for first, n, size, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, text_at + 3)), strict=True):
-                if n < size:
-                    begin = end = 0
-                    for at, m in enumerate(words.finditer(text)):
-                        if at == first:
-                            begin = m.start()
-                        if at == first + n - 1:
-                            end = m.end()
-                            break
-                    text = text[begin:end]
-                cut.append(text)
-            columns = [batch.column(i) for i in range(3, batch.num_columns)]
-            columns[text_at] = pa.array(cut, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[3:])
-
-    return run
-
-
-def mixed_documents(docs: DataFrame, block_words: int = 2048, text_col: str = "text", **options) -> DataFrame:
-    """The mix as documents: one row per span, with ``docs``' columns and the span's text.
-
-    Blocks as long as a training sequence leave most documents whole; a text that
-    a block boundary cuts appears as its parts.  A column ``n_chars`` follows the
-    text.
-    """
-    drawn = mix_sources(docs, block_words=block_words, carry=docs.columns, text_col=text_col, **options)
-    names = [f"c{i}" for i in range(len(docs.columns))]  # plain names, whatever the columns are called
-    rows = drawn.spans.select("first_word", "n_words", "size", *[F.col(f"document.`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields, strict=True))
-    out = rows.mapInArrow(_cut_batches(docs.columns.index(text_col)), schema).toDF(*docs.columns)
-    return out.withColumn("n_chars", F.length(text_col).cast("long")) if "n_chars" in docs.columns else out
+    return Mix(mixture, placed, _dealt_slots(spark, mixture, shard_slots, seed), pieces, block_words)
 
 
 def taken_words(mix: Mix) -> DataFrame:
-    """Per input row: ``doc_id, size, source_size, target, taken``."""
-    taken = mix.spans.groupBy("sid", F.col("start").alias("key")).agg(F.sum("n_words").alias("taken"))
+    """Per input row: ``doc_id, size, source_size, target, taken, source``."""
+    taken = mix.pieces.join(mix.times, ["sid", "block"]).groupBy("sid", F.col("start").alias("key")).agg(F.sum(F.col("n_words") * F.col("times")).alias("taken"))
     rows = mix.documents.withColumn("key", F.when(F.col("size") > 0, F.col("start")))
     return rows.join(taken, ["sid", "key"], "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "source"
     )
+
+
+def mixed_documents(docs: DataFrame, block_words: int = 2048, **options) -> DataFrame:
+    """The mix as whole documents, with ``docs``' columns: each row as often as the block that it starts in is drawn.
+
+    A pass over a source takes each of its documents once, so targets are met as
+    they are by blocks and no text is cut or read twice.  Rows without words are
+    in no block and do not appear.  Rows equal in all columns share their takes
+    as evenly as they can.
+    """
+    names = ["key_1", "key_2", "nth", "takes", "copies", "copy"]
+    while set(names) & set(docs.columns):
+        names = [n + "_" for n in names]
+    key_1, key_2, nth, takes, copies, copy = names
+    drawn = mix_sources(docs, block_words=block_words, key_cols=docs.columns, **options)
+    whole = drawn.documents.where("size > 0").withColumn("block", F.expr(f"start div {block_words}"))
+    wanted = (
+        whole.join(drawn.times, ["sid", "block"], "left")
+        .groupBy(F.col("key_1").alias(key_1), F.col("key_2").alias(key_2))
+        .agg(F.coalesce(F.sum("times"), F.lit(0)).alias(takes), F.count("*").alias(copies))
+        .where(F.col(takes) > 0)
+    )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*columns, F.xxhash64(*columns).alias(key_1), F.xxhash64(F.lit(1), *reversed(columns)).alias(key_2))
+    keyed = keyed.withColumn(nth, F.row_number().over(Window.partitionBy(key_1, key_2).orderBy(key_1)))
+    share = F.expr(f"{takes} div {copies}") + F.when(F.col(nth) <= F.col(takes) % F.col(copies), 1).otherwise(0)
+    out = keyed.join(wanted, [key_1, key_2]).withColumn(copy, F.explode(F.array_repeat(F.lit(1), share.cast("int"))))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
