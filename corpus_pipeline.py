@@ -17,7 +17,7 @@ from metricspark.llm.near_dup import deduplicate
 from metricspark.llm.sharding import shard_by_bytes
 from metricspark.llm.staging import stage
 
-MIX_BLOCK_WORDS = 2048
+MIX_BLOCK_WORDS = 256
 SHARDS = 24
 
 
@@ -37,7 +37,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The source mixture as documents: whole texts, or their parts where a block boundary cuts."""
+    """The source mixture as whole documents, each as often as the block it starts in is drawn."""
     return mixed_documents(docs, block_words=MIX_BLOCK_WORDS)
 
 
