@@ -5,11 +5,15 @@ the set give band keys (candidates) and are folded into an odd sketch, a parity
 bitmap whose XOR population count estimates high similarities; candidates that
 pass the sketch are confirmed on the full shingle sets.
 
-Equal sets are collapsed to one representative first.  Candidates come in two
-sweeps over the band buckets, neither of which lists all pairs of a bucket: the
-first compares members with the bucket's smallest document, the second compares
-members that the links of the first left in different components, evaluating
-the sketches inside the join so that only promising pairs become rows.
+Equal sets are collapsed to one representative first.  The first pass takes only
+the samples that the bands need; sketches and full sets are made for documents
+that share a bucket.  Candidates come in two sweeps over the band buckets, neither
+of which lists all pairs of a bucket: the first compares members with the
+bucket's smallest document.  The second takes the members that its links left
+outside the bucket's largest component and compares them with members of other
+components, evaluating the sketches inside the join so that only promising pairs
+become rows.  Large buckets are split into tiles for it, so their work spreads
+over tasks.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ BANDS, ROWS = 48, 6
 SKETCH_BITS = 2048
 #: Standard deviations below the threshold at which a sketch still passes.
 SKETCH_Z = 4.0
+#: Members of a bucket that meet in one group of the second sweep.
+TILE = 256
 
 
 @lru_cache(maxsize=2)
@@ -49,8 +55,8 @@ def shingle_set(words: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:
 
 
 def minhash(shingles: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
-    """Minimum of each hash function over a non-empty set."""
-    a, b = _permutations(samples)
+    """Minimum of each of the first ``samples`` hash functions over a non-empty set."""
+    a, b = (x[:samples] for x in _permutations(SAMPLES))
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     low = np.full(samples, np.uint32(0xFFFFFFFF))
     for k in range(0, len(x), 256):
@@ -89,24 +95,18 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edges), pa.array(values.view(np.int64), type=kind))
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     empty = np.empty(0, dtype=np.int64)
     for batch in slices(batches):
         texts = [to_bytes(t).lower() for t in batch.column(1).to_pylist()]
-        n, high, low, bands, sketches = [], [], [], [], []
+        n, high, low, bands = [], [], [], []
         for words in words_by_text(texts):
             shingles = shingle_set(words)
             n.append(len(shingles))
             # two order-free sums of independent mixes identify the set
             high.append(int(mix64(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
             low.append(int(mix64(shingles).sum(dtype=np.uint64).view(np.int64)))
-            if len(shingles):
-                sample = minhash(shingles)
-                bands.append(band_keys(sample).view(np.int64))
-                sketches.append(odd_sketch(sample))
-            else:
-                bands.append(empty)
-                sketches.append(empty)
+            bands.append(band_keys(minhash(shingles, BANDS * ROWS)).view(np.int64) if len(shingles) else empty)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).cast(pa.int64()),
@@ -114,9 +114,8 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 pa.array(high, pa.int64()),
                 pa.array(low, pa.int64()),
                 _lists(bands, pa.int64()),
-                _lists(sketches, pa.int64()),
             ],
-            ["doc_id", "n_shingles", "set_high", "set_low", "bands", "sketch"],
+            ["doc_id", "n_shingles", "set_high", "set_low", "bands"],
         )
 
 
@@ -124,23 +123,23 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = [to_bytes(t).lower() for t in batch.column(1).to_pylist()]
         rows = [shingle_set(w) for w in words_by_text(texts)]
+        sketches = [odd_sketch(minhash(r)) if len(r) else np.empty(0, dtype=np.int64) for r in rows]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), _lists(rows, pa.int64())], ["doc_id", "shingles"]
+            [batch.column(0).cast(pa.int64()), _lists(rows, pa.int64()), _lists(sketches, pa.int64())], ["doc_id", "shingles", "sketch"]
         )
 
 
-def document_sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, set_high, set_low, bands, sketch)`` of each row, in one pass."""
+def document_bands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, set_high, set_low, bands)`` of each row, in one pass."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _sketch_batches,
-        "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>, sketch array<long>",
+        _band_batches, "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>"
     )
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, shingles)`` of each row: sorted distinct shingle hashes."""
+    """``(doc_id, shingles, sketch)`` of each row: sorted distinct shingle hashes and their odd sketch."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _set_batches, "doc_id long, shingles array<long>"
+        _set_batches, "doc_id long, shingles array<long>, sketch array<long>"
     )
 
 
@@ -161,6 +160,39 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _second_sweep(shared: DataFrame, labels: DataFrame, slim: DataFrame, sizes: str, near: str, scratch: Scratch) -> DataFrame:
+    """Pairs ``(u, v)`` of bucket members in different components whose sketches are near.
+
+    Of two such members one at least is outside the bucket's largest component,
+    so those are one side of the join and all members the other.  Both sides are
+    dealt into tiles of about ``TILE`` members, every tile of one meets every tile
+    of the other, and the join key names the two tiles.
+    """
+    named = shared.where("n > 2").join(labels.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
+    named = named.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    parts = named.groupBy("key", "component").agg(F.count("*").alias("c"))
+    open_ = parts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"), F.count("*").alias("k")).where("k > 1")
+    open_ = open_.select(
+        "key", F.col("top.component").alias("major"), F.expr(f"(n + {TILE - 1}) div {TILE}").alias("all_tiles"), F.expr(f"(n - top.c + {TILE - 1}) div {TILE}").alias("minor_tiles")
+    )
+    rows = scratch.stage(named.join(open_, "key").join(slim, "doc_id"), "open")
+    all_tile, minor_tile = F.pmod(F.xxhash64("doc_id"), F.col("all_tiles")), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("minor_tiles"))
+    every = lambda tiles: F.explode(F.sequence(F.lit(0).cast("long"), F.col(tiles) - 1))
+    a = rows.where("component <> major").select("*", minor_tile.alias("i"), every("all_tiles").alias("j"))
+    b = rows.select("*", all_tile.alias("j"), every("minor_tiles").alias("i"))
+    met = (
+        (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.i") == F.col("b.i"))
+        & (F.col("a.j") == F.col("b.j"))
+        & (F.col("a.component") != F.col("b.component"))
+        & ((F.col("b.component") == F.col("b.major")) | (F.col("a.doc_id") < F.col("b.doc_id")))
+        & F.expr(sizes)
+        & F.expr(near)
+    )
+    pairs = a.alias("a").join(b.alias("b"), met)
+    return pairs.select(F.least("a.doc_id", "b.doc_id").alias("u"), F.greatest("a.doc_id", "b.doc_id").alias("v")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -173,64 +205,33 @@ def near_duplicates(
     a null doc_id link with nothing that has an id: they get a null component
     and are kept.  Other columns, whatever their names, are not read.
     """
-    digest = stage(document_sketches(docs, id_col, text_col), "sketches")
+    digest = stage(document_bands(docs, id_col, text_col), "bands")
     linked = digest.where("doc_id is not null and n_shingles > 0")
     classes = stage(linked.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     scratch = Scratch()
-    heads = scratch.stage(
-        linked.join(reps, "doc_id", "left_semi").select("doc_id", "n_shingles", "bands", "sketch"), "heads"
-    )
 
-    keyed = heads.select("doc_id", F.explode("bands").alias("key"))
+    keyed = linked.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("key"))
+    keyed = scratch.stage(keyed, "keys")
     buckets = keyed.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
     shared = scratch.stage(keyed.join(buckets.where("pivot < last"), "key").select("key", "doc_id", "pivot", "n"), "buckets")
     members = scratch.stage(shared.select("doc_id").distinct(), "members")
-    slim = scratch.stage(heads.join(members, "doc_id", "left_semi"), "slim")
-    sets = scratch.stage(
-        shingle_sets(
-            docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(
-                members, "doc_id", "left_semi"
-            )
-        ),
-        "sets",
-    )
+    named_texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    sets = scratch.stage(shingle_sets(named_texts.join(members, "doc_id", "left_semi")).withColumn("n_shingles", F.size("shingles")), "sets")
+    slim = sets.select("doc_id", "n_shingles", "sketch")
 
     near = f"{_xor_bits()} <= {sketch_limit(percent / 100)}"
-    sizes = f"100 * least(a.n_shingles, b.n_shingles) >= {percent} * greatest(a.n_shingles, b.n_shingles)"
+    sizes = f"100L * least(a.n_shingles, b.n_shingles) >= {percent}L * greatest(a.n_shingles, b.n_shingles)"
     star = shared.where("doc_id <> pivot").select(F.col("pivot").alias("u"), F.col("doc_id").alias("v")).distinct()
     star = (
         star.join(slim.alias("a"), F.col("u") == F.col("a.doc_id"))
         .join(slim.alias("b"), (F.col("v") == F.col("b.doc_id")) & F.expr(sizes) & F.expr(near))
         .select("u", "v")
     )
-    links = scratch.stage(_confirmed(star, sets, percent), "links")
+    links = scratch.stage(_confirmed(star.distinct(), sets, percent), "links")
     labels = connected_components(links)
 
-    # second sweep: members of one bucket that are still in different components
-    named = shared.where("n > 2").join(labels.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
-    named = named.select("key", "doc_id", "pivot", F.coalesce("component", "doc_id").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ = scratch.stage(
-        named.join(mixed, "key", "left_semi").join(slim, "doc_id").select(named["*"], "n_shingles", "bands", "sketch"),
-        "open",
-    )
-    first_shared = "array_position(zip_with(a.bands, b.bands, (x, y) -> x = y), true)"
-    cross = (
-        open_.alias("a")
-        .join(
-            open_.alias("b"),
-            (F.col("a.key") == F.col("b.key"))
-            & (F.col("a.doc_id") < F.col("b.doc_id"))
-            & (F.col("a.component") != F.col("b.component"))
-            & (F.col("a.pivot") != F.col("a.doc_id"))
-            & F.expr(sizes)
-            & F.expr(near)
-            & F.expr(f"a.bands[int({first_shared}) - 1] = a.key"),
-        )
-        .select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
-    )
-    more = scratch.stage(_confirmed(cross, sets, percent), "links")
+    more = scratch.stage(_confirmed(_second_sweep(shared, labels, slim, sizes, near, scratch), sets, percent), "links")
     if more.limit(1).count():
         labels = connected_components(links.union(more))
     scratch.drop()
@@ -260,6 +261,17 @@ def deduplicate(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text
     Rows with equal doc_id and text (both may be null) stay once; rows of one
     doc_id with different texts share its verdict.
     """
+    names = ["row_1", "row_2", "copies"]
+    while set(names) & set(docs.columns):
+        names = [n + "_" for n in names]
+    one, two, copies = names
     verdict = near_duplicates(docs, percent, id_col, text_col)
     gone = verdict.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").dropDuplicates([id_col, text_col])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.join(gone, id_col, "left_anti").select(*columns, F.xxhash64(id_col, text_col).alias(one), F.xxhash64(text_col, id_col, F.lit(1)).alias(two))
+    # texts move only where a row stands more than once
+    twice = stage(keyed.groupBy(one, two).agg(F.count("*").alias(copies)).where(F.col(copies) > 1).select(one, two), "repeated-rows")
+    if not twice.limit(1).count():
+        return keyed.select(*columns)
+    single = keyed.join(twice, [one, two], "left_anti").select(*columns)
+    return single.union(keyed.join(twice, [one, two], "left_semi").dropDuplicates([one, two]).select(*columns))
