@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from metricspark.llm import license_scan, quality
+from metricspark.llm.license_texts import NOTICES
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -48,18 +49,17 @@ def license_sql() -> str:
         for phrase, label in license_scan.PHRASES.items()
     )
     templates = ", ".join(
-        f"('{label}', [{', '.join(repr(t) for t in sorted(set(text.split())))}])" for label, text in license_scan.TEMPLATES.items()
+        f"('{t.label}', [{', '.join(repr(w) for w in t.words)}], {t.stride}, {t.window})" for t in license_scan.templates_of(NOTICES)
     )
-    word = license_scan.WORD
-    window, stride, percent = license_scan.WINDOW, license_scan.STRIDE, license_scan.PERCENT
+    word, percent = license_scan.WORD, license_scan.PERCENT
     return f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{word}') AS w FROM documents),
 x AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
 p AS ({places}),
 b AS (SELECT doc_id, count(*) AS n, min(i) - 1 AS lo, max(i) - 1 AS hi FROM p GROUP BY 1),
-t(label, tokens) AS (VALUES {templates}),
-k AS (SELECT doc_id, w[q + 1:q + {window}] AS block FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w), 1), {stride})) AS q FROM d)),
-f AS (SELECT doc_id, label, len(list_intersect(tokens, block)) AS c, len(tokens) AS size FROM k, t WHERE list_has_any(tokens, block)),
+t(label, tokens, stride, span) AS (VALUES {templates}),
+k AS (SELECT doc_id, label, tokens, w[q + 1:q + span] AS block FROM (SELECT doc_id, w, label, tokens, span, unnest(range(0, greatest(len(w), 1), stride)) AS q FROM d, t)),
+f AS (SELECT doc_id, label, len(list_intersect(tokens, block)) AS c, len(tokens) AS size FROM k WHERE list_has_any(tokens, block)),
 a AS (SELECT doc_id, label, max(c / size) AS best FROM f WHERE 100 * c >= {percent} * size GROUP BY 1, 2),
 l AS (SELECT doc_id, label FROM p UNION SELECT doc_id, label FROM a),
 s AS (SELECT doc_id, max(best) AS best FROM a GROUP BY 1)
