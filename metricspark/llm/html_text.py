@@ -30,7 +30,7 @@ from functools import lru_cache
 from math import sqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.llm.textops import slices
@@ -340,23 +340,31 @@ def extract(page: str, threshold: float = THRESHOLD) -> str:
 def _text_batches(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
-            texts = [extract(page or "", threshold) for page in batch.column(2).to_pylist()]
+            texts = [extract(page or "", threshold) for page in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                ["page_id", "url", "text", "n_chars"],
+                [*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                [*batch.schema.names[:-1], "text", "n_chars"],
             )
 
     return run
 
 
 def main_text(
-    pages: DataFrame, threshold: float = THRESHOLD, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame,
+    threshold: float = THRESHOLD,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    declared: Column | None = None,
 ) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page, one row per input row.
+    """``page_id, url[, declared], text, n_chars`` of every page, one row per input row.
 
     Null, empty and textless pages give an empty text; ids and urls may repeat or
     be null; an empty table gives an empty one; other columns are not read.
+    ``declared``, a string column, is carried along.
     """
     kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(_text_batches(threshold), f"page_id {kind}, url string, text string, n_chars long")
+    more = [] if declared is None else [declared.alias("declared")]
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), *more, F.col(html_col).alias("html"))
+    schema = f"page_id {kind}, url string, {'declared string, ' if more else ''}text string, n_chars long"
+    return rows.mapInArrow(_text_batches(threshold), schema)

@@ -7,6 +7,10 @@ and hosts are reliable only as far as the corpus shows, so their tables are
 counted over all documents by grouped aggregation, each document contributing
 its text posterior; host priors are smoothed towards the parent domain and that
 towards the corpus.
+
+Where declarations are also the labels that the text model is fitted on, the
+documents fall into two folds by hash and each is scored by the model of the
+other fold, so that text and declaration are independent evidence.
 """
 
 from __future__ import annotations
@@ -20,16 +24,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.llm.html_text import main_text
 from metricspark.llm.staging import stage
 from metricspark.llm.textops import PIECE, slices, to_bytes
 
-#: Labelled texts of each language that the trigram model is fitted on, at most; those of smallest id hash.
+#: Labelled texts of each language and fold that the trigram model is fitted on, at most; those of smallest hash.
 SAMPLE_PER_LANGUAGE = 1000
-#: Languages with fewer labelled texts than this are not modelled.
-LEAST_LABELLED = 5
+#: Candidates of the sample are cut by hash to so many times its size before they are ranked.
+SPARE = 1.5
+#: More labels than this are an error: models and driver hold a table of each.
+MOST_LANGUAGES = 1000
 BUCKETS = 1 << 16
-#: Groups of tasks that the sample is drawn in before it is drawn as a whole.
-TASK_GROUPS = 16
+#: Share of a language's probability that is spread evenly over all trigrams.
+UNSEEN = 0.02
 #: Trigrams overlap, so a text counts as a third of them, and as no more than this many.
 WEIGHT, MOST_TRIGRAMS = 1 / 3, 600
 #: Pseudo-counts of the smoothed tables.
@@ -58,49 +65,88 @@ def _trigrams(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for label, fold, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             bucket, n = np.unique(_trigrams(np.frombuffer(b" " + to_bytes(text) + b" ", dtype=np.uint8))[0], return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([label] * len(bucket), pa.string()), pa.array(bucket.astype(np.int32)), pa.array(n.astype(np.int64))],
-                ["label", "bucket", "n"],
+                [
+                    pa.array([label] * len(bucket), pa.string()),
+                    pa.array([fold] * len(bucket), pa.int32()),
+                    pa.array(bucket.astype(np.int32)),
+                    pa.array(n.astype(np.int64)),
+                ],
+                ["label", "fold", "bucket", "n"],
             )
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities of the trigram buckets under each language."""
+    """Log probabilities of the trigram buckets under each language, for documents of each fold."""
 
     languages: tuple[str, ...]
-    table: np.ndarray  # languages x BUCKETS, float32
+    tables: np.ndarray  # folds x languages x BUCKETS, float32
 
+    @property
+    def folds(self) -> int:
+        return len(self.tables)
+
+
+def _hash(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(id_col, text_col)
+
+
+def _fold(h: Column, folds: int) -> Column:
+    return F.pmod(h, F.lit(folds)).cast("int")
+
+
+def fit_text_model(
+    docs: DataFrame, label_col: str, text_col: str, id_col: str, sample: int = SAMPLE_PER_LANGUAGE, folds: int = 1
+) -> TextModel:
+    """Fit on at most ``sample`` different labelled rows of each language and fold, those of smallest hash of id and text.
+
+    With more than one fold, documents of a fold get the model of the other
+    folds.  Rows with a null label or text are not drawn; every label is a
+    language; without labels the model has none.
+    """
+    h = _hash(id_col, text_col)
+    keyed = docs.select(F.col(label_col).alias("label"), h.alias("h"), _fold(h, folds).alias("fold"), F.col(text_col).alias("text"))
+    keyed = keyed.where("label is not null and text is not null")
+    rows = keyed.groupBy("label", "fold").agg(F.count("*").alias("n"))
+    # hashes below a share of their range are about as large a share of the rows; few are left to be ranked
+    share = F.least(F.lit(1.0), F.lit(SPARE * sample + 100) / F.col("n"))
+    rows = stage(rows.select("label", "fold", (F.lit(-(2.0**63)) + share * 2.0**64).alias("cut")), "language-cuts")
+    languages = tuple(r.label for r in rows.select("label").distinct().orderBy("label").limit(MOST_LANGUAGES + 1).collect())
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} labels")
+    tables = np.full((folds, len(languages), BUCKETS), 0.0)
+    if languages:
+        near = keyed.join(F.broadcast(rows), ["label", "fold"]).where(F.col("h") <= F.col("cut"))
+        ranked = near.groupBy("label", "fold", "h").agg(F.count("*").alias("alike"))
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("label", "fold").orderBy("h"))).where(f"rank <= {sample}")
+        picked = stage(ranked.select("label", "fold", "h"), "language-sample")
+        chosen = near.select("label", "fold", "h", "text").join(F.broadcast(picked), ["label", "fold", "h"], "left_semi")
+        chosen = chosen.dropDuplicates(["label", "fold", "h"]).select("label", "fold", "text")
+        counts = chosen.mapInArrow(_count_batches, "label string, fold int, bucket int, n long")
+        counts = counts.groupBy("label", "fold", "bucket").agg(F.sum("n").alias("n"))
+        place = {label: k for k, label in enumerate(languages)}
+        for r in counts.toLocalIterator():  # folds x languages x BUCKETS at most
+            tables[r.fold, place[r.label], r.bucket] += r.n
+    if folds > 1:
+        tables = tables.sum(axis=0, keepdims=True) - tables
+    shares = tables / np.maximum(tables.sum(axis=2, keepdims=True), 1)
+    known = tables.sum(axis=2, keepdims=True) > 0
+    mixed = np.where(known, (1 - UNSEEN) * shares + UNSEEN / BUCKETS, 1 / BUCKETS)
+    return TextModel(languages, np.log(mixed).astype(np.float32))
+
+
+def _score_batches(model):
+    """Trigram count and scaled log likelihoods of each text; columns are the carried ones, the fold and the text."""
 
-def fit_text_model(docs: DataFrame, label_col: str, text_col: str, id_col: str, sample: int = SAMPLE_PER_LANGUAGE) -> TextModel:
-    """Fit on at most ``sample`` labelled texts of each language (a bounded sample by id hash)."""
-    keyed = docs.select(F.col(label_col).alias("label"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text")).where(
-        "label is not null and text is not null"
-    )
-    # Each task, then each of a few groups of tasks, passes on its smallest hashes only.
-    first = keyed.select("label", "h", F.pmod(F.spark_partition_id(), F.lit(TASK_GROUPS)).alias("part"))
-    first = first.withColumn("rank", F.row_number().over(Window.partitionBy("label", "part").orderBy("h"))).where(f"rank <= {sample}")
-    ranked = first.select("label", "h").withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h")))
-    cuts = ranked.where(f"rank <= {sample}").groupBy("label").agg(F.max("h").alias("cut"), F.count("*").alias("labelled"))
-    cuts = {r.label: r.cut for r in cuts.where(f"labelled >= {LEAST_LABELLED}").orderBy("label").collect()}
-    languages = tuple(sorted(cuts))
-    if not languages:
-        return TextModel((), np.zeros((0, BUCKETS), dtype=np.float32))
-    chosen = reduce(lambda a, b: a | b, [(F.col("label") == k) & (F.col("h") <= v) for k, v in cuts.items()])
-    counts = keyed.where(chosen).select("label", "text").mapInArrow(_count_batches, "label string, bucket int, n long")
-    counts = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()  # languages x BUCKETS at most
-    table = np.full((len(languages), BUCKETS), 0.1)
-    table[[languages.index(x) for x in counts.label], counts.bucket] += counts.n
-    return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
-
-
-def _score_batches(model: TextModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = len(model.languages)
+        tables = model.value.tables
+        kinds = len(model.value.languages)
         for batch in slices(batches):
             texts = [b" " + to_bytes(t) + b" " for t in batch.column(batch.num_columns - 1).to_pylist()]
+            fold = batch.column(batch.num_columns - 2).to_numpy(zero_copy_only=False)
             sums, counts = np.zeros((len(texts), kinds)), np.zeros(len(texts), dtype=np.int64)
             begin = 0
             while begin < len(texts):
@@ -114,15 +160,17 @@ def _score_batches(model: TextModel):
                     bucket, at = _trigrams(data[low : low + PIECE + 2])
                     owner = np.searchsorted(edges, at + low, side="right") - 1
                     counts[begin:end] += np.bincount(owner, minlength=end - begin)
+                    group = fold[begin:end][owner]
                     for k in range(kinds):
-                        sums[begin:end, k] += np.bincount(owner, weights=model.table[k][bucket], minlength=end - begin)
+                        weights = tables[0, k][bucket] if len(tables) == 1 else tables[:, k][group, bucket]
+                        sums[begin:end, k] += np.bincount(owner, weights=weights, minlength=end - begin)
                 begin = end
             scaled = sums / np.maximum(counts, 1)[:, None] * (np.minimum(counts, MOST_TRIGRAMS) * WEIGHT)[:, None]
             if kinds:
                 scaled -= scaled.max(axis=1, keepdims=True)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(counts), *(pa.array(scaled[:, k]) for k in range(kinds))],
-                [*batch.schema.names[:-1], "n_trigrams", *(f"l{k}" for k in range(kinds))],
+                [*batch.columns[:-2], pa.array(counts), *(pa.array(scaled[:, k]) for k in range(kinds))],
+                [*batch.schema.names[:-2], "n_trigrams", *(f"l{k}" for k in range(kinds))],
             )
 
     return run
@@ -150,11 +198,11 @@ def declared_in_markup(html: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), F.lit(""))
 
 
-def _smoothed(rows: DataFrame, key: str, kinds: int, strength: float, towards: list[Column], prefix: str) -> DataFrame:
+def _smoothed(sums: DataFrame, key: str, kinds: int, strength: float, towards: list[Column], prefix: str) -> DataFrame:
     """``key`` and its smoothed language shares; ``towards``: prior share of each language among the grouped rows."""
     counts = [F.sum(f"t{k}") for k in range(kinds)]
     total = reduce(lambda a, b: a + b, counts)
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+    return sums.where(F.col(key).isNotNull()).groupBy(key).agg(
         *[((counts[k] + strength * towards[k]) / (total + strength)).alias(f"{prefix}{k}") for k in range(kinds)]
     )
 
@@ -167,13 +215,16 @@ def identify(
     declared: Column | None = None,
     suffix: Column | None = None,
     host: Column | None = None,
+    fold_id_col: str | None = None,
 ) -> DataFrame:
     """``doc_id, lang, confidence, text_lang, kept`` of every row.
 
     Evidence that is null adds nothing.  ``kept`` is false for a text without a
     letter trigram (null and empty ones) and for a posterior below
     ``LEAST_CONFIDENCE``; with no language modelled all rows are kept, with null
-    languages.  Ids may repeat or be null; clashing column names do no harm.
+    languages.  Ids may repeat or be null; an empty table gives an empty one;
+    clashing column names do no harm.  ``fold_id_col`` names the id column that
+    the model was fitted with, where it is another one.
     """
     kinds, names = len(model.languages), model.languages
     none = F.lit(None).cast("string")
@@ -182,24 +233,29 @@ def identify(
         (none if declared is None else declared).alias("declared"),
         (none if suffix is None else suffix).alias("suffix"),
         (none if host is None else host).alias("host"),
+        _fold(_hash(fold_id_col or id_col, text_col), model.folds).alias("fold"),
         F.col(text_col).alias("text"),
     )
     if not kinds:
         return rows.select("doc_id", none.alias("lang"), F.lit(0.0).alias("confidence"), none.alias("text_lang"), F.lit(True).alias("kept"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # folds x languages x BUCKETS numbers
     head = f"doc_id {docs.schema[id_col].dataType.simpleString()}, declared string, suffix string, host string"
-    scored = rows.mapInArrow(_score_batches(model), f"{head}, n_trigrams long, " + ", ".join(f"l{k} double" for k in range(kinds)))
+    scored = rows.mapInArrow(_score_batches(shared), f"{head}, n_trigrams long, " + ", ".join(f"l{k} double" for k in range(kinds)))
     norm = reduce(lambda a, b: a + b, [F.exp(f"l{k}") for k in range(kinds)])
     scored = scored.select("*", *[(F.exp(f"l{k}") / norm).alias(f"t{k}") for k in range(kinds)])
-    scored = scored.withColumn("parent", F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host")))
     scored = stage(scored, "language-scores")
-    voters = scored.where("n_trigrams > 0")
 
-    shares = voters.agg(*[F.avg(f"t{k}").alias(f"g{k}") for k in range(kinds)]).first()
-    corpus = [float(x) if x is not None else 1 / kinds for x in shares]
+    # All tables come from the text posteriors summed by what the documents say; their rows are few.
+    votes = [F.sum(f"t{k}").alias(f"t{k}") for k in range(kinds)]
+    voters = scored.where("n_trigrams > 0").groupBy("declared", "suffix", "host").agg(*votes, F.count("*").alias("n"))
+    voters = stage(voters, "language-votes")
+    whole = voters.agg(*[(F.sum(f"t{k}") / F.sum("n")).alias(f"g{k}") for k in range(kinds)]).first()
+    corpus = [float(x) if x is not None else 1 / kinds for x in whole]
     flat = [F.lit(x) for x in corpus]
-    parents = _smoothed(voters, "parent", kinds, HOST_STRENGTH, flat, "q")
-    hosts = voters.join(parents, "parent", "left")
-    hosts = _smoothed(hosts, "host", kinds, HOST_STRENGTH, [F.coalesce(F.max(f"q{k}"), flat[k]) for k in range(kinds)], "h")
+    hosts = voters.where("host is not null").groupBy("host").agg(*votes)
+    hosts = hosts.withColumn("parent", F.coalesce(F.nullif(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.lit("")), F.col("host")))
+    parents = _smoothed(hosts, "parent", kinds, HOST_STRENGTH, flat, "q")
+    hosts = _smoothed(hosts.join(parents, "parent"), "host", kinds, HOST_STRENGTH, [F.max(f"q{k}") for k in range(kinds)], "h")
     # how often each declared language or suffix goes with each language: share of a language given the value
     said = _smoothed(voters, "declared", kinds, TABLE_STRENGTH, flat, "d")
     ended = _smoothed(voters, "suffix", kinds, TABLE_STRENGTH, flat, "s")
@@ -224,18 +280,22 @@ def identify(
     )
 
 
+def _judged(docs: DataFrame, id_col: str) -> DataFrame:
+    model = fit_text_model(docs, "lang", "text", "doc_id", folds=2)
+    return identify(
+        docs, model, id_col, declared=F.col("lang"), suffix=address_suffix(F.col("source")), host=F.coalesce(host_of(F.col("source")), F.col("source")), fold_id_col="doc_id"
+    )
+
+
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """Languages of ``documents``: the ``lang`` column is the declaration, ``source`` the host."""
-    model = fit_text_model(docs, "lang", "text", "doc_id")
-    return identify(docs, model, declared=F.col("lang"), host=F.col("source"))
+    """Languages of ``documents``: ``lang`` is the declaration, ``source`` the address or else the host."""
+    return _judged(docs, "doc_id")
 
 
-def identify_pages(pages: DataFrame, texts: DataFrame) -> DataFrame:
-    """Languages of ``pages`` from their main texts (``page_id, url, text``), markup, addresses and hosts."""
-    # repeated page_ids share the smallest declaration among them
-    declared = pages.groupBy("page_id").agg(F.min(declared_in_markup(F.col("html"))).alias("declared"))
-    rows = texts.join(declared.withColumnRenamed("page_id", "declaring"), F.expr("page_id <=> declaring"), "left").drop("declaring")
-    model = fit_text_model(rows, "declared", "text", "page_id")
+def identify_pages(pages: DataFrame) -> DataFrame:
+    """``page_id, lang, confidence, text_lang, kept`` of ``pages`` from their main texts, markup, addresses and hosts."""
+    rows = stage(main_text(pages, declared=declared_in_markup(F.col("html"))), "page-texts")
+    model = fit_text_model(rows, "declared", "text", "page_id", folds=2)
     return identify(
         rows, model, "page_id", "text", F.col("declared"), address_suffix(F.col("url")), host_of(F.col("url"))
     ).withColumnRenamed("doc_id", "page_id")
@@ -244,14 +304,12 @@ def identify_pages(pages: DataFrame, texts: DataFrame) -> DataFrame:
 def reject_unidentified(docs: DataFrame) -> DataFrame:
     """The rows of ``documents`` whose language is identified, all columns.
 
-    Rows are matched to their verdicts by a hash of id, text and source, so null
-    and repeated ids are judged by their own texts.
+    Rows are matched to their verdicts by a hash of id, text, declaration and
+    source, so null and repeated ids are judged by their own texts.
     """
     key = "row_key"
     while key in docs.columns:
         key += "_"
-    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text", "source"))
-    model = fit_text_model(keyed, "lang", "text", "doc_id")
-    verdict = identify(keyed, model, key, declared=F.col("lang"), host=F.col("source"))
-    gone = verdict.where("not kept").select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(gone, key, "left_anti").select(*docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text", "lang", "source"))
+    gone = _judged(keyed, key).where("not kept").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,8 +68,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages")
-    return langid.identify_pages(pages, html_text.main_text(pages))
+    return langid.identify_pages(_table(spark, sf_dir, "pages"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
