@@ -42,6 +42,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+def ablations_sql(version: int = 2) -> str:
+    """Counts of documents by what each enforced rule does to them."""
+    mask = quality.POLICIES[version]
+    rules = ", ".join(f"('{r.name}', {1 << r.bit})" for r in quality.RULES if mask >> r.bit & 1)
+    return f"""
+WITH q AS ({quality_sql(version)}), r(rule, bit) AS (VALUES {rules})
+SELECT rule, count(*) FILTER (WHERE (fail_bits & bit) <> 0) AS n_failed, count(*) FILTER (WHERE (fail_bits & {mask}) = bit) AS n_only,
+  count(*) FILTER (WHERE (fail_bits & ({mask} - bit)) = 0) AS n_kept_without FROM q, r GROUP BY rule
+"""
+
+
 def license_sql() -> str:
     """Phrase places, and template containment of every block by brute force."""
     places = " UNION ALL ".join(

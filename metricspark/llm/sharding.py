@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from metricspark.llm.staging import stage
 
 CELL_BITS = 16
-#: Slot numbers are dealt in this many runs per shard, so no task numbers a whole shard.
-RUNS = 256
+#: Slot numbers are dealt in runs of about this many rows, so no task numbers a whole shard.
+RUN_ROWS = 16_384
 
 
 def _capacity(sizes: str, shards: int) -> Column:
@@ -90,19 +90,20 @@ def shard_by_bytes(
     A row weighs its text's UTF-8 bytes plus 8.  Rows with equal texts share a
     shard (a null text counts as an empty one, with checksum 0).  ``slot``
     numbers the rows of a shard from 0 without gaps; rows that are equal in id
-    and text may take each other's slot.  Null ids are allowed.  An empty table
+    and text may take each other's slot.  Ids may repeat or be null.  An empty table
     gives an empty result.  With ``carry`` the row itself follows as the struct
     ``document``, so clashing column names do no harm.
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard[, document]``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    runs_per_shard = max(1, docs.count() // (shards * RUN_ROWS))
     digest = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text).cast("long") + 8).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(text), 64 - CELL_BITS).alias("cell"),
-        F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(RUNS)).cast("int").alias("run"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)), F.lit(runs_per_shard)).cast("int").alias("run"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")] if carry else []),
     )
     if not carry:
@@ -110,7 +111,7 @@ def shard_by_bytes(
     cells = digest.groupBy("cell").agg(F.sum("size").alias("bytes"))
     placed = stage(partition_cells(cells, shards), "shard-cells")  # at most 2**CELL_BITS rows
     rows = digest.join(F.broadcast(placed), "cell")
-    runs = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))  # at most shards * RUNS rows
+    runs = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))  # a row for some 16,384
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("shard", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     order = Window.partitionBy("shard", "run").orderBy("doc_id", "text_crc32", "size")

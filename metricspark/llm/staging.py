@@ -17,10 +17,12 @@ _LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set (tests)."""
+    """The cluster's checkpoint folder; a temporary one only in local mode where none is set (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
