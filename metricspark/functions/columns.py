@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import pi
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+
+from metricspark.lineage import cut
 
 # --- value rules -----------------------------------------------------------------------------
 
@@ -22,11 +23,13 @@ def safe_ratio(a: Column, b: Column) -> Column:
 
 # Name parts that decide a field's kind, in the order they are tried.
 KIND_PATTERNS = (
-    ("label", r"(^|_)(name|label|category|segment|region|status|type|code|id|key)($|_)"),
-    ("percent", r"(^|_)(pct|percent|percentage|rate|ratio|share|margin)($|_)"),
-    ("count", r"(^|_)(count|cnt|qty|quantity|num|number|units|n)($|_)"),
-    ("currency", r"(^|_)(amount|amt|revenue|sales|price|cost|profit|balance|acctbal|totalprice|extendedprice|retailprice)($|_)"),
+    ("label", r"date|month|quarter|year|period|timestamp|_id$|_name$|_code$|level\d?"),
+    ("percent", r"growth|pct|percent|share|ratio|attainment|margin"),
+    ("count", r"quantity|units|count|rows|orders"),
+    ("currency", r"amount|sales|booking|booked|revenue|backlog|usd|cost|price"),
 )
+# Fixed value: what a formatter shows for a missing value or one that is no number.
+MISSING = "--"
 
 
 def field_kind(name: Column) -> Column:
@@ -37,32 +40,43 @@ def field_kind(name: Column) -> Column:
     return out
 
 
+def _shown(v: Column, text: Column) -> Column:
+    x = v.try_cast("double")
+    return F.when(x.isNull() | F.isnan(x), MISSING).otherwise(text)
+
+
+def _digits(v: Column, n: int) -> Column:
+    """Fixed digits without thousands separators."""
+    return F.translate(F.format_number(v, n), ",", "")
+
+
 def compact_currency(v: Column, sign: str = "$") -> Column:
-    """``$1.2B``, ``$3.4M``, ``$5.6K`` or ``$789``, minus sign first."""
-    a = F.abs(v.cast("double"))
-    part = lambda d, s: F.concat(F.format_number(a / d, 1), F.lit(s))
-    text = F.when(a >= 1e9, part(1e9, "B")).when(a >= 1e6, part(1e6, "M")).when(a >= 1e3, part(1e3, "K")).otherwise(F.format_number(a, 0))
-    return F.concat(F.when(v < 0, "-").otherwise(""), F.lit(sign), text)
+    """``$1.2B``, ``$3.4M``, ``$6K`` or ``$789``, minus sign first; ``--`` for no number."""
+    x = v.try_cast("double")
+    a = F.abs(x)
+    part = lambda d, n, s: F.concat(_digits(a / d, n), F.lit(s))
+    text = F.when(a >= 1e9, part(1e9, 1, "B")).when(a >= 1e6, part(1e6, 1, "M")).when(a >= 1e3, part(1e3, 0, "K")).otherwise(F.format_number(a, 0))
+    return _shown(v, F.concat(F.when(x < 0, "-").otherwise(""), F.lit(sign), text))
 
 
 def _percent(v: Column) -> Column:
-    x = v.cast("double")
+    x = v.try_cast("double")
     return F.when(F.abs(x) <= 5, x * 100).otherwise(x)
 
 
 def signed_percent(v: Column) -> Column:
-    """``+12.3%``; values up to 5 are fractions."""
-    return F.concat(F.when(_percent(v) >= 0, "+").otherwise("-"), F.format_number(F.abs(_percent(v)), 1), F.lit("%"))
+    """``+12.3%``; values up to 5 are fractions; ``--`` for no number."""
+    return _shown(v, F.concat(F.when(_percent(v) >= 0, "+").otherwise("-"), _digits(F.abs(_percent(v)), 1), F.lit("%")))
 
 
 def unsigned_share(v: Column) -> Column:
-    """``12.3%`` without a plus sign."""
-    return F.concat(F.format_number(_percent(v), 1), F.lit("%"))
+    """``12.3%`` without a plus sign; ``--`` for no number."""
+    return _shown(v, F.concat(_digits(_percent(v), 1), F.lit("%")))
 
 
 def count_format(v: Column) -> Column:
-    """Whole number with thousands separators."""
-    return F.format_number(v.cast("double"), 0)
+    """Whole number with thousands separators; ``--`` for no number."""
+    return _shown(v, F.format_number(v.try_cast("double"), 0))
 
 
 def divide(a: Column, b: Column) -> Column:
@@ -336,45 +350,48 @@ def fv(rate: float, n: int, payment: Column, present: float = 0.0, due: int = 0)
     return -(present * k + payment * (1 + rate * due) * (k - 1) / rate)
 
 
-def norm_dist(x: Column, mean: float, sd: float, cumulative: bool = True) -> Column:
-    """Normal distribution; Spark has no error function, so the cumulative form is vectorised in Python."""
-    z = (x - mean) / sd
-    if not cumulative:
-        return F.exp(-z * z / 2) / (sd * float(np.sqrt(2 * np.pi)))
-    return _normal_cdf(z.cast("double"))
-
+# Coefficients of Hart's rational approximation of the normal tail (numerator and denominator, highest power first).
+_TAIL = (
+    (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376),
+    (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752),
+)
 
-@F.pandas_udf(DoubleType())
-def _normal_cdf(z: pd.Series) -> pd.Series:
-    from math import erfc, sqrt
 
-    return z.map(lambda v: None if pd.isna(v) else erfc(-v / sqrt(2)) / 2)
+def norm_dist(x: Column, mean: float, sd: float, cumulative: bool = True) -> Column:
+    """Normal distribution; the cumulative form by a rational approximation, as Spark has no error function."""
+    z = ((x - mean) / sd).cast("double")
+    if not cumulative:
+        return F.exp(-z * z / 2) / (sd * (2 * pi) ** 0.5)
+    a = F.abs(z)
+    ratio = [reduce(lambda sum_, c: sum_ * a + c, rest, F.lit(first)) for first, *rest in _TAIL]
+    fraction = reduce(lambda below, k: a + k / below, (4, 3, 2, 1), a + 0.65)
+    tail = F.exp(-a * a / 2) * F.when(a < 5 * 2**0.5, ratio[0] / ratio[1]).otherwise(1 / (fraction * (2 * pi) ** 0.5))
+    tail = F.when(a > 37, F.lit(0.0)).otherwise(tail)
+    return F.when(z > 0, 1 - tail).otherwise(tail)
 
 
 # --- parent-child paths --------------------------------------------------------------------------------------
 
 
-def paths(df: DataFrame, id_col: str, parent_col: str, sep: str = "|", max_depth: int = 50) -> DataFrame:
-    """``id, path, depth`` from the root to each node, level by level.
+def paths(df: DataFrame, id_col: str, parent_col: str, sep: str = "|") -> DataFrame:
+    """``id, path, depth`` from the root to each node, level by level until a level is empty.
 
-    Rows in a cycle or without a root have no path.
+    Rows in a cycle or without a root have no path.  An id that stands under
+    itself on a way from a root is an error.
     """
     nodes = df.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"))
     level = nodes.filter("up is null").select("id", F.col("id").cast("string").alias("path"), F.lit(1).alias("depth"))
-    out = level
-    children = nodes.filter("up is not null")
-    for _ in range(max_depth - 1):
-        above = level.select(F.col("id").alias("up"), "path", "depth")
-        level = children.join(above, "up").select("id", F.concat_ws(sep, "path", F.col("id").cast("string")).alias("path"), (F.col("depth") + 1).alias("depth"))
-        level = level.checkpoint() if _has_checkpoint(df) else level.cache()
+    out, children, depth, most = level, nodes.filter("up is not null"), 1, nodes.count()
+    while depth <= most:
+        depth += 1
+        above = level.select(F.col("id").alias("up"), "path")
+        level = cut(children.join(above, "up").select("id", F.concat_ws(sep, "path", F.col("id").cast("string")).alias("path"), F.lit(depth).alias("depth")))
         if level.isEmpty():
             return out
         out = out.union(level)
-    raise RuntimeError(f"paths are deeper than {max_depth}")
-
-
-def _has_checkpoint(df: DataFrame) -> bool:
-    return df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+        if depth % 8 == 0:  # keeps the plan of a long walk short
+            out = cut(out)
+    raise RuntimeError("an id stands under itself")
 
 
 def path_item(path: Column, n: int, sep: str = "|") -> Column:
@@ -401,7 +418,3 @@ def row_number_limit(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """Row-number limit with an explicit order."""
     return df.orderBy(*order).limit(n)
 
-
-def rank_over_all(*order: Column) -> Column:
-    """Row number over a (small, aggregated) result."""
-    return F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))

@@ -3,27 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.operators.windows import value_ranks
+
 
 def percentile_exclusive(df: DataFrame, value: str, p: float, by: Sequence[str] = ()) -> DataFrame:
     """Percentile at rank ``p * (n + 1)`` with interpolation; null outside ``1 .. n``.
 
-    Only the two rows around the rank contribute, found by row numbers.
+    Only the values whose ranks enclose it contribute, so one pass over the
+    ranked distinct values suffices and no task holds a whole group.
     """
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ranked = df.filter(F.col(value).isNotNull()).select(
-        *by,
-        F.col(value).cast("double").alias("v"),
-        F.row_number().over(w.orderBy(value)).alias("rn"),
-        F.count("*").over(w).alias("n"),
-    )
-    rank = F.lit(p) * (F.col("n") + 1)
-    low = F.floor(rank)
-    at = lambda r: F.max(F.when(F.col("rn") == r, F.col("v")))
+    ranked = value_ranks(df, value, by)
+    low = F.floor(F.lit(p) * (F.col("n") + 1))
+    at = lambda r: F.max(F.when((F.col("before") < r) & (r <= F.col("before") + F.col("c")), F.col("v")))
     lower, upper = at(low), at(low + 1)
     n = F.first("n")
     out_rank = F.lit(p) * (n + 1)
@@ -89,31 +87,38 @@ def npv(df: DataFrame, by: Sequence[str], rate: float, amount: str, period: str)
     return df.groupBy(*by).agg(F.sum(F.col(amount) / F.pow(F.lit(1.0 + rate), F.col(period))).alias("npv"))
 
 
+def _years(df: DataFrame, by: Sequence[str], date: str) -> DataFrame:
+    """``df`` with ``years_``: days from the group's first date over 365; the firsts are aggregated and joined back."""
+    firsts = df.groupBy(*[F.col(b).alias(f"first_{b}") for b in by]).agg(F.min(date).alias("first_"))
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"first_{b}")) for b in by])
+    return df.join(firsts, same).withColumn("years_", F.datediff(F.col(date), F.col("first_")) / 365.0)
+
+
 def xnpv(df: DataFrame, by: Sequence[str], rate: float, amount: str, date: str) -> DataFrame:
     """Net present value of dated flows against the group's first date, 365 days a year."""
-    first = Window.partitionBy(*by)
-    days = F.datediff(F.col(date), F.min(date).over(first)) / 365.0
-    dated = df.select(*by, (F.col(amount) / F.pow(F.lit(1.0 + rate), days)).alias("present"))
-    return dated.groupBy(*by).agg(F.sum("present").alias("xnpv"))
-
-
-def _rate(t: pd.Series, amount: pd.Series) -> float | None:
-    """Root of the present value by bisection between -0.99 and 10, null without a sign change."""
-    t, amount = t.to_numpy(dtype=float), amount.to_numpy(dtype=float)
-    value = lambda r: float((amount / (1 + r) ** t).sum())
-    low, high = -0.99, 10.0
-    at_low, at_high = value(low), value(high)
-    if at_low == 0:
-        return low
-    if at_low * at_high > 0:
-        return None
-    for _ in range(200):
-        middle = (low + high) / 2
-        at = value(middle)
-        if at_low * at <= 0:
-            high = middle
-        else:
-            low, at_low = middle, at
+    present = F.col(amount) / F.pow(F.lit(1.0 + rate), F.col("years_"))
+    return _years(df, by, date).groupBy(*by).agg(F.sum(present).alias("xnpv"))
+
+
+def _rate(t: np.ndarray, amount: np.ndarray) -> float | None:
+    """Root of the present value by bisection, the bracket widened until the sign changes.
+
+    Null only where the value has one sign for every rate from -100 % up to a
+    trillion-fold, as when all flows have one sign.
+    """
+    with np.errstate(over="ignore"):
+        value = lambda r: float((amount * np.power(1 + r, -t)).sum())
+        low, high = -0.5, 1.0
+        while value(low) * value(high) > 0:
+            if high > 1e12:
+                return None
+            low, high = -1 + (1 + low) / 4, high * 4 + 1
+        for _ in range(200):
+            middle = (low + high) / 2
+            if value(low) * value(middle) <= 0:
+                high = middle
+            else:
+                low = middle
     return (low + high) / 2
 
 
@@ -121,25 +126,33 @@ def irr(df: DataFrame, by: str, amount: str, t: str) -> DataFrame:
     """Internal rate of return of each group's flows; flows of one period are summed first."""
     flows = df.groupBy(by, F.col(t).cast("double").alias("t")).agg(F.sum(F.col(amount).cast("double")).alias("amount"))
     kind = df.schema[by].dataType.simpleString()
-    return flows.groupBy(by).applyInPandas(
-        lambda g: pd.DataFrame({by: [g[by].iloc[0]], "irr": [_rate(g["t"], g["amount"])]}), f"{by} {kind}, irr double"
-    )
+
+    def solve(g: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({by: [g[by].iloc[0]], "irr": [_rate(g["t"].to_numpy(dtype=float), g["amount"].to_numpy(dtype=float))]})
+
+    return flows.groupBy(by).applyInPandas(solve, f"{by} {kind}, irr double")
 
 
 def xirr(df: DataFrame, by: str, amount: str, date: str) -> DataFrame:
     """Internal rate of return of dated flows, 365 days a year from the group's first date."""
-    first = F.min(date).over(Window.partitionBy(by))
-    return irr(df.withColumn("years", F.datediff(F.col(date), first) / 365.0), by, amount, "years")
+    return irr(_years(df, [by], date), by, amount, "years_")
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rank correlation with tied ranks averaged; rows with a null are left out."""
-    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    """Rank correlation with tied ranks averaged; rows with a null are left out.
 
-    def mean_rank(c: str) -> Column:
-        w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-        ties = Window.partitionBy(*by, c) if by else Window.partitionBy(c)
-        return F.rank().over(w.orderBy(c)) + (F.count("*").over(ties) - 1) / 2.0
-
-    ranked = rows.select(*by, mean_rank(x).alias("rx"), mean_rank(y).alias("ry"))
-    return ranked.groupBy(*by).agg(F.corr("rx", "ry").alias("spearman"))
+    Rows meet their values' ranks in joins, so no task ranks a whole group.
+    """
+    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, F.col(x).cast("double").alias("x_"), F.col(y).cast("double").alias("y_")).agg(F.count("*").alias("rows_"))
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    for c, name in ((x, "x_"), (y, "y_")):
+        ranks = value_ranks(rows, c, by).select(*[F.col(b).alias(f"{name}{b}") for b in by], F.col("v").alias(f"{name}v"), (F.col("before") + (F.col("c") + 1) / 2.0).alias(f"{name}rank"))
+        same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"{name}{b}")) for b in by], F.col(name) == F.col(f"{name}v"))
+        pairs = pairs.join(ranks, same).drop(*[f"{name}{b}" for b in by], f"{name}v")
+    # correlation of the ranks, each pair of values weighted by its rows and taken from the mean for precision
+    w, a, b = F.col("rows_"), F.col("x_rank"), F.col("y_rank")
+    means = pairs.groupBy(*[F.col(k).alias(f"mean_{k}") for k in by]).agg((F.sum("rows_") + 1).alias("twice"))
+    same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(f"mean_{k}")) for k in by], F.lit(True))
+    pairs = pairs.join(F.broadcast(means) if not by else means, same).withColumn("x_rank", a - F.col("twice") / 2.0).withColumn("y_rank", b - F.col("twice") / 2.0)
+    spread = F.sqrt(F.sum(w * a * a) * F.sum(w * b * b))
+    return pairs.groupBy(*by).agg((F.sum(w * a * b) / F.nullif(spread, F.lit(0.0))).alias("spearman"))

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.lineage import cut
 from metricspark.sources.inventory import stable_id
 
 MODEL = ("source_system", "source_model")
@@ -113,23 +114,26 @@ def lineage_edges(entity: DataFrame, term: DataFrame, metric_refs: DataFrame) ->
     return edges.withColumn("edge_id", stable_id(*[F.col(c) for c in edges.columns]))
 
 
-def impact(edges: DataFrame, start: DataFrame, max_depth: int = 20) -> DataFrame:
+def impact(edges: DataFrame, start: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``node, depth``: everything reached from ``start(node)`` along ``edges(src, dst)``, at its least depth.
 
-    One join per level; each level is checkpointed, so lineage stays short.
+    One join per level until a level reaches nothing new; levels are
+    checkpointed, so lineage stays short.  Going deeper than ``max_depth``, where
+    given, is an error.
     """
-    spark = edges.sparkSession
-    checkpoints = spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
     seen = start.select("node", F.lit(0).alias("depth")).distinct()
-    frontier = seen
-    for depth in range(1, max_depth + 1):
+    frontier, depth = seen, 0
+    while True:
+        depth += 1
         reached = edges.join(frontier, edges.src == frontier.node).select(F.col("dst").alias("node")).distinct()
-        frontier = reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
-        frontier = frontier.checkpoint() if checkpoints else frontier.cache()
+        frontier = cut(reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
-            break
+            return seen
+        if max_depth is not None and depth > max_depth:
+            raise RuntimeError(f"nodes are deeper than {max_depth}")
         seen = seen.union(frontier)
-    return seen
+        if depth % 8 == 0:  # keeps the plan of a long walk short
+            seen = cut(seen)
 
 
 AGGREGATE_CALL = r"(?i)\b(SUM|AVG|COUNT|MIN|MAX|MEDIAN|STDDEV|VARIANCE)\s*\("

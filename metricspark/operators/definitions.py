@@ -6,11 +6,10 @@ rows.  Pages are comma-separated labels.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.lineage import cut
 from metricspark.operators.windows import over
 
 
@@ -107,26 +106,23 @@ def similar_names(defs: DataFrame, threshold: float = 0.85) -> DataFrame:
     return joined.filter((F.col("similarity") >= threshold) & (F.col("ea") != F.col("eb"))).select("tbl", "name_a", "name_b", F.round("similarity", 4).alias("similarity"))
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, component``: smallest node reachable over ``edges(src, dst)``, by passing minima on.
 
-    Each round also replaces a label by its label's label, so chains halve.
-    Labels are checkpointed where the session has a checkpoint folder.
+    Each round also replaces a label by its label's label, so chains halve; it
+    ends when no label moves.  Labels are checkpointed after each round.
     """
-    keep = edges.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    hold = (lambda d: d.checkpoint()) if keep else (lambda d: d.cache())
-    both = hold(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
-    labels = hold(both.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("component")))
-    for _ in range(max_rounds):
+    both = cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
+    labels = cut(both.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("component")))
+    while True:
         near = both.join(labels, both.dst == labels.node).groupBy("src").agg(F.min("component").alias("low"))
         lower = labels.join(near, labels.node == near.src).select("node", F.least("component", "low").alias("component"), F.col("component").alias("before"))
         up = lower.select(F.col("node").alias("mid"), F.col("component").alias("up"))
-        after = hold(lower.join(up, lower.component == up.mid).select("node", F.least("component", "up").alias("component"), "before"))
+        after = cut(lower.join(up, lower.component == up.mid).select("node", F.least("component", "up").alias("component"), "before"))
         settled = after.filter("component <> before").isEmpty()
         labels = after.select("node", "component")
         if settled:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def parallel_definitions(defs: DataFrame, threshold: float = 0.85) -> DataFrame:
@@ -351,8 +347,3 @@ def answer(df: DataFrame, pattern: str, measure: Column, dim: str | None = None,
     if pattern == "overall":
         return df.agg(value)
     raise ValueError(f"no question pattern {pattern!r}")
-
-
-def label_columns(columns: Sequence[str]) -> Column:
-    """First non-blank of several label columns."""
-    return F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in columns])

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,8 +142,3 @@ def with_total(df: DataFrame, label_col: str, kinds: Mapping[str, str], label: s
     total = df.agg(*aggs).withColumn(label_col, F.lit(label))
     rows = df.withColumn("is_total", F.lit(False))
     return rows.unionByName(total.withColumn("is_total", F.lit(True)), allowMissingColumns=True)
-
-
-def sum_columns(columns: Sequence[str]) -> Column:
-    """Row-wise sum with nulls as zero."""
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in columns])

@@ -38,9 +38,11 @@ def waterfall(df: DataFrame, category: str, value: str, year: str, month: str, f
     counts.  ``level`` is the running total after the step, so the last change
     reaches the latest total exactly.
     """
-    years = complete_years(df, year, month).filter("recency <= 2").agg(F.max("year").alias("y1"), F.min("year").alias("y0"))
-    rows = df.join(F.broadcast(years), F.lit(True), "left")  # one row
-    side = lambda y: F.coalesce(F.sum(F.when(F.col(year) == F.col(y), F.col(value))), F.lit(0))
+    # facts are summed once by year, month and category; what follows works on the sums
+    cells = df.groupBy(F.col(year).alias("year_"), F.col(month).alias("month_"), F.col(category).alias(category)).agg(F.sum(value).alias("sum_"))
+    years = complete_years(cells, "year_", "month_").filter("recency <= 2").agg(F.max("year").alias("y1"), F.min("year").alias("y0"))
+    rows = cells.join(F.broadcast(years), F.lit(True), "left")  # one row
+    side = lambda y: F.coalesce(F.sum(F.when(F.col("year_") == F.col(y), F.col("sum_"))), F.lit(0))
     sums = rows.groupBy(F.col(category).cast("string").alias("label")).agg(side("y0").alias("v0"), side("y1").alias("v1"))
     sums = sums.withColumn("delta", F.col("v1") - F.col("v0"))
     one = Window.partitionBy(F.lit(0))  # one row per category

@@ -6,6 +6,7 @@ before they are compared, so the last day counts whole.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,12 +66,12 @@ def _bounds() -> dict:
     for n in (3, 6, 12):
         named[f"last {n} months"] = lambda d, n=n: (F.add_months(d, -n), d)
         named[f"previous {n} months"] = lambda d, n=n: (F.add_months(d, -2 * n), F.date_sub(F.add_months(d, -n), 1))
-    for n in range(1, 25):
-        named[f"{n} mon"] = lambda d, n=n: _full(d, "month", n)
     return named
 
 
 BOUNDS = _bounds()
+#: ``5 mon``: the whole month that many months back, however many.
+N_MONTHS = re.compile(r"(\d+)\s*mon(?:th)?s?")
 #: Other spellings of the same windows.
 ALIASES = {
     "wtd": "week to date",
@@ -90,6 +91,9 @@ def bounds(member: str, as_of=None) -> tuple[Column, Column]:
     """First and last day of a named window."""
     name = member.strip().lower()
     name = ALIASES.get(name, name)
+    back = N_MONTHS.fullmatch(name)
+    if back and int(back[1]):
+        return _full(_day(as_of), "month", int(back[1]))
     if name not in BOUNDS:
         raise ValueError(f"no window named {member!r}")
     return BOUNDS[name](_day(as_of))

@@ -27,9 +27,10 @@ def ranked(df: DataFrame, label: str, value: str) -> DataFrame:
 
 def fold_tail(df: DataFrame, label: str, value: str, max_categories: int = 8) -> DataFrame:
     """Sums with the tail folded; the total is preserved."""
-    labels = fold_labels(df, label, value, max_categories)
-    joined = df.join(labels, df[label].eqNullSafe(labels["fold_key"]), "left")
-    return joined.groupBy(F.col("folded").alias(label)).agg(F.sum(value).alias("value"))
+    sums = df.groupBy(label).agg(F.sum(value).alias("value"))  # facts are summed once; folding works on the sums
+    labels = fold_labels(sums, label, "value", max_categories)
+    joined = sums.join(labels, sums[label].eqNullSafe(labels["fold_key"]), "left")
+    return joined.groupBy(F.col("folded").alias(label)).agg(F.sum("value").alias("value"))
 
 
 def ranked_pre_aggregated(df: DataFrame, label: str, value: str, check: bool = True) -> DataFrame:

@@ -127,10 +127,15 @@ def _(spark, sf):
     return inv.stamp(out, "load-1").drop("loaded_at")
 
 
-@query("src_synthesize")
+@query("src_synthesize", "SELECT c_custkey, CAST(2 AS BIGINT) AS n_rows, true AS in_range, CAST(2 AS BIGINT) AS n_keys FROM customer")
 def _(spark, sf):
-    n = table(spark, sf, "customer").count()  # as many rows as the table of this scale
-    return inv.synthesize(spark, {"amount": "number", "sold_on": "date", "is_new": "boolean", "city": "text"}, n, 2, {"customer_id": n}, "sale_id", seed=7)
+    """The synthetic sales of every customer: how many, whether their values are in range and their keys distinct."""
+    customers = table(spark, sf, "customer").select("c_custkey")
+    n = customers.count()  # as many parents as the table of this scale
+    sales = inv.synthesize(spark, {"amount": "number", "sold_on": "date", "is_new": "boolean", "city": "text"}, n, 2, {"customer_id": n}, "sale_id", seed=7)
+    good = F.col("amount").between(0, 1000) & F.col("sold_on").between("2020-01-01", "2023-12-31") & F.col("is_new").isNotNull() & F.col("city").rlike("^city_1?[0-9]$") & F.col("sale_id").between(1, 2 * n)
+    per = sales.groupBy("customer_id").agg(F.count("*").alias("n_rows"), F.bool_and(good).alias("in_range"), F.count_distinct("sale_id").alias("n_keys"))
+    return customers.join(per, F.pmod("c_custkey", F.lit(n)) + 1 == F.col("customer_id")).select("c_custkey", "n_rows", "in_range", "n_keys")
 
 
 # --- catalog -----------------------------------------------------------------------------------------------------------------
@@ -183,15 +188,24 @@ def _(spark, sf):
     return cat.lineage_view(edges, fixture(spark, sf, "fx_entity")).select("source_model", "from_kind", "from_name", "to_name", "physical_object", "fully_qualified_target")
 
 
-@query("cat_impact", "WITH RECURSIVE e AS (SELECT DISTINCT CAST(floor(p_partkey / 5) AS BIGINT) AS src, p_partkey AS dst FROM part WHERE p_partkey > 0), t AS (SELECT CAST(1 AS BIGINT) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM t JOIN e ON src = node WHERE depth < 20) SELECT node, CAST(min(depth) AS INT) AS depth FROM t GROUP BY 1")
+@query("cat_impact", "WITH RECURSIVE e AS (SELECT DISTINCT CAST(floor(p_partkey / 5) AS BIGINT) AS src, p_partkey AS dst FROM part WHERE p_partkey > 0), t AS (SELECT CAST(1 AS BIGINT) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM t JOIN e ON src = node ) SELECT node, CAST(min(depth) AS INT) AS depth FROM t GROUP BY 1")
 def _(spark, sf):
     edges = table(spark, sf, "part").filter("p_partkey > 0").select(F.floor(F.col("p_partkey") / 5).alias("src"), F.col("p_partkey").alias("dst"))
     return cat.impact(edges, table(spark, sf, "region").select(F.lit(1).cast("long").alias("node")).distinct())
 
 
-@query("cat_expression_refs", _with("fx_definitions") + "SELECT ord, CASE WHEN expr LIKE 'SUM(%' THEN 'SUM' ELSE '' END AS aggregates, regexp_extract(expr, '([A-Za-z_][A-Za-z0-9_]*[.][A-Za-z_][A-Za-z0-9_]*)', 1) AS refs, false AS has_filter FROM fx_definitions")
+@query("cat_impact_chain", "WITH RECURSIVE e AS (SELECT DISTINCT s_nationkey AS src, s_nationkey + 1 AS dst FROM supplier UNION SELECT DISTINCT 100 + p_size, 101 + p_size FROM part), t AS (SELECT CAST(101 AS BIGINT) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM t JOIN e ON src = node) SELECT node, CAST(min(depth) AS INT) AS depth FROM t GROUP BY 1")
 def _(spark, sf):
-    out = cat.expression_refs(fixture(spark, sf, "fx_definitions"))
+    """A lineage of as many levels as there are consecutive part sizes."""
+    hops = table(spark, sf, "supplier").select(F.col("s_nationkey").cast("long").alias("src")).union(table(spark, sf, "part").select((F.col("p_size") + 100).cast("long"))).distinct()
+    edges = hops.select("src", (F.col("src") + 1).alias("dst"))
+    return cat.impact(edges, table(spark, sf, "region").select(F.lit(101).cast("long").alias("node")).distinct())
+
+
+@query("cat_expression_refs", _with("fx_definitions") + "SELECT ord, CASE WHEN expr LIKE 'SUM(%' THEN 'SUM' ELSE '' END AS aggregates, regexp_extract(expr, '([A-Za-z_][A-Za-z0-9_]*[.][A-Za-z_][A-Za-z0-9_]*)', 1) AS refs, ord % 3 = 0 AS has_filter FROM fx_definitions")
+def _(spark, sf):
+    filtered = F.when(F.col("ord") % 3 == 0, F.concat("expr", F.lit(" WHERE x > 1"))).otherwise(F.col("expr"))
+    out = cat.expression_refs(fixture(spark, sf, "fx_definitions").withColumn("expr", filtered))
     return out.select("ord", F.array_join("aggregates", ",").alias("aggregates"), F.array_join("refs", ",").alias("refs"), "has_filter")
 
 

@@ -343,9 +343,27 @@ def _(spark, sf):
     return agg.xnpv(cash_flows(spark, sf), ["grp"], 0.1, "amount", "d").withColumn("xnpv", F.round("xnpv", 3))
 
 
-@query("agg_irr")
+def _rate_sql(years: str) -> str:
+    """The logarithm of one plus the rate by bisection, 60 halvings of a bracket; null where its ends have one sign."""
+    value = "sum(f.amount * exp(-f.y * {}))"
+    middle = "(lo + hi) / 2"
+    return (
+        f"WITH RECURSIVE f AS (SELECT grp, CAST(sum(amount) AS DOUBLE) AS amount, CAST({years} AS DOUBLE) AS y FROM (SELECT *, min(d) OVER (PARTITION BY grp) AS d0 FROM ({_FLOWS})) GROUP BY grp, {years}), "
+        "b AS (SELECT grp, ln(1e-4) AS lo, ln(1e12) AS hi, 0 AS i FROM f GROUP BY grp UNION ALL "
+        f"SELECT b.grp, CASE WHEN {value.format(middle)} > 0 THEN {middle} ELSE lo END, CASE WHEN {value.format(middle)} > 0 THEN hi ELSE {middle} END, i + 1 "
+        "FROM b JOIN f ON f.grp = b.grp WHERE i < 60 GROUP BY b.grp, lo, hi, i), "
+        f"k AS (SELECT grp, {value.format('ln(1e-4)')} > 0 AND {value.format('ln(1e12)')} < 0 AS crosses FROM f GROUP BY 1) "
+        f"SELECT b.grp, CASE WHEN crosses THEN round({middle}, 6) END AS log_growth FROM b JOIN k ON k.grp = b.grp WHERE i = 60"
+    )
+
+
+def _log_growth(rates: DataFrame) -> DataFrame:
+    return rates.select("grp", F.round(F.log1p("irr"), 6).alias("log_growth"))
+
+
+@query("agg_irr", _rate_sql("t"))
 def _(spark, sf):
-    return agg.irr(cash_flows(spark, sf), "grp", "amount", "t")
+    return _log_growth(agg.irr(cash_flows(spark, sf), "grp", "amount", "t"))
 
 
 @query("agg_spearman", "WITH r AS (SELECT l_returnflag, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2.0 AS a, rank() OVER (PARTITION BY l_returnflag ORDER BY l_discount) + (count(*) OVER (PARTITION BY l_returnflag, l_discount) - 1) / 2.0 AS b FROM lineitem) SELECT l_returnflag, round(corr(a, b), 8) AS spearman FROM r GROUP BY 1")
@@ -401,7 +419,7 @@ def _(spark, sf):
     return money(rol.hierarchy_tree(_levels(spark, sf), ["a", "b", "c"], "v"), "value").withColumn("child_rank", F.col("child_rank").cast("long"))
 
 
-@query("rol_node_share", f"WITH n AS ({_NODES}) SELECT n.*, round(n.value / coalesce(p.value, (SELECT sum(value) FROM n WHERE depth = 1)), 8) AS share_of_parent, round(n.value / (SELECT sum(value) FROM n WHERE depth = 1), 8) AS share_of_total FROM n LEFT JOIN n p ON n.parent = p.id")
+@query("rol_node_share", f"WITH n AS MATERIALIZED ({_NODES}), g AS MATERIALIZED (SELECT sum(value) AS total FROM n WHERE depth = 1) SELECT n.*, round(n.value / coalesce(p.value, total), 8) AS share_of_parent, round(n.value / total, 8) AS share_of_total FROM n CROSS JOIN g LEFT JOIN n p ON n.parent = p.id")
 def _(spark, sf):
     out = rol.node_share(money(rol.hierarchy_nodes(_levels(spark, sf), ["a", "b", "c"], "v"), "value"))
     return out.withColumns({c: F.round(c, 8) for c in ("share_of_parent", "share_of_total")})
@@ -462,9 +480,33 @@ def _(spark, sf):
     return money(out, "spent")
 
 
-@query("agg_xirr")
+@query("agg_xirr", _rate_sql("date_diff('day', d0, d) / 365.0"))
+def _(spark, sf):
+    return _log_growth(agg.xirr(cash_flows(spark, sf), "grp", "amount", "d"))
+
+
+@query("agg_lod_levels", f"SELECT DISTINCT o_orderstatus, o_orderpriority, CAST(sum({PRICE}) OVER (PARTITION BY o_orderstatus, o_orderpriority) AS DOUBLE) AS included, CAST(sum({PRICE}) OVER (PARTITION BY o_orderstatus) AS DOUBLE) AS excluded FROM orders")
+def _(spark, sf):
+    view, price = ["o_orderstatus"], F.sum(F.expr(PRICE))
+    finer = agg.include_level(view, ["o_orderpriority"])
+    rows = agg.lod(table(spark, sf, "orders"), price, finer, "included")
+    rows = agg.lod(rows, price, agg.exclude_level(finer, ["o_orderpriority"]), "excluded")
+    return money(rows.select(*finer, "included", "excluded").distinct(), "included", "excluded")
+
+
+@query(
+    "agg_percentile_all",
+    "WITH r AS (SELECT o_totalprice AS v, row_number() OVER (ORDER BY o_totalprice) AS rn, count(*) OVER () AS n FROM orders), "
+    "k AS (SELECT 0.9 * (n + 1) AS rk, max(CASE WHEN rn = floor(0.9 * (n + 1)) THEN v END) AS lo, max(CASE WHEN rn = floor(0.9 * (n + 1)) + 1 THEN v END) AS hi FROM r GROUP BY n) "
+    "SELECT round(lo + (rk - floor(rk)) * (hi - lo), 6) AS percentile_exc FROM k",
+)
+def _(spark, sf):
+    return agg.percentile_exclusive(table(spark, sf, "orders"), "o_totalprice", 0.9).withColumn("percentile_exc", F.round("percentile_exc", 6))
+
+
+@query("agg_spearman_all", "WITH r AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS a, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS b FROM lineitem) SELECT round(corr(a, b), 8) AS spearman FROM r")
 def _(spark, sf):
-    return agg.xirr(cash_flows(spark, sf), "grp", "amount", "d")
+    return agg.spearman(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice").withColumn("spearman", F.round("spearman", 8))
 
 
 @query("rol_opening_boundary", f"WITH e AS (SELECT date_trunc('month', d) AS p, user_id, event_type, arg_max(balance, d) AS b FROM ({_BAL}) GROUP BY ALL) SELECT CAST(CAST(p + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS period, CAST(sum(b) AS DOUBLE) AS opening FROM e GROUP BY 1")

@@ -14,17 +14,39 @@ def _(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", col.safe_ratio(a, b).alias("safe"), col.divide(a, b).alias("divided"))
 
 
-@query("val_field_kind", "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'label' WHEN 1 THEN 'percent' WHEN 2 THEN 'count' WHEN 3 THEN 'currency' ELSE 'number' END AS kind FROM customer")
+# Names and the kinds that the value rules give them.
+_KINDS = (
+    ("customer_name", "label"), ("FISCAL_MONTH_ID", "label"), ("order_date", "label"), ("level2", "label"), ("updated_timestamp", "label"), ("growth_usd", "percent"), ("attainment", "percent"),
+    ("gross_margin", "percent"), ("SALES_QUANTITY_TOTAL", "count"), ("order_count", "count"), ("n_rows", "count"), ("total_revenue", "currency"), ("backlog", "currency"), ("booked_usd", "currency"), ("latitude", "number"), ("win_rate", "number"),
+)
+
+
+@query("val_field_kind", "SELECT c_custkey, CASE c_custkey % 16 " + " ".join(f"WHEN {i} THEN '{kind}'" for i, (_, kind) in enumerate(_KINDS)) + " END AS kind FROM customer")
 def _(spark, sf):
-    name = F.element_at(F.array(*[F.lit(x) for x in ("customer_name", "win_rate", "order_count", "total_revenue", "latitude")]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    name = F.element_at(F.array(*[F.lit(x) for x, _ in _KINDS]), (F.col("c_custkey") % 16 + 1).cast("int"))
     return table(spark, sf, "customer").select("c_custkey", col.field_kind(name).alias("kind"))
 
 
-@query("val_formats", "SELECT c_custkey, CASE WHEN abs(c_acctbal) >= 1000 THEN (CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END) || '$' || format('{:.1f}K', abs(c_acctbal) / 1000) END AS money, format('{:,}', CAST(c_custkey * 1000 AS BIGINT)) AS cnt, (CASE WHEN c_nationkey >= 12 THEN '+' ELSE '-' END) || format('{:.1f}%', abs(c_nationkey - 12) * 25.0 / 1.0) AS pct FROM customer WHERE abs(c_nationkey - 12) * 0.25 <= 5 AND abs(abs(c_acctbal) / 100 - floor(abs(c_acctbal) / 100) - 0.5) > 0.001")
+_SCALED = "SELECT c_custkey, c_nationkey, c_acctbal * (CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 END) AS v FROM customer"
+
+
+@query(
+    "val_formats",
+    "SELECT c_custkey, CASE WHEN v IS NULL THEN '--' ELSE (CASE WHEN v < 0 THEN '-' ELSE '' END) || '$' || CASE WHEN abs(v) >= 1e9 THEN format('{:.1f}B', abs(v) / 1e9) WHEN abs(v) >= 1e6 THEN format('{:.1f}M', abs(v) / 1e6) WHEN abs(v) >= 1e3 THEN format('{:.0f}K', abs(v) / 1e3) ELSE format('{:.0f}', abs(v)) END END AS money, "
+    "CASE WHEN v IS NULL THEN '--' ELSE format('{:,}', CAST(c_custkey * 1000 AS BIGINT)) END AS cnt, (CASE WHEN c_nationkey >= 12 THEN '+' ELSE '-' END) || format('{:.1f}%', abs(c_nationkey - 12) * CASE WHEN abs(c_nationkey - 12) <= 5 THEN 100.0 ELSE 1.0 END) AS pct, "
+    f"CASE WHEN v IS NULL THEN '--' ELSE format('{{:.1f}}%', c_nationkey / 25.0 * 100) END AS share FROM ({_SCALED})",
+)
 def _(spark, sf):
-    rows = table(spark, sf, "customer").filter("abs(c_nationkey - 12) * 0.25 <= 5 and abs(abs(c_acctbal) / 100 - floor(abs(c_acctbal) / 100) - 0.5) > 0.001")
-    bal = F.col("c_acctbal")
-    return rows.select("c_custkey", F.when(F.abs(bal) >= 1000, col.compact_currency(bal)).alias("money"), col.count_format(F.col("c_custkey") * 1000).alias("cnt"), col.signed_percent((F.col("c_nationkey") - 12) * 0.25).alias("pct"))
+    scale = F.when(F.col("c_custkey") % 4 == 0, 1.0).when(F.col("c_custkey") % 4 == 1, 1e3).when(F.col("c_custkey") % 4 == 2, 1e6)
+    rows = table(spark, sf, "customer").withColumn("v", F.col("c_acctbal") * scale)
+    given = lambda c: F.when(F.col("v").isNotNull(), c)
+    return rows.select(
+        "c_custkey",
+        col.compact_currency(F.col("v")).alias("money"),
+        col.count_format(given(F.col("c_custkey") * 1000)).alias("cnt"),
+        col.signed_percent(F.col("c_nationkey") - 12).alias("pct"),
+        col.unsigned_share(given(F.col("c_nationkey") / 25.0)).alias("share"),
+    )
 
 
 @query("scl_logic", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' ELSE 'other' END AS switched, coalesce(nullif(o_orderstatus, 'P'), '?') AS filled, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(o_custkey AS BIGINT) END AS zn, CASE WHEN o_totalprice < 1000 THEN 'below 1000' WHEN o_totalprice < 100000 THEN '1000 to 100000' WHEN o_totalprice < 200000 THEN '100000 to 200000' ELSE '200000 or above' END AS tier, CAST(floor(o_totalprice / 5000) * 5000 AS BIGINT) AS bin FROM orders")
@@ -123,7 +145,7 @@ def _(spark, sf):
 
 @query(
     "scl_rounding",
-    "WITH v AS (SELECT c_custkey, c_acctbal AS x, CAST(floor(c_acctbal) AS INT) AS i FROM customer) SELECT c_custkey, sign(x) * ceil(abs(x)) AS up, sign(x) * floor(abs(x)) AS down, CAST(floor(x) AS BIGINT) AS int_, CAST(ceil(x / 25) * 25 AS BIGINT) AS c25, CAST(floor(x / 25) * 25 AS BIGINT) AS f25, CAST(sign(i) * (abs(i) + abs(i) % 2) AS BIGINT) AS even, CAST(CASE WHEN i = 0 THEN 1 ELSE sign(i) * (abs(i) + (abs(i) + 1) % 2) END AS BIGINT) AS odd, CAST(trunc(x / 7) AS BIGINT) AS quot FROM v",
+    "WITH v AS (SELECT c_custkey, c_acctbal AS x, CAST(floor(c_acctbal) AS INT) AS i FROM customer) SELECT c_custkey, sign(x) * ceil(abs(x)) AS up, sign(x) * floor(abs(x)) AS down, CAST(floor(x) AS BIGINT) AS int_, CAST(ceil(x / 25) * 25 AS BIGINT) AS c25, CAST(floor(x / 25) * 25 AS BIGINT) AS f25, CAST(sign(i) * (abs(i) + abs(i) % 2) AS BIGINT) AS even, CAST(CASE WHEN i = 0 THEN 1 ELSE sign(i) * (abs(i) + (abs(i) + 1) % 2) END AS BIGINT) AS odd, CAST(trunc(x / 7) AS BIGINT) AS quot, CAST(sign(i) * floor(abs(i) / 50.0 + 0.5) * 50 AS BIGINT) AS m50 FROM v",
 )
 def _(spark, sf):
     rows = table(spark, sf, "customer").withColumn("i", F.floor("c_acctbal").cast("int"))
@@ -138,6 +160,7 @@ def _(spark, sf):
         col.even(F.col("i")).alias("even"),
         col.odd(F.col("i")).alias("odd"),
         col.quotient(x, F.lit(7)).alias("quot"),
+        col.mround(F.col("i"), 50).cast("long").alias("m50"),
     )
 
 
@@ -162,12 +185,19 @@ def _(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", F.round(col.pmt(0.01, 12, x), 6).alias("pmt"), F.round(col.pv(0.01, 12, x), 4).alias("pv"), F.round(col.fv(0.01, 12, x), 4).alias("fv"), F.round(col.pmt(0, 12, x), 6).alias("pmt0"))
 
 
-@query("scl_rand_between")
+@query("scl_rand_between", "SELECT c_custkey, true AS in_range, true AS same_again, (SELECT count(*) >= 100 FROM customer) AS all_faces FROM customer")
 def _(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey", col.rand_between(1, 6, F.col("c_custkey"), seed=3).alias("die"))
+    """Throws per customer: in range, the same when drawn again, and of all six faces where there are many."""
+    throws = table(spark, sf, "customer").select("c_custkey", col.rand_between(1, 6, F.col("c_custkey"), seed=3).alias("die"), col.rand_between(1, 6, F.col("c_custkey"), seed=3).alias("again"))
+    faces = throws.agg(F.count_distinct("die").alias("faces"))
+    return throws.join(F.broadcast(faces), F.lit(True), "left").select("c_custkey", F.col("die").between(1, 6).alias("in_range"), (F.col("die") == F.col("again")).alias("same_again"), (F.col("faces") == 6).alias("all_faces"))
+
+
+# The distribution function as a power series of the error function, with each term's factor in front of the next.
+_NORM_SQL = "SELECT c_custkey, round(0.5 + exp(-z * z / 2) / sqrt(2 * pi()) * list_reduce(list_prepend(CAST(0.0 AS DOUBLE), list_transform(range(0, 60), lambda n: CAST(60 - n AS DOUBLE))), lambda s, n: (s * z * z / (2 * n + 1)) + 1) * z, 9) AS p, round(exp(-z * z / 2) / (3000.0 * sqrt(2 * pi())), 12) AS density FROM (SELECT c_custkey, (c_acctbal - 4500.0) / 3000.0 AS z FROM customer)"
 
 
-@query("scl_norm_dist")
+@query("scl_norm_dist", _NORM_SQL)
 def _(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", F.round(col.norm_dist(F.col("c_acctbal"), 4500.0, 3000.0), 9).alias("p"), F.round(col.norm_dist(F.col("c_acctbal"), 4500.0, 3000.0, False), 12).alias("density"))
 
@@ -177,14 +207,14 @@ _PARENT = "SELECT p_partkey AS id, CASE WHEN p_partkey = (SELECT min(p_partkey)
 
 @query(
     "scl_paths",
-    f"WITH RECURSIVE n AS ({_PARENT}), t AS (SELECT id, CAST(id AS VARCHAR) AS path, 1 AS depth FROM n WHERE parent_id IS NULL UNION ALL SELECT n.id, t.path || '|' || n.id, t.depth + 1 FROM n JOIN t ON n.parent_id = t.id) SELECT id, path, CAST(depth AS INT) AS depth, split_part(path, '|', 2) AS second, string_split(path, '|')[-1] AS own FROM t",
+    f"WITH RECURSIVE n AS ({_PARENT}), t AS (SELECT id, CAST(id AS VARCHAR) AS path, 1 AS depth FROM n WHERE parent_id IS NULL UNION ALL SELECT n.id, t.path || '|' || n.id, t.depth + 1 FROM n JOIN t ON n.parent_id = t.id) SELECT id, path, CAST(depth AS INT) AS depth, split_part(path, '|', 2) AS second, string_split(path, '|')[-1] AS own, CAST(depth AS INT) AS items FROM t",
 )
 def _(spark, sf):
     part = table(spark, sf, "part")
     first = part.agg(F.min("p_partkey").alias("root"))
     nodes = part.join(F.broadcast(first), F.lit(True), "left").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") != F.col("root"), F.floor((F.col("p_partkey") - 1) / 5)).alias("parent_id"))
     out = col.paths(nodes, "id", "parent_id")
-    return out.select("id", "path", "depth", F.coalesce(col.path_item(F.col("path"), 2), F.lit("")).alias("second"), col.path_item_reverse(F.col("path"), 1).alias("own"))
+    return out.select("id", "path", "depth", F.coalesce(col.path_item(F.col("path"), 2), F.lit("")).alias("second"), col.path_item_reverse(F.col("path"), 1).alias("own"), col.path_length(F.col("path")).alias("items"))
 
 
 @query("scl_series", "SELECT c_custkey, value FROM customer, LATERAL (SELECT unnest(generate_series(1, c_nationkey, 3)) AS value)")
@@ -199,7 +229,7 @@ def _(spark, sf):
     return col.row_number_limit(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 25, F.col("o_totalprice"), F.col("o_orderkey")).select("o_orderkey")
 
 
-@query("scl_misc", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END IS NULL AS is_blank, coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, 'none') AS nvl, CASE WHEN c_custkey % 3 <> 0 THEN 'set' ELSE 'unset' END AS nvl2, true AS today_is_date, true AS has_hash, chr(65 + CAST(c_nationkey AS INT)) AS letter, repeat(' ', 3) || 'x' AS spaced FROM customer")
+@query("scl_misc", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END IS NULL AS is_blank, coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, 'none') AS nvl, CASE WHEN c_custkey % 3 <> 0 THEN 'set' ELSE 'unset' END AS nvl2, CAST(c_custkey % 7 + 1 AS INT) AS plus_days, true AS today_is_date, chr(65 + CAST(c_nationkey AS INT)) AS letter, repeat(' ', 3) || 'x' AS spaced FROM customer")
 def _(spark, sf):
     seg = F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment"))
     return table(spark, sf, "customer").select(
@@ -207,8 +237,8 @@ def _(spark, sf):
         seg.isNull().alias("is_blank"),
         F.nvl(seg, F.lit("none")).alias("nvl"),
         F.nvl2(seg, F.lit("set"), F.lit("unset")).alias("nvl2"),
-        (F.current_date() <= F.current_timestamp()).alias("today_is_date"),
-        F.hash("c_name").isNotNull().alias("has_hash"),
+        F.datediff(F.date_add(F.current_date(), (F.col("c_custkey") % 7 + 1).cast("int")), F.to_date(F.current_timestamp())).alias("plus_days"),
+        F.lit(col.is_type(table(spark, sf, "customer").select(F.current_date().alias("today")), "today", "date")).alias("today_is_date"),
         F.char(F.col("c_nationkey") + 65).alias("letter"),
         F.concat(F.repeat(F.lit(" "), 3), F.lit("x")).alias("spaced"),
     )

@@ -77,8 +77,7 @@ def _(spark, sf):
 @query("win_percent_of", f"{_WITH}, g AS (SELECT p_brand, y, CAST(sum(rev) AS DOUBLE) AS v, sum(rev) AS e FROM f GROUP BY 1, 2) SELECT p_brand, y, round(v / CAST(sum(e) OVER (PARTITION BY y) AS DOUBLE), 10) AS of_total, round(v / lag(v) OVER (PARTITION BY p_brand ORDER BY y) - 1, 8) AS of_previous FROM g")
 def _(spark, sf):
     g = line_facts(spark, sf).groupBy("p_brand", "y").agg(F.sum("rev").alias("e")).withColumn("v", F.col("e").cast("double"))
-    total = F.sum("e").over(Window.partitionBy("y")).cast("double")
-    return g.select("p_brand", "y", F.round(F.col("v") / F.nullif(total, F.lit(0.0)), 10).alias("of_total"), F.round(win.pct_of_previous(F.col("v"), ["p_brand"], F.col("y")), 8).alias("of_previous"))
+    return g.select("p_brand", "y", F.round(win.pct_of_total(F.col("e"), ["y"]).cast("double"), 10).alias("of_total"), F.round(win.pct_of_previous(F.col("v"), ["p_brand"], F.col("y")), 8).alias("of_previous"))
 
 
 @query("win_pareto", f"{_WITH}, g AS (SELECT p_brand, sum(rev) AS e FROM f GROUP BY 1), r AS (SELECT p_brand, e, row_number() OVER (ORDER BY e DESC, p_brand) AS rank, sum(e) OVER (ORDER BY e DESC, p_brand) AS run, sum(e) OVER () AS tot FROM g), p AS (SELECT *, CAST(run AS DOUBLE) * 100 / CAST(tot AS DOUBLE) AS pct FROM r) SELECT p_brand, CAST(e AS DOUBLE) AS value, CAST(rank AS INT) AS rank, round(pct, 6) AS cumulative_pct, CAST((SELECT min(rank) FROM p WHERE pct >= 80) AS INT) AS n_to_mark FROM p WHERE rank <= 20")
@@ -152,9 +151,15 @@ def _(spark, sf):
     return topk.top_k_global(table(spark, sf, "orders"), 10, F.desc("o_totalprice"), F.col("o_orderkey")).select("o_orderkey", "o_totalprice")
 
 
-@query("top_capped", "SELECT o_orderkey, true AS truncated FROM orders ORDER BY o_orderkey LIMIT 500")
+@query(
+    "top_capped",
+    "SELECT * FROM (SELECT 'orders' AS list, o_orderkey AS k, (SELECT count(*) > 500 FROM orders) AS truncated FROM orders ORDER BY o_orderkey LIMIT 500) "
+    "UNION ALL SELECT * FROM (SELECT 'nations', n_nationkey, (SELECT count(*) > 500 FROM nation) FROM nation ORDER BY n_nationkey LIMIT 500)",
+)
 def _(spark, sf):
-    return topk.capped(table(spark, sf, "orders").select("o_orderkey"), 500, F.col("o_orderkey"))
+    lists = (("orders", "o_orderkey", "orders"), ("nations", "n_nationkey", "nation"))
+    capped = [topk.capped(table(spark, sf, t).select(F.lit(name).alias("list"), F.col(key).cast("long").alias("k")), 500, F.col("k")) for name, key, t in lists]
+    return capped[0].unionByName(capped[1])
 
 
 @query("top_month_order", "SELECT label, CAST(CASE WHEN label IN ('x', '') THEN 99 ELSE month(strptime(left(label, 3), '%b')) END AS INT) AS place FROM (SELECT DISTINCT CASE WHEN o_orderkey % 50 = 0 THEN 'x' WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%B') ELSE strftime(o_orderdate, '%b') END AS label FROM orders)")

@@ -11,7 +11,7 @@ from metricspark.plans.queries_core import PRICE, money
 from metricspark.plans.registry import query, table
 
 AS_OF = "1998-08-15"
-MEMBERS = [*list(tim.BOUNDS)[:25], "3 mon"]
+MEMBERS = [*tim.BOUNDS, "3 mon", "30 mon"]
 
 
 def _orders(spark, sf) -> DataFrame:
@@ -45,6 +45,7 @@ def _range(member: str, d: str) -> str:
         "last quarter last year": full("quarter", 1, 3, 12),
         "last month last year": full("month", 1, 1, 12),
         "3 mon": full("month", 3, 1),
+        "30 mon": full("month", 30, 1),
     }
     for n in (3, 6, 12):
         table_[f"last {n} months"] = (back(n), f"DATE '{d}'")
@@ -56,7 +57,7 @@ def _sums_sql(d: str, members, by: str = "") -> str:
     parts = []
     for m in members:
         lo, hi = _range(m, d)
-        parts.append(f"CAST(coalesce(sum(CASE WHEN CAST(o_orderdate AS DATE) BETWEEN {lo} AND {hi} THEN {PRICE} END), 0) AS DOUBLE) AS {tim.column_name(m) if m != '3 mon' else '\"3_mon\"'}")
+        parts.append(f"CAST(coalesce(sum(CASE WHEN CAST(o_orderdate AS DATE) BETWEEN {lo} AND {hi} THEN {PRICE} END), 0) AS DOUBLE) AS \"{tim.column_name(m)}\"")
     return f"SELECT {by + ', ' if by else ''}{', '.join(parts)} FROM orders{f' GROUP BY {by}' if by else ''}"
 
 

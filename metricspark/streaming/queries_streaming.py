@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from metricspark.lineage import shared_folder
 from metricspark.operators.predicates import cross_filter
 from metricspark.plans.registry import query, table
 from metricspark.streaming.upserts import latest_snapshot, upsert_batches
@@ -14,8 +14,7 @@ from metricspark.streaming.upserts import latest_snapshot, upsert_batches
 
 def scratch(spark, name: str) -> str:
     """A new folder under the shared checkpoint folder, or a temporary one where none is set (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or 'file://' + tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("stream_upsert", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment, c_name FROM customer")
