@@ -123,9 +123,13 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = [to_bytes(t).lower() for t in batch.column(1).to_pylist()]
         rows = [shingle_set(w) for w in words_by_text(texts)]
-        sketches = [odd_sketch(minhash(r)) if len(r) else np.empty(0, dtype=np.int64) for r in rows]
+        samples = [minhash(r) if len(r) else None for r in rows]
+        none = np.empty(0, dtype=np.int64)
+        bands = [none if s is None else band_keys(s).view(np.int64) for s in samples]
+        sketches = [none if s is None else odd_sketch(s) for s in samples]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), _lists(rows, pa.int64()), _lists(sketches, pa.int64())], ["doc_id", "shingles", "sketch"]
+            [batch.column(0).cast(pa.int64()), _lists(rows, pa.int64()), _lists(bands, pa.int64()), _lists(sketches, pa.int64())],
+            ["doc_id", "shingles", "bands", "sketch"],
         )
 
 
@@ -137,9 +141,9 @@ def document_bands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, shingles, sketch)`` of each row: sorted distinct shingle hashes and their odd sketch."""
+    """``(doc_id, shingles, bands, sketch)`` of each row: sorted distinct shingle hashes, their band keys and odd sketch."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _set_batches, "doc_id long, shingles array<long>, sketch array<long>"
+        _set_batches, "doc_id long, shingles array<long>, bands array<long>, sketch array<long>"
     )
 
 
@@ -160,7 +164,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _second_sweep(shared: DataFrame, labels: DataFrame, slim: DataFrame, sizes: str, near: str, scratch: Scratch) -> DataFrame:
+def _second_sweep(shared: DataFrame, labels: DataFrame, members: DataFrame, sizes: str, near: str, scratch: Scratch) -> DataFrame:
     """Pairs ``(u, v)`` of bucket members in different components whose sketches are near.
 
     Of two such members one at least is outside the bucket's largest component,
@@ -175,7 +179,8 @@ def _second_sweep(shared: DataFrame, labels: DataFrame, slim: DataFrame, sizes:
     open_ = open_.select(
         "key", F.col("top.component").alias("major"), F.expr(f"(n + {TILE - 1}) div {TILE}").alias("all_tiles"), F.expr(f"(n - top.c + {TILE - 1}) div {TILE}").alias("minor_tiles")
     )
-    rows = scratch.stage(named.join(open_, "key").join(slim, "doc_id"), "open")
+    rows = scratch.stage(named.join(open_, "key").join(members, "doc_id"), "open")
+    first_shared = "array_position(zip_with(a.bands, b.bands, (x, y) -> x = y), true)"
     all_tile, minor_tile = F.pmod(F.xxhash64("doc_id"), F.col("all_tiles")), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("minor_tiles"))
     every = lambda tiles: F.explode(F.sequence(F.lit(0).cast("long"), F.col(tiles) - 1))
     a = rows.where("component <> major").select("*", minor_tile.alias("i"), every("all_tiles").alias("j"))
@@ -188,6 +193,7 @@ def _second_sweep(shared: DataFrame, labels: DataFrame, slim: DataFrame, sizes:
         & ((F.col("b.component") == F.col("b.major")) | (F.col("a.doc_id") < F.col("b.doc_id")))
         & F.expr(sizes)
         & F.expr(near)
+        & F.expr(f"a.bands[int({first_shared}) - 1] = a.key")  # a pair that shares buckets is met in the first
     )
     pairs = a.alias("a").join(b.alias("b"), met)
     return pairs.select(F.least("a.doc_id", "b.doc_id").alias("u"), F.greatest("a.doc_id", "b.doc_id").alias("v")).distinct()
@@ -219,6 +225,7 @@ def near_duplicates(
     named_texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = scratch.stage(shingle_sets(named_texts.join(members, "doc_id", "left_semi")).withColumn("n_shingles", F.size("shingles")), "sets")
     slim = sets.select("doc_id", "n_shingles", "sketch")
+    banded = sets.select("doc_id", "n_shingles", "sketch", "bands")
 
     near = f"{_xor_bits()} <= {sketch_limit(percent / 100)}"
     sizes = f"100L * least(a.n_shingles, b.n_shingles) >= {percent}L * greatest(a.n_shingles, b.n_shingles)"
@@ -231,7 +238,7 @@ def near_duplicates(
     links = scratch.stage(_confirmed(star.distinct(), sets, percent), "links")
     labels = connected_components(links)
 
-    more = scratch.stage(_confirmed(_second_sweep(shared, labels, slim, sizes, near, scratch), sets, percent), "links")
+    more = scratch.stage(_confirmed(_second_sweep(shared, labels, banded, sizes, near, scratch), sets, percent), "links")
     if more.limit(1).count():
         labels = connected_components(links.union(more))
     scratch.drop()
