@@ -10,10 +10,11 @@ the samples that the bands need; sketches and full sets are made for documents
 that share a bucket.  Candidates come in two sweeps over the band buckets, neither
 of which lists all pairs of a bucket: the first compares members with the
 bucket's smallest document.  The second takes the members that its links left
-outside the bucket's largest component and compares them with members of other
-components, evaluating the sketches inside the join so that only promising pairs
-become rows.  Large buckets are split into tiles for it, so their work spreads
-over tasks.
+outside the bucket's largest component.  It compares them with a few members of
+that component, other ones each turn, which joins most of a family, and
+then those still apart with all members of other components, evaluating the
+sketches inside the join so that only promising pairs become rows.  Large buckets
+are split into tiles for it, so their work spreads over tasks.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.llm.graph import connected_components
@@ -36,7 +37,9 @@ BANDS, ROWS = 48, 6
 SKETCH_BITS = 2048
 #: Standard deviations below the threshold at which a sketch still passes.
 SKETCH_Z = 4.0
-#: Members of a bucket that meet in one group of the second sweep.
+#: Turns of the second sweep before its end, and members of a bucket's largest component that each turn compares with.
+TURNS, PIVOTS = 1, 8
+#: Members of a bucket that meet in one group at the end of the second sweep.
 TILE = 256
 
 
@@ -164,22 +167,37 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _second_sweep(shared: DataFrame, labels: DataFrame, members: DataFrame, sizes: str, near: str, scratch: Scratch) -> DataFrame:
-    """Pairs ``(u, v)`` of bucket members in different components whose sketches are near.
+def _open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components: ``key, doc_id, component, major, n, n_major``."""
+    named = shared.where("n > 2").join(labels.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
+    named = named.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    parts = named.groupBy("key", "component").agg(F.count("*").alias("c"))
+    open_ = parts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"), F.count("*").alias("k")).where("k > 1")
+    return named.join(open_.select("key", F.col("top.component").alias("major"), "n", F.col("top.c").alias("n_major")), "key")
+
+
+def _pivot_pairs(members: DataFrame, sketched: DataFrame, sizes: str, near: str, turn: int) -> DataFrame:
+    """Near pairs ``(u, v)`` of members outside their bucket's largest component with ``PIVOTS`` members of it."""
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("doc_id", F.lit(turn)), "doc_id"))
+    pivots = members.where("component = major").withColumn("place", place).where(f"place <= {PIVOTS}").select("key", F.col("doc_id").alias("v"))
+    met = members.where("component <> major").select("key", F.col("doc_id").alias("u")).join(pivots, "key").select("u", "v").distinct()
+    return (
+        met.join(sketched.alias("a"), F.col("u") == F.col("a.doc_id"))
+        .join(sketched.alias("b"), (F.col("v") == F.col("b.doc_id")) & F.expr(sizes) & F.expr(near))
+        .select("u", "v")
+    )
+
+
+def _tile_pairs(members: DataFrame, banded: DataFrame, sizes: str, near: str) -> DataFrame:
+    """All near pairs ``(u, v)`` of bucket members in different components.
 
     Of two such members one at least is outside the bucket's largest component,
     so those are one side of the join and all members the other.  Both sides are
     dealt into tiles of about ``TILE`` members, every tile of one meets every tile
     of the other, and the join key names the two tiles.
     """
-    named = shared.where("n > 2").join(labels.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
-    named = named.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    parts = named.groupBy("key", "component").agg(F.count("*").alias("c"))
-    open_ = parts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"), F.count("*").alias("k")).where("k > 1")
-    open_ = open_.select(
-        "key", F.col("top.component").alias("major"), F.expr(f"(n + {TILE - 1}) div {TILE}").alias("all_tiles"), F.expr(f"(n - top.c + {TILE - 1}) div {TILE}").alias("minor_tiles")
-    )
-    rows = scratch.stage(named.join(open_, "key").join(members, "doc_id"), "open")
+    rows = members.join(banded, "doc_id")
+    rows = rows.withColumn("all_tiles", F.expr(f"(n + {TILE - 1}) div {TILE}")).withColumn("minor_tiles", F.expr(f"(n - n_major + {TILE - 1}) div {TILE}"))
     first_shared = "array_position(zip_with(a.bands, b.bands, (x, y) -> x = y), true)"
     all_tile, minor_tile = F.pmod(F.xxhash64("doc_id"), F.col("all_tiles")), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("minor_tiles"))
     every = lambda tiles: F.explode(F.sequence(F.lit(0).cast("long"), F.col(tiles) - 1))
@@ -199,6 +217,16 @@ def _second_sweep(shared: DataFrame, labels: DataFrame, members: DataFrame, size
     return pairs.select(F.least("a.doc_id", "b.doc_id").alias("u"), F.greatest("a.doc_id", "b.doc_id").alias("v")).distinct()
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: the components that they join become one, named by its smallest member."""
+    ends = links.select(F.explode(F.array("u", "v")).alias("vertex"))
+    known = labels.union(ends.select("vertex", F.col("vertex").alias("component"))).groupBy("vertex").agg(F.min("component").alias("component"))
+    left, right = (labels.select(F.col("vertex").alias(c), F.col("component").alias(f"c{c}")) for c in "uv")
+    between = links.join(left, "u", "left").join(right, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    joined = connected_components(between.where("u <> v").distinct()).select(F.col("vertex").alias("component"), F.col("component").alias("joined"))
+    return known.join(joined, "component", "left").select("vertex", F.coalesce("joined", "component").alias("component"))
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -238,9 +266,14 @@ def near_duplicates(
     links = scratch.stage(_confirmed(star.distinct(), sets, percent), "links")
     labels = connected_components(links)
 
-    more = scratch.stage(_confirmed(_second_sweep(shared, labels, banded, sizes, near, scratch), sets, percent), "links")
-    if more.limit(1).count():
-        labels = connected_components(links.union(more))
+    # Members that are still apart meet some of their bucket's largest component, a few each turn, then all that is left.
+    for turn in range(TURNS + 1):
+        members = scratch.stage(_open_members(shared, labels), "open")
+        last = turn == TURNS
+        pairs = _tile_pairs(members, banded, sizes, near) if last else _pivot_pairs(members, slim, sizes, near, turn)
+        more = scratch.stage(_confirmed(pairs, sets, percent), "links")
+        if more.limit(1).count():
+            labels = stage(_merged(labels, more), "labels")
     scratch.drop()
 
     found = classes.join(labels.withColumnRenamed("vertex", "rep"), "rep", "left").select(
