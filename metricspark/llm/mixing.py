@@ -148,7 +148,8 @@ def _dealt_slots(spark: SparkSession, mixture: list[Component], shard_slots: int
     """``shard, slot, sid, block`` of every slot of the mixture."""
     quota = np.array([c.slots for c in mixture], dtype=np.int64)
     shards = -(-int(quota.sum()) // shard_slots)
-    ids = spark.range(0, shards, 1, max(1, min(shards // 64, 4096)))
+    tasks = max(1, min(shards // 64, 65_536))
+    ids = spark.range(0, shards, 1, tasks)
     draws = stage(ids.mapInPandas(_draws(quota, shard_slots, seed), "shard long, counts array<long>"), "mix-draws")
     each = draws.select("shard", F.expr(f"shard div {RUN_SHARDS}").alias("run"), F.posexplode("counts").alias("sid", "n"))
     runs = each.groupBy("sid", "run").agg(F.sum("n").alias("in_run"))
@@ -159,7 +160,8 @@ def _dealt_slots(spark: SparkSession, mixture: list[Component], shard_slots: int
     inside = Window.partitionBy("sid", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = each.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(runs, ["sid", "run"])
     parts = F.sort_array(F.collect_list(F.struct("sid", "n", (F.col("base") + F.col("within")).alias("before"))))
-    dealt = numbered.groupBy("shard").agg(parts.alias("parts"))
+    # a shard is a small row but makes many slots, so the number of tasks is stated
+    dealt = numbered.groupBy("shard").agg(parts.alias("parts")).repartition(tasks, "shard")
     # Staged, so that the join sees the table's size: a plan over the shard numbers alone looks small enough to broadcast.
     return stage(dealt.mapInPandas(_slots(mixture, drawn, seed), "shard long, slot long, sid int, block long"), "mix-slots")
 
