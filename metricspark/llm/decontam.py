@@ -59,7 +59,7 @@ _NUMBER, _UNIT, _NAME = (np.uint64(k) for k in (1, 2, 3))
 
 @dataclass
 class Template:
-    """Template tokens of a byte string: hashes (placeholders below 4) and byte spans.
+    """Template tokens of a byte string: hashes (placeholders below 4), where they start, and the byte spans of their values.
 
     ``opens`` marks names that start at the start of a sentence; ``exact`` and
     ``exact_starts`` are the tokens with their values, names not joined.
@@ -67,14 +67,15 @@ class Template:
 
     tokens: np.ndarray
     starts: np.ndarray
-    ends: np.ndarray
+    value_starts: np.ndarray
+    value_ends: np.ndarray
     opens: np.ndarray
     exact: np.ndarray
     exact_starts: np.ndarray
     folded: bytes
 
     def value(self, token: int) -> str:
-        return self.folded[self.starts[token] : self.ends[token]].decode("utf-8", "replace")
+        return self.folded[self.value_starts[token] : self.value_ends[token]].decode("utf-8", "replace")
 
 
 def _fold(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +94,8 @@ def canonical(data: bytes) -> Template:
 
     A number is one placeholder, a unit word or currency or percent sign
     another; a capitalised word is a name, and names that follow each other after
-    one space are one, but for a word that opens a sentence.  Any other word stands for itself, lower case in ASCII and
+    one space are one, but for a word that opens a sentence; the last word is the
+    value of such a name.  Any other word stands for itself, lower case in ASCII and
     Latin-1.
     """
     raw = np.frombuffer(data, dtype=np.uint8)
@@ -111,7 +113,7 @@ def canonical(data: bytes) -> Template:
     starts, ends = starts[word], ends[word]
     if not len(starts):
         none = np.empty(0, dtype=np.uint64)
-        return Template(none, starts, ends, np.empty(0, dtype=bool), none, starts, data)
+        return Template(none, starts, starts, ends, np.empty(0, dtype=bool), none, starts, data)
     kinds = kind[starts]
     tokens = hash_spans(folded, starts, ends) | np.uint64(4)
     exact = tokens.copy()
@@ -124,8 +126,8 @@ def canonical(data: bytes) -> Template:
     joined = np.zeros(len(starts), dtype=bool)
     joined[1:] = name[1:] & name[:-1] & ~opening[:-1] & (starts[1:] == ends[:-1] + 1) & (raw[ends[:-1]] == 32)
     keep = np.flatnonzero(~joined)
-    lasts = ends[np.append(keep[1:] - 1, len(ends) - 1)]
-    return Template(tokens[keep], starts[keep], lasts, (name & opening)[keep], exact, starts, folded.tobytes())
+    last = np.append(keep[1:] - 1, len(ends) - 1)
+    return Template(tokens[keep], starts[keep], starts[last], ends[last], (name & opening)[keep], exact, starts, folded.tobytes())
 
 
 def _unit_hashes() -> np.ndarray:

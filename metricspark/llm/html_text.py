@@ -296,6 +296,9 @@ def scores(b: Blocks) -> list[float]:
         marks[p] += len(_PUNCTUATION.findall(text))
         count[p] += 1
     own = {p: (size[p] - links[p]) / n * (1 + marks[p] / n) for p, n in count.items()}
+    # the less of the page's text a path holds, the less it says; so with boxes below
+    most = max(size.values(), default=1)
+    own = {p: ratio * (1 + sqrt(size[p] / most)) / 2 for p, ratio in own.items()}
     # a box speaks by the best of its paths that hold a fair share of it
     held: dict[tuple[int, int], int] = Counter()
     whole: dict[int, int] = Counter()
@@ -307,7 +310,6 @@ def scores(b: Blocks) -> list[float]:
     for (x, p), n in held.items():
         if n >= SPEAKS * whole[x]:
             near[x] = max(near.get(x, 0.0), own[p])
-    # the less of the page's text a box holds, the less it says
     most = max(whole.values(), default=1)
     near = {x: ratio * sqrt(whole[x] / most) for x, ratio in near.items()}
     # what the boxes around a box lend it; parents come before children

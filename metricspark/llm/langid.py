@@ -110,7 +110,7 @@ def fit_text_model(
     h = _hash(id_col, text_col)
     keyed = docs.select(F.col(label_col).alias("label"), h.alias("h"), _fold(h, folds).alias("fold"), F.col(text_col).alias("text"))
     keyed = keyed.where("label is not null and text is not null")
-    rows = keyed.groupBy("label", "fold").agg(F.count("*").alias("n"))
+    rows = keyed.groupBy("label", "fold").agg(F.approx_count_distinct("h").alias("n"))
     # hashes below a share of their range are about as large a share of the rows; few are left to be ranked
     share = F.least(F.lit(1.0), F.lit(SPARE * sample + 100) / F.col("n"))
     rows = stage(rows.select("label", "fold", (F.lit(-(2.0**63)) + share * 2.0**64).alias("cut")), "language-cuts")

@@ -10,6 +10,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,13 +40,39 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+_scopes: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared folder, removed when the driver exits."""
+    """A fresh folder name under the shared folder, removed with its scope, at the latest when the driver exits."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     atexit.register(_delete, spark, path)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders made inside on leaving; no result that outlives the scope may read them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            drop_folder(spark, path)
+
+
+def stage_alone(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """As :func:`stage_at` of what ``make`` returns; all tables staged on the way are removed once it is written."""
+    path = new_folder(spark, name)
+    with scope(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path), path
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a staged folder that no later result reads."""
     _delete(spark, path)
