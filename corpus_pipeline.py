@@ -3,11 +3,14 @@
 Every stage takes all documents its predecessor kept and returns the columns of
 ``documents``; the last one adds the shard and slot of each row.  ``run`` writes
 each stage to the shared checkpoint folder and reads it back for the next, so a
-lost executor never costs more than the stage it worked on.
+lost executor never costs more than the stage it worked on, and removes what no
+later stage reads.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from metricspark.llm.decontam import decontaminate
@@ -15,7 +18,7 @@ from metricspark.llm.langid import reject_unidentified
 from metricspark.llm.mixing import mixed_documents
 from metricspark.llm.near_dup import deduplicate
 from metricspark.llm.sharding import shard_by_bytes
-from metricspark.llm.staging import stage
+from metricspark.llm.staging import drop_folder, stage_alone
 
 MIX_BLOCK_WORDS = 256
 SHARDS = 24
@@ -60,7 +63,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and reread."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs, folder = stage_alone(spark, name, partial(step, spark, docs, sf_dir))
+        if before:
+            drop_folder(spark, before)  # no later stage reads it
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
