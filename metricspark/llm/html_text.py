@@ -312,6 +312,14 @@ def scores(b: Blocks) -> list[float]:
             near[x] = max(near.get(x, 0.0), own[p])
     most = max(whole.values(), default=1)
     near = {x: ratio * sqrt(whole[x] / most) for x, ratio in near.items()}
+    # an article is one text: it speaks by the best box in it; children come after parents
+    inside = dict(near)
+    for e in range(len(b.parent) - 1, 0, -1):
+        if e in inside:
+            up = box_of[b.parent[e]]
+            inside[up] = max(inside.get(up, 0.0), inside[e])
+            if b.name[e] == "article":
+                near[e] = inside[e]
     # what the boxes around a box lend it; parents come before children
     around = [0.0] * len(b.parent)
     for e in range(1, len(b.parent)):

@@ -221,6 +221,7 @@ MENU = "<ul>" + "".join(f"<li><a href=/{i}>Menu entry {i}</a></li>" for i in ran
         (f'<div class="search-engine-guide"><p>{PROSE}</p></div>', PROSE),
         (f'<article><p>{PROSE}</p><div class="notice-board"><p>On the board.</p></div></article>', f"{PROSE}\nOn the board."),
         (f"<article><header><h1>Title</h1></header><p>{PROSE}</p></article>", f"Title\n{PROSE}"),
+        (f'<article class=post><header class=entry-header><h1>Title</h1><div class=entry-meta>By Ann</div></header><div class=entry-content><p>{PROSE}</p></div><footer>x</footer></article>', f"Title\nBy Ann\n{PROSE}"),
         # names weigh, they do not drop: a page that stands in one keeps its text
         (f"<form id=aspnet><div class=menu>{MENU}</div><div><h2>Head</h2><p>{PROSE}</p></div></form>", f"Head\n{PROSE}"),
         (f'<div class="sidebar"><p>{PROSE}</p><p>{PROSE}</p></div>', f"{PROSE}\n{PROSE}"),
