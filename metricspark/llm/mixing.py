@@ -63,20 +63,25 @@ def fill_targets(sizes: Sequence[int], weights: Sequence[float], total: float, m
     return out
 
 
-def permute(index: np.ndarray, size: int, key: int) -> np.ndarray:
-    """Pseudorandom permutation of ``range(size)`` applied to ``index``: a Feistel network, cycle-walked."""
-    half = max(1, ((max(size, 2) - 1).bit_length() + 1) // 2)
-    mask, shift = np.uint64((1 << half) - 1), np.uint64(half)
-    out = index.astype(np.uint64)
-    todo = np.arange(len(out))
+def permute(index: np.ndarray, size: int | np.ndarray, key: int | np.ndarray) -> np.ndarray:
+    """Pseudorandom permutation of ``range(size)`` under ``key`` at ``index``: a Feistel network, cycle-walked.
+
+    Size and key may differ from one index to the next.
+    """
+    size = np.broadcast_to(np.asarray(size, dtype=np.int64), index.shape)
+    key = np.broadcast_to(np.asarray(key, dtype=np.uint64), index.shape)
+    half = np.maximum(1, (np.frexp(np.maximum(size, 2) - 1)[1] + 1) // 2).astype(np.uint64)
+    out, todo = index.astype(np.uint64), np.arange(len(index))
     with np.errstate(over="ignore"):
         while len(todo):
+            shift, at = half[todo], key[todo] * np.uint64(4)
+            mask = (np.uint64(1) << shift) - np.uint64(1)
             left, right = out[todo] >> shift, out[todo] & mask
             for r in range(4):
-                salt = np.uint64((key * 4 + r + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+                salt = (at + np.uint64(r + 1)) * np.uint64(0x9E3779B97F4A7C15)
                 left, right = right, left ^ (mix64(right + salt) & mask)
             out[todo] = left << shift | right
-            todo = todo[out[todo] >= size]
+            todo = todo[out[todo] >= size[todo].astype(np.uint64)]
     return out.astype(np.int64)
 
 
@@ -133,11 +138,8 @@ def _slots(mixture: list[Component], drawn: np.ndarray, seed: int):
             for shard, parts in zip(batch["shard"], batch["parts"], strict=True):
                 settled = [settle(p["sid"], np.arange(p["before"], p["before"] + p["n"]), quota, drawn) for p in parts if p["n"]]
                 sid, nth = (np.concatenate(c) for c in zip(*settled, strict=True))
-                block = np.empty(len(nth), dtype=np.int64)
-                turn = nth // blocks[sid]
-                for source, pass_ in {(int(a), int(b)) for a, b in zip(sid, turn, strict=True)}:
-                    mine = (sid == source) & (turn == pass_)
-                    block[mine] = permute(nth[mine] % blocks[source], int(blocks[source]), (seed << 24) + (source << 8) + pass_)
+                turn, index = np.divmod(nth, blocks[sid])  # the pass over the source, and the place in it
+                block = permute(index, blocks[sid], (seed << 40) + (sid << 8) + turn)
                 place = permute(np.arange(len(nth)), len(nth), seed ^ int(shard) << 20)
                 yield pd.DataFrame({"shard": shard, "slot": place, "sid": sid, "block": block})
 
