@@ -252,3 +252,58 @@ def test_paths(spark):
     df = frame(spark, [(1, None), (2, 1), (3, 2), (8, 9), (9, 8)], "id int, up int")
     out = {r.id: r.path for r in col.paths(df, "id", "up").collect()}
     assert out == {1: "1", 2: "1|2", 3: "1|2|3"}
+
+
+def test_long_chains_are_walked_to_their_ends(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long")
+    start = spark.createDataFrame([(0,)], "node long")
+    assert {r.node: r.depth for r in catalog.impact(edges, start).collect()} == {i: i for i in range(41)}
+    with pytest.raises(RuntimeError, match="deeper"):
+        catalog.impact(edges, start, max_depth=5)
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(60)], "id long, up long")
+    assert col.paths(chain, "id", "up").agg(F.max("depth"), F.count("*")).first() == (60, 60)
+    loop = spark.createDataFrame([(1, None), (1, 2), (2, 1)], "id long, up long")
+    with pytest.raises(RuntimeError, match="under itself"):
+        col.paths(loop, "id", "up")
+
+
+def test_normal_distribution(spark):
+    from math import erfc, sqrt
+
+    points = [-40.0, -8.0, -7.0, -2.5, -0.1, 0.0, 0.3, 1.0, 3.0, 7.2, 9.0, 50.0]
+    rows = spark.createDataFrame([(x,) for x in points] + [(None,)], "x double").select("x", col.norm_dist(F.col("x"), 0.0, 1.0).alias("p")).collect()
+    assert all(r.p is None if r.x is None else abs(r.p - erfc(-r.x / sqrt(2)) / 2) <= 1e-14 for r in rows)
+
+
+def test_rates_in_wide_brackets(spark):
+    flows = [("high", 0, -1.0), ("high", 1, 51.0), ("low", 0, -1000.0), ("low", 1, 0.5), ("none", 0, 5.0), ("none", 1, 5.0), ("plain", 0, -100.0), ("plain", 1, 110.0)]
+    got = {r.g: r.irr for r in aggregates.irr(spark.createDataFrame(flows, "g string, t int, amount double"), "g", "amount", "t").collect()}
+    assert got["none"] is None and abs(got["high"] - 50) < 1e-9 and abs(got["low"] + 0.9995) < 1e-9 and abs(got["plain"] - 0.1) < 1e-9
+
+
+def test_ranks_of_frequent_values(spark):
+    rows = [(i, 5.0) for i in range(500)] + [(1000 + i, float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(5)
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    got = {r.k: (r["rank"], r.running) for r in windows.prefix_sums(df, "v", "k", 16).collect()}
+    total = 0.0
+    for place, (k, v) in enumerate(order, 1):
+        total += v
+        assert got[k] == (place, total)
+    ranges = windows.prefix_sums(spark.createDataFrame(rows[:500], "k long, v double"), "v", "k", 16)
+    assert ranges.agg(F.max("rank"), F.max("running")).first() == (500, 2500.0)
+    values = sorted(v for _, v in rows)
+    for r in windows.value_ranks(df, "v", buckets=8).collect():
+        assert (r.before, r.c, r.n) == (values.index(r.v), values.count(r.v), 800)
+    assert aggregates.spearman(df.withColumn("w", -F.col("v")), "v", "w").first()[0] == pytest.approx(-1)
+    assert aggregates.percentile_exclusive(df, "v", 0.5).first()[0] == 5.0
+    assert aggregates.percentile_exclusive(df.limit(0), "v", 0.5, ["k"]).count() == 0
+
+
+def test_any_number_of_months_back(spark):
+    from datetime import date
+
+    low, high = timewin.bounds("30 mon", "2000-02-29")
+    assert spark.range(1).select(low, high).first() == (date(1997, 8, 1), date(1997, 8, 31))
+    with pytest.raises(ValueError):
+        timewin.bounds("0 mon", "2000-02-29")
