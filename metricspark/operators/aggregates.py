@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from metricspark.operators.windows import value_ranks
 
@@ -100,37 +101,53 @@ def xnpv(df: DataFrame, by: Sequence[str], rate: float, amount: str, date: str)
     return _years(df, by, date).groupBy(*by).agg(F.sum(present).alias("xnpv"))
 
 
-def _rate(t: np.ndarray, amount: np.ndarray) -> float | None:
-    """Root of the present value by bisection, the bracket widened until the sign changes.
+#: Logarithms of one plus the rate between which roots are looked for: a trillionth to a trillion.
+RATE_BOUNDS = (-27.631, 27.631)
 
-    Null only where the value has one sign for every rate from -100 % up to a
-    trillion-fold, as when all flows have one sign.
+
+def solve_rates(times: Sequence[np.ndarray], amounts: Sequence[np.ndarray]) -> np.ndarray:
+    """Rate at which each group's present value is zero, all groups bisected at once.
+
+    The bracket of a group widens until its ends differ in sign; NaN where they
+    do not within ``RATE_BOUNDS``, as when all flows have one sign.
     """
-    with np.errstate(over="ignore"):
-        value = lambda r: float((amount * np.power(1 + r, -t)).sum())
-        low, high = -0.5, 1.0
-        while value(low) * value(high) > 0:
-            if high > 1e12:
-                return None
-            low, high = -1 + (1 + low) / 4, high * 4 + 1
-        for _ in range(200):
-            middle = (low + high) / 2
-            if value(low) * value(middle) <= 0:
-                high = middle
-            else:
-                low = middle
-    return (low + high) / 2
+    sizes = np.array([len(t) for t in times])
+    begin = np.cumsum(sizes) - sizes
+    t, amount = np.concatenate(times).astype(float), np.concatenate(amounts).astype(float)
+    first, last = np.minimum.reduceat(t, begin), np.maximum.reduceat(t, begin)
+
+    def value(x: np.ndarray) -> np.ndarray:
+        """Present values up to a positive factor that keeps the powers from overflowing."""
+        base = np.where(x < 0, last, first)
+        return np.add.reduceat(amount * np.exp(-(t - np.repeat(base, sizes)) * np.repeat(x, sizes)), begin)
+
+    low, high = np.full(len(sizes), -0.7), np.full(len(sizes), 0.7)
+    while True:
+        apart = value(low) * value(high) > 0
+        wider = apart & (high < RATE_BOUNDS[1])
+        if not wider.any():
+            break
+        low = np.where(wider, np.maximum(low * 2, RATE_BOUNDS[0]), low)
+        high = np.where(wider, np.minimum(high * 2, RATE_BOUNDS[1]), high)
+    at_low = np.sign(value(low))
+    for _ in range(80):
+        middle = (low + high) / 2
+        upper = np.sign(value(middle)) * at_low > 0
+        low, high = np.where(upper, middle, low), np.where(upper, high, middle)
+    return np.where(apart, np.nan, np.expm1((low + high) / 2))
+
+
+@F.pandas_udf(DoubleType())
+def _rates(times: pd.Series, amounts: pd.Series) -> pd.Series:
+    found = solve_rates(list(times), list(amounts)) if len(times) else np.empty(0)
+    return pd.Series(found).astype(object).where(~np.isnan(found), None)
 
 
 def irr(df: DataFrame, by: str, amount: str, t: str) -> DataFrame:
-    """Internal rate of return of each group's flows; flows of one period are summed first."""
+    """Internal rate of return of each group's flows; flows of one period are summed first, so a group is as long as it has periods."""
     flows = df.groupBy(by, F.col(t).cast("double").alias("t")).agg(F.sum(F.col(amount).cast("double")).alias("amount"))
-    kind = df.schema[by].dataType.simpleString()
-
-    def solve(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({by: [g[by].iloc[0]], "irr": [_rate(g["t"].to_numpy(dtype=float), g["amount"].to_numpy(dtype=float))]})
-
-    return flows.groupBy(by).applyInPandas(solve, f"{by} {kind}, irr double")
+    lists = flows.groupBy(by).agg(F.collect_list(F.struct("t", "amount")).alias("flows"))
+    return lists.select(by, _rates(F.col("flows.t"), F.col("flows.amount")).alias("irr"))
 
 
 def xirr(df: DataFrame, by: str, amount: str, date: str) -> DataFrame:

@@ -194,12 +194,12 @@ def _(spark, sf):
     return cat.impact(edges, table(spark, sf, "region").select(F.lit(1).cast("long").alias("node")).distinct())
 
 
-@query("cat_impact_chain", "WITH RECURSIVE e AS (SELECT DISTINCT s_nationkey AS src, s_nationkey + 1 AS dst FROM supplier UNION SELECT DISTINCT 100 + p_size, 101 + p_size FROM part), t AS (SELECT CAST(101 AS BIGINT) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM t JOIN e ON src = node) SELECT node, CAST(min(depth) AS INT) AS depth FROM t GROUP BY 1")
+@query("cat_impact_chain", "WITH RECURSIVE e AS (SELECT DISTINCT s_nationkey AS src, s_nationkey + 1 AS dst FROM supplier UNION SELECT DISTINCT 100 + p_size, 101 + p_size FROM part), t AS (SELECT CAST(0 AS BIGINT) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM t JOIN e ON src = node) SELECT node, CAST(min(depth) AS INT) AS depth FROM t GROUP BY 1")
 def _(spark, sf):
-    """A lineage of as many levels as there are consecutive part sizes."""
+    """A lineage of as many levels as there are consecutive nations with suppliers."""
     hops = table(spark, sf, "supplier").select(F.col("s_nationkey").cast("long").alias("src")).union(table(spark, sf, "part").select((F.col("p_size") + 100).cast("long"))).distinct()
     edges = hops.select("src", (F.col("src") + 1).alias("dst"))
-    return cat.impact(edges, table(spark, sf, "region").select(F.lit(101).cast("long").alias("node")).distinct())
+    return cat.impact(edges, table(spark, sf, "region").select(F.lit(0).cast("long").alias("node")).distinct())
 
 
 @query("cat_expression_refs", _with("fx_definitions") + "SELECT ord, CASE WHEN expr LIKE 'SUM(%' THEN 'SUM' ELSE '' END AS aggregates, regexp_extract(expr, '([A-Za-z_][A-Za-z0-9_]*[.][A-Za-z_][A-Za-z0-9_]*)', 1) AS refs, ord % 3 = 0 AS has_filter FROM fx_definitions")

@@ -349,10 +349,10 @@ def _rate_sql(years: str) -> str:
     middle = "(lo + hi) / 2"
     return (
         f"WITH RECURSIVE f AS (SELECT grp, CAST(sum(amount) AS DOUBLE) AS amount, CAST({years} AS DOUBLE) AS y FROM (SELECT *, min(d) OVER (PARTITION BY grp) AS d0 FROM ({_FLOWS})) GROUP BY grp, {years}), "
-        "b AS (SELECT grp, ln(1e-4) AS lo, ln(1e12) AS hi, 0 AS i FROM f GROUP BY grp UNION ALL "
+        "b AS (SELECT grp, ln(1e-12) AS lo, ln(1e12) AS hi, 0 AS i FROM f GROUP BY grp UNION ALL "
         f"SELECT b.grp, CASE WHEN {value.format(middle)} > 0 THEN {middle} ELSE lo END, CASE WHEN {value.format(middle)} > 0 THEN hi ELSE {middle} END, i + 1 "
         "FROM b JOIN f ON f.grp = b.grp WHERE i < 60 GROUP BY b.grp, lo, hi, i), "
-        f"k AS (SELECT grp, {value.format('ln(1e-4)')} > 0 AND {value.format('ln(1e12)')} < 0 AS crosses FROM f GROUP BY 1) "
+        f"k AS (SELECT grp, {value.format('ln(1e-12)')} > 0 AND {value.format('ln(1e12)')} < 0 AS crosses FROM f GROUP BY 1) "
         f"SELECT b.grp, CASE WHEN crosses THEN round({middle}, 6) END AS log_growth FROM b JOIN k ON k.grp = b.grp WHERE i = 60"
     )
 
