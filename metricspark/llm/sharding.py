@@ -18,7 +18,7 @@ from metricspark.llm.staging import stage
 
 CELL_BITS = 16
 #: Slot numbers are dealt in runs of about this many rows, so no task numbers a whole shard.
-RUN_ROWS = 16_384
+RUN_ROWS = 2048
 
 
 def _capacity(sizes: str, shards: int) -> Column:
@@ -111,13 +111,13 @@ def shard_by_bytes(
     cells = digest.groupBy("cell").agg(F.sum("size").alias("bytes"))
     placed = stage(partition_cells(cells, shards), "shard-cells")  # at most 2**CELL_BITS rows
     rows = digest.join(F.broadcast(placed), "cell")
-    runs = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))  # a row for some 16,384
+    runs = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))  # a row for some 2,048
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("shard", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     order = Window.partitionBy("shard", "run").orderBy("doc_id", "text_crc32", "size")
     return (
         rows.withColumn("at", F.row_number().over(order))
-        .join(F.broadcast(runs), ["shard", "run"])
+        .join(runs, ["shard", "run"])
         .select(
             "doc_id",
             "size",
