@@ -424,5 +424,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(
         F.col("row_1").alias(names[0]), F.col("row_2").alias(names[1])
     )
+    # Staged, so that the join knows its size: texts move only if it is too large to broadcast.
+    hits = stage(hits.distinct(), "contaminated-rows")
     keyed = docs.withColumns(dict(zip(names, _row_keys(id_col, text_col), strict=True)))
-    return keyed.join(hits.distinct(), names, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(hits, names, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -311,5 +311,6 @@ def reject_unidentified(docs: DataFrame) -> DataFrame:
     while key in docs.columns:
         key += "_"
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text", "lang", "source"))
-    gone = _judged(keyed, key).where("not kept").select(F.col("doc_id").alias(key)).distinct()
+    # Staged, so that the join knows its size: texts move only if it is too large to broadcast.
+    gone = stage(_judged(keyed, key).where("not kept").select(F.col("doc_id").alias(key)).distinct(), "unidentified-rows")
     return keyed.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

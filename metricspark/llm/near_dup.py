@@ -306,10 +306,11 @@ def deduplicate(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text
         names = [n + "_" for n in names]
     one, two, copies = names
     verdict = near_duplicates(docs, percent, id_col, text_col)
-    gone = verdict.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    # Staged, so that the join knows its size: texts move only if it is too large to broadcast.
+    gone = stage(verdict.where("not kept").select(F.col("doc_id").alias(id_col)).distinct(), "duplicate-ids")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.join(gone, id_col, "left_anti").select(*columns, F.xxhash64(id_col, text_col).alias(one), F.xxhash64(text_col, id_col, F.lit(1)).alias(two))
-    # texts move only where a row stands more than once
+    keyed = docs.select(*columns, F.xxhash64(id_col, text_col).alias(one), F.xxhash64(text_col, id_col, F.lit(1)).alias(two))
+    keyed = keyed.join(gone, id_col, "left_anti")
     twice = stage(keyed.groupBy(one, two).agg(F.count("*").alias(copies)).where(F.col(copies) > 1).select(one, two), "repeated-rows")
     if not twice.limit(1).count():
         return keyed.select(*columns)
