@@ -141,7 +141,7 @@ _UNIT_HASHES = _unit_hashes()
 
 
 def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about a megabyte together."""
+    """Ranges of texts of about a piece together."""
     at = 0
     while at < len(texts):
         end, size = at + 1, len(texts[at])

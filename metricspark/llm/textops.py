@@ -4,7 +4,7 @@ A word is a maximal run of bytes other than ASCII white space
 (``[\\x20\\x09-\\x0D]``), which is what ``bytes.split()`` yields.  Words of many
 texts are hashed at once: a prefix sum of ``(byte + 1) * P**i`` modulo 2**64
 gives every word's polynomial hash from two look-ups, and a finaliser spreads
-the bits.  Work arrays hold one piece of about a megabyte whatever the length
+the bits.  Work arrays hold one piece of a quarter megabyte whatever the length
 of a text.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _SPACE = np.zeros(256, dtype=bool)
