@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from metricspark.llm import license_scan, quality
+from metricspark.llm import filter_audit, license_scan, phrases, quality
 from metricspark.llm.license_texts import NOTICES
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -80,3 +80,49 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base,
   greatest(coalesce(s.best, 0.0), CASE WHEN b.n > 0 THEN 1.0 ELSE 0.0 END) AS score
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)
 """
+
+
+def phrases_sql() -> str:
+    """All phrases counted one by one, cut and compared by the stated rules."""
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {n} AS size, array_to_string(w[i:i + {n - 1}], ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) - {n} + 2)) AS i FROM p WHERE len(w) >= {n})"
+        for n in range(1, phrases.LONGEST + 1)
+    )
+    return f"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM s),
+g AS ({grams}),
+f AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= {phrases.LEAST}),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY 1),
+k AS (SELECT lang, phrase, w, size, f AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+c AS (SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * k.a // (x.f + y.f) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS first FROM c),
+d AS (SELECT * FROM b WHERE first = 1 AND NOT EXISTS (SELECT 1 FROM f WHERE f.lang = b.lang AND f.size > len(string_split(b.phrase, ' '))
+  AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ') AND CAST(100 AS HUGEINT) * f.f >= CAST({phrases.COVERED} AS HUGEINT) * b.a)),
+o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM d)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON t.lang = o.lang WHERE rank <= {phrases.BEST}
+"""
+
+
+def audit_sql() -> str:
+    """Every document walked through every order of the filters."""
+    steps = ", ".join(f"('{order}', {step}, '{f}', {before})" for order, step, f, before in filter_audit.steps_of(filter_audit.FILTERS))
+    fails = " + ".join(f"CASE WHEN {f.lower()} THEN {1 << k} ELSE 0 END" for k, f in enumerate(filter_audit.FILTERS))
+    symbols = filter_audit.SYMBOLS.decode()
+    return f"""
+WITH x AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+y AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM x),
+z AS (SELECT doc_id, part, len(w) < {filter_audit.LEAST_WORDS} AS a, 100 * len(list_distinct(w)) < {filter_audit.LEAST_DISTINCT} * len(w) AS b,
+  100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {filter_audit.MOST_CAPITALS} * length(t) AS c, regexp_matches(t, '[{symbols}]') AS d, doc_id > least AS e FROM y),
+q AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY 1),
+m AS (SELECT part, {fails} AS bits, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM z LEFT JOIN q USING (doc_id)),
+s(filter_order, step, filter, before) AS (VALUES {steps}),
+u AS (SELECT *, 1 << (ascii(filter) - 65) AS bit FROM s),
+v AS (SELECT part, filter_order, step, filter, count(*) FILTER (WHERE bits & (before | bit) = 0) AS kept,
+    count(*) FILTER (WHERE bits & bit <> 0 AND bits & before = 0) AS removed, count(*) FILTER (WHERE bits & bit <> 0 AND bits & before <> 0) AS redundant,
+    count(*) FILTER (WHERE bits = bit) AS unique_fails, count(*) FILTER (WHERE bits & bit <> 0 AND bits & before = 0 AND good = 1) AS good_lost,
+    count(*) FILTER (WHERE bits & bit <> 0 AND bits & before = 0 AND toxic = 1) AS toxic_lost FROM m, u GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM v
+"""

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metricspark.llm import (
+    byte_bpe,
     decontam,
+    filter_audit,
     html_text,
     langid,
     license_scan,
     mixing,
     near_dup,
     oracles,
+    phrases,
     quality,
     sharding,
     token_counts,
@@ -87,6 +90,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(histogram)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best phrases of each language over all documents (see :func:`phrases.collocations` for odd rows)."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of the five filters over all documents, per source (see :func:`filter_audit.audit` for odd rows)."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes they decode to (see :func:`byte_bpe.encode` for odd rows)."""
+    stated = byte_bpe.vocabulary()
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"), stated), stated))
+
+
 def token_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus size truncated to common context limits, from the histogram of all documents."""
     return token_counts.truncated_totals(op10_token_counts(spark, sf_dir), [512, 1024, 2048, 4096, 8192])
@@ -114,6 +133,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_language_id": op9_language_id,
         "op10_token_counts": op10_token_counts,
+        "op11_phrases": op11_phrases,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_byte_bpe": op13_byte_bpe,
         "language_of_pages": language_of_pages,
         "token_limits": token_limits,
         "token_quantiles": token_quantiles,
@@ -126,5 +148,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_dup": oracles.NEAR_DUP,
         "op6_license_scan": oracles.license_sql(),
         "op8_quality_rules": oracles.quality_sql(version=2),
+        "op11_phrases": oracles.phrases_sql(),
+        "op12_filter_audit": oracles.audit_sql(),
         "quality_ablations": oracles.ablations_sql(version=2),
     }
