@@ -77,43 +77,6 @@ def hierarchy_tree_view(hierarchy: DataFrame, level: DataFrame) -> DataFrame:
     return joined.withColumn("display_path", F.concat_ws(" > ", "dimension_name", "hierarchy_name", "level_name"))
 
 
-def lineage_view(edges: DataFrame, entity: DataFrame) -> DataFrame:
-    """Edges with the object of the target entity, else of the source entity."""
-    bound = entity.select(*MODEL, F.col("entity_name").alias("target_entity"), "physical_object")
-    keyed = edges.withColumn("target_entity", F.coalesce(F.nullif("to_entity", F.lit("")), "from_entity"))
-    joined = keyed.join(bound, [*MODEL, "target_entity"], "left")
-    full = F.when(
-        (F.col("to_kind") == "physical_column") & F.col("physical_object").isNotNull(), F.concat_ws(".", "physical_object", "to_name")
-    )
-    return joined.withColumn("fully_qualified_target", full)
-
-
-def lineage_edges(entity: DataFrame, term: DataFrame, metric_refs: DataFrame) -> DataFrame:
-    """Entity to object, term to column and metric to term edges with hashed ids, deduplicated.
-
-    ``metric_refs``: model columns, ``metric_name`` and an array ``refs`` of term names.
-    """
-
-    def edge(df: DataFrame, from_kind: str, name: str, from_entity, kind: str, to_kind: str, to_name) -> DataFrame:
-        return df.select(
-            *MODEL,
-            F.lit(from_kind).alias("from_kind"),
-            F.col(name).alias("from_name"),
-            from_entity.alias("from_entity"),
-            F.lit(kind).alias("edge_type"),
-            F.lit(to_kind).alias("to_kind"),
-            to_name.alias("to_name"),
-        )
-
-    none = F.lit(None).cast("string")
-    objects = edge(entity.filter("physical_object is not null"), "entity", "entity_name", F.col("entity_name"), "bound_to", "physical_object", F.col("physical_object"))
-    columns = edge(term.filter("physical_column is not null"), "term", "term_name", F.col("entity_name"), "maps_to", "physical_column", F.col("physical_column"))
-    refs = metric_refs.select(*MODEL, "metric_name", F.explode("refs").alias("ref"))
-    uses = edge(refs, "metric", "metric_name", none, "uses", "term", F.col("ref"))
-    edges = objects.unionByName(columns).unionByName(uses).distinct()
-    return edges.withColumn("edge_id", stable_id(*[F.col(c) for c in edges.columns]))
-
-
 def impact(edges: DataFrame, start: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``node, depth``: everything reached from ``start(node)`` along ``edges(src, dst)``, at its least depth.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from metricspark.operators import catalog as cat
 from metricspark.operators import definitions as dfn
 from metricspark.operators import joins as jn
+from metricspark.operators import lineage as lin
 from metricspark.plans.registry import query, table
 from metricspark.sources import inventory as inv
 
@@ -24,7 +25,7 @@ FIXTURES = {
     ),
     "fx_similar": (
         "part",
-        "SELECT CAST(p_partkey AS BIGINT) AS ord, 'metric' AS kind, concat(upper(p_type), '_TOTAL_NET_', CAST(p_size % 12 AS VARCHAR(20))) AS name, p_brand AS tbl, concat('X', CAST(p_size AS VARCHAR(20))) AS expr, '' AS page_name FROM part WHERE p_partkey % 3 = 0",
+        "SELECT CAST(p_partkey AS BIGINT) AS ord, 'metric' AS kind, concat(upper(p_type), '_TOTAL_NET_', CAST(p_size % 12 AS VARCHAR(20))) AS name, p_brand AS tbl, concat('X', CAST(p_size AS VARCHAR(20))) AS expr, '' AS page_name FROM part",
     ),
     "fx_entity": (
         "supplier",
@@ -34,32 +35,32 @@ FIXTURES = {
     ),
     "fx_term": (
         "part",
-        "SELECT DISTINCT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('ENT_', CAST(p_partkey % 97 AS VARCHAR(20))) AS entity_name, "
+        "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('ENT_', CAST(p_partkey % 97 AS VARCHAR(20))) AS entity_name, "
         "concat(upper(p_type), CASE p_size % 5 WHEN 0 THEN '_ID' WHEN 1 THEN '_NUMBER' ELSE '_AMT' END, CAST(p_size % 3 AS VARCHAR(20)), CASE WHEN p_size % 5 = 0 THEN '_KEY' ELSE '' END) AS term_name, "
-        "CASE (p_partkey * 7 + p_size) % 3 WHEN 0 THEN 'measure' WHEN 1 THEN 'identifier' ELSE 'attribute' END AS term_role, CASE WHEN p_size % 6 = 0 THEN NULL ELSE concat('C_', CAST(p_size AS VARCHAR(20))) END AS physical_column, p_brand AS expression FROM part WHERE p_partkey % 4 = 1",
+        "min(CASE (p_partkey * 7 + p_size) % 3 WHEN 0 THEN 'measure' WHEN 1 THEN 'identifier' ELSE 'attribute' END) AS term_role, min(CASE WHEN p_size % 6 = 0 THEN NULL ELSE concat('C_', CAST(p_size AS VARCHAR(20))) END) AS physical_column, min(p_brand) AS expression FROM part GROUP BY 1, 2, 3, 4",
     ),
     "fx_metric": (
         "part",
         "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('MET_', CAST(p_partkey AS VARCHAR(20))) AS metric_name, upper(p_type) AS metric_canonical, "
-        "CASE WHEN p_size % 9 = 0 THEN 'unsupported' ELSE 'ratio' END AS metric_kind, CASE p_size % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('SUM(', p_brand, ')') END AS translated_expr, p_size % 7 = 0 AS requires_fiscal_calendar, p_brand AS expression FROM part WHERE p_partkey % 50 < 10",
+        "CASE WHEN p_size % 9 = 0 THEN 'unsupported' ELSE 'ratio' END AS metric_kind, CASE p_size % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('SUM(', p_brand, ')') END AS translated_expr, p_size % 7 = 0 AS requires_fiscal_calendar, p_brand AS expression FROM part",
     ),
     "fx_grain": (
         "part",
-        "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('ENT_', CAST(p_partkey % 97 AS VARCHAR(20))) AS entity_name, concat('G_', CAST(p_partkey AS VARCHAR(20))) AS grain_name, p_size % 3 = 0 AS is_row_grain, p_size % 2 = 0 AS is_groupable, p_size % 4 + 1 AS n_keys FROM part WHERE p_partkey % 10 = 0",
+        "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('ENT_', CAST(p_partkey % 97 AS VARCHAR(20))) AS entity_name, concat('G_', CAST(p_partkey AS VARCHAR(20))) AS grain_name, p_size % 3 = 0 AS is_row_grain, p_size % 2 = 0 AS is_groupable, p_size % 4 + 1 AS n_keys FROM part",
     ),
     "fx_rule": (
         "part",
         "SELECT source_system, source_model, entity_name, term_name, regular_aggregate, rollup_aggregate, rollup_aggregate IN ('last', 'average') AS is_semi_additive FROM (SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('ENT_', CAST(p_partkey % 97 AS VARCHAR(20))) AS entity_name, "
-        "concat(upper(p_type), CASE p_size % 5 WHEN 0 THEN '_ID' WHEN 1 THEN '_NUMBER' ELSE '_AMT' END, CAST(p_size % 3 AS VARCHAR(20)), CASE WHEN p_size % 5 = 0 THEN '_KEY' ELSE '' END) AS term_name, min(CASE p_size % 4 WHEN 0 THEN 'count' WHEN 1 THEN 'max' ELSE 'sum' END) AS regular_aggregate, min(CASE p_size % 3 WHEN 0 THEN 'last' WHEN 1 THEN 'sum' ELSE 'average' END) AS rollup_aggregate FROM part WHERE p_partkey % 4 = 1 GROUP BY 1, 2, 3, 4) x",
+        "concat(upper(p_type), CASE p_size % 5 WHEN 0 THEN '_ID' WHEN 1 THEN '_NUMBER' ELSE '_AMT' END, CAST(p_size % 3 AS VARCHAR(20)), CASE WHEN p_size % 5 = 0 THEN '_KEY' ELSE '' END) AS term_name, min(CASE p_size % 4 WHEN 0 THEN 'count' WHEN 1 THEN 'max' ELSE 'sum' END) AS regular_aggregate, min(CASE p_size % 3 WHEN 0 THEN 'last' WHEN 1 THEN 'sum' ELSE 'average' END) AS rollup_aggregate FROM part GROUP BY 1, 2, 3, 4) x",
     ),
     "fx_rel": (
         "orders",
         "SELECT 'sys' AS source_system, concat('MODEL_', CAST(o_custkey % 3 AS VARCHAR(20))) AS source_model, concat('R_', CAST(o_orderkey AS VARCHAR(20))) AS relationship_name, concat('ENT_', CAST(o_custkey % 50 AS VARCHAR(20)), CASE WHEN o_custkey % 11 = 0 THEN '_FY21' ELSE '' END) AS left_entity, concat('ENT_', CAST(o_orderkey % 50 AS VARCHAR(20))) AS right_entity, "
-        "CASE o_orderstatus WHEN 'F' THEN 'valid' WHEN 'P' THEN 'invalid' END AS source_status, o_orderpriority IN ('1-URGENT', '2-HIGH') AS is_simple_equality FROM orders WHERE o_orderkey % 100 = 0",
+        "CASE o_orderstatus WHEN 'F' THEN 'valid' WHEN 'P' THEN 'invalid' END AS source_status, o_orderpriority IN ('1-URGENT', '2-HIGH') AS is_simple_equality FROM orders",
     ),
     "fx_mapping": (
         "customer",
-        "SELECT DISTINCT 'sys' AS source_system, concat('MODEL_', CAST(c_nationkey % 3 AS VARCHAR(20))) AS source_model, concat('role_', CAST(c_nationkey % 4 AS VARCHAR(20))) AS principal, concat('SEGMENT_', CAST(c_nationkey % 2 AS VARCHAR(20)), CAST(c_custkey % 10 AS VARCHAR(20))) AS column_name, c_mktsegment AS column_value FROM customer WHERE c_custkey % 7 = 0",
+        "SELECT DISTINCT 'sys' AS source_system, concat('MODEL_', CAST(c_nationkey % 3 AS VARCHAR(20))) AS source_model, concat('role_', CAST(c_nationkey % 4 AS VARCHAR(20))) AS principal, concat('SEGMENT_', CAST(c_nationkey % 2 AS VARCHAR(20)), CAST(c_custkey % 10 AS VARCHAR(20))) AS column_name, c_mktsegment AS column_value FROM customer",
     ),
     "fx_level": (
         "part",
@@ -67,7 +68,7 @@ FIXTURES = {
     ),
     "fx_context": (
         "lineitem",
-        "SELECT DISTINCT concat('CTX_', CAST(l_suppkey % 12 AS VARCHAR(20))) AS context, concat('T_', CAST((l_suppkey * 7 + l_partkey % 3) % 40 AS VARCHAR(20))) AS tbl FROM lineitem WHERE l_orderkey % 3 = 0",
+        "SELECT DISTINCT concat('CTX_', CAST(l_suppkey % 12 AS VARCHAR(20))) AS context, concat('T_', CAST((l_suppkey * 7 + l_partkey % 3) % 40 AS VARCHAR(20))) AS tbl FROM lineitem",
     ),
     "fx_refs": (
         "orders",
@@ -75,9 +76,24 @@ FIXTURES = {
     ),
     "fx_joins": (
         "lineitem",
-        "SELECT DISTINCT concat(CASE WHEN l_suppkey % 3 = 0 THEN 'FACT_' ELSE 'TAB_' END, CAST(l_suppkey % 20 AS VARCHAR(20))) AS from_tbl, concat('DIM_', CAST(l_partkey % 9 AS VARCHAR(20))) AS to_tbl FROM lineitem WHERE l_orderkey % 97 = 0",
+        "SELECT DISTINCT concat(CASE WHEN l_suppkey % 3 = 0 THEN 'FACT_' ELSE 'TAB_' END, CAST(l_suppkey % 20 AS VARCHAR(20))) AS from_tbl, concat('DIM_', CAST(l_partkey % 9 AS VARCHAR(20))) AS to_tbl FROM lineitem",
     ),
 }
+_TERMS = FIXTURES["fx_term"][1]
+# Within an entity, in the order of their names: four terms of five derive from the one before; the fifth closes the ring, or names a
+# clone, a term that is not there or one of another entity.
+FIXTURES["fx_term_refs"] = (
+    "part",
+    "SELECT source_system, source_model, entity_name, term_name, CASE WHEN rn % 5 <> 1 AND rn % 3 = 1 THEN entity_name WHEN rn % 3 = 0 THEN '' END AS ref_object, "
+    "CASE WHEN rn % 5 <> 1 THEN before WHEN kind = 0 THEN behind WHEN kind = 1 THEN concat(term_name, '_FY21') WHEN kind = 2 THEN 'NO_SUCH_TERM' ELSE least_term END AS ref_item FROM (SELECT source_system, source_model, entity_name, term_name, "
+    "row_number() OVER (PARTITION BY source_model, entity_name ORDER BY term_name) AS rn, lag(term_name) OVER (PARTITION BY source_model, entity_name ORDER BY term_name) AS before, lead(term_name, 4) OVER (PARTITION BY source_model, entity_name ORDER BY term_name) AS behind, "
+    f"length(entity_name) + length(term_name) - 4 * CAST(floor((length(entity_name) + length(term_name)) / 4) AS INT) AS kind, min(term_name) OVER (PARTITION BY source_model) AS least_term FROM ({_TERMS}) t) x",
+)
+FIXTURES["fx_metric_refs"] = (
+    "part",
+    "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, concat('MET_', CAST(p_partkey AS VARCHAR(20))) AS metric_name, CASE WHEN p_size % 2 = 0 THEN concat('ENT_', CAST(p_partkey % 97 AS VARCHAR(20))) END AS ref_object, "
+    "concat(upper(p_type), CASE p_size % 5 WHEN 0 THEN '_ID' WHEN 1 THEN '_NUMBER' ELSE '_AMT' END, CAST(p_size % 3 AS VARCHAR(20)), CASE WHEN p_size % 5 = 0 THEN '_KEY' WHEN p_size % 7 = 0 THEN '_FY22' ELSE '' END) AS ref_item FROM part",
+)
 _SQL = {k: v[1] for k, v in FIXTURES.items()}
 
 
@@ -166,26 +182,96 @@ def _(spark, sf):
 
 
 def _edges(spark, sf) -> DataFrame:
-    refs = fixture(spark, sf, "fx_metric").select(*cat.MODEL, "metric_name", F.array("metric_canonical", F.upper("expression")).alias("refs"))
-    return cat.lineage_edges(fixture(spark, sf, "fx_entity"), fixture(spark, sf, "fx_term"), refs)
+    return lin.lineage_edges(*[fixture(spark, sf, n) for n in ("fx_entity", "fx_term", "fx_term_refs", "fx_metric_refs")])
+
+
+def _canonical(name: str) -> str:
+    return f"regexp_replace(upper({name}), '_FY[0-9][0-9]$', '')"
 
 
-_EDGES = (
-    f"SELECT {_K}, 'entity' AS from_kind, entity_name AS from_name, entity_name AS from_entity, 'bound_to' AS edge_type, 'physical_object' AS to_kind, physical_object AS to_name FROM fx_entity WHERE physical_object IS NOT NULL "
-    f"UNION SELECT {_K}, 'term', term_name, entity_name, 'maps_to', 'physical_column', physical_column FROM fx_term WHERE physical_column IS NOT NULL "
-    f"UNION SELECT {_K}, 'metric', metric_name, NULL, 'uses', 'term', unnest([metric_canonical, upper(expression)]) FROM fx_metric"
+_LINEAGE = _with("fx_entity", "fx_term", "fx_term_refs", "fx_metric_refs").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+r AS (SELECT {_K}, 'term' AS from_kind, term_name AS from_name, entity_name AS from_entity, ref_object, ref_item FROM fx_term_refs WHERE coalesce(ref_item, '') <> ''
+  UNION SELECT {_K}, 'metric', metric_name, '', ref_object, ref_item FROM fx_metric_refs),
+c AS (SELECT r.*, (SELECT list((entity_name, term_name)) FROM fx_term t WHERE t.source_model = r.source_model AND t.term_name = ref_item AND t.entity_name = coalesce(nullif(ref_object, ''), nullif(from_entity, ''))) AS near,
+  (SELECT list((entity_name, term_name)) FROM fx_term t WHERE t.source_model = r.source_model AND t.term_name = ref_item) AS model,
+  (SELECT list((entity_name, term_name)) FROM fx_term t WHERE t.source_model = r.source_model AND {_canonical("t.term_name")} = {_canonical("ref_item")}) AS canonical FROM r),
+b AS (SELECT *, coalesce(near, model, canonical) AS found, CASE WHEN near IS NOT NULL THEN 'entity' WHEN model IS NOT NULL THEN 'model' ELSE 'canonical' END AS scope FROM c),
+u AS (SELECT {_K}, from_kind, from_name, from_entity, 'term' AS to_kind, CASE WHEN len(found) = 1 THEN found[1][2] ELSE ref_item END AS to_name,
+  CASE WHEN len(found) = 1 THEN found[1][1] ELSE coalesce(ref_object, '') END AS to_entity, CASE from_kind WHEN 'term' THEN 'derives_from' ELSE 'aggregates' END AS edge_type,
+  CASE WHEN found IS NULL THEN 'missing' WHEN len(found) > 1 THEN 'ambiguous' ELSE scope END AS resolution, coalesce(len(found), 0) AS n_matches FROM b
+  UNION ALL SELECT {_K}, 'entity', entity_name, entity_name, 'physical_object', physical_object, '', 'binds_to', 'bound', 1 FROM fx_entity WHERE physical_object IS NOT NULL
+  UNION ALL SELECT {_K}, 'term', term_name, entity_name, 'physical_column', physical_column, entity_name, 'binds_to', 'bound', 1 FROM fx_term WHERE physical_column IS NOT NULL),
+e AS (SELECT {_K}, from_kind, from_name, from_entity, to_kind, to_name, to_entity, edge_type, min(resolution) AS resolution, max(n_matches) AS n_matches FROM u GROUP BY ALL),
+g AS (SELECT DISTINCT source_model || '|' || from_kind || '|' || from_entity || '|' || from_name AS src, source_model || '|' || to_kind || '|' || to_entity || '|' || to_name AS dst FROM e),
+w(src, dst) AS (SELECT src, dst FROM g UNION SELECT w.src, g.dst FROM w JOIN g ON g.src = w.dst),
+q AS (SELECT source_model, from_kind AS kind, from_name AS name, from_entity AS entity FROM e UNION SELECT source_model, to_kind, to_name, to_entity FROM e),
+nodes AS (SELECT *, source_model || '|' || kind || '|' || entity || '|' || name AS node FROM q) """
+
+
+@query("cat_lineage_edges", _LINEAGE + "SELECT source_model, from_kind, from_name, from_entity, to_kind, to_name, to_entity, edge_type, resolution, n_matches, substr(sha1(concat_ws(chr(1), from_kind, from_name, from_entity, to_kind, to_name, to_entity, edge_type)), 1, 24) AS edge_id FROM e")
+def _(spark, sf):
+    return _edges(spark, sf).drop("source_system", "from_id", "to_id")
+
+
+@query("cat_lineage_resolution", _LINEAGE + "SELECT edge_type, resolution, count(*) AS n_edges, CAST(sum(n_matches) AS BIGINT) AS n_matches FROM e GROUP BY 1, 2")
+def _(spark, sf):
+    return _edges(spark, sf).groupBy("edge_type", "resolution").agg(F.count("*").alias("n_edges"), F.sum("n_matches").alias("n_matches"))
+
+
+@query(
+    "cat_lineage_view",
+    _LINEAGE + "SELECT e.source_model, from_kind, from_name, to_name, to_entity, x.physical_object, CASE WHEN to_kind = 'physical_column' AND x.physical_object IS NOT NULL THEN x.physical_object || '.' || to_name END AS fully_qualified_target FROM e LEFT JOIN fx_entity x ON x.source_model = e.source_model AND x.entity_name = CASE WHEN to_entity = '' THEN from_entity ELSE to_entity END",
 )
+def _(spark, sf):
+    out = lin.lineage_view(_edges(spark, sf), fixture(spark, sf, "fx_entity"))
+    return out.select("source_model", "from_kind", "from_name", "to_name", "to_entity", "physical_object", "fully_qualified_target")
+
+
+@query(
+    "cat_lineage_origins",
+    _LINEAGE + ", h AS (SELECT a.node, CAST(0 AS INT) AS depth, a.node AS here FROM nodes a WHERE a.kind IN ('term', 'metric')), l AS (SELECT node, here, depth FROM h UNION SELECT l.node, g.dst, l.depth + 1 FROM l JOIN g ON g.src = l.here WHERE l.depth < 12) "
+    "SELECT f.source_model, f.kind AS from_kind, f.name AS from_name, f.entity AS from_entity, t.entity AS column_entity, t.name AS column_name, CAST(min(l.depth) AS INT) AS depth FROM l JOIN nodes f ON f.node = l.node JOIN nodes t ON t.node = l.here WHERE t.kind = 'physical_column' GROUP BY ALL",
+)
+def _(spark, sf):
+    """Columns that every metric and term comes from, through any number of calculated terms (no chain of these tables is longer than a dozen)."""
+    return lin.origins(_edges(spark, sf)).drop("source_system")
+
+
+@query(
+    "cat_lineage_breaks",
+    _LINEAGE + "SELECT n.source_model, n.kind, n.name, n.entity FROM nodes n WHERE n.kind IN ('metric', 'term') AND EXISTS (SELECT 1 FROM w JOIN nodes c ON c.node = w.dst WHERE w.src = n.node AND c.kind = 'physical_column' AND c.name = 'C_7')",
+)
+def _(spark, sf):
+    """What breaks when the columns named C_7 change."""
+    changed = fixture(spark, sf, "fx_term").filter("physical_column = 'C_7'").select(*cat.MODEL, F.col("entity_name").alias("entity"), F.col("physical_column").alias("name"))
+    return lin.breaks(_edges(spark, sf), changed).select("source_model", "kind", "name", "entity")
+
+
+_SAME = "s AS (SELECT a.src AS node, a.dst AS other FROM w a JOIN w b ON b.src = a.dst AND b.dst = a.src), k AS (SELECT n.node, count(DISTINCT other) FILTER (other <> n.node) + 1 AS size FROM nodes n LEFT JOIN s USING (node) GROUP BY 1)"
+
+
+@query("cat_lineage_cycles", _LINEAGE + f", {_SAME} SELECT source_model, kind, entity, name, size AS component_size FROM k JOIN nodes USING (node) WHERE size > 1")
+def _(spark, sf):
+    """Terms that are defined by way of themselves, with the size of their ring."""
+    edges = _edges(spark, sf)
+    found = lin.strong_components(lin.graph(edges))
+    rings = found.join(found.groupBy("component").agg(F.count("*").alias("component_size")).filter("component_size > 1"), "component")
+    return lin.nodes(edges).join(rings, "node").select("source_model", "kind", "entity", "name", "component_size")
 
 
-@query("cat_lineage_edges", _with("fx_entity", "fx_term", "fx_metric") + f", e AS ({_EDGES}) SELECT from_kind, from_name, edge_type, to_kind, to_name, source_model, substr(sha1(concat_ws(chr(1), source_system, source_model, from_kind, from_name, coalesce(from_entity, ''), edge_type, to_kind, to_name)), 1, 24) AS edge_id FROM e")
+@query("cat_lineage_reach", _LINEAGE + f", {_SAME} SELECT n.source_model, n.kind, n.entity, n.name, any_value(k.size) AS component_size, count(DISTINCT w.dst) FILTER (w.dst <> n.node) AS n_reached FROM nodes n JOIN k USING (node) LEFT JOIN w ON w.src = n.node GROUP BY 1, 2, 3, 4")
 def _(spark, sf):
-    return _edges(spark, sf).select("from_kind", "from_name", "edge_type", "to_kind", "to_name", "source_model", "edge_id")
+    """How many nodes each node of the lineage leads to."""
+    edges = _edges(spark, sf)
+    return lin.nodes(edges).join(lin.reach(lin.graph(edges)), "node").select("source_model", "kind", "entity", "name", "component_size", "n_reached")
 
 
-@query("cat_lineage_view", _with("fx_entity", "fx_term", "fx_metric") + f", e AS ({_EDGES}), v AS (SELECT *, CASE WHEN length(from_name) % 2 = 0 THEN from_entity ELSE '' END AS to_entity FROM e) SELECT v.source_model, from_kind, from_name, to_name, x.physical_object, CASE WHEN to_kind = 'physical_column' AND x.physical_object IS NOT NULL THEN x.physical_object || '.' || to_name END AS fully_qualified_target FROM v LEFT JOIN fx_entity x ON x.source_system = v.source_system AND x.source_model = v.source_model AND x.entity_name = coalesce(nullif(to_entity, ''), from_entity)")
+@query("cat_lineage_dependents", _LINEAGE + "SELECT n.source_model, n.entity, n.name, count(DISTINCT w.src) AS n_dependents FROM nodes n LEFT JOIN w ON w.dst = n.node WHERE n.kind = 'physical_column' GROUP BY 1, 2, 3")
 def _(spark, sf):
-    edges = _edges(spark, sf).withColumn("to_entity", F.when(F.length("from_name") % 2 == 0, F.col("from_entity")).otherwise(""))
-    return cat.lineage_view(edges, fixture(spark, sf, "fx_entity")).select("source_model", "from_kind", "from_name", "to_name", "physical_object", "fully_qualified_target")
+    """How many terms and metrics hang on each physical column."""
+    edges = _edges(spark, sf)
+    named = lin.nodes(edges).filter("kind = 'physical_column'")
+    return named.join(lin.reach(lin.graph(edges, backward=True)), "node").select("source_model", "entity", "name", F.col("n_reached").alias("n_dependents"))
 
 
 @query("cat_impact", "WITH RECURSIVE e AS (SELECT DISTINCT CAST(floor(p_partkey / 5) AS BIGINT) AS src, p_partkey AS dst FROM part WHERE p_partkey > 0), t AS (SELECT CAST(1 AS BIGINT) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM t JOIN e ON src = node ) SELECT node, CAST(min(depth) AS INT) AS depth FROM t GROUP BY 1")

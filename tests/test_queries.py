@@ -3,11 +3,11 @@
 import pytest
 from conftest import rows_of
 
-from metricspark.plans import queries_catalog, queries_core, queries_scalar, queries_shapes, queries_time, registry
+from metricspark.plans import queries_catalog, queries_core, queries_rules, queries_scalar, queries_shapes, queries_time, registry
 from metricspark.sources import queries_sources
 from metricspark.streaming import queries_streaming
 
-MODULES = (queries_core, queries_time, queries_shapes, queries_scalar, queries_catalog, queries_streaming, queries_sources)
+MODULES = (queries_core, queries_time, queries_shapes, queries_scalar, queries_catalog, queries_rules, queries_streaming, queries_sources)
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
