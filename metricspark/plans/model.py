@@ -53,7 +53,7 @@ AGGREGATES: dict[str, Callable[..., Column]] = {
     "corr": F.corr,
     "covar_pop": F.covar_pop,
     "covar_samp": F.covar_samp,
-    "list": lambda c, sep=",": F.listagg(c.cast("string"), F.lit(sep)),
+    "list": lambda c, *_: c,  # see Metric.column
 }
 
 _AGGREGATE_CALL = re.compile(r"\b(sum|avg|min|max|count|stddev\w*|var\w*|median|percentile\w*|corr|covar\w*)\s*\(", re.I)
@@ -64,7 +64,10 @@ class Metric:
     """A declared aggregate of an expression, or arithmetic over aggregates (``kind='expr'``).
 
     ``where`` restricts the rows the measure sees.  A composite must contain an
-    aggregate and neither ``count(*)`` nor a window.
+    aggregate and neither ``count(*)`` nor a window.  The arguments of ``list``
+    are the SQL to order by, without which it is refused, then the separator
+    (a comma) and ``"distinct"`` where each value is listed once; distinct values
+    are in their own order.
     """
 
     name: str
@@ -85,10 +88,19 @@ class Metric:
             raise ModelError(f"{self.name}: no aggregate named {self.kind!r}")
         elif self.expr.strip() == "*":
             raise ModelError(f"{self.name}: count a key, not rows")
+        elif self.kind == "list" and not self.args:
+            raise ModelError(f"{self.name}: a list needs an order")
 
     def column(self) -> Column:
         if self.kind == "expr":
             return F.expr(self.expr).alias(self.name)
+        if self.kind == "list":
+            order, sep, distinct = (*self.args, ",", "")[:3] if len(self.args) < 3 else self.args
+            value = f"cast({f'case when {self.where} then {self.expr} end' if self.where else self.expr} as string)"
+            if distinct:
+                return F.nullif(F.array_join(F.array_sort(F.collect_set(F.expr(value))), sep), F.lit("")).alias(self.name)
+            sep = sep.replace("\\", "\\\\").replace("'", "\\'")
+            return F.expr(f"listagg({value}, '{sep}') within group (order by {order})").alias(self.name)
         value = F.expr(self.expr)
         if self.where is not None:
             value = F.when(F.expr(self.where), value)
@@ -144,10 +156,41 @@ class Relationship:
     cardinality: str = "many_to_one"
     join_type: str | None = None
     active: bool = True
+    role: str | None = None
+
+    @property
+    def label(self) -> str:
+        """Name of the one side when it is reached through this relationship."""
+        return self.role or self.right
+
+
+@dataclass(frozen=True)
+class Node:
+    """A dataset in the role that a path of relationships gives it; the same dataset on two paths is two nodes."""
+
+    base: str
+    path: tuple[Relationship, ...] = ()
+
+    @property
+    def dataset(self) -> str:
+        return self.path[-1].right if self.path else self.base
+
+    def answers(self, tokens: Sequence[str]) -> bool:
+        """Whether the tokens name this node: the last one its role or dataset, the others steps on the way, in order."""
+        steps = [{self.base}] + [{r.label, r.right} for r in self.path]
+        if tokens[-1] not in steps[-1]:
+            return False
+        before = iter(steps[:-1])
+        return all(any(t in step for step in before) for t in tokens[:-1])
 
 
 class Model:
-    """Datasets and the tree of many-to-one joins between them."""
+    """Datasets and the many-to-one joins between them, unfolded from a base dataset into one node per path.
+
+    A field is named ``dataset.field`` where one path leads to the dataset, else
+    by a role or by steps on the way: ``ship_date.year``, ``customer.nation.name``
+    and ``supplier.nation.name`` in one query.
+    """
 
     def __init__(self, datasets: Sequence[Dataset], relationships: Sequence[Relationship] = ()):
         self.datasets = {d.name: d for d in datasets}
@@ -165,7 +208,7 @@ class Model:
         if r.cardinality == "one_to_many":
             if r.join_type is not None:
                 raise ModelError(f"{r.name}: a join type cannot be turned around")
-            r = Relationship(r.name, r.right, r.left, [(b, a) for a, b in r.on], "many_to_one", None, r.active)
+            r = Relationship(r.name, r.right, r.left, [(b, a) for a, b in r.on], "many_to_one", None, r.active, r.role)
         if r.cardinality not in ("many_to_one", "one_to_one"):
             raise ModelError(f"{r.name}: cardinality {r.cardinality!r}")
         one = {b.lower() for _, b in r.on}
@@ -175,48 +218,77 @@ class Model:
             raise ModelError(f"{r.name}: a one-to-one join needs both keys")
         return r
 
-    def _path(self, start: str, goal: str, via: Mapping[str, str]) -> list[Relationship]:
-        """The one path of relationships from a dataset to another."""
-        found: list[list[Relationship]] = []
+    def _nodes(self, base: str, via: Mapping[str, str], named: set[str]) -> list[Node]:
+        """All nodes that paths from ``base`` reach.
+
+        A relationship is followed if it is active, or if its role is among the
+        names a query uses; ``via`` picks one relationship for a dataset or role
+        and leaves the others out.
+        """
+        found: list[Node] = []
 
-        def walk(at: str, path: list[Relationship]) -> None:
-            if at == goal:
-                found.append(path)
-                return
+        def walk(node: Node) -> None:
+            found.append(node)
             for r in self.relationships:
-                wanted = via.get(r.right)
-                usable = r.name == wanted if wanted is not None else r.active
-                if r.left == at and usable:
-                    if any(r.right in (p.left, p.right) for p in path):
-                        raise ModelError(f"cycle through {r.right}")
-                    walk(r.right, [*path, r])
-
-        walk(start, [])
+                wanted = via.get(r.label, via.get(r.right))
+                usable = r.name == wanted if wanted is not None else r.active or r.role in named
+                if r.left != node.dataset or not usable:
+                    continue
+                if r.role is not None and r.role in {p.role for p in node.path}:
+                    continue  # a role is played once on a path
+                if r.role is None and r.right in {base, *(p.right for p in node.path)}:
+                    raise ModelError(f"cycle through {r.right}")
+                walk(Node(base, (*node.path, r)))
+
+        walk(Node(base))
+        return found
+
+    def _find(self, nodes: Sequence[Node], tokens: Sequence[str]) -> Node:
+        """The one node that the tokens name."""
+        found = [n for n in nodes if n.answers(tokens)]
         if len(found) != 1:
-            raise ModelError(f"{len(found)} paths from {start} to {goal}")
+            choice = f"; name one of {', '.join(sorted(self._name(nodes, n) for n in found))}" if found else ""
+            raise ModelError(f"{len(found)} paths from {nodes[0].base} to {'.'.join(tokens)}{choice}")
         return found[0]
 
+    @staticmethod
+    def _name(nodes: Sequence[Node], node: Node) -> str:
+        """The shortest name that only this node answers to."""
+        labels = [r.label for r in node.path] or [node.base]
+        tries = [labels[-1:]] + [[step, labels[-1]] for step in reversed(labels[:-1])] + [[node.base, *labels]]
+        return ".".join(next((t for t in tries if sum(n.answers(t) for n in nodes) == 1), labels))
+
+    def _unfolded(self, base: str, names: Sequence[str], via: Mapping[str, str] | None) -> tuple[list[Node], dict[str, Node]]:
+        """All nodes of a base, and the node that each dotted name stands for."""
+        if base not in self.datasets:
+            raise ModelError(f"unknown dataset {base}")
+        nodes = self._nodes(base, via or {}, {t for name in names for t in name.split(".")})
+        return nodes, {name: self._find(nodes, name.split(".")) for name in dict.fromkeys(names)}
+
     def joined(
         self, base: str, wanted: Sequence[str], roles: Sequence[str] | None = None, via: Mapping[str, str] | None = None
     ) -> DataFrame:
         """Base rows enriched with ``dataset.field`` columns; each base row stays once.
 
-        Columns are named ``dataset__field``; Catalyst prunes what is not used.
+        Columns are named ``dataset__field``, with the role or the steps that tell
+        the dataset apart where several paths reach it (``customer__nation__name``).
+        Catalyst prunes what is not used.
         """
+        nodes, named = self._unfolded(base, [w.rpartition(".")[0] or w for w in wanted], via)
         df = self.datasets[base].frame(roles)
         df = df.select(*[F.col(c).alias(f"{base}__{c}") for c in df.columns])
-        done = {base}
-        for name in dict.fromkeys(w.split(".")[0] for w in wanted):
-            if name not in self.datasets:
-                raise ModelError(f"unknown dataset {name}")
-            for r in self._path(base, name, via or {}):
-                if r.right in done:
+        prefix = {(): base}
+        for node in named.values():
+            for step in range(1, len(node.path) + 1):
+                path = node.path[:step]
+                r, names = path[-1], tuple(p.name for p in path)
+                if names in prefix:
                     continue
+                prefix[names] = self._name(nodes, Node(base, path)).replace(".", "__")
                 side = self.datasets[r.right].frame(roles)
-                side = side.select(*[F.col(c).alias(f"{r.right}__{c}") for c in side.columns])
-                on = [F.col(f"{r.left}__{a}") == F.col(f"{r.right}__{b}") for a, b in r.on]
+                side = side.select(*[F.col(c).alias(f"{prefix[names]}__{c}") for c in side.columns])
+                on = [F.col(f"{prefix[names[:-1]]}__{a}") == F.col(f"{prefix[names]}__{b}") for a, b in r.on]
                 df = df.join(side, on, "left")
-                done.add(r.right)
         return df
 
     def query(
@@ -232,13 +304,17 @@ class Model:
     ) -> DataFrame:
         """Metrics of one dataset by ``dataset.field`` dimensions, at exactly that grain.
 
-        ``where`` is over ``dataset__field`` columns.  ``limit`` without ``order``
-        is refused.
+        A dimension keeps its field's name; where another dimension or a field of
+        the metrics' dataset has it too, the columns are named ``dataset__field``.
+        ``where`` is over ``dataset__field`` columns, steps joined by two
+        underscores.  ``limit`` without ``order`` is refused.
         """
         owners = {m.split(".")[0] for m in metrics}
         if len(owners) != 1:
             raise ModelError("metrics of one dataset at a time")
         base = owners.pop()
+        if base not in self.datasets:
+            raise ModelError(f"unknown dataset {base}")
         declared = {m.name: m for m in self.datasets[base].metrics}
         chosen = []
         for m in metrics:
@@ -246,19 +322,29 @@ class Model:
             if name not in declared:
                 raise ModelError(f"{m} is not declared")
             chosen.append(declared[name])
-        touched = re.findall(r"\b(\w+)__\w+", where or "")
-        df = self.joined(base, [*dims, *(f"{t}.x" for t in touched if t in self.datasets)], roles, via)
+        labels = {*self.datasets, *(r.label for r in self.relationships)}
+        touched = [t.replace("__", ".") for t in re.findall(r"\b(\w+)__\w+", where or "") if labels.issuperset(t.split("__"))]
+        owned = [d.rpartition(".")[::2] for d in dims]
+        nodes, named = self._unfolded(base, [*(o for o, _ in owned), *touched], via)
+        prefix = {name: self._name(nodes, node).replace(".", "__") for name, node in named.items()}
+        df = self.joined(base, [f"{name}.x" for name in named], roles, via)
         if where is not None:
-            df = df.filter(where)
-        names = [d.split(".")[1] for d in dims]
+            spelled = lambda m: f"{prefix.get(m[1].replace('__', '.'), m[1])}__{m[2]}"
+            df = df.filter(re.sub(r"\b(\w+)__(\w+)", spelled, where))
         plain = {c: c.split("__", 1)[1] for c in df.columns if c.startswith(f"{base}__")}
-        for d, n in zip(dims, names, strict=True):
-            if f"{d.replace('.', '__')}" not in df.columns:
-                raise ModelError(f"unknown field {d}")
-            if n in plain.values() and not d.startswith(f"{base}."):
-                raise ModelError(f"{n} is a field of {base} too; rename it")
         columns = [F.col(c).alias(p) for c, p in plain.items()]
-        columns += [F.col(d.replace(".", "__")).alias(n) for d, n in zip(dims, names, strict=True) if not d.startswith(f"{base}.")]
+        names = []
+        for owner, name in owned:
+            column = f"{prefix[owner]}__{name}"
+            if column not in df.columns:
+                raise ModelError(f"unknown field {owner}.{name}")
+            mine = not named[owner].path
+            alone = sum(n == name for _, n in owned) == 1 and (mine or name not in plain.values())
+            names.append(name if alone or mine else column)
+            if not mine:
+                columns.append(F.col(column).alias(names[-1]))
+        if len(set(names)) < len(names):
+            raise ModelError("a dimension is named twice")
         out = df.select(*columns).groupBy(*names).agg(*[m.column() for m in chosen])
         if having is not None:
             out = out.filter(having)

@@ -114,6 +114,70 @@ def _(spark, sf):
     return m.query(["customer.n"], ["nation.nation"], via={"nation": "billing_nation"})
 
 
+def trade_model(spark: SparkSession, sf: str) -> Model:
+    """Line items with order and ship date on one calendar, and customers and suppliers on one table of nations."""
+    t = lambda n: table(spark, sf, n)
+    days = t("orders").selectExpr("to_date(o_orderdate) AS day").union(t("lineitem").selectExpr("to_date(l_shipdate)")).distinct()
+    many = lambda name, a, b, x, y, **more: Relationship(name, a, b, [(x, y)], **more)
+    return Model(
+        [
+            Dataset(
+                "lineitem",
+                t("lineitem"),
+                [Field("orderkey", "l_orderkey"), Field("suppkey", "l_suppkey"), Field("rev", REVENUE), Field("shipday", "to_date(l_shipdate)"), Field("name", "l_returnflag")],
+                metrics=[Metric("revenue", "sum", "rev"), Metric("n_lines", "count", "orderkey"), Metric("flags", "list", "name", args=("name", "|", "distinct"))],
+            ),
+            Dataset("orders", t("orders"), [Field("orderkey", "o_orderkey"), Field("custkey", "o_custkey"), Field("orderday", "to_date(o_orderdate)")], key=["orderkey"]),
+            Dataset("customer", t("customer"), [Field("custkey", "c_custkey"), Field("nationkey", "c_nationkey"), Field("name", "c_name")], key=["custkey"]),
+            Dataset("supplier", t("supplier"), [Field("suppkey", "s_suppkey"), Field("nationkey", "s_nationkey"), Field("name", "s_name")], key=["suppkey"]),
+            Dataset("nation", t("nation"), [Field("nationkey", "n_nationkey"), Field("regionkey", "n_regionkey"), Field("name", "n_name")], key=["nationkey"]),
+            Dataset("region", t("region"), [Field("regionkey", "r_regionkey"), Field("name", "r_name")], key=["regionkey"]),
+            Dataset("calendar", days, [Field("day"), Field("year", "year(day)"), Field("month", "month(day)")], key=["day"]),
+        ],
+        [
+            many("line_order", "lineitem", "orders", "orderkey", "orderkey"),
+            many("line_supplier", "lineitem", "supplier", "suppkey", "suppkey"),
+            many("order_customer", "orders", "customer", "custkey", "custkey"),
+            many("customer_nation", "customer", "nation", "nationkey", "nationkey"),
+            many("supplier_nation", "supplier", "nation", "nationkey", "nationkey"),
+            many("nation_region", "nation", "region", "regionkey", "regionkey"),
+            many("line_shipped", "lineitem", "calendar", "shipday", "day", role="ship_date"),
+            many("order_placed", "orders", "calendar", "orderday", "day", role="order_date"),
+        ],
+    )
+
+
+_TRADE = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation cn ON c_nationkey = cn.n_nationkey JOIN nation sn ON s_nationkey = sn.n_nationkey"
+
+
+@query("model_two_nations", f"SELECT cn.n_name AS customer__nation__name, sn.n_name AS supplier__nation__name, CAST(sum({REVENUE}) AS DOUBLE) AS revenue, count(*) AS n_lines FROM {_TRADE} GROUP BY 1, 2")
+def _(spark, sf):
+    """Trade between the nations of customers and of suppliers: one table in two roles."""
+    return money(trade_model(spark, sf).query(["lineitem.revenue", "lineitem.n_lines"], ["customer.nation.name", "supplier.nation.name"]), "revenue")
+
+
+@query("model_two_dates", f"SELECT year(o_orderdate) AS order_date__year, year(l_shipdate) AS ship_date__year, CAST(sum({REVENUE}) AS DOUBLE) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def _(spark, sf):
+    """Order year by ship year: one calendar in two roles."""
+    return money(trade_model(spark, sf).query(["lineitem.revenue"], ["order_date.year", "ship_date.year"]), "revenue")
+
+
+@query(
+    "model_foreign_trade",
+    f"SELECT cr.r_name AS customer__region__name, l_returnflag AS name, count(*) AS n_lines FROM {_TRADE} JOIN region cr ON cn.n_regionkey = cr.r_regionkey JOIN region sr ON sn.n_regionkey = sr.r_regionkey WHERE cr.r_name <> sr.r_name AND month(l_shipdate) <> month(o_orderdate) GROUP BY 1, 2",
+)
+def _(spark, sf):
+    """Lines that crossed regions, with both roles in the condition."""
+    m = trade_model(spark, sf)
+    return m.query(["lineitem.n_lines"], ["customer.region.name", "lineitem.name"], where="customer__region__name <> supplier__region__name and ship_date__month <> order_date__month")
+
+
+@query("model_ordered_list", "SELECT s_name AS supplier__name, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS flags FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1")
+def _(spark, sf):
+    """Return flags of each supplier, in order."""
+    return trade_model(spark, sf).query(["lineitem.flags"], ["supplier.name"])
+
+
 @query("model_composite_key_join", "SELECT o.y, count(*) AS n FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders) o LEFT JOIN (SELECT DISTINCT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders) c ON o.y = c.y AND o.m = c.m GROUP BY 1")
 def _(spark, sf):
     orders = table(spark, sf, "orders")

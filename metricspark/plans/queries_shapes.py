@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.operators import ranges as rng
 from metricspark.operators import sets, shapes, topk
 from metricspark.operators import windows as win
 from metricspark.plans.queries_core import PRICE, REVENUE, money
@@ -117,6 +118,43 @@ def _(spark, sf):
     return money(win.gap_series(rows, "y", side("F"), side("O"), clamp=True), "upper", "lower", "gap")
 
 
+_PEERS = (
+    "FROM orders o LEFT JOIN orders p ON p.o_custkey = o.o_custkey AND {condition} GROUP BY o.o_orderkey"
+)
+
+
+@query("win_peers_less", f"SELECT o.o_orderkey, count(p.o_orderkey) AS n, CAST(sum(CAST(p.o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total, max(p.o_totalprice) AS most {_PEERS.format(condition='p.o_totalprice < o.o_totalprice')}")
+def _(spark, sf):
+    """The cheaper orders of the same customer: how many, their sum and the dearest."""
+    rows = table(spark, sf, "orders").withColumn("price", F.expr(PRICE))
+    out = rng.peers(rows, ["o_custkey"], [rng.Span("o_totalprice", high="o_totalprice", high_open=True)], {"n": ("count", "o_orderkey"), "total": ("sum", "price"), "most": ("max", "o_totalprice")})
+    return money(out.select("o_orderkey", "n", "total", "most"), "total")
+
+
+@query("win_peers_between", "SELECT o.o_orderkey, count(p.o_orderkey) AS n, max(p.o_totalprice) AS most, min(p.o_custkey) AS least_customer FROM orders o LEFT JOIN orders p ON p.o_orderpriority = o.o_orderpriority AND p.o_totalprice BETWEEN o.o_totalprice - 500 AND o.o_totalprice + 250 GROUP BY o.o_orderkey")
+def _(spark, sf):
+    """Orders of the same priority whose price is near; the groups are a fifth of the table each."""
+    near = rng.Span("o_totalprice", "o_totalprice - 500", "o_totalprice + 250")
+    out = rng.peers(table(spark, sf, "orders"), ["o_orderpriority"], [near], {"n": ("count", "o_orderkey"), "most": ("max", "o_totalprice"), "least_customer": ("min", "o_custkey")})
+    return out.select("o_orderkey", "n", "most", "least_customer")
+
+
+@query("win_peers_two_columns", f"SELECT o.o_orderkey, count(p.o_orderkey) AS n, CAST(sum(CAST(p.o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total, max(p.o_totalprice) AS most {_PEERS.format(condition='p.o_orderdate < o.o_orderdate AND p.o_totalprice >= o.o_totalprice')}")
+def _(spark, sf):
+    """Earlier orders of the customer that cost at least as much."""
+    rows = table(spark, sf, "orders").withColumn("price", F.expr(PRICE))
+    spans = [rng.Span("o_orderdate", high="o_orderdate", high_open=True), rng.Span("o_totalprice", low="o_totalprice")]
+    out = rng.peers(rows, ["o_custkey"], spans, {"n": ("count", "o_orderkey"), "total": ("sum", "price"), "most": ("max", "o_totalprice")})
+    return money(out.select("o_orderkey", "n", "total", "most"), "total")
+
+
+@query("win_peers_dominated", "SELECT o.p_partkey, count(p.p_partkey) AS n, CAST(sum(p.p_size) AS BIGINT) AS sizes FROM part o LEFT JOIN part p ON p.p_size BETWEEN o.p_size - 3 AND o.p_size + 3 AND p.p_retailprice > o.p_retailprice - 20 AND p.p_retailprice <= o.p_retailprice GROUP BY o.p_partkey")
+def _(spark, sf):
+    """Parts of like size a little cheaper, over all parts: two spans with both ends and no group."""
+    spans = [rng.Span("p_size", "p_size - 3", "p_size + 3"), rng.Span("p_retailprice", "p_retailprice - 20", "p_retailprice", low_open=True)]
+    return rng.peers(table(spark, sf, "part"), [], spans, {"n": ("count", "p_partkey"), "sizes": ("sum", "p_size")}).select("p_partkey", "n", "sizes")
+
+
 @query("win_rows_before", "SELECT o_orderkey, (SELECT count(*) FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o_totalprice < o.o_totalprice) AS n_cheaper FROM orders o")
 def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", win.rows_before(["o_custkey"], F.col("o_totalprice")).cast("long").alias("n_cheaper"))
