@@ -95,7 +95,7 @@ class Metric:
         if self.kind == "expr":
             return F.expr(self.expr).alias(self.name)
         if self.kind == "list":
-            order, sep, distinct = (*self.args, ",", "")[:3] if len(self.args) < 3 else self.args
+            order, sep, distinct = (*self.args, *(",", "")[len(self.args) - 1 :])
             value = f"cast({f'case when {self.where} then {self.expr} end' if self.where else self.expr} as string)"
             if distinct:
                 return F.nullif(F.array_join(F.array_sort(F.collect_set(F.expr(value))), sep), F.lit("")).alias(self.name)
