@@ -33,7 +33,7 @@ from metricspark.llm.textops import hash_spans, mix64, slices, window_hashes, wo
 #: Words of the longest phrase, least occurrences of a candidate, percent of them that a longer phrase must cover, phrases per language.
 LONGEST, LEAST, COVERED, BEST = 4, 30, 80, 2000
 #: One window of words in so many ends a chunk.
-CHUNK_WORDS = 16
+CHUNK_WORDS = 32
 #: Bytes of chunks that are counted together.
 GROUP = 4 << 20
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
