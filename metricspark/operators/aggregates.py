@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from metricspark.operators.ranges import running
 from metricspark.operators.windows import value_ranks
 
 
@@ -44,15 +45,11 @@ def list_values(df: DataFrame, by: Sequence[str], value: str, sep: str = ",", or
     return one.groupBy(*by).agg(F.array_join(F.transform(pairs, lambda x: x.v), sep).alias("values"))
 
 
-def lod(df: DataFrame, metric: Column, fixed: Sequence[str], name: str, distinct: bool = False) -> DataFrame:
-    """A metric at a fixed level of detail on every row.
-
-    A window where one works; a distinct count is aggregated and joined back.
-    """
-    if not distinct:
-        return df.withColumn(name, metric.over(Window.partitionBy(*fixed)))
-    level = df.groupBy(*fixed).agg(metric.alias(name))
-    level = level.select(*[F.col(c).alias(f"lod_{c}") for c in fixed], name)
+def lod(df: DataFrame, metric: Column, fixed: Sequence[str], name: str) -> DataFrame:
+    """A metric at a fixed level of detail on every row: aggregated there and joined back."""
+    level = df.groupBy(*[F.col(c).alias(f"lod_{c}") for c in fixed]).agg(metric.alias(name))
+    if not fixed:
+        return df.join(F.broadcast(level), F.lit(True), "left")  # one row
     on = [F.col(c).eqNullSafe(F.col(f"lod_{c}")) for c in fixed]
     return df.join(level, on, "left").drop(*[f"lod_{c}" for c in fixed])
 
@@ -67,14 +64,43 @@ def exclude_level(dims: Sequence[str], exclude: Sequence[str]) -> list[str]:
     return [d for d in dims if d not in exclude]
 
 
-def aggregate_aware(sources: Sequence[DataFrame], dims: Sequence[str], measure: str, combine: Column) -> DataFrame:
+def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows with a number from 0 for each distinct value of a column, in the order of the values; null stays null."""
+    values = df.select(F.col(column).alias("value_")).filter("value_ is not null").distinct().withColumn("one_", F.lit(1).cast("long"))
+    numbered = running(values, [], [F.col("value_")], {name: ("sum", "one_")}).select("value_", (F.col(name) - 1).alias(name))
+    return df.join(numbered, F.col(column) == F.col("value_"), "left").drop("value_")
+
+
+def distinct_states(df: DataFrame, dims: Sequence[str], number: str, name: str) -> DataFrame:
+    """Which numbers occur in each cell: ``dims``, a range of numbers ``name_range`` and a bitmap ``name_bits`` over it.
+
+    States of cells merge exactly, so they serve every coarser level.  Numbers are
+    whole and not negative (:func:`dense_ids` makes them); dense ones fill the
+    bitmaps best.
+    """
+    return df.filter(F.col(number).isNotNull()).groupBy(*dims, F.bitmap_bucket_number(number).alias(f"{name}_range")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(f"{name}_bits"))
+
+
+def merged_distinct(states: DataFrame, sets: Sequence[Sequence[str]], name: str) -> DataFrame:
+    """Distinct counts of every grouping set from one table of states: dimensions, ``grouping_id`` and ``name``."""
+    dims, part = list(dict.fromkeys(c for s in sets for c in s)), f"{name}_range"
+    spread = states.groupingSets([[*map(F.col, s), F.col(part)] for s in sets], *map(F.col, [*dims, part]))
+    merged = spread.agg(F.grouping_id().alias("id_"), F.bitmap_or_agg(f"{name}_bits").alias("bits_"))
+    group = (F.shiftright("id_", 1)).cast("int").alias("grouping_id")  # without the bit of the range, which every set has
+    return merged.groupBy(*dims, group).agg(F.sum(F.bitmap_count("bits_")).alias(name))
+
+
+def aggregate_aware(sources: Sequence[DataFrame], dims: Sequence[str], measure: str, combine: Column | None = None) -> DataFrame:
     """Answer from the first, most aggregated source that has every requested column.
 
-    ``combine`` re-aggregates the measure, so it must be a sum, minimum or maximum.
+    ``combine`` re-aggregates the measure, so it must be a sum, minimum or
+    maximum; without it the measure is a distinct count and the sources hold its
+    states (:func:`distinct_states`).
     """
+    needed = {*dims, measure} if combine is not None else {*dims, f"{measure}_range", f"{measure}_bits"}
     for df in sources:
-        if {*dims, measure} <= set(df.columns):
-            return df.groupBy(*dims).agg(combine)
+        if needed <= set(df.columns):
+            return df.groupBy(*dims).agg(combine) if combine is not None else merged_distinct(df, [dims], measure).drop("grouping_id")
     raise ValueError("no source has all requested columns")
 
 

@@ -51,6 +51,35 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], values: M
     return joined.select(*df.columns, *out)
 
 
+def percentiles(df: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """``by`` and one double per entry of ``wanted``, which maps a name to ``(column, share)``: the interpolated percentile of a column.
+
+    All columns are counted by value in one pass and ranked in one sorted run, so
+    no buffer holds a group's values.  Nulls are left out; a group without values
+    has nulls.
+    """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    pairs = F.array(*[F.struct(F.lit(k).alias("metric"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns)])
+    keys = [f"by_{b}" for b in by]
+    spread = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.inline(pairs)).filter("v is not null")
+    counts = spread.groupBy(*keys, "metric", "v").agg(F.count("*").alias("c"))
+    ranked = running(counts, [*keys, "metric"], [F.col("v")], {"through": ("sum", "c")})
+    sizes = ranked.groupBy(*keys, "metric").agg(F.max("through").alias("n")).select(*[F.col(k).alias(f"of_{k}") for k in keys], F.col("metric").alias("of_metric"), "n")
+    same = [F.col("metric") == F.col("of_metric"), *[F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]]
+    placed = ranked.join(sizes, same)
+    out = []
+    for name, (c, share) in wanted.items():
+        at = F.lit(float(share)) * (F.col("n") - 1)
+        held = lambda r: (F.col("metric") == columns.index(c)) & (F.col("through") - F.col("c") <= r) & (r < F.col("through"))  # noqa: B023, E731
+        low, high = (F.max(F.when(held(f(at)), F.col("v"))) for f in (F.floor, F.ceil))
+        part = F.max(F.when(F.col("metric") == columns.index(c), at - F.floor(at)))
+        out.append((low * (1 - part) + high * part).alias(name))
+    found = placed.groupBy(*keys).agg(*out)
+    groups = df.groupBy(*[F.col(b).alias(f"all_{b}") for b in by]).agg(F.count("*").alias("rows_"))
+    joined = groups.join(found, [F.col(f"all_{b}").eqNullSafe(F.col(k)) for b, k in zip(by, keys, strict=True)] or F.lit(True), "left")
+    return joined.select(*[F.col(f"all_{b}").alias(b) for b in by], *wanted)
+
+
 @dataclass(frozen=True)
 class Span:
     """A peer's ``column`` from ``low`` to ``high``, each SQL over the row itself or left out; ends belong to it unless open."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +34,9 @@ def reporting_set(df: DataFrame, dims: Sequence[str], *metrics: Column) -> DataF
 
 
 def hierarchy_nodes(df: DataFrame, levels: Sequence[str], value: str, sep: str = " / ") -> DataFrame:
-    """One row per node at every depth: ``id, parent, label, depth, value``.
+    """One row per node at every depth: ``id, parent, label, depth, value`` and the labels from the top down, ``path``.
 
+    Ids join the labels by ``sep`` and are for display; the path tells nodes apart.
     A null top level is dropped; a null deeper level ends the path there.
     """
     rows = df.filter(F.col(levels[0]).isNotNull())
@@ -56,6 +57,7 @@ def _nodes(rows: DataFrame, sep: str) -> DataFrame:
         F.element_at("p", -1).alias("label"),
         F.size("p").alias("depth"),
         "value",
+        F.col("p").alias("path"),
     )
 
 
@@ -69,9 +71,9 @@ def hierarchy_tree(df: DataFrame, levels: Sequence[str], value: str, sep: str =
 
 def node_share(nodes: DataFrame) -> DataFrame:
     """Each node's share of its parent and of the top level's total."""
-    parents = nodes.select(F.col("id").alias("up"), F.col("value").alias("up_value"))
+    parents = nodes.select(F.col("path").alias("up"), F.col("value").alias("up_value"))
     total = nodes.filter("depth = 1").agg(F.sum("value").alias("all_value"))
-    joined = nodes.join(parents, F.col("parent") == F.col("up"), "left").join(F.broadcast(total), F.lit(True), "left")  # one row
+    joined = nodes.join(parents, F.expr("slice(path, 1, size(path) - 1)") == F.col("up"), "left").join(F.broadcast(total), F.lit(True), "left")  # one row
     whole = F.coalesce("up_value", "all_value")
     share = lambda x: F.when(x != 0, F.col("value") / x)
     return joined.select(*nodes.columns, share(whole).alias("share_of_parent"), share(F.col("all_value")).alias("share_of_total"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.operators.predicates import secure
+from metricspark.operators.ranges import percentiles
 
 
 class ModelError(ValueError):
@@ -67,7 +68,8 @@ class Metric:
     aggregate and neither ``count(*)`` nor a window.  The arguments of ``list``
     are the SQL to order by, without which it is refused, then the separator
     (a comma) and ``"distinct"`` where each value is listed once; distinct values
-    are in their own order.
+    are in their own order.  The argument of ``percentile`` is a share; medians
+    and percentiles interpolate between values.
     """
 
     name: str
@@ -184,6 +186,22 @@ class Node:
         return all(any(t in step for step in before) for t in tokens[:-1])
 
 
+def _aggregated(rows: DataFrame, by: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
+    """Metrics at a grain; medians and percentiles are ranked in sorted runs and joined to the others."""
+    ranked = {m.name: m for m in metrics if m.kind in ("median", "percentile")}
+    if not ranked:
+        return rows.groupBy(*by).agg(*[m.column() for m in metrics])
+    value = lambda m: f"case when {m.where} then {m.expr} end" if m.where else m.expr
+    sources = {v: f"ranked_{k}" for k, v in enumerate(dict.fromkeys(value(m) for m in ranked.values()))}
+    rows = rows.withColumns({c: F.expr(v) for v, c in sources.items()})
+    out = percentiles(rows, by, {m.name: (sources[value(m)], 0.5 if m.kind == "median" else m.args[0]) for m in ranked.values()})
+    others = [m.column() for m in metrics if m.name not in ranked]
+    if others:
+        side = rows.groupBy(*[F.col(b).alias(f"by_{b}") for b in by]).agg(*others)
+        out = out.join(side, [F.col(b).eqNullSafe(F.col(f"by_{b}")) for b in by] or F.lit(True))
+    return out.select(*by, *[m.name for m in metrics])
+
+
 class Model:
     """Datasets and the many-to-one joins between them, unfolded from a base dataset into one node per path.
 
@@ -345,7 +363,7 @@ class Model:
                 columns.append(F.col(column).alias(names[-1]))
         if len(set(names)) < len(names):
             raise ModelError("a dimension is named twice")
-        out = df.select(*columns).groupBy(*names).agg(*[m.column() for m in chosen])
+        out = _aggregated(df.select(*columns), names, chosen)
         if having is not None:
             out = out.filter(having)
         if order is not None:

@@ -370,7 +370,7 @@ def _(spark, sf):
 
 @query("agg_lod_distinct", "SELECT o_orderkey, n_days FROM orders JOIN (SELECT o_custkey AS k, count(DISTINCT CAST(o_orderdate AS DATE)) AS n_days FROM orders GROUP BY 1) ON o_custkey = k")
 def _(spark, sf):
-    return agg.lod(table(spark, sf, "orders"), F.count_distinct(F.to_date("o_orderdate")), ["o_custkey"], "n_days", distinct=True).select("o_orderkey", "n_days")
+    return agg.lod(table(spark, sf, "orders"), F.count_distinct(F.to_date("o_orderdate")), ["o_custkey"], "n_days").select("o_orderkey", "n_days")
 
 
 @query("agg_aggregate_aware", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
@@ -470,7 +470,7 @@ _NODES = (
 
 @query("rol_hierarchy_nodes", _NODES)
 def _(spark, sf):
-    return money(rol.hierarchy_nodes(_levels(spark, sf), ["a", "b", "c"], "v"), "value")
+    return money(rol.hierarchy_nodes(_levels(spark, sf), ["a", "b", "c"], "v"), "value").drop("path")
 
 
 @query(
@@ -480,15 +480,69 @@ def _(spark, sf):
     "SELECT id, parent, label, depth, CAST(v AS DOUBLE) AS value, row_number() OVER (PARTITION BY parent, depth ORDER BY v DESC, label) AS child_rank FROM m",
 )
 def _(spark, sf):
-    return money(rol.hierarchy_tree(_levels(spark, sf), ["a", "b", "c"], "v"), "value").withColumn("child_rank", F.col("child_rank").cast("long"))
+    return money(rol.hierarchy_tree(_levels(spark, sf), ["a", "b", "c"], "v"), "value").drop("path").withColumn("child_rank", F.col("child_rank").cast("long"))
 
 
-@query("rol_node_share", f"WITH n AS MATERIALIZED ({_NODES}), g AS MATERIALIZED (SELECT sum(value) AS total FROM n WHERE depth = 1) SELECT n.*, round(n.value / coalesce(p.value, total), 8) AS share_of_parent, round(n.value / total, 8) AS share_of_total FROM n CROSS JOIN g LEFT JOIN n p ON n.parent = p.id")
+@query(
+    "rol_node_share",
+    f"WITH r AS ({_LEVELS}), x AS (SELECT a, CAST(sum(v) AS DOUBLE) AS v FROM r GROUP BY a), y AS (SELECT a, b, CAST(sum(v) AS DOUBLE) AS v FROM r WHERE b IS NOT NULL GROUP BY a, b), "
+    "z AS (SELECT a, b, c, CAST(sum(v) AS DOUBLE) AS v FROM r WHERE b IS NOT NULL AND c IS NOT NULL GROUP BY a, b, c), t AS (SELECT a, v, sum(v) OVER () AS total FROM x) "
+    "SELECT a AS id, '' AS parent, a AS label, 1 AS depth, v AS value, round(v / total, 8) AS share_of_parent, round(v / total, 8) AS share_of_total FROM t "
+    "UNION ALL SELECT y.a || ' / ' || y.b, y.a, y.b, 2, y.v, round(y.v / t.v, 8), round(y.v / total, 8) FROM y JOIN t ON y.a = t.a "
+    "UNION ALL SELECT z.a || ' / ' || z.b || ' / ' || z.c, z.a || ' / ' || z.b, z.c, 3, z.v, round(z.v / y.v, 8), round(z.v / total, 8) FROM z JOIN y ON z.a = y.a AND z.b = y.b JOIN t ON z.a = t.a",
+)
 def _(spark, sf):
-    out = rol.node_share(money(rol.hierarchy_nodes(_levels(spark, sf), ["a", "b", "c"], "v"), "value"))
+    out = rol.node_share(money(rol.hierarchy_nodes(_levels(spark, sf), ["a", "b", "c"], "v"), "value")).drop("path")
     return out.withColumns({c: F.round(c, 8) for c in ("share_of_parent", "share_of_total")})
 
 
+_CELLS = ("o_orderstatus", "o_orderpriority")
+
+
+def _customer_states(spark, sf) -> DataFrame:
+    """Who bought, by status, priority and year, as bitmaps of customer numbers."""
+    orders = agg.dense_ids(table(spark, sf, "orders").withColumn("year", F.year("o_orderdate")), "o_custkey", "number")
+    return agg.distinct_states(orders, [*_CELLS, "year"], "number", "customers")
+
+
+@query("rol_distinct_states", "SELECT o_orderstatus, o_orderpriority, CAST(grouping(o_orderstatus) * 2 + grouping(o_orderpriority) AS INT) AS grouping_id, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+def _(spark, sf):
+    """Distinct customers on three levels from one table of states."""
+    return agg.merged_distinct(_customer_states(spark, sf), [[], _CELLS[:1], _CELLS], "customers")
+
+
+@query("agg_aware_distinct", "SELECT year(o_orderdate) AS year, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1")
+def _(spark, sf):
+    """Distinct customers by year, answered from the states."""
+    states = _customer_states(spark, sf)
+    coarse = states.groupBy("o_orderstatus", "customers_range").agg(F.bitmap_or_agg("customers_bits").alias("customers_bits"))
+    return agg.aggregate_aware([coarse, states], ["year"], "customers")
+
+
+@query(
+    "model_percentiles",
+    f"SELECT l_returnflag AS returnflag, count(l_orderkey) AS n_lines, round(median(l_extendedprice), 6) AS mid_price, round(quantile_cont(l_extendedprice, 0.99), 6) AS high_price, round(median(CASE WHEN l_discount > 0.05 THEN l_quantity END), 6) AS mid_discounted FROM lineitem GROUP BY 1",
+)
+def _(spark, sf):
+    """Exact medians and percentiles of several measures beside a count."""
+    return _ranked_lines(spark, sf, ["lineitem.returnflag"])
+
+
+@query("model_percentiles_all", "SELECT count(l_orderkey) AS n_lines, round(median(l_extendedprice), 6) AS mid_price, round(quantile_cont(l_extendedprice, 0.99), 6) AS high_price, round(median(CASE WHEN l_discount > 0.05 THEN l_quantity END), 6) AS mid_discounted FROM lineitem")
+def _(spark, sf):
+    """The same over all line items at once."""
+    return _ranked_lines(spark, sf, [])
+
+
+def _ranked_lines(spark, sf, dims) -> DataFrame:
+    ds = Dataset(
+        "lineitem", table(spark, sf, "lineitem"), [Field("orderkey", "l_orderkey"), Field("returnflag", "l_returnflag"), Field("price", "l_extendedprice"), Field("quantity", "l_quantity"), Field("discount", "l_discount")],
+        metrics=[Metric("n_lines", "count", "orderkey"), Metric("mid_price", "median", "price"), Metric("high_price", "percentile", "price", args=(0.99,)), Metric("mid_discounted", "median", "quantity", where="discount > 0.05")],
+    )
+    out = Model([ds]).query([f"lineitem.{m}" for m in ("n_lines", "mid_price", "high_price", "mid_discounted")], dims)
+    return out.withColumns({c: F.round(c, 6) for c in ("mid_price", "high_price", "mid_discounted")})
+
+
 _BAL = "SELECT user_id, event_type, CAST(ts AS DATE) AS d, max(cast(value as decimal(14,2))) AS balance FROM events GROUP BY ALL"
 
 

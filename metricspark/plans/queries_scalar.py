@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.functions import columns as col
+from metricspark.operators import workdays
 from metricspark.plans.registry import query, table
 
 
@@ -137,10 +139,49 @@ def _(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.make_date(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1)).cast("string").alias("made"), col.is_date(text).alias("is_date"))
 
 
-@query("scl_business_days", "SELECT o_orderkey, (SELECT count(*) FROM generate_series(CAST(o_orderdate AS DATE), DATE '2001-12-31', INTERVAL 1 DAY) g(d) WHERE isodow(d) < 6 AND d < DATE '2001-12-31') AS days FROM orders WHERE o_orderkey % 10 = 0")
+_DAYS = "g AS (SELECT CAST(d AS DATE) AS d FROM generate_series(DATE '1990-01-01', DATE '2002-12-31', INTERVAL 1 DAY) t(d))"
+
+
+@query("scl_business_days", f"WITH {_DAYS}, c AS (SELECT d, sum(CASE WHEN isodow(d) < 6 THEN 1 ELSE 0 END) OVER (ORDER BY d DESC) AS n FROM g WHERE d < DATE '2001-12-31') SELECT o_orderkey, CAST(n AS BIGINT) AS days FROM orders JOIN c ON c.d = CAST(o_orderdate AS DATE)")
+def _(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", col.business_days(F.to_date("o_orderdate"), F.lit("2001-12-31").cast("date")).cast("long").alias("days"))
+
+
+# Two calendars: one rests on the first of each month, the other when an order of over 400,000 came in.
+_WORKDAYS = (
+    f"WITH {_DAYS}, h AS (SELECT 'monthly' AS cal, d FROM g WHERE day(d) = 1 UNION SELECT 'busy', CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 400000), "
+    "w AS (SELECT k.cal, g.d FROM (SELECT unnest(['monthly', 'busy']) AS cal) k, g WHERE isodow(d) < 6 AND NOT EXISTS (SELECT 1 FROM h WHERE h.cal = k.cal AND h.d = g.d)), "
+    "o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'monthly' ELSE 'busy' END AS cal, CAST(o_orderdate AS DATE) AS a, CAST(o_custkey % 41 - 20 AS INT) AS n FROM orders), "
+    "s AS (SELECT o.*, a + n AS b FROM o) "
+)
+
+
+def _order_days(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Orders with their calendar, a day and a number, and the two calendars."""
+    orders = table(spark, sf, "orders")
+    rows = orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "monthly").otherwise("busy").alias("cal"), F.to_date("o_orderdate").alias("a"), (F.col("o_custkey") % 41 - 20).cast("int").alias("n"))
+    spans = spark.createDataFrame([("monthly", "1990-01-01", "2002-12-31"), ("busy", "1990-01-01", "2002-12-31")], "calendar string, first_day string, last_day string")
+    firsts = spans.filter("calendar = 'monthly'").select("calendar", F.explode(F.expr("sequence(date'1990-01-01', date'2002-12-31', interval 1 month)")).alias("day"))
+    busy = orders.filter("o_totalprice > 400000").select(F.lit("busy").alias("calendar"), F.to_date("o_orderdate").alias("day"))
+    return rows.withColumn("b", F.date_add("a", F.col("n"))), workdays.index(spans, firsts.unionByName(busy))
+
+
+@query("scl_workdays_between", _WORKDAYS + "SELECT o_orderkey, CASE WHEN b >= a THEN (SELECT count(*) FROM w WHERE w.cal = s.cal AND w.d >= a AND w.d < b) ELSE -(SELECT count(*) FROM w WHERE w.cal = s.cal AND w.d >= b AND w.d < a) END AS workdays FROM s")
+def _(spark, sf):
+    """Working days of each order's calendar between two days, either of which may come first."""
+    rows, days = _order_days(spark, sf)
+    return workdays.between(rows, days, "cal", "a", "b").select("o_orderkey", F.col("workdays").cast("long").alias("workdays"))
+
+
+@query(
+    "scl_add_workdays",
+    _WORKDAYS + ", r AS (SELECT cal, d, row_number() OVER (PARTITION BY cal ORDER BY d) AS k FROM w), p AS (SELECT s.*, (SELECT count(*) FROM w WHERE w.cal = s.cal AND w.d < a) AS before, (SELECT count(*) FROM w WHERE w.cal = s.cal AND w.d <= a) AS through FROM s) "
+    "SELECT o_orderkey, CAST(r.d AS VARCHAR) AS workday FROM p JOIN r ON r.cal = p.cal AND r.k = CASE WHEN n > 0 THEN through + n ELSE before + n + 1 END",
+)
 def _(spark, sf):
-    rows = table(spark, sf, "orders").filter("o_orderkey % 10 = 0")
-    return rows.select("o_orderkey", col.business_days(F.to_date("o_orderdate"), F.lit("2001-12-31").cast("date")).cast("long").alias("days"))
+    """The day so many working days later or earlier."""
+    rows, days = _order_days(spark, sf)
+    return workdays.add(rows, days, "cal", "a", "n").select("o_orderkey", F.col("workday").cast("string").alias("workday"))
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from metricspark.lineage import shared_folder
 from metricspark.operators.predicates import cross_filter
 from metricspark.plans.registry import query, table
-from metricspark.streaming.upserts import latest_snapshot, upsert_batches
+from metricspark.streaming.upserts import current, upsert_batches
 
 
 def scratch(spark, name: str) -> str:
@@ -30,4 +30,5 @@ def _(spark, sf):
         .start()
     )
     run.awaitTermination()
-    return latest_snapshot(spark, root)
+    return current(spark, root, initial.schema)
+
