@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.operators.topk import first_rows
+
 
 def matrix(df: DataFrame, row: str, col: str, value: str, columns: Sequence) -> DataFrame:
     """Sums by row and column with the row's total; a missing cell stays null."""
@@ -45,9 +47,10 @@ def waterfall(df: DataFrame, category: str, value: str, year: str, month: str, f
     side = lambda y: F.coalesce(F.sum(F.when(F.col("year_") == F.col(y), F.col("sum_"))), F.lit(0))
     sums = rows.groupBy(F.col(category).cast("string").alias("label")).agg(side("y0").alias("v0"), side("y1").alias("v1"))
     sums = sums.withColumn("delta", F.col("v1") - F.col("v0"))
-    one = Window.partitionBy(F.lit(0))  # one row per category
-    sums = sums.withColumn("rn", F.row_number().over(one.orderBy(F.desc(F.abs("delta")), "label"))).withColumn("n", F.count("*").over(one))
-    tail = (F.col("n") > fold_above) & (F.col("rn") >= fold_above)
+    head = first_rows(sums, fold_above, [F.desc(F.abs("delta")), F.col("label")]).select(F.col("label").alias("head_label"), "rn")
+    size = sums.agg(F.count("*").alias("n"))
+    sums = sums.join(F.broadcast(head), F.col("label").eqNullSafe(F.col("head_label")), "left").join(F.broadcast(size), F.lit(True))  # fold_above rows and one
+    tail = (F.col("n") > fold_above) & (F.col("rn").isNull() | (F.col("rn") >= fold_above))
     other = F.concat(F.lit("Other ("), (F.col("n") - (fold_above - 1)).cast("string"), F.lit(")"))
     steps = (
         sums.withColumn("step", F.when(tail, F.lit(fold_above)).otherwise(F.col("rn")))
@@ -58,6 +61,7 @@ def waterfall(df: DataFrame, category: str, value: str, year: str, month: str, f
     ends = sums.agg(F.sum("v0").alias("t0"), F.sum("v1").alias("t1"), F.count("*").alias("n"))
     first = ends.select(F.lit(0).alias("step"), F.lit("(prior)").alias("label"), F.col("t0").alias("delta"))
     walk = first.unionByName(steps.select(F.col("step").cast("int"), "label", "delta"))
+    one = Window.partitionBy(F.lit(0))  # fold_above + 1 steps
     walk = walk.withColumn("level", F.sum("delta").over(one.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)))
     walk = walk.withColumn("base", F.when(F.col("step") == 0, F.col("delta") * 0).otherwise(F.col("level") - F.col("delta")))
     last = ends.select(

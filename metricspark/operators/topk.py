@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
+def first_rows(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    """The first ``n`` rows of the whole with their number ``rn``; each task sends ``n`` rows at most."""
+    head = df.orderBy(*order).limit(n)
+    return head.withColumn("rn", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+
+
 def fold_labels(df: DataFrame, label: str, value: str, max_categories: int = 8) -> DataFrame:
     """``fold_key, folded``: each label's display label, the tail of a long list being ``Other (n)``."""
     sums = df.groupBy(F.col(label).alias("fold_key")).agg(F.sum(value).alias("total"))
-    one = Window.partitionBy(F.lit(0))  # aggregated rows: one per category
-    ranked = sums.withColumn("rn", F.row_number().over(one.orderBy(F.desc_nulls_last("total"), "fold_key"))).withColumn("n", F.count("*").over(one))
-    tail = (F.col("n") > max_categories) & (F.col("rn") >= max_categories)
+    head = first_rows(sums, max_categories, [F.desc_nulls_last("total"), F.col("fold_key")]).select(F.col("fold_key").alias("head_key"), "rn")
+    size = sums.agg(F.count("*").alias("n"))
+    placed = sums.join(F.broadcast(head), F.col("fold_key").eqNullSafe(F.col("head_key")), "left").join(F.broadcast(size), F.lit(True))  # max_categories rows and one
+    tail = (F.col("n") > max_categories) & (F.col("rn").isNull() | (F.col("rn") >= max_categories))
     other = F.concat(F.lit("Other ("), (F.col("n") - (max_categories - 1)).cast("string"), F.lit(")"))
-    return ranked.select("fold_key", F.when(tail, other).otherwise(F.col("fold_key").cast("string")).alias("folded"))
+    return placed.select("fold_key", F.when(tail, other).otherwise(F.col("fold_key").cast("string")).alias("folded"))
 
 
 def ranked(df: DataFrame, label: str, value: str) -> DataFrame:

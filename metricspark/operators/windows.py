@@ -1,17 +1,19 @@
 """Ranking, running and share windows.
 
-Windows over groups partition by the group.  Those over a whole result run on
-aggregated rows; ``pareto`` has a range-partitioned form for many categories.
+Windows over groups partition by the group.  What runs over a whole result or over
+large groups (``pareto``, ``value_ranks``, ``prefix_sums``) goes through sorted
+ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+
+from metricspark.lineage import cut
+from metricspark.operators.ranges import running as running_in
 
 
 def over(by: Sequence[str], *order: Column):
@@ -106,71 +108,34 @@ def pareto(df: DataFrame, label: str, value: str, top_n: int = 20, mark: float =
     Percentages are of the whole population, which is summed before the top rows
     are cut; there are no rows if the grand total is not positive.
     """
-    sums = df.groupBy(label).agg(F.sum(value).alias("value"))
-    w = over((), F.desc("value"), F.col(label))
-    ranked = sums.select(
-        label,
-        "value",
-        F.row_number().over(w).alias("rank"),
-        F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("running"),
-        F.sum("value").over(over(())).alias("grand"),
-    ).filter("grand > 0")
-    pct = F.col("running") * 100.0 / F.col("grand")
-    ranked = ranked.withColumn("cumulative_pct", pct).withColumn(
-        "n_to_mark", F.min(F.when(F.col("cumulative_pct") >= mark, F.col("rank"))).over(over(()))
-    )
-    return ranked.filter(F.col("rank") <= top_n).select(label, "value", "rank", "cumulative_pct", "n_to_mark")
+    sums = df.groupBy(label).agg(F.sum(value).alias("value")).withColumn("one", F.lit(1).cast("long"))
+    ranked = cut(running_in(sums, [], [F.desc("value"), F.col(label)], {"running": ("sum", "value"), "rank": ("sum", "one")}))
+    grand = ranked.agg(F.sum("value").alias("grand"))
+    shares = ranked.join(F.broadcast(grand), F.lit(True)).filter("grand > 0").withColumn("cumulative_pct", F.col("running") * 100.0 / F.col("grand"))  # one row
+    reached = shares.filter(F.col("cumulative_pct") >= mark).agg(F.min("rank").alias("n_to_mark"))
+    top = shares.filter(F.col("rank") <= top_n).join(F.broadcast(reached), F.lit(True), "left")  # one row
+    return top.select(label, "value", "rank", "cumulative_pct", "n_to_mark")
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """Each group's distinct values ``v`` with their rows ``c``, the rows below them ``before`` and the group's rows ``n``.
 
-    Equal values are counted first.  The distinct ones are dealt into ranges cut
-    at approximate quantiles, whose prefix sums (at most ``buckets`` rows a group)
-    start the windows inside the ranges, so no task holds a whole group.  Null
-    values are left out.
+    Equal values are counted first and the distinct ones ranked in sorted ranges,
+    so no task holds a whole group.  Null values are left out.
     """
     values = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    cuts = values.agg(F.percentile_approx("v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)])).alias("cuts"))
-    placed = values.join(F.broadcast(cuts), F.lit(True), "left").withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("v")))).drop("cuts")  # one row
-    group = over(by)
-    earlier = over(by, F.col("range")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(*by, "range").agg(F.sum("c").alias("rows"))
-    starts = totals.select(*by, "range", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first"), F.sum("rows").over(group).alias("n"))
-    starts = starts.select(*[F.col(b).alias(f"range_{b}") for b in by], F.col("range").alias("range_"), "first", "n")
-    same = (F.col("range") == F.col("range_")) & reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"range_{b}")) for b in by], F.lit(True))
-    inside = Window.partitionBy(*by, "range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.withColumn("through", F.sum("c").over(inside)).join(starts, same)
-    return ranked.select(*by, "v", "c", (F.col("first") + F.col("through") - F.col("c")).alias("before"), "n")
-
-
-def prefix_sums(df: DataFrame, value: str, tie: str, buckets: int = 1024, tie_buckets: int = 256) -> DataFrame:
-    """``rank`` and ``running`` by value descending, tie ascending, without a single-task window.
-
-    Value ranges come from approximate quantiles.  A value that is a quantile
-    itself, as every frequent one is, has a range of its own, which quantiles of a
-    numeric tie split further.  A first aggregate gives each range's rows and
-    total, whose prefix sums (one row per range) start the windows inside the
-    ranges.
-    """
-    quantiles = lambda c, n: F.percentile_approx(F.col(c).cast("double"), F.array(*[F.lit(i / n) for i in range(1, n)]))
-    splits = isinstance(df.schema[tie].dataType, NumericType)
-    cuts = df.agg(quantiles(value, buckets).alias("cuts"), (quantiles(tie, tie_buckets) if splits else F.array().cast("array<double>")).alias("tie_cuts"))
-    v, t = F.col(value).cast("double"), F.col(tie).cast("double") if splits else F.lit(0.0)
-    frequent = F.array_contains("cuts", v)
-    placed = (
-        df.join(F.broadcast(cuts), F.lit(True), "left")  # one row
-        .withColumn("range", 2 * F.size(F.filter("cuts", lambda c: c < v)) + frequent.cast("int"))
-        .withColumn("part", F.when(frequent, F.size(F.filter("tie_cuts", lambda c: c < t))).otherwise(0))
-        .drop("cuts", "tie_cuts")
-    )
-    totals = placed.groupBy("range", "part").agg(F.count("*").alias("n"), F.sum(value).alias("s"))
-    before = over((), F.desc("range"), F.asc("part")).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("range", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s0"))
-    inside = Window.partitionBy("range", "part").orderBy(F.desc(value), F.col(tie))
-    ranked = placed.withColumn("r", F.row_number().over(inside)).withColumn("s", F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = ranked.join(F.broadcast(starts), ["range", "part"])
-    return joined.select(*df.columns, (F.col("n0") + F.col("r")).alias("rank"), (F.col("s0") + F.col("s")).alias("running"))
+    ranked = running_in(values, by, [F.col("v")], {"through": ("sum", "c")}, parts)
+    sizes = values.groupBy(*[F.col(b).alias(f"size_{b}") for b in by]).agg(F.sum("c").alias("n"))
+    same = [F.col(b).eqNullSafe(F.col(f"size_{b}")) for b in by]
+    joined = ranked.join(sizes, same) if by else ranked.join(F.broadcast(sizes), F.lit(True))  # one row
+    return joined.select(*by, "v", "c", (F.col("through") - F.col("c")).alias("before"), "n")
+
+
+def prefix_sums(df: DataFrame, value: str, tie: str, parts: int | None = None) -> DataFrame:
+    """``rank`` and ``running`` by value descending, tie ascending, without a single-task window."""
+    rows = df.withColumn("one_", F.lit(1).cast("long"))
+    ranked = running_in(rows, [], [F.desc(value), F.col(tie)], {"rank": ("sum", "one_"), "running": ("sum", value)}, parts)
+    return ranked.drop("one_")
 
 
 def mix(df: DataFrame, x: str, series: str, value: str, max_categories: int = 8) -> DataFrame:

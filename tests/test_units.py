@@ -293,7 +293,7 @@ def test_ranks_of_frequent_values(spark):
     ranges = windows.prefix_sums(spark.createDataFrame(rows[:500], "k long, v double"), "v", "k", 16)
     assert ranges.agg(F.max("rank"), F.max("running")).first() == (500, 2500.0)
     values = sorted(v for _, v in rows)
-    for r in windows.value_ranks(df, "v", buckets=8).collect():
+    for r in windows.value_ranks(df, "v", parts=8).collect():
         assert (r.before, r.c, r.n) == (values.index(r.v), values.count(r.v), 800)
     assert aggregates.spearman(df.withColumn("w", -F.col("v")), "v", "w").first()[0] == pytest.approx(-1)
     assert aggregates.percentile_exclusive(df, "v", 0.5).first()[0] == 5.0
