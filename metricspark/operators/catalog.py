@@ -129,16 +129,42 @@ def security_counts(rule: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def security_shapes(rules: DataFrame) -> DataFrame:
-    """Shapes of rules(principal, columns, values): the sorted column set, its rules and principals, and mostly dotted values."""
-    shape = F.array_join(F.array_sort(F.array_distinct("columns")), ",")
-    spread = rules.select(shape.alias("shape"), "principal", F.explode_outer("values").alias("v"))
-    dotted = F.avg(F.when(F.col("v").isNotNull(), F.col("v").contains(".").cast("int")))
-    stats = spread.groupBy("shape").agg(
-        F.count_distinct("principal").alias("n_principals"), F.count_distinct("v").alias("n_values"), (F.coalesce(dotted, F.lit(0.0)) > 0.8).alias("mostly_dotted")
-    )
-    counts = rules.groupBy(shape.alias("shape")).agg(F.count("*").alias("n_rules"))
-    return counts.join(stats, "shape")
+def normal_column(name: Column) -> Column:
+    """Upper-case name of a security column, other characters as one underscore, a trailing number without its separator."""
+    canonical = F.trim(F.regexp_replace(F.upper(F.coalesce(name, F.lit(""))), "[^A-Z0-9]+", "_"), F.lit("_"))
+    return F.regexp_replace(canonical, r"_(\d+)$", "$1")
+
+
+def general_column(name: Column) -> Column:
+    """A normal name with the number of a level as ``#``."""
+    return F.regexp_replace(normal_column(name), r"^(.+_LEVEL)\d+$", "$1#")
+
+
+def _role(role: str) -> Column:
+    return F.coalesce(F.nullif(role, F.lit("")), F.lit("(none)"))
+
+
+def security_shapes(rules: DataFrame, general: bool = False) -> DataFrame:
+    """``shape, n_rules, n_principals``: column sets of ``rules(principal, columns)``, or patterns of them with level numbers as ``#``."""
+    name = general_column if general else normal_column
+    shape = F.array_join(F.array_sort(F.array_distinct(F.transform("columns", name))), ",")
+    return rules.groupBy(shape.alias("shape")).agg(F.count("*").alias("n_rules"), F.count_distinct("principal").alias("n_principals"))
+
+
+def security_by_role(rules: DataFrame) -> DataFrame:
+    """``role_group, n_rules, n_principals, levels``: rules of each role and the numbered levels they use."""
+    used = rules.select(_role("role_group").alias("role_group"), F.explode(F.transform("columns", normal_column)).alias("c")).filter(F.col("c").rlike(r"^.+_LEVEL\d+$"))
+    levels = used.groupBy("role_group").agg(F.array_sort(F.collect_set("c")).alias("levels"))
+    counts = rules.groupBy(_role("role_group").alias("role_group")).agg(F.count("*").alias("n_rules"), F.count_distinct("principal").alias("n_principals"))
+    return counts.join(levels, "role_group", "left").withColumn("levels", F.coalesce("levels", F.array().cast("array<string>")))
+
+
+def security_values(predicates: DataFrame) -> DataFrame:
+    """``column, n_values, is_hierarchical`` of ``predicates(column_name, column_value)``: more than 80 % of a column's distinct values are dotted paths."""
+    named = predicates.filter("coalesce(column_name, '') <> '' and coalesce(column_value, '') <> ''")
+    values = named.select(normal_column(F.col("column_name")).alias("column"), "column_value").distinct()
+    dotted = F.avg(F.col("column_value").rlike(r"(?i)^[A-Z0-9_]+(\.[A-Z0-9_]+)+$").cast("int"))
+    return values.groupBy("column").agg(F.count("*").alias("n_values"), (dotted > 0.8).alias("is_hierarchical"))
 
 
 def clone_families(objects: DataFrame) -> DataFrame:
@@ -194,6 +220,18 @@ def grain_coverage(grain: DataFrame, scope: DataFrame) -> DataFrame:
     return joined.select("entity", F.col("n_grains").isNotNull().alias("has_grain"), F.coalesce("n_grains", F.lit(0)).alias("n_grains"), F.coalesce("n_risky", F.lit(0)).alias("n_risky"))
 
 
+def grain_scope(grain: DataFrame, scope: DataFrame) -> DataFrame:
+    """One row: grains in and outside the scope, entities of the scope with and without a grain, and risky grains in it."""
+    wanted = scope.select(canonical_name(F.col("entity_name")).alias("entity")).distinct()
+    rows = grain.select(canonical_name(F.col("entity_name")).alias("entity"), "double_count_risk").join(wanted.withColumn("inside", F.lit(True)), "entity", "left")
+    counts = rows.agg(
+        F.count("inside").alias("n_in_scope"), F.count(F.when(F.col("inside").isNull(), 1)).alias("n_out_of_scope"),
+        F.count(F.when(F.col("inside") & F.col("double_count_risk"), 1)).alias("n_risky"), F.count_distinct(F.when(F.col("inside"), F.col("entity"))).alias("n_with_grain"),
+    )
+    size = wanted.agg(F.count("*").alias("n_entities"))
+    return counts.join(size).withColumn("n_without_grain", F.col("n_entities") - F.col("n_with_grain"))  # one row each
+
+
 def coverage(models: DataFrame, parts: Mapping[str, tuple[DataFrame, Column | None]]) -> DataFrame:
     """Counts per model, one per part: all rows of a table, or those that meet a condition."""
     out = models.select(*MODEL)
@@ -231,22 +269,57 @@ def safe_measures(term: DataFrame, rule: DataFrame, entity: DataFrame) -> DataFr
     return measure_quality(term, rule).filter("is_safe").join(bound, list(ENTITY)).select(*ENTITY, "term_name", "regular_aggregate", "physical_object")
 
 
-def issues(definitions: DataFrame, rel: DataFrame, ratio_above: float = 2.0) -> DataFrame:
-    """Issue ledger: conversion blockers, stale joins as risks, notes on clone-heavy models, with stable ids."""
-    blocked = definitions.filter(F.col("reason").isNotNull()).select(
-        *MODEL,
-        F.when(F.lower("reason").rlike("unsupported|cannot|manual"), "blocker").when(F.lower("reason").rlike("review|verify|partial"), "risk").otherwise("note").alias("severity"),
-        F.lit("definition").alias("category"),
-        F.col("name").alias("object_name"),
-        F.col("reason").alias("detail"),
-    )
-    stale = rel.filter(F.coalesce(F.col("source_status") != "valid", F.lit(False))).select(
-        *MODEL, F.lit("risk").alias("severity"), F.lit("relationship").alias("category"), F.col("relationship_name").alias("object_name"), F.lit("join not valid in the source").alias("detail")
+def issues(flagged: DataFrame, rel: DataFrame, metric: DataFrame, packages: DataFrame | None = None, listed: int = 40) -> DataFrame:
+    """Issue ledger with stable ids.
+
+    ``flagged(model columns, name, reason, expression)``: a metric without an
+    expression is a defect of the source and a risk, one on the fiscal calendar
+    blocks until it is decided, the rest are risks.  Relationships that the source
+    does not call valid are one risk per model, with how many of them are simple
+    equality joins and the first ``listed`` by name; models whose metrics
+    (``metric_name``) repeat a pattern get a note.
+    """
+
+    def rows(df: DataFrame, severity: Column | str, category: Column | str, kind: Column | str, name: Column, issue: Column, detail: Column) -> DataFrame:
+        text = lambda c: F.lit(c) if isinstance(c, str) else c
+        return df.select(
+            *MODEL, text(severity).alias("severity"), text(category).alias("category"), text(kind).alias("object_kind"), name.alias("object_name"), issue.alias("issue"), F.coalesce(detail, F.lit("")).alias("detail")
+        )
+
+    reason = F.coalesce("reason", F.lit(""))
+    empty, fiscal = reason.contains("empty expression"), reason.contains("fiscal calendar")
+    of = lambda a, b, c: F.when(empty, a).when(fiscal, b).otherwise(c)
+    found = rows(
+        flagged, of("risk", "blocker", "risk"), of("source_model_defect", "needs_decision", "unconvertible"), of("metric", "metric", "term"), F.col("name"),
+        of(F.lit("Metric has no expression in the source model"), F.lit("Metric depends on the fiscal calendar"), reason), F.when(empty, reason).otherwise(F.col("expression")),
+    )
+    stale = F.coalesce(F.col("source_status"), F.lit("")).isin("", "valid")
+    joins = rel.groupBy(*MODEL).agg(
+        F.count("*").alias("n_all"), F.count(F.when(~stale, 1)).alias("n_stale"), F.count(F.when(~stale & F.col("is_simple_equality"), 1)).alias("n_sound")
     )
-    clones = clone_stats(definitions.withColumn("kind", F.lit("definition"))).filter(F.col("clone_ratio") >= ratio_above)
-    notes = clones.select(*MODEL, F.lit("note").alias("severity"), F.lit("clones").alias("category"), F.lit("(model)").alias("object_name"), F.lit("definitions are mostly clones").alias("detail"))
-    rows = blocked.unionByName(stale).unionByName(notes)
-    return rows.withColumn("issue_id", stable_id(*[F.col(c) for c in rows.columns]))
+    text = F.concat("left_entity", F.lit("->"), "right_entity", F.lit(" ["), "source_status", F.lit("]"))
+    numbered = rel.filter(~stale).withColumn("rn", F.row_number().over(Window.partitionBy(*MODEL).orderBy("relationship_name"))).filter(F.col("rn") <= listed)
+    first = numbered.groupBy(*MODEL).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", text.alias("t")))), lambda x: x.t), "; ").alias("first"))
+    joins = joins.filter("n_stale > 0").join(first, list(MODEL))
+    stale_rows = rows(
+        joins, "risk", "stale_metadata", "relationship", F.format_string("%d relationships", "n_stale"), F.format_string("%d of %d relationships are not flagged valid by the source tool", "n_stale", "n_all"),
+        F.concat(F.format_string("%d simple equality joins; ", "n_sound"), "first"),
+    )
+    clones = clone_stats(metric.select(*MODEL, F.lit("metric").alias("kind"), F.col("metric_name").alias("name"))).filter("n_definitions > n_patterns")
+    shared = role_packages(packages) if packages is not None else None
+    counts = clones.join(shared.groupBy(*MODEL).agg(F.sum("n_packages").alias("n_packages")), list(MODEL), "left") if shared is not None else clones.withColumn("n_packages", F.lit(0).cast("long"))
+    notes = rows(
+        counts, "note", "source_model_defect", "model", F.col("source_model"),
+        F.concat(F.format_string("%d metrics collapse to %d distinct patterns (", "n_definitions", "n_patterns"), F.col("clone_ratio").cast("string"), F.lit("x duplication)")),
+        F.format_string("%d cloned objects; %d role-based package exports", "n_cloned", F.coalesce("n_packages", F.lit(0))),
+    )
+    out = found.unionByName(stale_rows).unionByName(notes)
+    return out.withColumn("issue_id", stable_id(*[F.col(c) for c in out.columns]))
+
+
+def role_packages(packages: DataFrame) -> DataFrame:
+    """Packages that were exported for a role, by folder: ``packages(model columns, package_name, folder_path, is_role_based)``."""
+    return packages.filter("is_role_based").groupBy(*MODEL, F.coalesce("folder_path", F.lit("")).alias("folder_path")).agg(F.count("*").alias("n_packages"))
 
 
 def issue_order() -> Column:

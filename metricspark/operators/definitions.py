@@ -1,7 +1,8 @@
 """Definition analytics: reuse, duplicates, similarity, coverage, readiness and domains.
 
 ``defs`` has ``kind, name, tbl, expr, page_name`` and an ``ord`` that orders
-rows.  Pages are comma-separated labels.
+rows; ``dashboard_name``, ``widget_name`` and ``source_file`` may be there too.
+Pages, dashboards and widgets are comma-separated labels.
 """
 
 from __future__ import annotations
@@ -141,55 +142,87 @@ def is_calculated(expr: Column) -> Column:
     return F.coalesce(expr, F.lit("")).rlike(r"(?i)[-+*/]|\b(sum|avg|count|min|max|case|if|coalesce|nullif)\b\s*\(?")
 
 
+MODEL_ONLY = "(model-only)"
+
+
+def _labels(defs: DataFrame, column: str) -> Column:
+    """The labels of a comma-separated column, none where the column is missing."""
+    if column not in defs.columns:
+        return F.array().cast("array<string>")
+    return F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p != "")
+
+
 def field_pages(defs: DataFrame) -> DataFrame:
-    """Distinct ``field, tbl, page`` of definitions that name a page; field is table and name."""
-    pages = F.filter(F.transform(F.split(F.coalesce("page_name", F.lit("")), ","), lambda p: F.trim(p)), lambda p: p != "")
-    field = F.concat_ws(".", "tbl", "name")
-    return defs.select(field.alias("field"), "tbl", "kind", F.explode(pages).alias("page")).distinct()
+    """Distinct ``field, tbl, kind, page`` of definitions that name a page; field is table and name."""
+    return defs.select(F.concat_ws(".", "tbl", "name").alias("field"), "tbl", "kind", F.explode(_labels(defs, "page_name")).alias("page")).distinct()
+
+
+def field_labels(defs: DataFrame) -> DataFrame:
+    """Distinct ``field, kind, page`` of all definitions: their pages, else their dashboard, else their file, else ``(model-only)``."""
+    named = [F.nullif(F.trim(c), F.lit("")) for c in ("dashboard_name", "source_file") if c in defs.columns]
+    other = F.array(F.coalesce(*named, F.lit(MODEL_ONLY)))
+    pages = _labels(defs, "page_name")
+    return defs.select(F.concat_ws(".", "tbl", "name").alias("field"), "kind", F.explode(F.when(F.size(pages) > 0, pages).otherwise(other)).alias("page")).distinct()
 
 
 def coverage_by_dashboard(defs: DataFrame) -> DataFrame:
-    """``page, n_fields, n_unique, n_shared``: fields only this page uses, and those that others use too."""
-    use = field_pages(defs).select("field", "page").distinct()
+    """``page, n_fields, n_unique, n_shared`` and fields by kind, of every label: unique fields stand under no other label."""
+    kinds = field_labels(defs)
+    by_kind = kinds.groupBy("page").agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}s") for k in ("dimension", "fact", "metric")])
+    use = kinds.select("field", "page").distinct()
     spread = use.groupBy("field").agg(F.count("*").alias("n_pages"))
-    joined = use.join(spread, "field")
-    return joined.groupBy("page").agg(
+    fields = use.join(spread, "field").groupBy("page").agg(
         F.count("*").alias("n_fields"), F.count(F.when(F.col("n_pages") == 1, 1)).alias("n_unique"), F.count(F.when(F.col("n_pages") > 1, 1)).alias("n_shared")
     )
+    return fields.join(by_kind, "page")
 
 
-def similarity(defs: DataFrame, zero_pairs: bool = True) -> DataFrame:
-    """``page_a, page_b, n_shared, jaccard``; pairs without a common field on request."""
-    use = field_pages(defs).select("field", "page").distinct()
+def similarity(defs: DataFrame, zero_pairs: bool = False) -> DataFrame:
+    """``page_a, page_b, n_shared, shared_fields, jaccard`` of labels with a common field; all other pairs on request.
+
+    The shared fields are a sorted array (a list for a report).
+    """
+    use = field_labels(defs).select("field", "page").distinct()
     sizes = use.groupBy("page").agg(F.count("*").alias("n"))
     common = (
         use.alias("a")
         .join(use.alias("b"), (F.col("a.field") == F.col("b.field")) & (F.col("a.page") < F.col("b.page")))
         .groupBy(F.col("a.page").alias("page_a"), F.col("b.page").alias("page_b"))
-        .agg(F.count("*").alias("n_shared"))
+        .agg(F.count("*").alias("n_shared"), F.array_sort(F.collect_list("a.field")).alias("shared_fields"))
     )
     a = sizes.select(F.col("page").alias("page_a"), F.col("n").alias("size_a"))
     b = sizes.select(F.col("page").alias("page_b"), F.col("n").alias("size_b"))
-    if zero_pairs:  # labels only, as many as there are pages
+    if zero_pairs:  # labels only: as many rows as the answer has
         pairs = a.join(b, F.col("page_a") < F.col("page_b")).join(common, ["page_a", "page_b"], "left")
     else:
         pairs = common.join(a, "page_a").join(b, "page_b")
     n = F.coalesce("n_shared", F.lit(0))
-    return pairs.select("page_a", "page_b", n.alias("n_shared"), F.round(n / (F.col("size_a") + F.col("size_b") - n), 4).alias("jaccard"))
+    shared = F.coalesce("shared_fields", F.array().cast("array<string>")).alias("shared_fields")
+    return pairs.select("page_a", "page_b", n.alias("n_shared"), shared, F.round(n / (F.col("size_a") + F.col("size_b") - n), 4).alias("jaccard"))
 
 
-def similarity_summary(sim: DataFrame) -> DataFrame:
-    """Average and largest similarity."""
-    return sim.agg(F.count("*").alias("n_pairs"), F.round(F.avg("jaccard"), 4).alias("average"), F.max("jaccard").alias("largest"))
+def similarity_summary(defs: DataFrame) -> DataFrame:
+    """One row: labels, pairs, average similarity over all pairs and the largest; pairs without a common field count as 0 unlisted."""
+    pairs = similarity(defs).agg(F.coalesce(F.sum("jaccard"), F.lit(0.0)).alias("total"), F.coalesce(F.max("jaccard"), F.lit(0.0)).alias("largest"))
+    labels = field_labels(defs).agg(F.count_distinct("page").alias("n_pages"))
+    n = F.col("n_pages")
+    joined = labels.join(F.broadcast(pairs), F.lit(True)).withColumn("n_pairs", (n * (n - 1) / 2).cast("long"))  # one row each
+    average = F.when(F.col("n_pairs") > 0, F.round(F.col("total") / F.col("n_pairs"), 4)).otherwise(F.lit(0.0))
+    return joined.select("n_pages", "n_pairs", average.alias("average"), "largest")
 
 
 def page_profiles(defs: DataFrame) -> DataFrame:
-    """Fields, facts, metrics and tables of each page."""
+    """Fields, metrics, other fields (``n_facts``) and tables of each page, with its tables, widgets and dashboards as sorted arrays."""
     use = field_pages(defs)
-    n = lambda k: F.count(F.when(F.col("kind") == k, 1))
-    return use.groupBy("page").agg(
-        F.count_distinct("field").alias("n_fields"), n("fact").alias("n_facts"), n("metric").alias("n_metrics"), F.count_distinct("tbl").alias("n_tables")
+    n = lambda metric: F.count_distinct(F.when((F.col("kind") == "metric") == metric, F.col("field")))
+    counts = use.groupBy("page").agg(
+        F.count_distinct("field").alias("n_fields"), n(False).alias("n_facts"), n(True).alias("n_metrics"), F.count_distinct("tbl").alias("n_tables"), F.array_sort(F.collect_set("tbl")).alias("tables")
     )
+    listed = defs.select(F.explode(_labels(defs, "page_name")).alias("page"), _labels(defs, "widget_name").alias("w"), _labels(defs, "dashboard_name").alias("d"))
+    for name, column in (("widgets", "w"), ("dashboards", "d")):
+        one = listed.select("page", F.explode(column).alias("x")).filter(F.col("x") != "unknown" if name == "widgets" else F.lit(True))
+        counts = counts.join(one.groupBy("page").agg(F.array_sort(F.collect_set("x")).alias(name)), "page", "left")
+    return counts.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in ("widgets", "dashboards")})
 
 
 def active_vs_model(defs: DataFrame, top: int = 10) -> DataFrame:
@@ -206,14 +239,17 @@ def reuse_distribution(defs: DataFrame, core_from: int = 5) -> DataFrame:
     return per.groupBy("n_pages").agg(F.count("*").alias("n_fields")).withColumn("is_core", F.col("n_pages") >= core_from)
 
 
-def consolidation(defs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Page pairs alike enough to merge, with the fields each has alone."""
-    sim = similarity(defs, zero_pairs=False).filter(F.col("jaccard") >= threshold)
-    sizes = field_pages(defs).select("field", "page").distinct().groupBy("page").agg(F.count("*").alias("n"))
-    a = sizes.select(F.col("page").alias("page_a"), F.col("n").alias("na"))
-    b = sizes.select(F.col("page").alias("page_b"), F.col("n").alias("nb"))
-    return sim.join(a, "page_a").join(b, "page_b").select(
-        "page_a", "page_b", "jaccard", (F.col("na") - F.col("n_shared")).alias("only_a"), (F.col("nb") - F.col("n_shared")).alias("only_b")
+def consolidation(defs: DataFrame, threshold: float = 0.8, listed: int = 10) -> DataFrame:
+    """Labels alike enough to merge, with the number of fields each has alone and the first ``listed`` of their names."""
+    sim = similarity(defs).filter((F.col("jaccard") >= threshold) & (F.col("page_a") != MODEL_ONLY) & (F.col("page_b") != MODEL_ONLY))
+    use = field_labels(defs).select("field", "page").distinct()
+    out = sim.select("page_a", "page_b", "n_shared", "jaccard", F.col("shared_fields").alias("shared_"))
+    for side in ("a", "b"):
+        fields = use.groupBy(F.col("page").alias(f"page_{side}")).agg(F.collect_set("field").alias("fields"))
+        out = out.join(fields, f"page_{side}").withColumn(f"alone_{side}", F.array_except("fields", "shared_")).drop("fields")
+    names = lambda c: F.slice(F.array_sort(F.transform(c, lambda f: F.substring_index(f, ".", -1))), 1, listed)
+    return out.select(
+        "page_a", "page_b", "n_shared", "jaccard", *[F.size(f"alone_{x}").cast("long").alias(f"n_only_{x}") for x in "ab"], *[names(f"alone_{x}").alias(f"only_in_{x}") for x in "ab"]
     )
 
 
@@ -257,7 +293,7 @@ def domains(defs: DataFrame) -> DataFrame:
     """``tbl, domain``: tables whose pages share tables form one domain, named by its smallest page; else Other."""
     use = field_pages(defs).select("page", "tbl").distinct()
     edges = use.select(F.concat(F.lit("p:"), "page").alias("src"), F.concat(F.lit("t:"), "tbl").alias("dst"))
-    linked = components(edges).filter("node like 't:%'").select(F.substring("node", 3, 1_000_000).alias("tbl"), F.substring("component", 3, 1_000_000).alias("domain"))
+    linked = components(edges).filter("node like 't:%'").select(F.expr("substring(node, 3)").alias("tbl"), F.expr("substring(component, 3)").alias("domain"))
     return defs.select("tbl").distinct().join(linked, "tbl", "left").select("tbl", F.coalesce("domain", F.lit("Other")).alias("domain"))
 
 

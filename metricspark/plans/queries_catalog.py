@@ -21,7 +21,9 @@ FIXTURES = {
         "part",
         "SELECT CAST(p_partkey AS BIGINT) AS ord, CASE WHEN p_partkey % 3 = 0 THEN 'dimension' WHEN p_partkey % 3 = 1 THEN 'fact' ELSE 'metric' END AS kind, upper(replace(p_name, ' ', '_')) AS name, p_brand AS tbl, "
         "CASE WHEN p_partkey % 3 = 2 THEN concat('SUM(', p_type, '.SIZE_', CAST(p_size AS VARCHAR(20)), ')') ELSE concat(p_type, '.', 'SIZE_', CAST(p_size AS VARCHAR(20))) END AS expr, "
-        "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE concat('PAGE_', CAST(p_partkey % 7 AS VARCHAR(20)), ', PAGE_', CAST((p_partkey + p_size) % 11 AS VARCHAR(20))) END AS page_name FROM part",
+        "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE concat('PAGE_', CAST(p_partkey % 7 AS VARCHAR(20)), ', PAGE_', CAST((p_partkey + p_size) % 11 AS VARCHAR(20))) END AS page_name, "
+        "CASE WHEN p_partkey % 10 = 0 THEN concat('DASH_', CAST(p_size % 3 AS VARCHAR(20))) WHEN p_partkey % 5 <> 0 THEN concat('DASH_', CAST(p_size % 4 AS VARCHAR(20)), ', DASH_', CAST(p_partkey % 4 AS VARCHAR(20))) END AS dashboard_name, "
+        "CASE WHEN p_partkey % 15 = 0 THEN concat('FILE_', CAST(p_size % 2 AS VARCHAR(20))) END AS source_file, concat('W_', CAST(p_size % 6 AS VARCHAR(20)), ', unknown') AS widget_name FROM part",
     ),
     "fx_similar": (
         "part",
@@ -60,7 +62,7 @@ FIXTURES = {
     ),
     "fx_mapping": (
         "customer",
-        "SELECT DISTINCT 'sys' AS source_system, concat('MODEL_', CAST(c_nationkey % 3 AS VARCHAR(20))) AS source_model, concat('role_', CAST(c_nationkey % 4 AS VARCHAR(20))) AS principal, concat('SEGMENT_', CAST(c_nationkey % 2 AS VARCHAR(20)), CAST(c_custkey % 10 AS VARCHAR(20))) AS column_name, c_mktsegment AS column_value FROM customer",
+        "SELECT DISTINCT 'sys' AS source_system, concat('MODEL_', CAST(c_nationkey % 3 AS VARCHAR(20))) AS source_model, concat('role_', CAST(c_nationkey % 4 AS VARCHAR(20))) AS principal, concat(CASE WHEN c_custkey % 3 = 0 THEN 'Region Level ' ELSE 'segment-' END, CAST(c_nationkey % 2 AS VARCHAR(20)), CAST(c_custkey % 10 AS VARCHAR(20))) AS column_name, CASE WHEN c_custkey % 3 = 0 THEN concat('R', CAST(c_nationkey AS VARCHAR(20)), '.', c_mktsegment) ELSE c_mktsegment END AS column_value, CASE WHEN c_nationkey % 4 = 3 THEN '' ELSE concat('group_', CAST(c_nationkey % 4 AS VARCHAR(20))) END AS role_group FROM customer",
     ),
     "fx_level": (
         "part",
@@ -306,10 +308,33 @@ def _(spark, sf):
     return cat.security_counts(mapping.select(*cat.MODEL, "principal", "column_name").distinct(), mapping)
 
 
-@query("cat_security_shapes", _with("fx_mapping") + ", r AS (SELECT principal, source_model, array_to_string(list_sort(list(DISTINCT column_name)), ',') AS shape, list(column_value) AS v FROM fx_mapping GROUP BY 1, 2), s AS (SELECT shape, principal, unnest(v) AS x FROM r) SELECT r.shape, count(DISTINCT (r.principal, r.source_model)) AS n_rules, count(DISTINCT r.principal) AS n_principals, (SELECT count(DISTINCT x) FROM s WHERE s.shape = r.shape) AS n_values, false AS mostly_dotted FROM r GROUP BY r.shape")
+_NORMAL = "regexp_replace(trim(regexp_replace(upper(column_name), '[^A-Z0-9]+', '_', 'g'), '_'), '_([0-9]+)$', '\\1')"
+_GENERAL = f"regexp_replace({_NORMAL}, '^(.+_LEVEL)[0-9]+$', '\\1#')"
+_RULES = _with("fx_mapping") + f", m AS (SELECT *, {_NORMAL} AS c, {_GENERAL} AS g FROM fx_mapping), r AS (SELECT principal, source_model, role_group, array_to_string(list_sort(list(DISTINCT c)), ',') AS shape, array_to_string(list_sort(list(DISTINCT g)), ',') AS pattern, list(DISTINCT c) AS cs FROM m GROUP BY 1, 2, 3)"
+
+
+def _rules(spark, sf) -> DataFrame:
+    return fixture(spark, sf, "fx_mapping").groupBy("principal", "source_model", "role_group").agg(F.collect_set("column_name").alias("columns"))
+
+
+@query("cat_security_shapes", _RULES + " SELECT shape, count(*) AS n_rules, count(DISTINCT principal) AS n_principals FROM r GROUP BY 1")
 def _(spark, sf):
-    rules = fixture(spark, sf, "fx_mapping").groupBy("principal", "source_model").agg(F.collect_set("column_name").alias("columns"), F.collect_list("column_value").alias("values"))
-    return cat.security_shapes(rules)
+    return cat.security_shapes(_rules(spark, sf))
+
+
+@query("cat_security_pattern_sets", _RULES + " SELECT pattern AS shape, count(*) AS n_rules, count(DISTINCT principal) AS n_principals FROM r GROUP BY 1")
+def _(spark, sf):
+    return cat.security_shapes(_rules(spark, sf), general=True)
+
+
+@query("cat_security_by_role", _RULES + " SELECT coalesce(nullif(role_group, ''), '(none)') AS role_group, count(*) AS n_rules, count(DISTINCT principal) AS n_principals, array_to_string(list_sort(list_distinct(list_filter(flatten(list(cs)), lambda x: regexp_matches(x, '^.+_LEVEL[0-9]+$')))), ',') AS levels FROM r GROUP BY 1")
+def _(spark, sf):
+    return cat.security_by_role(_rules(spark, sf)).withColumn("levels", F.array_join("levels", ","))
+
+
+@query("cat_security_values", _RULES + " SELECT c AS column, count(DISTINCT column_value) AS n_values, count(DISTINCT CASE WHEN regexp_matches(column_value, '^[A-Z0-9_]+([.][A-Z0-9_]+)+$', 'i') THEN column_value END) > 0.8 * count(DISTINCT column_value) AS is_hierarchical FROM m GROUP BY 1".replace("AS column,", 'AS "column",'))
+def _(spark, sf):
+    return cat.security_values(fixture(spark, sf, "fx_mapping"))
 
 
 _CANON = "regexp_replace(upper(entity_name), '_FY[0-9][0-9]$', '')"
@@ -348,6 +373,23 @@ def _(spark, sf):
     return cat.grain_coverage(_grain(spark, sf), fixture(spark, sf, "fx_entity"))
 
 
+@query("cat_grain_scope", _with("fx_entity", "fx_grain") + f", s AS (SELECT DISTINCT {_CANON} AS entity FROM fx_entity WHERE source_model <> 'MODEL_2'), g AS (SELECT {_CANON} AS entity, {_RISK} AS risk FROM fx_grain) SELECT (SELECT count(*) FROM g WHERE entity IN (SELECT entity FROM s)) AS n_in_scope, (SELECT count(*) FROM g WHERE entity NOT IN (SELECT entity FROM s)) AS n_out_of_scope, (SELECT count(*) FROM g WHERE risk AND entity IN (SELECT entity FROM s)) AS n_risky, (SELECT count(DISTINCT entity) FROM g WHERE entity IN (SELECT entity FROM s)) AS n_with_grain, (SELECT count(*) FROM s) AS n_entities, (SELECT count(*) FROM s WHERE entity NOT IN (SELECT entity FROM g)) AS n_without_grain")
+def _(spark, sf):
+    """Grains in and outside the scope of two of the three models."""
+    return cat.grain_scope(_grain(spark, sf), fixture(spark, sf, "fx_entity").filter("source_model <> 'MODEL_2'"))
+
+
+_PACKAGES = "SELECT 'sys' AS source_system, concat('MODEL_', CAST(s_nationkey % 3 AS VARCHAR(20))) AS source_model, s_name AS package_name, CASE WHEN s_nationkey % 5 > 0 THEN concat('/sales/', CAST(s_nationkey % 5 AS VARCHAR(20))) END AS folder_path, s_acctbal > 2000 AS is_role_based FROM supplier"
+FIXTURES["fx_packages"] = ("supplier", _PACKAGES)
+_SQL["fx_packages"] = _PACKAGES
+
+
+@query("cat_role_packages", _with("fx_packages") + f"SELECT {_K}, coalesce(folder_path, '') AS folder_path, count(*) AS n_packages FROM fx_packages WHERE is_role_based GROUP BY ALL")
+def _(spark, sf):
+    """Packages exported for a role, by folder."""
+    return cat.role_packages(fixture(spark, sf, "fx_packages"))
+
+
 @query(
     "cat_coverage",
     _with("fx_entity", "fx_term", "fx_metric", "fx_rel", "fx_grain") + f", m AS (SELECT DISTINCT {_K} FROM fx_entity) SELECT m.source_system, m.source_model, " + ", ".join(f"(SELECT count(*) FROM {t} x WHERE x.source_model = m.source_model{c}) AS {n}" for n, t, c in (("entities", "fx_entity", ""), ("terms", "fx_term", ""), ("metric_patterns", "fx_metric", ""), ("translated", "fx_metric", " AND translated_expr IS NOT NULL AND metric_kind <> 'unsupported'"), ("fiscal", "fx_metric", " AND requires_fiscal_calendar"), ("relationships", "fx_rel", ""), ("flagged", "fx_rel", " AND source_status <> 'valid'"), ("flagged_simple", "fx_rel", " AND source_status <> 'valid' AND is_simple_equality"), ("grains", "fx_grain", ""))) + " FROM m",
@@ -390,21 +432,32 @@ def _(spark, sf):
     return cat.safe_measures(fixture(spark, sf, "fx_term"), fixture(spark, sf, "fx_rule"), fixture(spark, sf, "fx_entity"))
 
 
+FIXTURES["fx_flagged"] = (
+    "part",
+    "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 3 AS VARCHAR(20))) AS source_model, upper(p_name) AS name, CASE p_size % 7 WHEN 0 THEN 'empty expression: nothing to convert' WHEN 1 THEN 'uses the fiscal calendar' WHEN 2 THEN 'unknown function' WHEN 3 THEN NULL ELSE 'member reference' END AS reason, concat('SUM(', p_brand, ')') AS expression FROM part",
+)
+FIXTURES["fx_yearly"] = (
+    "part",
+    "SELECT 'sys' AS source_system, concat('MODEL_', CAST(p_partkey % 4 AS VARCHAR(20))) AS source_model, CASE WHEN p_partkey % 4 = 3 THEN concat('MET_', CAST(p_partkey AS VARCHAR(20))) ELSE concat(upper(p_type), '_', CAST(p_size % 9 AS VARCHAR(20)), CASE WHEN p_size % 2 = 0 THEN concat('_FY', CAST(20 + p_size % 5 AS VARCHAR(20))) ELSE '' END) END AS metric_name FROM part",
+)
+_SQL |= {k: FIXTURES[k][1] for k in ("fx_flagged", "fx_yearly")}
 _ISSUES = (
-    f"d AS (SELECT 'sys' AS source_system, concat('MODEL_', CAST(ord % 3 AS VARCHAR)) AS source_model, name, CASE ord % 7 WHEN 0 THEN 'Unsupported call' WHEN 1 THEN 'please review' WHEN 2 THEN 'info' END AS reason FROM fx_definitions), "
-    f"i AS (SELECT {_K}, CASE WHEN lower(reason) LIKE '%unsupported%' THEN 'blocker' WHEN lower(reason) LIKE '%review%' THEN 'risk' ELSE 'note' END AS severity, 'definition' AS category, name AS object_name, reason AS detail FROM d WHERE reason IS NOT NULL "
-    f"UNION ALL SELECT {_K}, 'risk', 'relationship', relationship_name, 'join not valid in the source' FROM fx_rel WHERE source_status <> 'valid' "
-    f"UNION ALL SELECT {_K}, 'note', 'clones', '(model)', 'definitions are mostly clones' FROM d GROUP BY 1, 2 HAVING count(*) / count(DISTINCT regexp_replace(upper(name), '_FY[0-9][0-9]$', '')) >= 1.0)"
+    f"f AS (SELECT *, coalesce(reason, '') AS why FROM fx_flagged), v AS (SELECT *, coalesce(source_status, '') NOT IN ('', 'valid') AS stale FROM fx_rel), "
+    f"k AS (SELECT {_K}, count(*) AS n, count(DISTINCT {_canonical('metric_name')}) AS p, count(*) FILTER (regexp_matches(upper(metric_name), '_FY[0-9][0-9]$')) AS c FROM fx_yearly GROUP BY ALL), "
+    f"s AS (SELECT {_K}, count(*) FILTER (stale) AS n, count(*) AS total, count(*) FILTER (stale AND is_simple_equality) AS sound, list(left_entity || '->' || right_entity || ' [' || source_status || ']' ORDER BY relationship_name) FILTER (stale) AS names FROM v GROUP BY ALL), "
+    "i AS (SELECT source_system, source_model, CASE WHEN why LIKE '%empty expression%' THEN 'risk' WHEN why LIKE '%fiscal calendar%' THEN 'blocker' ELSE 'risk' END AS severity, "
+    "CASE WHEN why LIKE '%empty expression%' THEN 'source_model_defect' WHEN why LIKE '%fiscal calendar%' THEN 'needs_decision' ELSE 'unconvertible' END AS category, CASE WHEN why LIKE '%empty expression%' OR why LIKE '%fiscal calendar%' THEN 'metric' ELSE 'term' END AS object_kind, name AS object_name, "
+    "CASE WHEN why LIKE '%empty expression%' THEN 'Metric has no expression in the source model' WHEN why LIKE '%fiscal calendar%' THEN 'Metric depends on the fiscal calendar' ELSE why END AS issue, CASE WHEN why LIKE '%empty expression%' THEN why ELSE expression END AS detail FROM f "
+    f"UNION ALL SELECT {_K}, 'risk', 'stale_metadata', 'relationship', n || ' relationships', n || ' of ' || total || ' relationships are not flagged valid by the source tool', sound || ' simple equality joins; ' || array_to_string(names[1:40], '; ') FROM s WHERE n > 0 "
+    f"UNION ALL SELECT k.source_system, k.source_model, 'note', 'source_model_defect', 'model', k.source_model, n || ' metrics collapse to ' || p || ' distinct patterns (' || round(n / p, 2) || 'x duplication)', c || ' cloned objects; ' || coalesce((SELECT count(*) FROM fx_packages g WHERE g.source_model = k.source_model AND is_role_based), 0) || ' role-based package exports' FROM k WHERE n > p)"
 )
 
 
-@query("cat_issues", _with("fx_definitions", "fx_rel") + f", {_ISSUES} SELECT severity, category, object_name, detail, substr(sha1(concat_ws(chr(1), source_system, source_model, severity, category, object_name, detail)), 1, 24) AS issue_id FROM i")
+@query("cat_issues", _with("fx_flagged", "fx_yearly", "fx_rel", "fx_packages") + f", {_ISSUES} SELECT severity, category, object_kind, object_name, issue, detail, substr(sha1(concat_ws(chr(1), source_system, source_model, severity, category, object_kind, object_name, issue, detail)), 1, 24) AS issue_id FROM i")
 def _(spark, sf):
-    defs = fixture(spark, sf, "fx_definitions").select(
-        F.lit("sys").alias("source_system"), F.concat(F.lit("MODEL_"), (F.col("ord") % 3).cast("string")).alias("source_model"), "name", F.expr("case ord % 7 when 0 then 'Unsupported call' when 1 then 'please review' when 2 then 'info' end").alias("reason")
-    )
-    out = cat.issues_ordered(cat.issues(defs, fixture(spark, sf, "fx_rel"), ratio_above=1.0))
-    return out.select("severity", "category", "object_name", "detail", "issue_id")
+    """The issue ledger of three models, blockers first."""
+    out = cat.issues(*[fixture(spark, sf, n) for n in ("fx_flagged", "fx_rel", "fx_yearly", "fx_packages")])
+    return cat.issues_ordered(out).drop(*cat.MODEL)
 
 
 @query(
@@ -475,6 +528,7 @@ def defs(spark, sf) -> DataFrame:
 
 
 _NORM = "regexp_replace(lower(expr), '[a-z_][a-z0-9_]*[.]', '', 'g')"
+_LABELS = "l AS (SELECT DISTINCT tbl || '.' || name AS field, kind, unnest(CASE WHEN page_name <> '' THEN list_transform(string_split(page_name, ','), lambda x: trim(x)) ELSE [coalesce(nullif(trim(dashboard_name), ''), nullif(trim(source_file), ''), '(model-only)')] END) AS page FROM fx_definitions), lf AS (SELECT DISTINCT field, page FROM l)"
 _PAGES = f"u AS (SELECT DISTINCT tbl || '.' || name AS field, tbl, kind, trim(unnest(string_split(page_name, ','))) AS page FROM fx_definitions WHERE page_name <> ''), f AS (SELECT DISTINCT field, page FROM u)"
 
 
@@ -520,27 +574,33 @@ def _(spark, sf):
     return defs(spark, sf).select("ord", dfn.is_calculated(F.col("expr")).alias("is_calculated"))
 
 
-@query("def_coverage_by_dashboard", _with(_D) + f", {_PAGES}, k AS (SELECT field, count(*) AS c FROM f GROUP BY 1) SELECT page, count(*) AS n_fields, count(*) FILTER (c = 1) AS n_unique, count(*) FILTER (c > 1) AS n_shared FROM f JOIN k USING (field) GROUP BY 1")
+@query("def_coverage_by_dashboard", _with(_D) + f", {_LABELS}, k AS (SELECT field, count(*) AS c FROM lf GROUP BY 1), n AS (SELECT page, " + ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}s" for k in ("dimension", "fact", "metric")) + " FROM l GROUP BY 1) SELECT page, count(*) AS n_fields, count(*) FILTER (c = 1) AS n_unique, count(*) FILTER (c > 1) AS n_shared, any_value(n_dimensions) AS n_dimensions, any_value(n_facts) AS n_facts, any_value(n_metrics) AS n_metrics FROM lf JOIN k USING (field) JOIN n USING (page) GROUP BY 1")
 def _(spark, sf):
     return dfn.coverage_by_dashboard(defs(spark, sf))
 
 
-_PAIRS = f"{_PAGES}, z AS (SELECT page, list(field) AS l FROM f GROUP BY 1), p AS (SELECT a.page AS page_a, b.page AS page_b, len(list_intersect(a.l, b.l)) AS n_shared, round(len(list_intersect(a.l, b.l)) / len(list_distinct(list_concat(a.l, b.l))), 4) AS jaccard, len(a.l) AS na, len(b.l) AS nb FROM z a JOIN z b ON a.page < b.page)"
+_PAIRS = f"{_LABELS}, z AS (SELECT page, list(field) AS fs FROM lf GROUP BY 1), p AS (SELECT a.page AS page_a, b.page AS page_b, list_sort(list_intersect(a.fs, b.fs)) AS shared, a.fs AS fa, b.fs AS fb, round(len(list_intersect(a.fs, b.fs)) / (len(a.fs) + len(b.fs) - len(list_intersect(a.fs, b.fs))), 4) AS jaccard FROM z a JOIN z b ON a.page < b.page)"
 
 
-@query("def_similarity", _with(_D) + f", {_PAIRS} SELECT page_a, page_b, n_shared, jaccard FROM p")
+@query("def_similarity", _with(_D) + f", {_PAIRS} SELECT page_a, page_b, len(shared) AS n_shared, array_to_string(shared, ',') AS shared_fields, jaccard FROM p")
 def _(spark, sf):
-    return dfn.similarity(defs(spark, sf))
+    """Every pair of pages, dashboards and files, those without a common field too."""
+    return dfn.similarity(defs(spark, sf), zero_pairs=True).withColumn("shared_fields", F.array_join("shared_fields", ","))
 
 
-@query("def_similarity_summary", _with(_D) + f", {_PAIRS} SELECT count(*) AS n_pairs, round(avg(jaccard), 4) AS average, max(jaccard) AS largest FROM p")
+@query("def_similarity_summary", _with(_D) + f", {_PAIRS} SELECT (SELECT count(*) FROM z) AS n_pages, count(*) AS n_pairs, round(avg(jaccard), 4) AS average, max(jaccard) AS largest FROM p")
 def _(spark, sf):
-    return dfn.similarity_summary(dfn.similarity(defs(spark, sf)))
+    return dfn.similarity_summary(defs(spark, sf))
 
 
-@query("def_page_profiles", _with(_D) + f", {_PAGES} SELECT page, count(DISTINCT field) AS n_fields, count(*) FILTER (kind = 'fact') AS n_facts, count(*) FILTER (kind = 'metric') AS n_metrics, count(DISTINCT tbl) AS n_tables FROM u GROUP BY 1")
+@query(
+    "def_page_profiles",
+    _with(_D) + f", {_PAGES}, x AS (SELECT trim(unnest(string_split(page_name, ','))) AS page, widget_name, dashboard_name FROM fx_definitions WHERE page_name <> ''), w AS (SELECT page, trim(unnest(string_split(widget_name, ','))) AS v FROM x), d AS (SELECT page, trim(unnest(string_split(dashboard_name, ','))) AS v FROM x) "
+    "SELECT page, count(DISTINCT field) AS n_fields, count(DISTINCT field) FILTER (kind <> 'metric') AS n_facts, count(DISTINCT field) FILTER (kind = 'metric') AS n_metrics, count(DISTINCT tbl) AS n_tables, string_agg(DISTINCT tbl, ',' ORDER BY tbl) AS tables, "
+    "(SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM w WHERE w.page = u.page AND v NOT IN ('', 'unknown')) AS widgets, (SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM d WHERE d.page = u.page AND v <> '') AS dashboards FROM u GROUP BY page",
+)
 def _(spark, sf):
-    return dfn.page_profiles(defs(spark, sf))
+    return dfn.page_profiles(defs(spark, sf)).withColumns({c: F.array_join(c, ",") for c in ("tables", "widgets", "dashboards")})
 
 
 @query("def_active_vs_model", _with(_D) + f", {_PAGES}, d AS (SELECT DISTINCT tbl || '.' || name AS field, tbl FROM fx_definitions) SELECT tbl, count(*) AS n_fields, count(*) FILTER (field IN (SELECT field FROM f)) AS n_active, count(*) FILTER (field NOT IN (SELECT field FROM f)) AS n_unused FROM d GROUP BY 1 ORDER BY 4 DESC, 1 LIMIT 10")
@@ -553,9 +613,12 @@ def _(spark, sf):
     return dfn.reuse_distribution(defs(spark, sf), 2)
 
 
-@query("def_consolidation", _with(_D) + f", {_PAIRS} SELECT page_a, page_b, jaccard, na - n_shared AS only_a, nb - n_shared AS only_b FROM p WHERE jaccard >= 0.1 AND n_shared > 0")
+_ALONE = "array_to_string(list_sort(list_transform(list_filter({a}, lambda x: NOT list_contains({b}, x)), lambda x: string_split(x, '.')[-1]))[1:10], ',')"
+
+
+@query("def_consolidation", _with(_D) + f", {_PAIRS} SELECT page_a, page_b, len(shared) AS n_shared, jaccard, len(fa) - len(shared) AS n_only_a, len(fb) - len(shared) AS n_only_b, {_ALONE.format(a='fa', b='fb')} AS only_in_a, {_ALONE.format(a='fb', b='fa')} AS only_in_b FROM p WHERE jaccard >= 0.1 AND page_a <> '(model-only)' AND page_b <> '(model-only)'")
 def _(spark, sf):
-    return dfn.consolidation(defs(spark, sf), 0.1)
+    return dfn.consolidation(defs(spark, sf), 0.1).withColumns({c: F.array_join(c, ",") for c in ("only_in_a", "only_in_b")})
 
 
 _CONF = f"{_PAGES}, c AS (SELECT tbl || '.' || name AS field FROM fx_definitions GROUP BY 1 HAVING count(DISTINCT {_NORM}) > 1), cc AS (SELECT page, count(*) AS n_fields, count(*) FILTER (field IN (SELECT field FROM c)) AS n_conflicts FROM f GROUP BY 1)"
