@@ -14,9 +14,8 @@ unscored: navigation, footers, asides, dialogs, scripts, styles, hidden elements
 and form controls.
 
 A page is one row and is scored where it is scanned, so the job has no shuffle.
-Time and memory are linear in the page: path ids replace path strings, end tags
-of elements that are not open cost one look-up, and elements nested deeper than
-browsers nest them join the deepest level.
+Time and memory are linear in the page, however deep its elements are nested: path
+ids replace path strings, and the open elements of a name are found by look-up.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from math import sqrt
@@ -45,19 +44,18 @@ DECLARED, IN_FORM, LINKED, IN_MAIN, IN_ARTICLE = 0.02, 0.2, 0.3, 4.0, 8.0
 FADES = 0.9
 #: Share of a box's characters that a path holds to speak for the box.
 SPEAKS = 0.1
-#: Deepest nesting of elements, as in browsers.
-DEPTH = 512
 
 # Element names by role.
 BLOCKS = frozenset(
     "html body head article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
     "blockquote pre figure figcaption address hr header footer nav aside form fieldset legend details summary dialog menu center".split()
 )
+FORMS = ("form", "fieldset")
 BOXES = frozenset("html body article section main div header form fieldset center details td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
-DROPPED = frozenset("head nav footer aside dialog menu button select label object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
+DROPPED = frozenset("head nav footer aside dialog menu button select object canvas audio video".split())
 # Words of class, id and role names that declare boilerplate, and words that may stand beside them.
 BOILERPLATE = frozenset(
     "ad ads adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
@@ -79,17 +77,17 @@ CLOSES = {
 }
 CLOSES = {name: (frozenset(a.split()), frozenset(b.split())) for name, (a, b) in CLOSES.items()}
 
+# A quoted attribute value, which follows an equals sign, may hold anything; a quote that never ends is a character like others.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]|=(?:\s*(?:\"[^\"]*\"|'[^']*'))?+)*+)(?P<shut>>|\Z)",
     re.S,
 )
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。、！？；：]")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
-_CLOSES_P = (frozenset("p"), None)
+_CLOSES_P = (frozenset("p"), frozenset())
 
 
 @lru_cache(maxsize=65536)
@@ -135,7 +133,7 @@ class _Scanner:
     def __init__(self, page: str):
         self.page, self.out = page, Blocks()
         self.stack = [_Element("", 0, False, 1.0)]
-        self.open: dict[str, int] = {}  # open block elements by name
+        self.open: dict[str, list[int]] = {}  # places on the stack of the open block elements of each name
         self.parts: list[str] = []
         self.links = self.in_link = 0
 
@@ -154,14 +152,18 @@ class _Scanner:
     def pop(self) -> str:
         top = self.stack.pop()
         self.in_link -= top.inline.get("a", 0)
-        self.open[top.name] -= 1
+        self.open[top.name].pop()
         return top.name
 
+    def innermost(self, names: Iterable[str]) -> int:
+        """Place on the stack of the innermost open element of the names, 0 where none is open."""
+        return max((self.open[n][-1] for n in names if self.open.get(n)), default=0)
+
     def open_inline(self, name: str, attrs: str) -> None:
         top = self.stack[-1]
         if name in top.muted:
             top.muted[name] += 1
-        elif name in DROPPED or (attrs and _hidden(name, attrs)):
+        elif name in DROPPED or (name == "label" and self.innermost(FORMS)) or (attrs and _hidden(name, attrs)):
             top.muted[name] = 1
         else:
             top.inline[name] = top.inline.get(name, 0) + 1
@@ -185,16 +187,10 @@ class _Scanner:
     def close_implied(self, name: str) -> None:
         """Elements that the start of ``name`` ends."""
         closing, within = CLOSES.get(name, _CLOSES_P)
-        if not any(self.open.get(c) for c in closing):
-            return
-        for depth in range(len(self.stack) - 1, 0, -1):
-            one = self.stack[depth].name
-            if one in closing:
-                while len(self.stack) > depth:
-                    self.pop()
-                return
-            if within is None or one in within:
-                return
+        depth = self.innermost(closing)
+        if depth > self.innermost(within):
+            while len(self.stack) > depth:
+                self.pop()
 
     def open_block(self, name: str, attrs: str) -> None:
         top, out = self.stack[-1], self.out
@@ -206,7 +202,7 @@ class _Scanner:
                 weight = IN_ARTICLE
             elif name == "main":
                 weight = max(weight, IN_MAIN)
-            if name in ("form", "fieldset"):
+            if name in FORMS:
                 weight = IN_FORM
         if weight > DECLARED and name not in ("html", "body", "main"):
             outer = name == "header" and weight <= 1 and top.name != "section"  # a page's, not an article's
@@ -217,10 +213,8 @@ class _Scanner:
         out.name.append(name)
         out.named.append(" ".join(sorted({re.sub(r"[0-9]+", "0", v) for k, v in names if k == "class"})) if names else "")
         out.children.append(0)
-        if len(self.stack) > DEPTH:
-            self.pop()
+        self.open.setdefault(name, []).append(len(self.stack))
         self.stack.append(_Element(name, len(out.parent) - 1, dropped, weight))
-        self.open[name] = self.open.get(name, 0) + 1
 
     def run(self) -> Blocks:
         page, at = self.page, 0
@@ -236,10 +230,10 @@ class _Scanner:
             if m is None:
                 break
             at = m.end()
-            name = m["name"] or m["name2"]
+            name = m["name"]
             if not name:
                 continue
-            if m["name2"] and not m.group().endswith(">"):
+            if not m["shut"]:
                 break  # the page ends inside a tag
             name = name.lower()
             if name == "br":
@@ -248,7 +242,7 @@ class _Scanner:
             block = name in BLOCKS
             if block:
                 self.flush()
-            if m["end"] or m["end2"]:
+            if m["end"]:
                 self.close_block(name) if block else self.close_inline(name)
             elif name in RAW:
                 close = _RAW_END[name].search(page, at)
@@ -257,9 +251,9 @@ class _Scanner:
                 pass
             elif block:
                 self.close_implied(name)
-                self.open_block(name, m["attrs"] or m["attrs2"] or "")
+                self.open_block(name, m["attrs"])
             else:
-                self.open_inline(name, m["attrs"] or m["attrs2"] or "")
+                self.open_inline(name, m["attrs"])
         self.flush()
         return self.out
 
@@ -334,7 +328,7 @@ def scores(b: Blocks) -> list[float]:
         heads = heads if heading and i + 1 < len(b.text) else x  # a heading belongs to what it heads
         p = path_of[e]
         fused = own[p] / 2 + max(near.get(heads, 0.0), near.get(x, 0.0)) / 4 + around[heads] / 4
-        linked = not heading and 2 * links[p] >= size[p]
+        linked = not heading and 2 * links[p] >= size[p] and b.weight[i] < IN_ARTICLE  # an article's own lists of links stay
         out[i] = fused * b.weight[i] * (LINKED if linked else 1)
     return out
 
