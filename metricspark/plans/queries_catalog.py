@@ -15,6 +15,7 @@ from metricspark.operators import joins as jn
 from metricspark.operators import lineage as lin
 from metricspark.plans.registry import query, table
 from metricspark.sources import inventory as inv
+from metricspark.sources import star
 
 FIXTURES = {
     "fx_definitions": (
@@ -156,6 +157,57 @@ def _(spark, sf):
     return customers.join(per, F.pmod("c_custkey", F.lit(n)) + 1 == F.col("customer_id")).select("c_custkey", "n_rows", "in_range", "n_keys")
 
 
+
+def _star(spark, sf) -> dict[str, DataFrame]:
+    """Customers and orders as many as there are, with their distributions; a third of the orders goes to the first twelfth of the customers."""
+    customer, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
+    n, m = customer.count(), orders.count()
+    people = star.profile(customer, ["c_acctbal"], ["c_mktsegment"])
+    trade = star.profile(orders, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"])
+    return star.generate(
+        spark,
+        [
+            star.Table("orders", m, "order_id", trade | {"order_date": star.domain_of("order_date", "date"), "ship_date": star.Domain(after="order_date", spread=30), "is_new": star.domain_of("is_new", "boolean")}, {"customer_id": "customer"}, {"customer_id": 2.25}),
+            star.Table("customer", n, "customer_id", people),
+        ],
+        seed=11,
+    )
+
+
+@query("src_star_keys", "SELECT (SELECT count(*) FROM orders) AS n_orders, (SELECT count(*) FROM orders) AS n_keys, (SELECT count(*) FROM customer) AS n_customers, CAST(0 AS BIGINT) AS n_orphans, CAST(0 AS BIGINT) AS n_out_of_order, true AS is_skewed")
+def _(spark, sf):
+    """Keys of the generated schema: distinct, wired, as many as in the given tables; dates in order; children skewed to the first parents."""
+    made = _star(spark, sf)
+    orders, customer = made["orders"], made["customer"]
+    n = customer.agg(F.count_distinct("customer_id").alias("n_customers"))
+    orphans = orders.join(customer, "customer_id", "left_anti").agg(F.count("*").alias("n_orphans"))
+    late = F.count(F.when((F.col("ship_date") < F.col("order_date")) | (F.datediff("ship_date", "order_date") > 30), 1))
+    first = orders.join(n).agg(
+        F.count("*").alias("n_orders"), F.count_distinct("order_id").alias("n_keys"), late.alias("n_out_of_order"),
+        F.avg((12 * F.col("customer_id") <= F.col("n_customers")).cast("int")).alias("share"),
+    )
+    return first.join(n).join(orphans).select("n_orders", "n_keys", "n_customers", "n_orphans", "n_out_of_order", F.col("share").between(0.28, 0.38).alias("is_skewed"))
+
+
+@query(
+    "src_star_values",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS label, round(20 * count(*) / sum(count(*)) OVER ()) AS twentieths FROM {t} GROUP BY {c}" for t, c in (("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus")))
+    + " UNION ALL SELECT 'o_totalprice', CAST(k AS VARCHAR), 2 FROM generate_series(1, 10) t(k)",
+)
+def _(spark, sf):
+    """Histograms of the generated values: labels in twentieths beside the given ones, prices over the deciles of the given prices."""
+    made, orders = _star(spark, sf), table(spark, sf, "orders")
+    out = None
+    for t, c in (("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus")):
+        counts = made[t].groupBy(F.col(c).alias("label")).agg(F.count("*").alias("n"))
+        one = counts.join(made[t].agg(F.count("*").alias("all"))).select(F.lit(c).alias("column"), "label", F.round(20 * F.col("n") / F.col("all")).alias("twentieths"))
+        out = one if out is None else out.unionByName(one)
+    deciles = orders.agg(F.percentile_approx(F.col("o_totalprice").cast("double"), F.array(*[F.lit(k / 10) for k in range(1, 10)]), F.lit(100_000)).alias("d"))
+    placed = made["orders"].join(F.broadcast(deciles)).select((F.size(F.filter("d", lambda d: d < F.col("o_totalprice"))) + 1).cast("string").alias("label"))
+    counts = placed.groupBy("label").agg(F.count("*").alias("n")).join(placed.agg(F.count("*").alias("all")))
+    return out.unionByName(counts.select(F.lit("o_totalprice").alias("column"), "label", F.round(20 * F.col("n") / F.col("all")).alias("twentieths")))
+
+
 # --- catalog -----------------------------------------------------------------------------------------------------------------
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricspark.operators import moving, sets, shapes, topk
 from metricspark.operators import ranges as rng
-from metricspark.operators import sets, shapes, topk
 from metricspark.operators import windows as win
 from metricspark.plans.queries_core import PRICE, REVENUE, money
 from metricspark.plans.registry import query, table
@@ -118,6 +118,22 @@ def _(spark, sf):
     return money(win.gap_series(rows, "y", side("F"), side("O"), clamp=True), "upper", "lower", "gap")
 
 
+@query("win_moving_median", "SELECT o_orderkey, round(median(o_totalprice) OVER w, 6) AS moving FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 500 PRECEDING AND 500 FOLLOWING)")
+def _(spark, sf):
+    """Median price of the thousand orders around each, by priority."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    out = moving.moving_percentile(rows, ["o_orderpriority"], [F.col("o_orderdate"), F.col("o_orderkey")], "o_totalprice", 0.5, 500, 500, block=2048)
+    return out.select("o_orderkey", F.round("moving", 6).alias("moving"))
+
+
+@query("win_moving_percentile", "SELECT l_orderkey, l_linenumber, l_partkey, round(quantile_cont(l_extendedprice, 0.9) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS 99 PRECEDING), 6) AS moving FROM lineitem")
+def _(spark, sf):
+    """Ninth decile of the last hundred prices over all line items as one group."""
+    names = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    out = moving.moving_percentile(table(spark, sf, "lineitem").select(*names), [], [F.col(c) for c in names], "l_extendedprice", 0.9, 99)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("moving", 6).alias("moving"))
+
+
 _PEERS = (
     "FROM orders o LEFT JOIN orders p ON p.o_custkey = o.o_custkey AND {condition} GROUP BY o.o_orderkey"
 )
