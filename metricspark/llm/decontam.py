@@ -8,8 +8,13 @@ placeholder value of the item must stand for one value throughout.  A document
 is contaminated by an item when consistent matches cover enough of the item's
 windows, or a long enough passage of it.
 
-Items that are mostly placeholders, or shorter than a window, say too little as
-templates; they are looked for by their exact tokens, values included.
+An item shorter than a window is one window of its own length, in which the words
+that open sentences stand for themselves, if half of its tokens are words; it is
+looked for by its exact tokens as well.  Items that are mostly placeholders say too
+little as templates and are looked for by their exact tokens alone.  Of these, ones
+of very few tokens stand in many texts by chance: a text that is nothing else holds
+them, and a text that has them among others is a weak hit, which the caller may ask
+for.
 
 Items that differ in their values only form one class and are compared once.
 Documents drop windows that no item has by a Bloom filter of bounded size before
@@ -35,7 +40,7 @@ WINDOW = 8
 WORDS_IN_WINDOW = 4
 #: Percent of an item's windows that must match consistently, or else this many windows.
 COVERAGE, LONG_MATCH = 50, 6
-#: Items with fewer tokens than this are found only in documents that have no other token.
+#: An item without a template and with fewer tokens than this is a weak hit in documents that have other tokens.
 LEAST_CONTAINED = 5
 #: Bits of the filter per benchmark window, and the most bits in all (powers of two).
 FILTER_BITS, MOST_FILTER_BITS = 16, 28
@@ -74,6 +79,12 @@ class Template:
     exact_starts: np.ndarray
     folded: bytes
 
+    def worded(self) -> np.ndarray:
+        """The tokens with the words that open sentences as themselves."""
+        out = self.tokens.copy()
+        out[self.opens] = self.exact[np.searchsorted(self.exact_starts, self.starts[self.opens])]
+        return out
+
     def value(self, token: int) -> str:
         return self.folded[self.value_starts[token] : self.value_ends[token]].decode("utf-8", "replace")
 
@@ -154,24 +165,37 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 @dataclass
 class Windows:
-    """Windows of a group of texts: text, key, first token in the text, first token in the group (-1 for exact ones)."""
+    """Windows of a group of texts: text, key, first token in the text and in the group (-1 for exact ones), and its length in tokens (below 0 with opening words as themselves)."""
 
     template: Template
     text: np.ndarray
     key: np.ndarray
     at: np.ndarray
     token: np.ndarray
-    window: int
+    length: np.ndarray
 
     def slots(self, row: int) -> list[str]:
         """Values of the window's placeholders."""
-        first = int(self.token[row])
+        first, length = int(self.token[row]), int(self.length[row])
         if first < 0:
             return []
-        return [self.template.value(first + int(k)) for k in np.flatnonzero(self.template.tokens[first : first + self.window] < 4)]
+        placed = self.template.tokens[first : first + abs(length)] < 4
+        if length < 0:
+            placed &= ~self.template.opens[first : first - length]
+        return [self.template.value(first + int(k)) for k in np.flatnonzero(placed)]
 
     def take(self, rows: np.ndarray) -> Windows:
-        return Windows(self.template, self.text[rows], self.key[rows], self.at[rows], self.token[rows], self.window)
+        return Windows(self.template, self.text[rows], self.key[rows], self.at[rows], self.token[rows], self.length[rows])
+
+
+def _says_enough(words: int | np.ndarray, size: int) -> bool | np.ndarray:
+    """Whether a short template has words enough: two at least, and half of its tokens."""
+    return (words >= 2) & (2 * words >= size)
+
+
+def _short_keys(worded: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the windows of a short template's length."""
+    return mix64(window_hashes(mix64(worded), size) + np.uint64(0x9FB21C651E98DF25) + np.uint64(size))
 
 
 def _owners(starts: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +210,7 @@ def _exact_key(tokens: np.ndarray, size: int) -> np.ndarray:
 
 
 def windows_of(texts: Sequence[bytes], window: int, sizes: Sequence[int] = ()) -> Windows:
-    """Template windows with words enough, and exact windows of the given sizes; 0 stands for texts of few tokens, whole."""
+    """Template windows with words enough, and those of the given sizes: exact ones; short templates (the size below 0); 0 stands for texts of few tokens, whole."""
     template = canonical(b"\n".join(texts))
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
     owner, first, _ = _owners(template.starts, edges)
@@ -194,19 +218,27 @@ def windows_of(texts: Sequence[bytes], window: int, sizes: Sequence[int] = ()) -
     keys = window_hashes(mix64(template.tokens), window)
     at = np.flatnonzero(owner[: len(keys)] == owner[window - 1 :]) if len(keys) else np.empty(0, dtype=np.int64)
     at = at[words[at + window] - words[at] >= WORDS_IN_WINDOW]
-    parts = [(owner[at], keys[at], at - first[owner[at]], at)]
-    if len(sizes):
+    parts = [(owner[at], keys[at], at - first[owner[at]], at, np.full(len(at), window))]
+    if any(size < 0 for size in sizes):
+        worded = template.worded()
+        words = np.concatenate([[0], np.cumsum(worded >= 4)])
+        for size in (-size for size in sizes if size < 0):
+            keys = _short_keys(worded, size)
+            at = np.flatnonzero(owner[: len(keys)] == owner[size - 1 :]) if len(keys) else np.empty(0, dtype=np.int64)
+            at = at[_says_enough(words[at + size] - words[at], size)]
+            parts.append((owner[at], keys[at], at - first[owner[at]], at, np.full(len(at), -size)))
+    if any(size >= 0 for size in sizes):
         owner, first, counts = _owners(template.exact_starts, edges)
         for size in sizes:
-            if size:
+            if size > 0:
                 keys = _exact_key(template.exact, size)
                 at = np.flatnonzero(owner[: len(keys)] == owner[size - 1 :]) if len(keys) else np.empty(0, dtype=np.int64)
-                parts.append((owner[at], keys[at], at - first[owner[at]], np.full(len(at), -1)))
-            else:
+                parts.append((owner[at], keys[at], at - first[owner[at]], np.full(len(at), -1), np.full(len(at), size)))
+            elif size == 0:
                 few = np.flatnonzero((counts > 0) & (counts < LEAST_CONTAINED))
                 whole = [_whole_key(template.exact[first[k] : first[k] + counts[k]]) for k in few]
-                parts.append((few, np.array(whole, dtype=np.uint64), np.zeros(len(few), dtype=np.int64), np.full(len(few), -1)))
-    return Windows(template, *(np.concatenate(c) for c in zip(*parts, strict=True)), window)
+                parts.append((few, np.array(whole, dtype=np.uint64), np.zeros(len(few), dtype=np.int64), np.full(len(few), -1), counts[few]))
+    return Windows(template, *(np.concatenate(c) for c in zip(*parts, strict=True)))
 
 
 def _whole_key(tokens: np.ndarray) -> np.uint64:
@@ -219,11 +251,11 @@ def _digest(values: Sequence) -> int:
     return int(window_hashes(mix64(row + np.uint64(len(values))), len(row))[0] >> np.uint64(1))
 
 
-_ITEM = "item_id long, class long, size int, key long, at int, n_windows int, slot_ids array<int>, slots array<string>"
+_ITEM = "class long, size int, key long, at int, n_windows int, weak boolean, slot_ids array<int>, slots array<string>"
 
 
-def _item_rows(item_id: int | None, text: bytes, window: int) -> list[tuple]:
-    """Windows of one item: of its template if most of them have words enough, else of its exact tokens.
+def _item_rows(item_id, text: bytes, window: int) -> list[tuple]:
+    """Windows of one item: of its template if most of them have words enough, of a short template and its exact tokens, else of its exact tokens.
 
     Slots of one value have one number.  A value that only opens sentences may be
     a plain word and is not checked for consistency: its number is 0.
@@ -243,35 +275,51 @@ def _item_rows(item_id: int | None, text: bytes, window: int) -> list[tuple]:
             first = int(found.token[row])
             inside = [first + int(k) for k in np.flatnonzero(t.tokens[first : first + window] < 4)]
             slots = [number[k] for k in inside], [values[k] for k in inside]
-            out.append((item_id, group, -1, int(found.key[row].view(np.int64)), int(found.at[row]), len(found.key), *slots))
+            out.append((item_id, group, -1, int(found.key[row].view(np.int64)), int(found.at[row]), len(found.key), False, *slots))
         return out
     n = len(t.exact)
     if not n:
         return []
+    as_int = lambda key: int(key.view(np.int64))
+    worded = t.worded()
+    size = len(worded)
+    if size < window and _says_enough(int((worded >= 4).sum()), size):
+        slots = [t.value(int(k)) for k in np.flatnonzero(worded < 4)]
+        seen = {}
+        number = [seen.setdefault(v, len(seen) + 1) for v in slots]
+        group = _digest([2, *worded, 0, *number])
+        return [
+            (item_id, group, -size, as_int(_short_keys(worded, size)[0]), 0, 1, False, number, slots),
+            (item_id, group, n, as_int(_exact_key(t.exact, n)[0]), 0, 1, False, [], []),
+        ]
     group = _digest([1, *t.exact])
     if n < LEAST_CONTAINED:
-        return [(item_id, group, 0, int(_whole_key(t.exact).view(np.int64)), 0, 1, [], [])]
+        return [
+            (item_id, group, 0, as_int(_whole_key(t.exact)), 0, 1, False, [], []),
+            (item_id, group, n, as_int(_exact_key(t.exact, n)[0]), 0, 1, True, [], []),
+        ]
     size = min(n, window)
     keys = _exact_key(t.exact, size).view(np.int64)
-    return [(item_id, group, size, int(k), i, len(keys), [], []) for i, k in enumerate(keys)]
+    return [(item_id, group, size, int(k), i, len(keys), False, [], []) for i, k in enumerate(keys)]
 
 
 def _item_batches(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = [r for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for r in _item_rows(i, to_bytes(t), window)]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
+            kinds = [batch.column(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.string())]
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "class", "size", "key", "at", "n_windows", "slot_ids", "slots"]
+                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "class", "size", "key", "at", "n_windows", "weak", "slot_ids", "slots"]
             )
 
     return run
 
 
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
-    """``item_id, class, size, key, at, n_windows, slot_ids, slots`` of all items; ``size`` is -1 for template windows."""
-    return benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(_item_batches(window), _ITEM)
+    """``item_id, class, size, key, at, n_windows, weak, slot_ids, slots`` of all items; ``size`` is -1 for template windows, less for short templates."""
+    kind = benchmark.schema[item_col].dataType.simpleString()
+    return benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).mapInArrow(_item_batches(window), f"item_id {kind}, {_ITEM}")
 
 
 _CHUNK = 1 << 16
@@ -352,21 +400,25 @@ def contaminated(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    weak: bool = False,
 ) -> DataFrame:
     """Documents that hold benchmark items, one row per document and class of items.
 
-    ``doc_id, item_id, n_matched, n_windows, changed, row_1, row_2``: the item's
+    ``doc_id, item_id, n_matched, n_windows, changed[, weak], row_1, row_2``: the item's
     windows found on one alignment with consistent slots, of how many, and whether
     some value is not one of an item (a re-parameterised question).  ``item_id``
-    is the smallest of the items that differ in values only.  A document is a row:
+    is the smallest of the items that differ in values only; ids may be of any
+    type.  With ``weak``, hits that say little come too, marked: an item of very
+    few tokens and no template that a document has among others.  A document is a row:
     ``row_1, row_2`` hash its id and text, so null and repeated ids are judged by
     their own texts, and rows equal in both count once.  Null and empty texts hold
     nothing; null, empty and wordless items are in nothing; items may repeat or
     have a null id; either table may be empty; other columns are not read.
     """
     spark = docs.sparkSession
-    items = stage(item_windows(benchmark, item_col, item_text_col, window), "items")
-    sizes = sorted(r["size"] for r in items.where("size >= 0").select("size").distinct().collect())  # 0 .. window at most
+    items = item_windows(benchmark, item_col, item_text_col, window)
+    items = stage(items if weak else items.where("not weak"), "items")
+    sizes = sorted(r["size"] for r in items.where("size <> -1").select("size").distinct().collect())  # lengths of short items
     bitmap = spark.sparkContext.broadcast(key_filter(items))
     rows = docs.select(F.col(id_col).alias("doc_id"), *_row_keys(id_col, text_col), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -375,7 +427,7 @@ def contaminated(
     )
 
     classes = items.groupBy("class", "key", F.col("at").alias("item_at")).agg(
-        F.min("item_id").alias("item_id"), F.first("n_windows").alias("n_windows"), F.first("slot_ids").alias("slot_ids")
+        F.min("item_id").alias("item_id"), F.first("n_windows").alias("n_windows"), F.first("slot_ids").alias("slot_ids"), F.min("weak").alias("weak")
     )
     values = items.select("class", F.col("at").alias("item_at"), F.xxhash64("slots").alias("values"), F.lit(True).alias("known")).distinct()
     pairs = stage(rows.join(classes, "key"), "template-matches")
@@ -391,13 +443,14 @@ def contaminated(
         F.min("item_id").alias("item_id"),
         F.array_distinct(F.flatten(F.collect_set("bound"))).alias("bound"),
         F.max(F.col("known").isNull()).alias("changed"),
+        F.min("weak").alias("weak"),
     )
     sound = runs.where(F.size("bound") == F.size(F.array_distinct(F.transform("bound", lambda z: z["slot_ids"]))))
     return (
         sound.where(f"100 * n_matched >= {coverage} * n_windows or n_matched >= {long_match}")
         .groupBy("doc_id", "row_1", "row_2", "class")
-        .agg(F.max(F.struct("n_matched", (~F.col("changed")).alias("same"), "n_windows", "item_id")).alias("best"))
-        .select("doc_id", "best.item_id", "best.n_matched", "best.n_windows", (~F.col("best.same")).alias("changed"), "row_1", "row_2")
+        .agg(F.max(F.struct("n_matched", (~F.col("changed")).alias("same"), "n_windows", "item_id")).alias("best"), F.min("weak").alias("weak"))
+        .select("doc_id", "best.item_id", "best.n_matched", "best.n_windows", (~F.col("best.same")).alias("changed"), *(["weak"] if weak else []), "row_1", "row_2")
     )
 
 
