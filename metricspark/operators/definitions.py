@@ -7,6 +7,8 @@ Pages, dashboards and widgets are comma-separated labels.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,24 +56,64 @@ def name_tokens(name: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(name), r"[^a-z0-9]+"), lambda x: x != ""))
 
 
+#: Distinct token sets of a group that are compared in one task.
+TILE = 512
+
+
+def _tile_sum(rows: pd.DataFrame) -> pd.DataFrame:
+    """Weighted Jaccard sum over the pairs of the two tiles (or of the one) of a task."""
+    first = rows.iloc[0]
+    tokens = {t: k for k, t in enumerate(sorted({t for ts in rows["tokens"] for t in ts}))}
+    held = np.zeros((len(rows), len(tokens)), dtype=np.float32)
+    for k, ts in enumerate(rows["tokens"]):
+        held[k, [tokens[t] for t in ts]] = 1
+    weight, left = rows["w"].to_numpy(dtype=float), rows["tile"].to_numpy() == first["tile_a"]
+    right = left if first["tile_a"] == first["tile_b"] else ~left
+    both = held[left] @ held[right].T
+    size = held.sum(axis=1)
+    either = size[left][:, None] + size[right][None, :] - both
+    jaccard = np.divide(both, either, out=np.zeros_like(both), where=either > 0).astype(float)
+    total = weight[left] @ jaccard @ weight[right]
+    if right is left:
+        total = (total - (weight[left] ** 2 * np.diag(jaccard)).sum()) / 2
+    return pd.DataFrame({"norm_expr": [first["norm_expr"]], "s": [total]})
+
+
+def pair_sums(sets: DataFrame, tile: int = TILE) -> DataFrame:
+    """``norm_expr, s``: the sum over pairs of different token sets of a group of the product of their weights and their Jaccard similarity.
+
+    ``sets`` has ``norm_expr, tokens, w``, each set of a group once.  Groups of at
+    most ``tile`` sets are joined with themselves; the sets of larger ones are
+    dealt into tiles by hash, and every two tiles are compared in a task of their own.
+    """
+    sizes = sets.groupBy("norm_expr").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    sized = cut(sets.join(sizes, "norm_expr"))
+    small = sized.filter("tiles = 1").withColumn("set", F.array_join(F.array_sort("tokens"), " "))
+    a, b = (small.select("norm_expr", *[F.col(c).alias(f"{c}_{side}") for c in ("set", "tokens", "w")]) for side in "ab")
+    both = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    jaccard = both / (F.size("tokens_a") + F.size("tokens_b") - both)
+    joined = a.join(b, "norm_expr").filter("set_a < set_b").groupBy("norm_expr").agg(F.sum(F.col("w_a") * F.col("w_b") * jaccard).alias("s"))
+    large = sized.filter("tiles > 1").withColumn("tile", F.pmod(F.xxhash64("tokens"), F.col("tiles")).cast("int"))
+    dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("norm_expr", "tokens", "w", "tile", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"))
+    tiled = dealt.groupBy("norm_expr", "tile_a", "tile_b").applyInPandas(_tile_sum, "norm_expr string, s double")
+    return joined.unionByName(tiled.groupBy("norm_expr").agg(F.sum("s").alias("s")))
+
+
 def categorise(defs: DataFrame, duplicate_above: float = 0.85) -> DataFrame:
     """``norm_expr, n_items, name_similarity, category, is_actionable`` of expression groups.
 
-    Similarity is the mean over pairs of items.  Items of one name are counted,
-    not paired: pairs run over distinct names, weighted by their counts.
+    Similarity is the mean over pairs of items of the Jaccard similarity of their
+    names' tokens.  Items with equal tokens are counted, not paired: pairs run
+    over distinct token sets, weighted by their counts.
     """
     rows = defs.withColumn("norm_expr", normalised_expression(F.col("expr"))).filter("norm_expr <> ''")
     groups = rows.groupBy("norm_expr").agg(F.count("*").alias("n_items"), F.count_distinct("kind").alias("n_kinds")).filter("n_items >= 2")
-    names = rows.join(groups.select("norm_expr"), "norm_expr", "left_semi").groupBy("norm_expr", "name").agg(F.count("*").cast("double").alias("w"))
-    names = names.withColumn("tokens", name_tokens(F.col("name")))
-    a = names.select("norm_expr", F.col("name").alias("na"), F.col("w").alias("wa"), F.col("tokens").alias("ta"))
-    b = names.select("norm_expr", F.col("name").alias("nb"), F.col("w").alias("wb"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    jaccard = both / (F.size("ta") + F.size("tb") - both)
-    different = a.join(b, "norm_expr").filter("na < nb").groupBy("norm_expr").agg(F.sum(F.col("wa") * F.col("wb") * jaccard).alias("s"))
-    same = names.groupBy("norm_expr").agg(F.sum(F.col("w") * (F.col("w") - 1) / 2).alias("eq"))
+    tokens = F.array_sort(name_tokens(F.col("name"))).alias("tokens")
+    sets = rows.join(groups.select("norm_expr"), "norm_expr", "left_semi").groupBy("norm_expr", tokens).agg(F.count("*").cast("double").alias("w"))
+    same = sets.groupBy("norm_expr").agg(F.sum(F.col("w") * (F.col("w") - 1) / 2).alias("eq"))
     pairs = F.col("n_items") * (F.col("n_items") - 1) / 2.0
-    out = groups.join(same, "norm_expr").join(different, "norm_expr", "left")
+    out = groups.join(same, "norm_expr").join(pair_sums(sets), "norm_expr", "left")
     similarity = F.round((F.col("eq") + F.coalesce("s", F.lit(0.0))) / pairs, 4)
     return out.select(
         "norm_expr",
