@@ -260,9 +260,9 @@ def _(spark, sf):
 
 @query("scl_series", "SELECT c_custkey, value FROM customer, LATERAL (SELECT unnest(generate_series(1, c_nationkey, 3)) AS value)")
 def _(spark, sf):
-    stop = F.col("c_nationkey").cast("long")
-    values = F.explode(F.when(stop >= 1, F.sequence(F.lit(1).cast("long"), stop, F.lit(3).cast("long"))))
-    return table(spark, sf, "customer").select("c_custkey", values.alias("value"))
+    """The numbers 1, 4, 7 ... up to each customer's nation."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return col.series(spark, 1, 25, 3).join(customers, F.col("value") <= F.col("c_nationkey")).select("c_custkey", "value")
 
 
 @query("scl_row_number_limit", "SELECT o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25")

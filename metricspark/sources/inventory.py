@@ -29,10 +29,14 @@ def definition_rows(docs: DataFrame) -> DataFrame:
     return out.withColumn("name", normal_name(F.col("name")))
 
 
-def read_inventories(spark: SparkSession, path: str) -> DataFrame:
-    """One definitions table from many inventory JSON files, with kind, file and position."""
+def read_inventories(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One definitions table from many inventory JSON files, with kind, file and position.
+
+    A file is one document, or with ``multi_line`` false one document a line, which
+    large files need to be split.
+    """
     schema = ", ".join(f"`{k}` {ITEM}" for k in KINDS)
-    docs = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source_file", F.input_file_name())
+    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path).withColumn("source_file", F.input_file_name())
     return definition_rows(docs)
 
 

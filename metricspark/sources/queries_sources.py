@@ -23,8 +23,7 @@ def _(spark, sf):
     lists = [F.collect_list(F.when(F.col("kind") == kind, item)).alias(name) for name, kind in inv.KINDS.items()]
     path = scratch(spark, "inventories")
     d.groupBy("tbl").agg(*lists).drop("tbl").write.json(path)
-    docs = spark.read.schema(", ".join(f"`{k}` {inv.ITEM}" for k in inv.KINDS)).json(path)  # one document a line
-    rows = inv.definition_rows(docs)
+    rows = inv.read_inventories(spark, path, multi_line=False)
     return rows.groupBy("kind", F.col("table").alias("tbl")).agg(F.count("*").alias("n"), F.min("name").alias("first_name"))
 
 
