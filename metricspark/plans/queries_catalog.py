@@ -189,23 +189,30 @@ def _(spark, sf):
     return first.join(n).join(orphans).select("n_orders", "n_keys", "n_customers", "n_orphans", "n_out_of_order", F.col("share").between(0.28, 0.38).alias("is_skewed"))
 
 
+_LABELLED = (("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus"))
+
+
 @query(
     "src_star_values",
-    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS label, round(20 * count(*) / sum(count(*)) OVER ()) AS twentieths FROM {t} GROUP BY {c}" for t, c in (("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus")))
-    + " UNION ALL SELECT 'o_totalprice', CAST(k AS VARCHAR), 2 FROM generate_series(1, 10) t(k)",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS label, count(*) AS given, true AS is_near FROM {t} GROUP BY {c}" for t, c in _LABELLED)
+    + " UNION ALL SELECT 'o_totalprice', CAST(k AS VARCHAR), (SELECT count(*) FROM orders), true FROM generate_series(1, 10) t(k)",
 )
 def _(spark, sf):
-    """Histograms of the generated values: labels in twentieths beside the given ones, prices over the deciles of the given prices."""
-    made, orders = _star(spark, sf), table(spark, sf, "orders")
-    out = None
-    for t, c in (("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus")):
-        counts = made[t].groupBy(F.col(c).alias("label")).agg(F.count("*").alias("n"))
-        one = counts.join(made[t].agg(F.count("*").alias("all"))).select(F.lit(c).alias("column"), "label", F.round(20 * F.col("n") / F.col("all")).alias("twentieths"))
+    """Histograms of the generated values: labels beside the given ones, prices over the deciles of the given prices.
+
+    Counts are near where chance explains the difference (four standard deviations).
+    """
+    made, out = _star(spark, sf), None
+    near = lambda given, got: (F.abs(F.coalesce(got, F.lit(0)) - given) <= 4 * F.sqrt(given) + 1).alias("is_near")
+    for t, c in _LABELLED:
+        given = table(spark, sf, t).groupBy(F.col(c).alias("label")).agg(F.count("*").alias("given"))
+        got = made[t].groupBy(F.col(c).alias("label")).agg(F.count("*").alias("got"))
+        one = given.join(got, "label", "left").select(F.lit(c).alias("column"), "label", "given", near(F.col("given"), F.col("got")))
         out = one if out is None else out.unionByName(one)
-    deciles = orders.agg(F.percentile_approx(F.col("o_totalprice").cast("double"), F.array(*[F.lit(k / 10) for k in range(1, 10)]), F.lit(100_000)).alias("d"))
-    placed = made["orders"].join(F.broadcast(deciles)).select((F.size(F.filter("d", lambda d: d < F.col("o_totalprice"))) + 1).cast("string").alias("label"))
-    counts = placed.groupBy("label").agg(F.count("*").alias("n")).join(placed.agg(F.count("*").alias("all")))
-    return out.unionByName(counts.select(F.lit("o_totalprice").alias("column"), "label", F.round(20 * F.col("n") / F.col("all")).alias("twentieths")))
+    deciles = table(spark, sf, "orders").agg(F.count("*").alias("given"), F.percentile_approx(F.col("o_totalprice").cast("double"), F.array(*[F.lit(k / 10) for k in range(1, 10)]), F.lit(100_000)).alias("d"))
+    placed = made["orders"].join(F.broadcast(deciles)).select("given", (F.size(F.filter("d", lambda d: d < F.col("o_totalprice"))) + 1).cast("string").alias("label"))  # one row
+    counts = placed.groupBy("label", "given").agg(F.count("*").alias("got"))
+    return out.unionByName(counts.select(F.lit("o_totalprice").alias("column"), "label", "given", near(F.col("given") / 10, F.col("got"))))
 
 
 # --- catalog -----------------------------------------------------------------------------------------------------------------
