@@ -110,7 +110,9 @@ def draw_shard(quota: np.ndarray, capacity: int, shard: int, seed: int) -> np.nd
 def _draws(quota: np.ndarray, capacity: int, seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"shard": batch["id"], "counts": [draw_shard(quota, capacity, int(k), seed).tolist() for k in batch["id"]]})
+            drawn = [draw_shard(quota, capacity, int(k), seed) for k in batch["id"]]
+            sids = [np.flatnonzero(d) for d in drawn]  # a shard holds no more sources than slots
+            yield pd.DataFrame({"shard": batch["id"], "sids": [s.tolist() for s in sids], "counts": [d[s].tolist() for d, s in zip(drawn, sids, strict=True)]})
 
     return run
 
@@ -136,7 +138,7 @@ def _slots(mixture: list[Component], drawn: np.ndarray, seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for shard, parts in zip(batch["shard"], batch["parts"], strict=True):
-                settled = [settle(p["sid"], np.arange(p["before"], p["before"] + p["n"]), quota, drawn) for p in parts if p["n"]]
+                settled = [settle(p["sid"], np.arange(p["before"], p["before"] + p["n"]), quota, drawn) for p in parts]
                 sid, nth = (np.concatenate(c) for c in zip(*settled, strict=True))
                 turn, index = np.divmod(nth, blocks[sid])  # the pass over the source, and the place in it
                 block = permute(index, blocks[sid], (seed << 40) + (sid << 8) + turn)
@@ -152,8 +154,8 @@ def _dealt_slots(spark: SparkSession, mixture: list[Component], shard_slots: int
     shards = -(-int(quota.sum()) // shard_slots)
     tasks = max(1, min(shards // 64, 65_536))
     ids = spark.range(0, shards, 1, tasks)
-    draws = stage(ids.mapInPandas(_draws(quota, shard_slots, seed), "shard long, counts array<long>"), "mix-draws")
-    each = draws.select("shard", F.expr(f"shard div {RUN_SHARDS}").alias("run"), F.posexplode("counts").alias("sid", "n"))
+    draws = stage(ids.mapInPandas(_draws(quota, shard_slots, seed), "shard long, sids array<int>, counts array<long>"), "mix-draws")
+    each = draws.select("shard", F.expr(f"shard div {RUN_SHARDS}").alias("run"), F.inline(F.arrays_zip("sids", "counts")).alias("sid", "n"))
     runs = each.groupBy("sid", "run").agg(F.sum("n").alias("in_run"))
     totals = {r["sid"]: r["n"] for r in runs.groupBy("sid").agg(F.sum("in_run").alias("n")).collect()}
     drawn = np.array([totals.get(c.sid, 0) for c in mixture], dtype=np.int64)

@@ -107,6 +107,10 @@ def _write_index(out, ids_type: str, nulls: int, keys: np.ndarray, offsets: np.n
         out.write(parts[name].astype(kind).tobytes())
 
 
+#: Bytes of neighbouring records that are read together.
+READ_BYTES = 4 << 20
+
+
 class ShardReader:
     """One shard's index in memory; payload ranges are read on demand."""
 
@@ -144,6 +148,20 @@ class ShardReader:
         self._payload.seek(begin * width)
         return np.frombuffer(self._payload.read((end - begin) * width), dtype=self.ids_type)
 
+    def each(self, records: np.ndarray, most: int = READ_BYTES) -> Iterator[np.ndarray]:
+        """The ids of each record; records that follow each other are read together, up to ``most`` bytes at a time."""
+        width, at = self.ids_type.itemsize, 0
+        while at < len(records):
+            begin, end = int(self.offsets[records[at]]), at + 1
+            while end < len(records) and records[end] == records[end - 1] + 1 and (int(self.offsets[records[end] + 1]) - begin) * width <= most:
+                end += 1
+            stop = int(self.offsets[records[end - 1] + 1])
+            self._payload.seek(begin * width)
+            data = np.frombuffer(self._payload.read((stop - begin) * width), dtype=self.ids_type)
+            for r in records[at:end]:
+                yield data[self.offsets[r] - begin : self.offsets[r + 1] - begin]
+            at = end
+
     def close(self) -> None:
         self._payload.close()
 
@@ -234,14 +252,14 @@ def _digester(folder: str):
                 named = pd.concat([pd.Series([None] * shard.nulls, dtype="Int64"), pd.Series(np.repeat(keys, count), dtype="Int64")])
                 for at in range(0, len(records), 10_000):
                     part = records[at : at + 10_000]
-                    digests = [shard.ids(int(r)) for r in part]
+                    digests = [(len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for ids in shard.each(part)]
                     yield pd.DataFrame(
                         {
                             "shard": row.shard,
                             "doc_id": named.iloc[at : at + 10_000].array,
                             "local": shard.offsets[part],
-                            "n_tokens": [len(d) for d in digests],
-                            "ids_crc32": [zlib.crc32(d.astype("<u4").tobytes()) for d in digests],
+                            "n_tokens": [n for n, _ in digests],
+                            "ids_crc32": [crc for _, crc in digests],
                         }
                     )
                 shard.close()
