@@ -108,17 +108,37 @@ class Words:
     def phrases(self, size: int, at: np.ndarray) -> list[bytes]:
         return [self.data[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at + size - 1].tolist(), strict=True)]
 
-    def tally(self, exact: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First positions of the distinct values of ``exact``, and the weights of each summed."""
-        order = np.argsort(exact, kind="stable")
-        ranked = exact[order]
-        first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        return at[order[first]], np.add.reduceat(self.weights[at][order], first)
-
-
-def _passed(words: Words, size: int, at: np.ndarray, lang: np.uint64, bitmap: np.ndarray) -> np.ndarray:
-    """Those of the phrases at ``at`` that the filter lets through."""
-    return at[held(bitmap, mix64(words.keys(size, at) ^ lang))] if len(at) else at
+    def totals(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each phrase numbered in ``code``, and its summed weight where that is above 0; numbers are places, -1 is none."""
+        at = np.flatnonzero(code >= 0)
+        weights = self.weights[at]
+        if weights.sum(dtype=float) < 1 << 52:  # sums below 2**53 are exact as floats
+            total = np.bincount(code[at], weights=weights, minlength=1).astype(np.int64)
+        else:
+            total = np.zeros(len(self.ids), dtype=np.int64)
+            np.add.at(total, code[at], weights)
+        places = np.flatnonzero(total)
+        return places, total[places]
+
+
+def _numbered(code: np.ndarray, following: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The phrases at ``at``, each a numbered phrase and the word behind it, numbered by the place of one occurrence; -1 elsewhere."""
+    exact = code[at] * n + following[at]  # both are places, so the product stays exact
+    order = np.argsort(exact)
+    ranked = exact[order]
+    first = np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)]
+    out = np.full(len(following), -1, dtype=np.int64)
+    out[at[order]] = at[order[np.flatnonzero(first)]][np.cumsum(first) - 1] if len(at) else 0
+    return out
+
+
+def _passed(words: Words, size: int, code: np.ndarray, lang: np.uint64, bitmap: np.ndarray) -> np.ndarray:
+    """Where the filter lets the phrase through; each distinct one is looked up once."""
+    found = np.zeros(len(words.ids) + 1, dtype=bool)  # the last for -1
+    places = np.flatnonzero(np.bincount(code[code >= 0], minlength=1))
+    if len(places):
+        found[places[held(bitmap, mix64(words.keys(size, places) ^ lang))]] = True
+    return found[code]
 
 
 def _lang_key(lang: str) -> np.uint64:
@@ -133,26 +153,20 @@ def weigh(words: Words, sizes: Sequence[int], lang: np.uint64, bitmap: np.ndarra
     phrases are looked at only where all their parts of that length pass.
     """
     n, known = len(words.ids), sizes[0] - 1
-    code, ok, frequent = words.ids, np.ones(n, dtype=bool), np.zeros(n, dtype=bool)
+    code, frequent = words.ids, np.ones(n, dtype=bool)
     for size in range(1, min(sizes[-1], n) + 1):
         if size > 1:
-            ok = ok[:-1] & words.goes_on[size - 2 : n - 1]
-            code = code[:-1] * n + words.ids[size - 1 :]
-        if size > known > 0:
-            ok &= frequent[size - known :][: len(ok)]
+            ok = (code[:-1] >= 0) & words.goes_on[size - 2 : n - 1]
+            if size > known > 0:
+                ok &= frequent[size - known :][: len(ok)]
+            code = _numbered(code, words.ids[size - 1 :], np.flatnonzero(ok), n)
         if size == known:
-            frequent[_passed(words, size, np.flatnonzero(ok), lang, bitmap)] = True
-            ok &= frequent[: len(ok)]
+            frequent = _passed(words, size, code, lang, bitmap)
+            code = np.where(frequent, code, -1)
         if size in sizes:
-            at = np.flatnonzero(ok & (words.weights[: len(ok)] > 0))
-            if len(at):
-                first, weights = words.tally(code[at], at)
-                yield size, words.phrases(size, first), weights
-        if size < sizes[-1]:  # a phrase's number is the place of its first occurrence, so that the next product stays exact
-            at = np.flatnonzero(ok)
-            _, first, number = np.unique(code[at], return_index=True, return_inverse=True)
-            code = np.zeros(len(ok), dtype=np.int64)
-            code[at] = at[first][number]
+            places, weights = words.totals(code)
+            if len(places):
+                yield size, words.phrases(size, places), weights
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[bool, bytes, int]]]]:

@@ -297,3 +297,10 @@ def test_bpe_keeps_ranks_with_gaps():
     codec = byte_bpe.ByteBpe(byte_bpe.Vocabulary(byte_bpe.serialise(ranks), tuple(sorted(ranks.values())), r"\S+|\s", ()))
     assert codec.encode("abc abd abcd").tolist() == [2000, 64, 1001, 200, 64, 2000, 200]
     assert codec.decode(codec.encode("abd xyz").tolist()) == b"abd xyz"
+
+
+def test_weights_beyond_exact_floats():
+    big = (1 << 53) + 1
+    words = phrases.Words([(True, b"a b a", big), (True, b"a b", 2), (True, b"c", 3)], 3)
+    found = {p: int(w) for s, ps, ws in phrases.weigh(words, [1], np.uint64(0), None) for p, w in zip(ps, ws, strict=True)}
+    assert found == {b"a": 2 * big + 2, b"b": big + 2, b"c": 3}
