@@ -34,7 +34,7 @@ _SCALED = "SELECT c_custkey, c_nationkey, c_acctbal * (CASE c_custkey % 4 WHEN 0
 
 @query(
     "val_formats",
-    "SELECT c_custkey, CASE WHEN v IS NULL THEN '--' ELSE (CASE WHEN v < 0 THEN '-' ELSE '' END) || '$' || CASE WHEN abs(v) >= 1e9 THEN format('{:.1f}B', abs(v) / 1e9) WHEN abs(v) >= 1e6 THEN format('{:.1f}M', abs(v) / 1e6) WHEN abs(v) >= 1e3 THEN format('{:.0f}K', abs(v) / 1e3) ELSE format('{:.0f}', abs(v)) END END AS money, "
+    "SELECT c_custkey, CASE WHEN v IS NULL THEN '--' ELSE (CASE WHEN v < 0 THEN '-' ELSE '' END) || '$' || CASE WHEN abs(v) >= 1e9 THEN format('{:.1f}B', abs(v) / 1e9) WHEN abs(v) >= 1e6 THEN format('{:.1f}M', abs(v) / 1e6) WHEN abs(v) >= 1e3 THEN format('{:.0f}K', abs(v) / 1e3) ELSE format('{:,.0f}', abs(v)) END END AS money, "
     "CASE WHEN v IS NULL THEN '--' ELSE format('{:,}', CAST(c_custkey * 1000 AS BIGINT)) END AS cnt, (CASE WHEN c_nationkey >= 12 THEN '+' ELSE '-' END) || format('{:.1f}%', abs(c_nationkey - 12) * CASE WHEN abs(c_nationkey - 12) <= 5 THEN 100.0 ELSE 1.0 END) AS pct, "
     f"CASE WHEN v IS NULL THEN '--' ELSE format('{{:.1f}}%', c_nationkey / 25.0 * 100) END AS share FROM ({_SCALED})",
 )
