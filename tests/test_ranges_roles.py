@@ -89,6 +89,46 @@ def test_peers_compare_no_pairs(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("asks", [3, 1 << 18])
+@pytest.mark.parametrize(
+    ("spans", "meets", "kinds"),
+    [
+        ([Span("x", "x - 2", "x + 1")], lambda o, p: o[0] - 2 <= p[0] <= o[0] + 1, "n total most least"),
+        ([Span("x", high="x", high_open=True)], lambda o, p: p[0] < o[0], "n total most least"),
+        ([Span("x", low="x"), Span("y", low="y", low_open=True)], lambda o, p: p[0] >= o[0] and p[1] > o[1], "n total most least"),
+        ([Span("x", high="x + 1"), Span("y", "y - 0.5", "y + 0.5", high_open=True)], lambda o, p: p[0] <= o[0] + 1 and o[1] - 0.5 <= p[1] < o[1] + 0.5, "n total"),
+        ([Span("x", high="x + 1"), Span("y", "y + 1", "y - 1")], lambda o, p: False, "n total"),
+    ],
+)
+def test_peers_over_many_chunks(spark, monkeypatch, spans, meets, kinds, asks):
+    """Chunks of 8 points: intervals end in them and pass over whole ones; with few intervals at a time, chunks are copied."""
+    monkeypatch.setattr(ranges, "CHUNK_BITS", 3)
+    monkeypatch.setattr(ranges, "CHUNK_ASKS", asks)
+    rows = [(k, g, x if x is None else x + k % 11, y, v) for k, g, x, y, v in rows_of(5, 200)]
+    kinds = {k: AGGREGATES[k] for k in kinds.split()}
+    whole = lambda o, p: (len(spans) == 1 or None not in (o[1], p[1])) and meets(o, p)
+    assert asked(spark, rows, spans, kinds) == {k: v[: len(kinds)] for k, v in loop(rows, whole).items()}
+
+
+def test_peers_copy_no_points_of_small_groups(spark, monkeypatch):
+    """Each point and each end of a span is sorted once; only spans over whole chunks need points once for every level of blocks."""
+    sorted_rows, run = [], ranges.running
+    monkeypatch.setattr(ranges, "running", lambda df, *a, **b: sorted_rows.append(df.count()) or run(df, *a, **b))
+    df = spark.range(4000).selectExpr("id", "id % 400 as g", "id as x", "id * 7 % 31 as y")
+    ranges.peers(df, ["g"], [Span("x", high="x"), Span("y", low="y")], {"n": ("count", "id")})
+    assert sum(sorted_rows) == 8000
+
+
+def test_peers_of_odd_types(spark):
+    """Decimals past 64 bits, endless doubles, texts and days; a sum is no difference that an endless value spoils."""
+    rows = [(k, f"2000-01-{k % 9 + 1:02}", "9" * 20 + ".25" if k % 3 else f"-{k}.5", float("inf") if k == 0 else k / 4, "äb"[k % 2] + str(k)) for k in range(40)]
+    df = spark.createDataFrame(rows, "id int, d string, m string, f double, s string").selectExpr("id", "date(d) d", "cast(m as decimal(26,2)) m", "f", "s")
+    out = ranges.peers(df, [], [Span("d", "date_add(d, 1)", "date_add(d, 2)")], {"sum_m": ("sum", "m"), "sum_f": ("sum", "f"), "min_s": ("min", "s"), "max_d": ("max", "d")})
+    met = F.expr("p.d between date_add(o.d, 1) and date_add(o.d, 2)")
+    want = df.alias("o").join(df.alias("p"), met, "left").groupBy("o.id").agg(F.expr("sum(p.m) as sum_m"), F.expr("sum(p.f) as sum_f"), F.expr("min(p.s) as min_s"), F.expr("max(p.d) as max_d"))
+    assert sorted(out.select(want.columns).collect()) == sorted(want.collect())
+
+
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_running_is_the_same_for_any_number_of_ranges(spark, parts):
     rows = [(k, *r[1:]) for k, r in enumerate(rows_of(4))]
