@@ -4,7 +4,7 @@ A tokenizer that drops white space and splits words, digits and symbol runs (its
 stored normaliser, splitter and model options are compared when it is loaded)
 never joins characters across ASCII white space, so a text's ids are the ids of
 its white-space separated chunks in order.  Chunks are encoded once and kept in a
-bounded two-generation cache.  A new chunk of ASCII and precomposed Latin
+two-generation cache that is bounded in entries and bytes.  A new chunk of ASCII and precomposed Latin
 letters, which normalisation leaves as they are but for case, is cut into the
 splitter's letter runs, digits and symbol runs, whose ids come from the library's
 model; any other chunk goes through the library's full pipeline.  With every
@@ -17,15 +17,18 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-#: Entries per cache generation; two generations are kept of chunks and of runs.
-CACHE_ENTRIES = 500_000
+#: Entries per cache generation and bytes they take at most; two generations are kept of chunks and of runs.
+CACHE_ENTRIES, CACHE_BYTES = 250_000, 1 << 26
+#: Bytes of text split at a time.
+PIECE = 1 << 18
 
 # Printable ASCII but the apostrophe, which starts contractions, and Latin letters to U+017F but the dotted capital I.
 _PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-įı-ſ]+")
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _PIECES = re.compile(r"[a-zß-öø-įı-ſ]+|[0-9]|[^a-z0-9ß-öø-įı-ſ]+")
 
 # What a tokenizer states when its texts may be encoded chunk by chunk.
@@ -65,10 +68,10 @@ _LETTERS = dict(enumerate(_byte_letters()))
 
 
 class _Generations:
-    """A dictionary that forgets its older half when full."""
+    """A dictionary that forgets its older half when full, by entries or by bytes; what takes kilobytes is not kept."""
 
     def __init__(self, entries: int):
-        self.entries, self.new, self.old = entries, {}, {}
+        self.entries, self.bytes, self.new, self.old = entries, 0, {}, {}
 
     def get(self, key):
         found = self.new.get(key)
@@ -79,9 +82,25 @@ class _Generations:
         return found
 
     def put(self, key, value: bytes) -> None:
-        if len(self.new) >= self.entries:
-            self.old, self.new = self.new, {}
+        size = sys.getsizeof(key) + sys.getsizeof(value) + 100  # with its share of the table
+        if size > CACHE_BYTES >> 14:
+            return
+        if len(self.new) >= self.entries or self.bytes + size > CACHE_BYTES:
+            self.old, self.new, self.bytes = self.new, {}, 0
         self.new[key] = value
+        self.bytes += size
+
+
+def pieces(data: bytes) -> Iterator[bytes]:
+    """A text cut at white space into pieces of about :data:`PIECE` bytes; only a chunk that is longer makes a longer one."""
+    at = 0
+    while len(data) - at > PIECE:
+        found = _SPACE.search(data, at + PIECE)
+        if found is None:
+            break
+        yield data[at : found.start()]
+        at = found.end()
+    yield data[at:] if at else data
 
 
 class Encoder:
@@ -118,6 +137,9 @@ class Encoder:
         """Packed ids of one UTF-8 text."""
         if not self._chunked:
             return self._pack(self._tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids)
+        return b"".join(map(self._piece, pieces(data)))
+
+    def _piece(self, data: bytes) -> bytes:
         chunks = data.split()
         cache = self._chunks
         parts = list(map(cache.new.get, chunks))

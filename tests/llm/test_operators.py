@@ -321,6 +321,22 @@ def test_encoder_equals_the_library(tokenizer, reference, texts):
         assert np.frombuffer(small.encode(text.encode()), small.dtype).tolist() == reference(text)
 
 
+def test_encoder_forgets_by_bytes(tokenizer):
+    """Long chunks, each met once, fill the cache with bytes before they fill it with entries."""
+    coder = tokens.Encoder(tokenizer)
+    for k in range(30):
+        coder.encode(" ".join(f"{k}x{j}" + "ä" * 4500 for j in range(100)).encode())
+    kept = [x for cache in (coder._chunks, coder._runs) for half in (cache.new, cache.old) for item in half.items() for x in item]
+    assert sum(map(len, kept)) < 1 << 25
+
+
+def test_encoder_cuts_long_texts_at_white_space(tokenizer, reference, monkeypatch):
+    monkeypatch.setattr(tokens, "PIECE", 7)
+    coder = tokens.Encoder(tokenizer)
+    for text in [*TRICKY, "a" * 30 + " b\x0b" + "c d\t" * 9, "x" * 20, " " * 20]:
+        assert np.frombuffer(coder.encode(text.encode()), coder.dtype).tolist() == reference(text)
+
+
 def test_encoder_property(tokenizer, reference):
     hypothesis = pytest.importorskip("hypothesis")
     coder = tokens.Encoder(tokenizer)
