@@ -22,7 +22,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 #: Entries per cache generation and bytes they take at most; two generations are kept of chunks and of runs.
-CACHE_ENTRIES, CACHE_BYTES = 250_000, 1 << 26
+CACHE_ENTRIES, CACHE_BYTES = 500_000, 1 << 27
 #: Bytes of text split at a time.
 PIECE = 1 << 18
 
