@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from array import array
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import islice
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +33,6 @@ CACHE_ENTRIES, BLOCK, LONG = 400_000, 1 << 16, 1 << 20
 #: The character that stands for byte 0; the other bytes follow.  None of them is a space for sentencepiece.
 FIRST_LETTER = 0x100
 _LETTERS = {b: FIRST_LETTER + b for b in range(256)}
-_UINT32 = "I"
 _STAND_IN = 0x2603  # neither letter, number nor space in any version of Unicode
 
 
@@ -43,6 +42,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, filter(bytes.strip, f))}
 
 
+def _packed_each(ids: Iterable[int]) -> list[bytes]:
+    """Each id as four bytes, as the cache keeps ids."""
+    packed = np.fromiter(ids, dtype=np.uint32).tobytes()
+    return [packed[at : at + 4] for at in range(0, len(packed), 4)]
+
+
 def _letters(piece: bytes) -> str:
     return piece.decode("latin-1").translate(_LETTERS)
 
@@ -120,10 +125,10 @@ class ByteBpe:
         self._pattern = regex.compile(stated.pattern)
         self._hidden = dict.fromkeys(stated.unassigned, _STAND_IN)
         self._least_hidden = min((chr(c).encode()[0] for c in stated.unassigned), default=256)
-        self._ranks = stated.ranks
         pieces = [bytes(ord(c) - FIRST_LETTER for c in self._model.id_to_piece(i)) for i in range(len(stated.ranks))]
-        self._bytes = dict(zip(stated.ranks, pieces, strict=True))
-        self._whole = {piece: rank for rank, piece in self._bytes.items()}
+        self._ranks, self._pieces = np.array(stated.ranks, dtype=np.int64), pa.array(pieces, pa.binary())
+        self._gapless = stated.ranks == tuple(range(len(stated.ranks)))
+        self._whole = dict(zip(pieces, _packed_each(stated.ranks), strict=True))
         self._entries, self._new, self._old = entries, {}, {}
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
@@ -144,27 +149,32 @@ class ByteBpe:
             self._old, self._new = self._new, {}
         known = {t: p for t in tokens if (p := self._old.get(t)) is not None}
         self._new.update(known)
-        rest = []
-        for token in tokens - known.keys():
-            rank = self._whole.get(token.encode("utf-8", "replace"))
-            if rank is None:
+        rest, spelled = [], []
+        for token in tokens - known.keys() if known else tokens:
+            piece = token.encode("utf-8", "replace")
+            packed = self._whole.get(piece)
+            if packed is None:
                 rest.append(token)
+                spelled.append(_letters(piece))
             else:
-                self._new[token] = array(_UINT32, (rank,)).tobytes()
+                self._new[token] = packed
         if rest:
-            merged = self._model.encode([_letters(t.encode("utf-8", "replace")) for t in rest], num_threads=1)
-            self._new.update((t, array(_UINT32, map(self._ranks.__getitem__, ids)).tobytes()) for t, ids in zip(rest, merged, strict=True))
+            merged = self._model.encode(spelled, num_threads=1)
+            packed = self._ranks[np.fromiter(chain.from_iterable(merged), dtype=np.int64)].astype(np.uint32).tobytes()
+            ends = accumulate((4 * len(ids) for ids in merged), initial=0)
+            self._new.update((t, packed[start:end]) for t, (start, end) in zip(rest, pairwise(ends), strict=True))
 
-    def _packed(self, block: list[str]) -> bytes:
+    def _packed(self, block: list[str]) -> list[bytes]:
         packed = list(map(self._new.get, block))
-        if None in packed:
-            self._learn({t for t, p in zip(block, packed, strict=True) if p is None})
-            packed = [self._new[t] if p is None else p for t, p in zip(block, packed, strict=True)]
-        return b"".join(packed)
+        if missing := [at for at, p in enumerate(packed) if p is None]:
+            self._learn({block[at] for at in missing})
+            for at in missing:
+                packed[at] = self._new[block[at]]
+        return packed
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, special tokens taken as text."""
-        return np.frombuffer(b"".join(map(self._packed, self._blocks(text))), dtype=np.uint32).astype(np.int32)
+        return np.frombuffer(b"".join(b"".join(self._packed(block)) for block in self._blocks(text)), dtype=np.uint32).astype(np.int32)
 
     def encode_all(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """Ids of each text; the new pre-tokens of short texts go to the model together."""
@@ -177,15 +187,31 @@ class ByteBpe:
             if end - at == 1:
                 yield self.encode(texts[at])
             else:
-                cut = [[t for block in self._blocks(text) for t in block] for text in texts[at:end]]
-                self._learn(set().union(*cut) - self._new.keys())
-                for tokens in cut:
-                    yield np.frombuffer(self._packed(tokens), dtype=np.uint32).astype(np.int32)
+                tokens, ends = [], [0]
+                for text in texts[at:end]:
+                    tokens.extend(chain.from_iterable(self._blocks(text)))
+                    ends.append(len(tokens))
+                packed = self._packed(tokens)
+                for start, stop in pairwise(ends):
+                    yield np.frombuffer(b"".join(packed[start:stop]), dtype=np.uint32).astype(np.int32)
             at = end
 
-    def decode(self, ids) -> bytes:
+    def decode(self, ids: Sequence[int]) -> bytes:
         """Bytes that the ids stand for; an id outside the vocabulary is an error."""
-        return b"".join(map(self._bytes.__getitem__, ids))
+        return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+    def decode_all(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """Bytes of each list of ids, null for null; ids and bytes stay in Arrow and are no Python objects."""
+        flat = ids.flatten()
+        if flat.null_count:
+            raise ValueError("an id is null")
+        flat = flat.to_numpy()
+        at = np.clip(flat if self._gapless else np.searchsorted(self._ranks, flat), 0, len(self._ranks) - 1)
+        if (wrong := self._ranks[at] != flat).any():
+            raise KeyError(int(flat[wrong][0]))
+        ends = np.cumsum(np.append(0, pc.fill_null(ids.value_lengths(), 0)), dtype=np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(ends), self._pieces.take(pa.array(at)), mask=ids.is_null())
+        return pc.binary_join(listed, b"")
 
 
 _ready: dict[Vocabulary, ByteBpe] = {}
@@ -215,9 +241,8 @@ def _decode_batches(stated):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(stated.value)
         for batch in slices(batches, 128):
-            column = batch.column(batch.num_columns - 1)
-            decoded = [None if x is None else codec.decode(x) for x in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
+            decoded = codec.decode_all(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
     return run
 

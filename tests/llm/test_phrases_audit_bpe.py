@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import permutations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from test_operators import SCHEMA, odd_rows
@@ -299,6 +302,38 @@ def test_bpe_keeps_ranks_with_gaps():
     assert codec.decode(codec.encode("abd xyz").tolist()) == b"abd xyz"
 
 
+def test_bpe_decodes_without_an_object_for_each_id(stated):
+    n = 400_000
+    ids = pa.array([np.tile(np.arange(1000, 41_000), n // 40_000)], pa.list_(pa.int32()))
+    codec = byte_bpe.ByteBpe(stated)
+    want = b"".join(map(codec.decode, ([i] for i in range(1000, 41_000)))) * (n // 40_000)
+    run = byte_bpe._decode_batches(SimpleNamespace(value=stated))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), ids], ["doc_id", "ids"])
+    byte_bpe._codec(stated)  # made before memory is measured
+    tracemalloc.start()
+    (got,) = run([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.column("decoded").to_pylist() == [want]
+    assert peak < 24 * n  # a list of Python numbers takes 40 bytes an id
+
+
+@pytest.mark.parametrize("gap", [1, 3])
+def test_bpe_decodes_lists_as_they_stand(gap):
+    ranks = {bytes([b]): gap * b for b in range(256)} | {b"ab": gap * 256, "ü".encode(): gap * 256 + 1}
+    codec = byte_bpe.ByteBpe(byte_bpe.Vocabulary(byte_bpe.serialise(ranks), tuple(sorted(ranks.values())), r"\S+|\s", ()))
+    lists = [[gap * 97], None, [], [gap * 256, gap * 256 + 1, gap * 195], [], None, [0] * 300]
+    want = [b"a", None, b"", "abü".encode() + b"\xc3", b"", None, bytes(300)]
+    ids = pa.array(lists, pa.list_(pa.int32()))
+    assert codec.decode_all(ids).to_pylist() == want
+    assert [codec.decode_all(ids.slice(i, 2)).to_pylist() for i in range(len(lists))] == [want[i : i + 2] for i in range(len(lists))]
+    for wrong in (-1, gap * 256 + 2, 2**31 - 1):
+        with pytest.raises(KeyError, match=str(wrong)):
+            codec.decode([gap, wrong])
+    with pytest.raises(ValueError, match="null"):
+        codec.decode_all(pa.array([[gap, None]], pa.list_(pa.int32())))
+
+
 def test_weights_beyond_exact_floats():
     big = (1 << 53) + 1
     words = phrases.Words([(True, b"a b a", big), (True, b"a b", 2), (True, b"c", 3)], 3)
